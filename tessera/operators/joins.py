@@ -1,0 +1,59 @@
+"""Join helpers: broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DataType, DateType,
+                               DoubleType, FloatType, IntegerType, LongType, ShortType,
+                               StringType, StructType)
+
+# A broadcast side is shipped whole to every executor. These bounds keep it
+# well inside executor memory; beyond them the join stays a shuffle join
+# (sort-merge, with AQE free to re-plan and to split skewed partitions).
+BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+_STRING_WIDTH = 64  # assumed bytes per string value for the byte bound
+
+
+def _value_width(t: DataType) -> int:
+    if isinstance(t, (BooleanType, ByteType)):
+        return 1
+    if isinstance(t, ShortType):
+        return 2
+    if isinstance(t, (IntegerType, FloatType, DateType)):
+        return 4
+    if isinstance(t, (LongType, DoubleType)):
+        return 8
+    if isinstance(t, (StringType, BinaryType)):
+        return _STRING_WIDTH
+    if isinstance(t, StructType):
+        return sum(_value_width(f.dataType) for f in t.fields)
+    return 16  # timestamps, decimals; nested collections are not broadcast candidates
+
+
+def _row_width(df: DataFrame) -> int:
+    return max(8 + sum(_value_width(f.dataType) for f in df.schema.fields), 16)
+
+
+def fits_broadcast(df: DataFrame, probe: DataFrame | None = None,
+                   max_rows: int = BROADCAST_MAX_ROWS,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` is proven small enough to broadcast.
+
+    ``probe`` is a frame whose row count bounds ``df``'s (for example the raw
+    table under a projection/distinct); it defaults to ``df``. The check reads
+    at most ``max_rows + 1`` rows of the probe, so its cost is bounded too.
+    """
+    probe = df if probe is None else probe
+    n = probe.limit(max_rows + 1).count()
+    return n <= max_rows and n * _row_width(df) <= max_bytes
+
+
+def bounded_broadcast(df: DataFrame, probe: DataFrame | None = None,
+                      max_rows: int = BROADCAST_MAX_ROWS,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when the size check passes, else ``df`` unchanged."""
+    if fits_broadcast(df, probe, max_rows, max_bytes):
+        return F.broadcast(df)
+    return df
