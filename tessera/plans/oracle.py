@@ -94,3 +94,287 @@ ORACLE: dict[str, str] = {
     "target_comparison": TARGET_COMPARISON_SQL,
     "state_evolution": STATE_EVOLUTION_SQL,
 }
+
+
+# --- shared CTE fragments ------------------------------------------------------------
+def _blank_null(c: str) -> str:
+    return f"CASE WHEN trim({c}, ' ') = '' THEN NULL ELSE {c} END"
+
+
+def _clean_text(c: str) -> str:
+    return f"coalesce({_blank_null(c)}, 'N/A')"
+
+
+CONFORMED_SQL = """
+conformed AS (
+  SELECT ano, id_uf, sigla_uf, id_aluno,
+         CAST(id_aluno % 1000 AS INTEGER) AS id_escola,
+         CAST(id_aluno % 3 + 1 AS INTEGER) AS tp_dependencia,
+         CAST(id_municipio AS INTEGER) AS id_municipio, nome_municipio,
+         in_presenca_lp, in_alfabetizado, vl_proficiencia_lp, vl_peso_aluno_lp,
+         _ingestion_timestamp
+  FROM students
+)"""
+
+_SILVER_REST = ("id_uf", "sigla_uf", "id_escola", "tp_dependencia", "id_municipio",
+                "nome_municipio", "in_presenca_lp", "in_alfabetizado", "vl_proficiencia_lp",
+                "vl_peso_aluno_lp")
+
+SILVER_SQL = f"""
+cleaned AS (
+  SELECT ano, id_uf, {_blank_null('sigla_uf')} AS sigla_uf, id_aluno, id_escola, tp_dependencia,
+         id_municipio, {_blank_null('nome_municipio')} AS nome_municipio,
+         in_presenca_lp, in_alfabetizado,
+         {r2('vl_proficiencia_lp')} AS vl_proficiencia_lp,
+         {r2('vl_peso_aluno_lp')} AS vl_peso_aluno_lp, _ingestion_timestamp
+  FROM conformed
+),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY ano, id_aluno
+    ORDER BY _ingestion_timestamp DESC NULLS LAST,
+             {', '.join(c + ' DESC NULLS LAST' for c in _SILVER_REST)}) AS rn
+  FROM cleaned WHERE ano IS NOT NULL AND id_aluno IS NOT NULL
+),
+silver AS (
+  SELECT ano, id_uf, coalesce(sigla_uf, 'N/A') AS sigla_uf, id_aluno, id_escola, tp_dependencia,
+         id_municipio, coalesce(nome_municipio, 'N/A') AS nome_municipio, in_presenca_lp,
+         in_alfabetizado, vl_proficiencia_lp, vl_peso_aluno_lp, _ingestion_timestamp,
+         'v1.8_partitioned_by_date' AS _PIPELINE_VERSION,
+         '2026' AS ano_ingestao, '06' AS mes_ingestao, '30' AS dia_ingestao
+  FROM ranked WHERE rn = 1
+)"""
+
+_LATEST_REST = ("id_uf", "sigla_uf", "id_municipio", "nome_municipio", "in_presenca_lp",
+                "in_alfabetizado", "vl_proficiencia_lp", "vl_peso_aluno_lp")
+
+STUDENTS_LATEST_SQL = f"""
+WITH {STUDENTS_SQL},
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY ano, id_aluno
+    ORDER BY _ingestion_timestamp DESC NULLS LAST,
+             {', '.join(c + ' DESC NULLS LAST' for c in _LATEST_REST)}) AS rn
+  FROM students WHERE ano IS NOT NULL AND id_aluno IS NOT NULL
+)
+SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1"""
+
+STUDENTS_UNION_YEARS_SQL = f"""
+WITH {STUDENTS_SQL}
+SELECT ano AS NU_ANO_AVALIACAO, id_uf AS CO_UF, sigla_uf AS SG_UF, id_aluno AS ID_ALUNO,
+       CAST(NULL AS INTEGER) AS TP_SERIE, CAST(id_aluno % 1000 AS INTEGER) AS ID_ESCOLA,
+       CAST(id_aluno % 3 + 1 AS INTEGER) AS TP_DEPENDENCIA,
+       CAST(id_municipio AS INTEGER) AS CO_MUNICIPIO, nome_municipio AS NO_MUNICIPIO,
+       in_presenca_lp AS IN_PRESENCA_LP, CAST(NULL AS INTEGER) AS IN_PREENCHIMENTO_LP,
+       CAST(NULL AS INTEGER) AS CO_CADERNO_LP, vl_peso_aluno_lp AS VL_PESO_ALUNO_LP,
+       vl_proficiencia_lp AS VL_PROFICIENCIA_LP, in_alfabetizado AS IN_ALFABETIZADO,
+       id_aluno % 7 AS CO_BLOCO_1, 'ABCD' AS TX_RESPOSTA_BLOCO_1, 'ABCE' AS TX_GABARITO_BLOCO_1,
+       _ingestion_timestamp, strftime(_ingestion_timestamp, '%Y%m%d') AS anomesdia
+FROM students"""
+
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+
+CLEAN_TEXT_SQL = f"""
+SELECT doc_id, {_clean_text('text')} AS text, {_clean_text('lang')} AS lang,
+       {_clean_text('source')} AS source, n_chars,
+       {_clean_text(f"regexp_extract(text, '{EMAIL}', 0)")} AS contact
+FROM documents"""
+
+_NET = "l_extendedprice * (1.0 - l_discount)"
+CLEAN_NUMERIC_SQL = f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
+       {r2('l_quantity')} AS l_quantity, {r2('l_extendedprice')} AS l_extendedprice,
+       {r2('l_discount')} AS l_discount, {r2('l_tax')} AS l_tax,
+       {_clean_text('l_returnflag')} AS l_returnflag, {_clean_text('l_linestatus')} AS l_linestatus,
+       l_shipdate, {r2(_NET)} AS net_price, {r2(f'({_NET}) * (1.0 + l_tax)')} AS gross_price
+FROM lineitem"""
+
+TYPED_PROJECTION_SQL = """
+SELECT o_orderkey,
+       CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+       CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate,
+       o_orderpriority, CAST(NULL AS VARCHAR) AS o_comment
+FROM orders"""
+
+RENAME_CAST_DROP_SQL = f"""
+WITH {STUDENTS_SQL}, {CONFORMED_SQL}
+SELECT * FROM conformed"""
+
+BRONZE_AUDIT_SQL = """
+SELECT *, TIMESTAMP '2026-06-30 12:00:00' AS _ingestion_timestamp,
+       '2026-06-30' AS _ingestion_date, 'warehouse://orders' AS _source_path,
+       'orders' AS _source_entity, 'dev' AS _environment
+FROM orders"""
+
+SILVER_STUDENTS_SQL = f"""
+WITH {STUDENTS_SQL}, {CONFORMED_SQL}, {SILVER_SQL}
+SELECT * FROM silver"""
+
+GOLD_PUBLISHED_SQL = f"""
+WITH {STUDENTS_SQL}, {CONFORMED_SQL}, {SILVER_SQL},
+base AS (
+  SELECT * FROM silver
+  WHERE in_presenca_lp = 1 AND id_municipio IS NOT NULL
+    AND CAST(id_municipio AS VARCHAR) NOT IN ('N/A', '', 'NaN')
+),
+agg AS (
+  SELECT ano, sigla_uf, id_municipio, nome_municipio, count(id_aluno) AS total_avaliados,
+         CAST(sum(CASE WHEN in_alfabetizado = 1 THEN 1 ELSE 0 END) AS BIGINT) AS total_alfabetizados
+  FROM base GROUP BY ano, sigla_uf, id_municipio, nome_municipio
+)
+SELECT *, {rate_sql('total_alfabetizados', 'total_avaliados')} AS taxa_alfabetizacao_real,
+       'v1.0_gold' AS _analytics_version
+FROM agg"""
+
+CSV_ROUNDTRIP_SQL = "SELECT * FROM orders"
+
+CATALOG_SQL_SQL = f"""
+WITH ind AS ({CITY_INDICATOR_SQL})
+SELECT sigla_uf, CAST(ano AS INTEGER) AS ano, count(*) AS n_cities,
+       CAST(sum(total_avaliados) AS BIGINT) AS total_avaliados,
+       CAST(sum(total_alfabetizados) AS BIGINT) AS total_alfabetizados,
+       max(taxa_alfabetizacao_real) AS best_rate
+FROM ind GROUP BY sigla_uf, ano"""
+
+
+# --- data-quality reports ----------------------------------------------------------------
+def _check_sql(source: str, checks: list[tuple], text_cols: set[str]) -> str:
+    """One row per check, stated in SQL: (kind, column, value, critical, sentinel_flag).
+
+    ``checks`` entries: (kind, column, value, critical, sentinel) where sentinel is
+    the not_null 'N/A' flag or the regex 'N/A' exemption flag.
+    """
+    measures, rows = ["count(*) AS n"], []
+    for i, (kind, col, value, critical, sentinel) in enumerate(checks):
+        name = f"{kind}:{col}" if col else kind
+        crit = "TRUE" if critical else "FALSE"
+        fail = "'FAIL'" if critical else "'WARN'"
+        colsql = f"'{col}'" if col else "CAST(NULL AS VARCHAR)"
+        if kind == "skip":
+            rows.append(f"SELECT '{value}:{col}', '{value}', {colsql}, {crit}, CAST(NULL AS BIGINT), "
+                        f"FALSE, 'SKIP' FROM m")
+            continue
+        if kind == "min_count":
+            obs = "n"
+            ok = f"n >= {value}"
+        elif kind == "not_null":
+            cond = f"{col} IS NULL" + (f" OR {col} = 'N/A'" if sentinel and col in text_cols else "")
+            measures.append(f"count(*) FILTER (WHERE {cond}) AS m{i}")
+            obs, ok = f"m{i}", f"m{i} = 0"
+        elif kind == "unique":
+            measures.append(f"count(DISTINCT {col}) + max(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END)"
+                            f" AS m{i}")
+            obs, ok = f"n - m{i}", f"n - m{i} = 0"
+        elif kind == "regex":
+            t = f"CAST({col} AS VARCHAR)"
+            cond = f"{t} IS NOT NULL AND NOT regexp_matches({t}, '{value}')"
+            if sentinel:
+                cond += f" AND {t} <> 'N/A'"
+            measures.append(f"count(*) FILTER (WHERE {cond}) AS m{i}")
+            obs, ok = f"m{i}", f"m{i} = 0"
+        elif kind == "range":
+            lo, hi = value
+            x = f"TRY_CAST({col} AS DOUBLE)"
+            measures.append(f"count(*) FILTER (WHERE {x} < {lo} OR {x} > {hi}) AS m{i}")
+            obs, ok = f"m{i}", f"m{i} = 0"
+        else:
+            raise ValueError(kind)
+        rows.append(f"SELECT '{name}' AS check_name, '{kind}' AS kind, {colsql} AS column_name, "
+                    f"{crit} AS critical, CAST({obs} AS BIGINT) AS observed, ({ok}) AS passed, "
+                    f"CASE WHEN {ok} THEN 'PASS' ELSE {fail} END AS status FROM m")
+    return f"WITH src AS ({source}), m AS (SELECT {', '.join(measures)} FROM src)\n" + \
+        "\nUNION ALL\n".join(rows)
+
+
+_STUDENTS_SRC = f"WITH {STUDENTS_SQL} SELECT * FROM students"
+
+DQ_STUDENTS_SQL = _check_sql(_STUDENTS_SRC, [
+    ("min_count", None, 1, True, True),
+    ("not_null", "id_aluno", None, True, False),
+    ("not_null", "ano", None, True, False),
+    ("unique", "id_aluno", None, True, True),
+    ("regex", "sigla_uf", "^[A-Z]{2}$", False, True),
+    ("range", "vl_peso_aluno_lp", (1.0, 40.0), False, True),
+    ("skip", "tp_serie", "not_null", True, True),
+], {"sigla_uf", "nome_municipio"})
+
+DQ_CITY_INDICATOR_SQL = _check_sql(CITY_INDICATOR_SQL, [
+    ("min_count", None, 1, True, True),
+    ("range", "taxa_alfabetizacao_real", (0.0, 100.0), True, True),
+    ("regex", "sigla_uf", "^[A-Z]{2}$", False, True),
+    ("not_null", "nome_municipio", None, True, True),
+    ("unique", "id_municipio", None, False, True),
+], {"sigla_uf", "nome_municipio"})
+
+DQ_DOCUMENTS_SQL = _check_sql("SELECT * FROM documents", [
+    ("min_count", None, 1, True, True),
+    ("not_null", "text", None, True, True),
+    ("unique", "text", None, False, True),
+    ("regex", "lang", "^[a-z]{2}$", True, True),
+    ("range", "n_chars", (1.0, 20000.0), False, True),
+    ("not_null", "source", None, True, True),
+], {"text", "lang", "source"})
+
+DQ_DUPLICATES_SQL = f"""
+WITH {STUDENTS_SQL}
+SELECT ano, id_aluno, count(*) AS n_rows FROM students
+GROUP BY ano, id_aluno HAVING count(*) > 1"""
+
+DQ_SCORE_SQL = f"""
+WITH {STUDENTS_SQL},
+m AS (
+  SELECT count(*) AS n,
+         count(*) FILTER (WHERE id_aluno IS NULL) AS nn_id,
+         count(*) FILTER (WHERE ano IS NULL) AS nn_ano,
+         count(DISTINCT id_aluno) + max(CASE WHEN id_aluno IS NULL THEN 1 ELSE 0 END) AS d_id
+  FROM students
+),
+checks AS (
+  SELECT 'common' AS rule_set, n >= 1 AS passed, TRUE AS critical FROM m
+  UNION ALL SELECT 'common', nn_id = 0, TRUE FROM m
+  UNION ALL SELECT 'common', nn_ano = 0, TRUE FROM m
+  UNION ALL SELECT 'students_job', n >= 1, TRUE FROM m
+  UNION ALL SELECT 'students_job', nn_id = 0, TRUE FROM m
+  UNION ALL SELECT 'students_job', nn_ano = 0, TRUE FROM m
+  UNION ALL SELECT 'city_job', n >= 1, TRUE FROM m
+  UNION ALL SELECT 'city_job', nn_id = 0, TRUE FROM m
+  UNION ALL SELECT 'city_job', nn_ano = 0, TRUE FROM m
+  UNION ALL SELECT 'city_job', n - d_id = 0, TRUE FROM m
+)
+SELECT rule_set, count(*) AS n_checks, count(*) FILTER (WHERE passed) AS n_passed,
+       count(*) FILTER (WHERE NOT passed) AS n_failed, CAST(0 AS BIGINT) AS n_skipped,
+       count(*) FILTER (WHERE NOT passed AND critical) AS n_critical_failed,
+       round(count(*) FILTER (WHERE passed) * 100.0 / count(*), 1)::DOUBLE AS score,
+       count(*) FILTER (WHERE NOT passed AND critical) > 0 AS blocked
+FROM checks GROUP BY rule_set"""
+
+INVALID_PATTERNS_SQL = """
+SELECT doc_id, 'regex:lang' AS rule FROM documents
+WHERE lang IS NOT NULL AND lang <> 'N/A' AND NOT regexp_matches(lang, '^[a-z]{2}$')
+UNION ALL
+SELECT doc_id, 'range:n_chars' FROM documents WHERE n_chars < 1 OR n_chars > 20000
+UNION ALL
+SELECT doc_id, 'regex:source' FROM documents
+WHERE source IS NOT NULL AND source <> 'N/A' AND NOT regexp_matches(source, '^src[0-9]$')"""
+
+ORACLE.update({
+    "students_latest": STUDENTS_LATEST_SQL,
+    "students_union_years": STUDENTS_UNION_YEARS_SQL,
+    "clean_text": CLEAN_TEXT_SQL,
+    "clean_numeric": CLEAN_NUMERIC_SQL,
+    "typed_projection": TYPED_PROJECTION_SQL,
+    "rename_cast_drop": RENAME_CAST_DROP_SQL,
+    "bronze_audit": BRONZE_AUDIT_SQL,
+    "silver_students": SILVER_STUDENTS_SQL,
+    "gold_published": GOLD_PUBLISHED_SQL,
+    "csv_roundtrip": CSV_ROUNDTRIP_SQL,
+    "catalog_sql": CATALOG_SQL_SQL,
+    "dq_students": DQ_STUDENTS_SQL,
+    "dq_city_indicator": DQ_CITY_INDICATOR_SQL,
+    "dq_documents": DQ_DOCUMENTS_SQL,
+    "dq_duplicates": DQ_DUPLICATES_SQL,
+    "dq_score": DQ_SCORE_SQL,
+    "invalid_patterns": INVALID_PATTERNS_SQL,
+})

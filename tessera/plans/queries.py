@@ -2,7 +2,8 @@
 
 Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose work
 grows with the input tables. The matching DuckDB text lives in
-:mod:`tessera.plans.oracle`.
+:mod:`tessera.plans.oracle`. Queries that write (gold publication, CSV
+round trip, catalog, streams) write under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -10,18 +11,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
+from tessera.constants import STATE_CODE_PATTERN, VIEW_CITY_INDICATOR
+from tessera.contracts import CITY_JOB_CHECKS, CONTRACTS, GOLD_CHECKS, RULE_SETS, Check
 from tessera.operators import indicators as ind
+from tessera.operators import quality as dq
+from tessera.operators.audit import RunClock, bronze_audit
+from tessera.operators.clean import clean_values, typed_projection
+from tessera.operators.dedup import dedup_by_contract
 from tessera.plans import adapters
-from tessera.session import configure
+from tessera.plans.gold import build_gold, publish_gold
+from tessera.plans.silver import build_silver, conform
+from tessera.session import configure, scratch_path
+from tessera.sources import catalog
+from tessera.sources.csv import read_csv_sniffed, write_csv
+from tessera.sources.parquet import read_latest, read_years
+from tessera.sources.sinks import read_back, write_partitioned
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+RUN_CLOCK = RunClock.fixed("2026-06-30 12:00:00")
+NEXT_RUN_CLOCK = RunClock.fixed("2026-07-01 08:30:00")
+STUDENT_KEYS = ("ano", "id_aluno")
+EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 
+
+# --- gold views ------------------------------------------------------------------
 def city_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    base = ind.indicator_base(adapters.students(spark, sf_dir))
-    return ind.city_indicator(base)
+    return ind.city_indicator(ind.indicator_base(adapters.students(spark, sf_dir)))
 
 
 def target_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,12 +53,215 @@ def target_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def state_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    base = ind.indicator_base(adapters.students(spark, sf_dir))
-    return ind.state_evolution(base)
+    return ind.state_evolution(ind.indicator_base(adapters.students(spark, sf_dir)))
+
+
+# --- dedup / union ---------------------------------------------------------------
+def students_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-1 / SET-2 / SET-3 / FLT-3: newest row per (ano, id_aluno)."""
+    configure(spark)
+    return dedup_by_contract(adapters.students(spark, sf_dir), STUDENT_KEYS,
+                             ("_ingestion_timestamp",))
+
+
+def students_union_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-7 / SET-1: yearly raw inputs read one by one, cast to the contract, unioned."""
+    configure(spark)
+    root = scratch_path(spark, "raw_students")
+    raw = adapters.raw_students(spark, sf_dir).withColumn("_year", F.col("NU_ANO_AVALIACAO"))
+    raw.write.mode("overwrite").partitionBy("_year").parquet(root)
+    years = sorted(r["_year"] for r in spark.read.parquet(root).select("_year").distinct()
+                   .collect())
+    paths = [f"{root}/_year={y}" for y in years]
+    return read_years(spark, paths, CONTRACTS["alunos"].schema)
+
+
+# --- cleaning ----------------------------------------------------------------------
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-12 / PRJ-13 on whole documents plus a derived contact field (blank when absent)."""
+    configure(spark)
+    docs = adapters.table(spark, sf_dir, "documents").withColumn(
+        "contact", F.regexp_extract("text", EMAIL_PATTERN, 0))
+    return clean_values(docs, fill=True)
+
+
+def clean_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-14: every fractional measure rounded to 2 places, integers untouched."""
+    configure(spark)
+    li = adapters.table(spark, sf_dir, "lineitem")
+    net = F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))
+    li = li.withColumns({"net_price": net, "gross_price": net * (F.lit(1.0) + F.col("l_tax"))})
+    return clean_values(li, fill=True)
+
+
+def typed_projection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-4 / SRC-5: text-rendered orders with null tokens, cast to a declared schema."""
+    configure(spark)
+    o = adapters.table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    text = o.select(
+        k.cast("string").alias("o_orderkey"),
+        F.when(k % 13 == 0, F.lit("NULL")).otherwise(F.col("o_custkey").cast("string"))
+         .alias("o_custkey"),
+        F.when(k % 17 == 0, F.lit("None")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(k % 11 == 0, F.lit("NaN")).otherwise(F.col("o_totalprice").cast("string"))
+         .alias("o_totalprice"),
+        F.when(k % 19 == 0, F.lit("nan")).otherwise(F.col("o_orderdate").cast("string"))
+         .alias("o_orderdate"),
+        F.col("o_orderpriority"))
+    schema = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING, o_comment STRING")
+    return typed_projection(text, DataType.fromDDL(schema))
+
+
+def rename_cast_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-4 .. PRJ-10: raw student names and types conformed to the silver contract."""
+    configure(spark)
+    return conform(adapters.raw_students(spark, sf_dir), CONTRACTS["alunos"])
+
+
+def bronze_audit_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-1: bronze audit columns from a fixed run clock."""
+    configure(spark)
+    return bronze_audit(adapters.table(spark, sf_dir, "orders"), RUN_CLOCK,
+                        "warehouse://orders", "orders")
+
+
+def silver_students(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE-2 / PIPE-3 / PRJ-2: full silver build of the students (processed-at left out)."""
+    configure(spark)
+    return build_silver(adapters.raw_students(spark, sf_dir), CONTRACTS["alunos"], RUN_CLOCK,
+                        processed_at=False)
+
+
+# --- write / read paths --------------------------------------------------------------
+def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-2/4, SRC-8, VAL-1, D4: silver written on two days, gold from the latest only."""
+    configure(spark)
+    lake = scratch_path(spark, "lake")
+    raw = adapters.raw_students(spark, sf_dir)
+    targets = adapters.city_targets(spark, sf_dir)
+    for clock in (RUN_CLOCK, NEXT_RUN_CLOCK):
+        write_partitioned(build_silver(raw, CONTRACTS["alunos"], clock), f"{lake}/silver/alunos",
+                          cluster_by=STUDENT_KEYS)
+        write_partitioned(build_silver(targets, CONTRACTS["meta_alfabetizacao_municipio"], clock),
+                          f"{lake}/silver/meta_alfabetizacao_municipio")
+    students = read_latest(spark, f"{lake}/silver/alunos")
+    tgt = read_latest(spark, f"{lake}/silver/meta_alfabetizacao_municipio")
+    views = build_gold(students, tgt, adapters.TARGET_YEARS)
+    out = publish_gold(spark, views, f"{lake}/gold")
+    back = read_back(spark, out.written[VIEW_CITY_INDICATOR])
+    if back.error:
+        raise RuntimeError(back.error)
+    return spark.read.parquet(out.written[VIEW_CITY_INDICATOR]).drop("_gold_processed_at")
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2 / SRC-3: orders staged as ';' Latin-1 CSV, read back with detection + schema."""
+    configure(spark)
+    path = scratch_path(spark, "orders_csv")
+    write_csv(adapters.table(spark, sf_dir, "orders"), path, sep=";", encoding="ISO-8859-1")
+    schema = DataType.fromDDL(
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
+    return read_csv_sniffed(spark, path, schema)
+
+
+def catalog_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CAT-1 / CAT-2: gold city view written by year, registered, queried with SQL."""
+    configure(spark)
+    path = scratch_path(spark, "gold_city")
+    write_partitioned(city_indicator(spark, sf_dir), path, partitions=("ano",))
+    catalog.register_table(spark, "gold_city_indicator", path, partitioned=True)
+    return catalog.sql(spark, """
+        SELECT sigla_uf, CAST(ano AS INT) AS ano, count(*) AS n_cities,
+               sum(total_avaliados) AS total_avaliados,
+               sum(total_alfabetizados) AS total_alfabetizados,
+               max(taxa_alfabetizacao_real) AS best_rate
+        FROM gold_city_indicator GROUP BY sigla_uf, ano""")
+
+
+# --- data quality -----------------------------------------------------------------------
+STUDENT_CHECKS = (*CITY_JOB_CHECKS["alunos"],
+                  Check("regex", "sigla_uf", STATE_CODE_PATTERN, critical=False),
+                  Check("range", "vl_peso_aluno_lp", (1.0, 40.0), critical=False),
+                  Check("not_null", "tp_serie"))
+
+DOCUMENT_CHECKS = (Check("min_count", value=1), Check("not_null", "text"),
+                   Check("unique", "text", critical=False),
+                   Check("regex", "lang", r"^[a-z]{2}$"),
+                   Check("range", "n_chars", (1.0, 20000.0), critical=False),
+                   Check("not_null", "source"))
+
+
+def dq_students(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return dq.check_report(adapters.students(spark, sf_dir), STUDENT_CHECKS)
+
+
+def dq_city_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    checks = (*GOLD_CHECKS[VIEW_CITY_INDICATOR],
+              Check("regex", "sigla_uf", STATE_CODE_PATTERN, critical=False),
+              Check("not_null", "nome_municipio"), Check("unique", "id_municipio", critical=False))
+    return dq.check_report(city_indicator(spark, sf_dir), checks)
+
+
+def dq_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return dq.check_report(adapters.table(spark, sf_dir, "documents"), DOCUMENT_CHECKS)
+
+
+def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-6 / AGG-7: student key groups holding more than one row."""
+    configure(spark)
+    return dq.duplicate_groups(adapters.students(spark, sf_dir), STUDENT_KEYS)
+
+
+def dq_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-6 / DQ-7: score of the student table under each silver rule set."""
+    configure(spark)
+    students = adapters.students(spark, sf_dir)
+    out = None
+    for rule_set in ("common", "students_job", "city_job"):
+        rep = dq.check_report(students, RULE_SETS[rule_set]["alunos"])
+        s = dq.score_report(rep).select(F.lit(rule_set).alias("rule_set"), "*")
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+def invalid_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-5 / FLT-6: offending document rows per rule."""
+    configure(spark)
+    docs = adapters.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "source")
+    bad_lang = dq.regex_violations(docs, "lang", r"^[a-z]{2}$").select(
+        "doc_id", F.lit("regex:lang").alias("rule"))
+    bad_size = dq.range_violations(docs, "n_chars", 1, 20000).select(
+        "doc_id", F.lit("range:n_chars").alias("rule"))
+    bad_source = dq.regex_violations(docs, "source", r"^src[0-9]$").select(
+        "doc_id", F.lit("regex:source").alias("rule"))
+    return bad_lang.unionByName(bad_size).unionByName(bad_source)
 
 
 QUERIES: dict[str, QueryFn] = {
     "city_indicator": city_indicator,
     "target_comparison": target_comparison,
     "state_evolution": state_evolution,
+    "students_latest": students_latest,
+    "students_union_years": students_union_years,
+    "clean_text": clean_text,
+    "clean_numeric": clean_numeric,
+    "typed_projection": typed_projection_q,
+    "rename_cast_drop": rename_cast_drop,
+    "bronze_audit": bronze_audit_q,
+    "silver_students": silver_students,
+    "gold_published": gold_published,
+    "csv_roundtrip": csv_roundtrip,
+    "catalog_sql": catalog_sql,
+    "dq_students": dq_students,
+    "dq_city_indicator": dq_city_indicator,
+    "dq_documents": dq_documents,
+    "dq_duplicates": dq_duplicates,
+    "dq_score": dq_score,
+    "invalid_patterns": invalid_patterns,
 }
