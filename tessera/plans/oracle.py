@@ -359,7 +359,23 @@ UNION ALL
 SELECT doc_id, 'regex:source' FROM documents
 WHERE source IS NOT NULL AND source <> 'N/A' AND NOT regexp_matches(source, '^src[0-9]$')"""
 
+STREAM_DEDUP_EVENTS_SQL = """
+SELECT DISTINCT event_id, ts, user_id, event_type, value, props, 'events' AS _source_entity
+FROM events"""
+
+STREAM_DAILY_INDICATOR_SQL = f"""
+WITH d AS (
+  SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n_events,
+         CAST(sum(CASE WHEN value >= 50.0 THEN 1 ELSE 0 END) AS BIGINT) AS n_flagged
+  FROM events GROUP BY 1, 2
+)
+SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, n_events,
+       n_flagged, {rate_sql('n_flagged', 'n_events')} AS flag_rate
+FROM d"""
+
 ORACLE.update({
+    "stream_dedup_events": STREAM_DEDUP_EVENTS_SQL,
+    "stream_daily_indicator": STREAM_DAILY_INDICATOR_SQL,
     "students_latest": STUDENTS_LATEST_SQL,
     "students_union_years": STUDENTS_UNION_YEARS_SQL,
     "clean_text": CLEAN_TEXT_SQL,

@@ -29,6 +29,7 @@ from tessera.sources import catalog
 from tessera.sources.csv import read_csv_sniffed, write_csv
 from tessera.sources.parquet import read_latest, read_years
 from tessera.sources.sinks import read_back, write_partitioned
+from tessera.streaming.jobs import ingest_dedup_stream, live_indicator_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -243,6 +244,47 @@ def invalid_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad_lang.unionByName(bad_size).unionByName(bad_source)
 
 
+# --- streaming -------------------------------------------------------------------------
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+HIGH_VALUE = 50.0
+STREAM_CHECKS = (Check("min_count", value=1), Check("not_null", "event_type"),
+                 Check("range", "flag_rate", (0.0, 100.0)))
+
+
+def _stage_redelivered_events(spark: SparkSession, sf_dir: str) -> str:
+    """Event files as a source folder: every event delivered twice (at-least-once)."""
+    src = scratch_path(spark, "events_src")
+    events = adapters.table(spark, sf_dir, "events")
+    events.write.mode("overwrite").parquet(src)
+    events.write.mode("append").parquet(src)
+    return src
+
+
+def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-1 / STR-2: redelivered event files -> deduplicated, stamped bronze stream."""
+    configure(spark)
+    src = _stage_redelivered_events(spark, sf_dir)
+    schema = adapters.table(spark, sf_dir, "events").schema
+    sink, ckpt = scratch_path(spark, "events_bronze"), scratch_path(spark, "events_ckpt")
+    q = ingest_dedup_stream(spark, src, schema, "event_id", "ts", sink, ckpt, "events",
+                            max_files_per_trigger=1)
+    q.awaitTermination()
+    return spark.read.parquet(sink).select(*EVENT_COLUMNS, "_source_entity")
+
+
+def stream_daily_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR-3: daily window x event type -> events, high-value events, rate (complete mode)."""
+    configure(spark)
+    src = scratch_path(spark, "events_src")
+    adapters.table(spark, sf_dir, "events").write.mode("overwrite").parquet(src)
+    schema = adapters.table(spark, sf_dir, "events").schema
+    sink, ckpt = scratch_path(spark, "events_daily"), scratch_path(spark, "events_daily_ckpt")
+    q = live_indicator_stream(spark, src, schema, "ts", F.col("value") >= F.lit(HIGH_VALUE),
+                              sink, ckpt, STREAM_CHECKS, output_mode="complete")
+    q.awaitTermination()
+    return spark.read.parquet(sink)
+
+
 QUERIES: dict[str, QueryFn] = {
     "city_indicator": city_indicator,
     "target_comparison": target_comparison,
@@ -264,4 +306,6 @@ QUERIES: dict[str, QueryFn] = {
     "dq_duplicates": dq_duplicates,
     "dq_score": dq_score,
     "invalid_patterns": invalid_patterns,
+    "stream_dedup_events": stream_dedup_events,
+    "stream_daily_indicator": stream_daily_indicator,
 }
