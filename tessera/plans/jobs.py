@@ -61,8 +61,9 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
             try:
                 res = run_checks(silver, (checks or {}).get(entity, contract.checks))
                 gate(res, entity)
-                write_partitioned(silver, f"{lake_root}/silver/{entity}", SILVER_PARTITIONS,
-                                  cluster_by=contract.keys if entity == "alunos" else ())
+                # the dedup already hash-partitioned rows by the business key,
+                # so the write needs no extra shuffle (D12)
+                write_partitioned(silver, f"{lake_root}/silver/{entity}", SILVER_PARTITIONS)
             finally:
                 silver.unpersist()
             outcomes.append(Outcome(entity, "written"))

@@ -143,8 +143,7 @@ def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = adapters.raw_students(spark, sf_dir)
     targets = adapters.city_targets(spark, sf_dir)
     for clock in (RUN_CLOCK, NEXT_RUN_CLOCK):
-        write_partitioned(build_silver(raw, CONTRACTS["alunos"], clock), f"{lake}/silver/alunos",
-                          cluster_by=STUDENT_KEYS)
+        write_partitioned(build_silver(raw, CONTRACTS["alunos"], clock), f"{lake}/silver/alunos")
         write_partitioned(build_silver(targets, CONTRACTS["meta_alfabetizacao_municipio"], clock),
                           f"{lake}/silver/meta_alfabetizacao_municipio")
     students = read_latest(spark, f"{lake}/silver/alunos")

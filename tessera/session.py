@@ -25,6 +25,7 @@ def build_session(master: str = "local[*]", app: str = "tessera", shuffle_partit
     """Local session for tests and benchmarks (UI off, no servers)."""
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g"))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():

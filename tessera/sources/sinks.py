@@ -15,12 +15,18 @@ from tessera.constants import BATCH_PARTITION, SILVER_PARTITIONS
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+def _refresh(df: DataFrame, path: str) -> str:
+    """Drop the session's cached file listing for a path that was just rewritten."""
+    df.sparkSession.catalog.refreshByPath(path)
+    return path
+
+
 def write_batch(df: DataFrame, root: str, batch: str, partition: str = BATCH_PARTITION) -> str:
     """SNK-1 / SNK-5: overwrite one ``anomesdia=D`` directory (idempotent per day)."""
     path = f"{root.rstrip('/')}/{partition}={batch}"
     (df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .parquet(path))
-    return path
+    return _refresh(df, path)
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str] = SILVER_PARTITIONS,
@@ -37,19 +43,19 @@ def write_partitioned(df: DataFrame, path: str, partitions: Sequence[str] = SILV
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
      .partitionBy(*partitions).parquet(path))
-    return path
+    return _refresh(df, path)
 
 
 def write_table(df: DataFrame, path: str) -> str:
     """SNK-4: full overwrite of a gold table."""
     df.write.mode("overwrite").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
-    return path
+    return _refresh(df, path)
 
 
 def append_report(df: DataFrame, path: str) -> str:
     """SNK-6: append DQ results to the quality-report area."""
     df.write.mode("append").parquet(path)
-    return path
+    return _refresh(df, path)
 
 
 @dataclass
