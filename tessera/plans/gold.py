@@ -5,15 +5,15 @@ student base: the city indicator is aggregated once and both the goal
 comparison and the state evolution are derived from it (the state view
 re-sums city counts; no second pass over the students).
 
-``publish_gold`` validates every view first and writes only when all views
-pass: one critical failure leaves all previous gold output untouched.
+``publish_gold`` stages every view, checks the staged data and publishes
+only when all views pass: one critical failure leaves all previous gold
+output untouched (see :mod:`tessera.plans.publish`).
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +21,7 @@ from tessera.constants import VIEW_CITY_INDICATOR, VIEW_STATE_EVOLUTION, VIEW_TA
 from tessera.contracts import GOLD_CHECKS, Check
 from tessera.operators import indicators as ind
 from tessera.operators.audit import gold_audit
-from tessera.operators.quality import CheckResult, cached, gate, run_checks
-from tessera.sources.sinks import write_table
+from tessera.plans.publish import Published, Target, publish_checked
 
 log = logging.getLogger(__name__)
 
@@ -30,9 +29,14 @@ GOLD_VERSION = "v1.0_gold"
 
 
 def build_gold(students: DataFrame, targets: DataFrame, target_columns: Mapping[int, str],
-               policy: str = "distinct") -> dict[str, DataFrame]:
+               policy: str = "distinct", materialize: bool = False) -> dict[str, DataFrame]:
+    """The three gold views. ``materialize`` checkpoints the city aggregate into
+    the shared checkpoint folder so the student table is scanned and
+    aggregated once for all three views (and lineage is cut there)."""
     base = ind.indicator_base(students)
     cities = ind.city_indicator(base)
+    if materialize:
+        cities = cities.checkpoint(eager=True)
     return {
         VIEW_CITY_INDICATOR: cities,
         VIEW_TARGET_COMPARISON: ind.target_comparison(cities, targets, target_columns, policy),
@@ -40,37 +44,14 @@ def build_gold(students: DataFrame, targets: DataFrame, target_columns: Mapping[
     }
 
 
-@dataclass
-class GoldOutcome:
-    written: dict[str, str] = field(default_factory=dict)
-    results: dict[str, list[CheckResult]] = field(default_factory=dict)
-    scores: dict[str, dict] = field(default_factory=dict)
-
-
 def publish_gold(spark: SparkSession, views: Mapping[str, DataFrame], gold_root: str,
                  checks: Mapping[str, tuple[Check, ...]] = GOLD_CHECKS,
-                 version: str = GOLD_VERSION) -> GoldOutcome:
-    """Check all views (one aggregate pass each), then write them all.
-
-    Views are cached while checked and written so each is computed once;
-    a critical failure raises before anything is written.
-    """
-    out = GoldOutcome()
-    stamped = {name: gold_audit(df, version) for name, df in views.items()}
-    persisted = []
-    try:
-        for name, df in stamped.items():
-            df.persist()
-            persisted.append(df)
-            res = run_checks(df, checks.get(name, ()))
-            out.results[name] = res
-            out.scores[name] = gate(res, name)
-        for name, df in stamped.items():
-            out.written[name] = write_table(df, f"{gold_root.rstrip('/')}/{name}")
-    finally:
-        for df in persisted:
-            df.unpersist()
-    return out
+                 version: str = GOLD_VERSION) -> Published:
+    """Stage all views, check them, then publish all of them or none."""
+    targets = {name: Target(gold_audit(df, version), f"{gold_root.rstrip('/')}/{name}",
+                            (), tuple(checks.get(name, ())))
+               for name, df in views.items()}
+    return publish_checked(spark, targets)
 
 
-__all__ = ["build_gold", "publish_gold", "GoldOutcome", "GOLD_VERSION", "cached"]
+__all__ = ["build_gold", "publish_gold", "GOLD_VERSION"]

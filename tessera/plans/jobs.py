@@ -18,11 +18,11 @@ from pyspark.sql import SparkSession
 from tessera.constants import SILVER_PARTITIONS
 from tessera.contracts import CONTRACTS, SILVER_ENTITIES, Check
 from tessera.operators.audit import RunClock
-from tessera.operators.quality import DataQualityError, gate, run_checks
+from tessera.operators.quality import DataQualityError
 from tessera.plans.gold import build_gold, publish_gold
+from tessera.plans.publish import Target, publish_checked
 from tessera.plans.silver import build_silver
 from tessera.sources.parquet import read_batch, read_latest, read_years
-from tessera.sources.sinks import write_partitioned
 from tessera.session import configure
 
 log = logging.getLogger(__name__)
@@ -57,15 +57,11 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                 outcomes.append(Outcome(entity, "skipped", 0, "empty or missing batch"))
                 continue
             silver = build_silver(bronze, contract, clock)
-            silver.persist()
-            try:
-                res = run_checks(silver, (checks or {}).get(entity, contract.checks))
-                gate(res, entity)
-                # the dedup already hash-partitioned rows by the business key,
-                # so the write needs no extra shuffle (D12)
-                write_partitioned(silver, f"{lake_root}/silver/{entity}", SILVER_PARTITIONS)
-            finally:
-                silver.unpersist()
+            # stage -> check -> publish; the dedup already hash-partitioned rows
+            # by the business key, so no extra repartition before writing (D12)
+            target = Target(silver, f"{lake_root}/silver/{entity}", SILVER_PARTITIONS,
+                            tuple((checks or {}).get(entity, contract.checks)))
+            publish_checked(spark, {entity: target})
             outcomes.append(Outcome(entity, "written"))
         except DataQualityError as e:
             outcomes.append(Outcome(entity, "failed", detail=str(e)))
@@ -78,7 +74,7 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
 def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COLUMNS):
     students = read_latest(spark, f"{lake_root}/silver/alunos")
     targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")
-    views = build_gold(students, targets, target_columns)
+    views = build_gold(students, targets, target_columns, materialize=True)
     return publish_gold(spark, views, f"{lake_root}/gold")
 
 

@@ -148,7 +148,7 @@ def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
                           f"{lake}/silver/meta_alfabetizacao_municipio")
     students = read_latest(spark, f"{lake}/silver/alunos")
     tgt = read_latest(spark, f"{lake}/silver/meta_alfabetizacao_municipio")
-    views = build_gold(students, tgt, adapters.TARGET_YEARS)
+    views = build_gold(students, tgt, adapters.TARGET_YEARS, materialize=True)
     out = publish_gold(spark, views, f"{lake}/gold")
     back = read_back(spark, out.written[VIEW_CITY_INDICATOR])
     if back.error:

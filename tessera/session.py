@@ -55,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
+                               "(a machine-local folder is not valid on a cluster)")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if not sc.getCheckpointDir():
