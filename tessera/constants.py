@@ -44,6 +44,8 @@ SILVER_PROCESSED_AT = "_SILVER_PROCESSED_AT"
 SILVER_VERSION_COLUMN = "_PIPELINE_VERSION"
 SILVER_VERSION = "v1.8_partitioned_by_date"
 SILVER_PARTITIONS = ("ano_ingestao", "mes_ingestao", "dia_ingestao")
+NOTEBOOK_SILVER_VERSION = "v1.2_silver_uppercase"     # upper-case (notebook) variant
+NOTEBOOK_NAME_ALIASES = {"SIGLA_UF": "SG_UF"}
 GOLD_PROCESSED_AT = "_gold_processed_at"
 GOLD_VERSION_COLUMN = "_analytics_version"
 BATCH_PARTITION = "anomesdia"

@@ -14,6 +14,7 @@ from pyspark.sql.types import FractionalType, NumericType, StringType, StructTyp
 
 from tessera.constants import MISSING_TEXT, NULL_TOKENS
 from tessera.functions.text import blank_to_null, null_tokens_to_null
+from tessera.functions.typing import safe_cast
 
 
 def string_columns(df: DataFrame) -> list[str]:
@@ -71,9 +72,9 @@ def typed_projection(df: DataFrame, schema: StructType | None,
     out = []
     for f in schema.fields:
         if f.name in types and isinstance(types[f.name], StringType):
-            e = null_tokens_to_null(F.col(f.name), tokens).try_cast(f.dataType)
+            e = safe_cast(null_tokens_to_null(F.col(f.name), tokens), StringType(), f.dataType)
         elif f.name in types:
-            e = F.col(f.name).try_cast(f.dataType)
+            e = safe_cast(F.col(f.name), types[f.name], f.dataType)
         else:
             e = F.lit(None).cast(f.dataType)
         out.append(e.alias(f.name))

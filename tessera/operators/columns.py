@@ -11,6 +11,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.typing import safe_cast
+
 
 def _check_unique(names: list[str]) -> None:
     seen: set[str] = set()
@@ -50,10 +52,12 @@ def cast_present(df: DataFrame, columns: Iterable[str], to: str) -> DataFrame:
     """PRJ-9 / PRJ-10: cast listed columns when present.
 
     Casts use ``try_cast`` so a value that does not fit becomes NULL instead of
-    failing the job under ANSI mode.
+    failing the job under ANSI mode; decimal text such as '12.0' still reaches
+    an integer column (see ``functions.typing.safe_cast``).
     """
     wanted = set(columns)
     if not wanted & set(df.columns):
         return df
-    return df.select(*[F.col(c).try_cast(to).alias(c) if c in wanted else F.col(c)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[safe_cast(F.col(c), types[c], to).alias(c) if c in wanted else F.col(c)
                        for c in df.columns])

@@ -23,7 +23,7 @@ from tessera.plans.gold import build_gold, publish_gold
 from tessera.plans.publish import Target, publish_checked
 from tessera.plans.silver import build_silver
 from tessera.sources.parquet import read_batch, read_latest, read_years
-from tessera.session import configure
+from tessera.session import apply_partition_settings, configure
 
 log = logging.getLogger(__name__)
 
@@ -84,8 +84,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--lake-root", required=True)
     p.add_argument("--entity", default="", help="one entity; empty = all")
     p.add_argument("--batch-date", default=None, help="bronze batch YYYYMMDD (default: today)")
+    p.add_argument("--input-bytes", type=int, default=0,
+                   help="approximate input size; sizes shuffle partitions and scan splits")
     args = p.parse_args(argv)
     spark = configure(SparkSession.builder.getOrCreate())
+    if args.input_bytes:
+        apply_partition_settings(spark, args.input_bytes)
     clock = RunClock.now()
     if args.layer == "silver":
         outs = run_silver(spark, args.lake_root, args.batch_date or clock.batch, clock,

@@ -394,3 +394,112 @@ ORACLE.update({
     "dq_score": DQ_SCORE_SQL,
     "invalid_patterns": INVALID_PATTERNS_SQL,
 })
+
+
+# --- single-operator queries -------------------------------------------------------------
+TARGET_PROJECTION_SQL = f"""
+WITH {TARGETS_SQL}
+SELECT DISTINCT CAST(id_municipio AS VARCHAR) AS id_municipio,
+       CAST(meta_alfabetizacao_1996 AS DOUBLE) AS meta_1996,
+       CAST(meta_alfabetizacao_1997 AS DOUBLE) AS meta_1997
+FROM targets"""
+
+TARGET_COMPARISON_LATEST_SQL = TARGET_COMPARISON_SQL.replace(
+    """  SELECT DISTINCT CAST(id_municipio AS VARCHAR) AS id_municipio,
+         meta_alfabetizacao_1996 AS meta_1996, meta_alfabetizacao_1997 AS meta_1997
+  FROM targets""",
+    """  SELECT CAST(id_municipio AS VARCHAR) AS id_municipio,
+         meta_alfabetizacao_1996 + 1.5 AS meta_1996, meta_alfabetizacao_1997 + 1.5 AS meta_1997
+  FROM targets""")
+assert TARGET_COMPARISON_LATEST_SQL != TARGET_COMPARISON_SQL
+
+PRESENT_STUDENTS_SQL = f"""
+WITH {STUDENTS_SQL}
+SELECT ano, sigla_uf, id_municipio, nome_municipio, id_aluno, in_alfabetizado, in_presenca_lp
+FROM students
+WHERE in_presenca_lp = 1 AND id_municipio IS NOT NULL
+  AND CAST(id_municipio AS VARCHAR) NOT IN ('N/A', '', 'NaN')"""
+
+SILVER_TARGETS_SQL = f"""
+WITH {TARGETS_SQL},
+history AS (
+  SELECT * FROM targets
+  UNION ALL
+  SELECT 1996, id_municipio, rede, meta_alfabetizacao_1996 + 1.5, meta_alfabetizacao_1997 + 1.5
+  FROM targets
+),
+cleaned AS (
+  SELECT ano, {_blank_null('id_municipio')} AS id_municipio, {_blank_null('rede')} AS rede,
+         {r2('meta_alfabetizacao_1996')} AS meta_alfabetizacao_1996,
+         {r2('meta_alfabetizacao_1997')} AS meta_alfabetizacao_1997
+  FROM history
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY ano, id_municipio
+                               ORDER BY rede DESC NULLS LAST,
+                                        meta_alfabetizacao_1996 DESC NULLS LAST,
+                                        meta_alfabetizacao_1997 DESC NULLS LAST) AS rn
+  FROM cleaned
+  WHERE ano IS NOT NULL AND id_municipio IS NOT NULL AND id_municipio <> 'N/A'
+)
+SELECT ano, id_municipio, coalesce(rede, 'N/A') AS rede, meta_alfabetizacao_1996,
+       meta_alfabetizacao_1997, 'v1.8_partitioned_by_date' AS _PIPELINE_VERSION,
+       '2026' AS ano_ingestao, '06' AS mes_ingestao, '30' AS dia_ingestao
+FROM ranked WHERE rn = 1"""
+
+_UPPER_REST = ("CO_UF", "SG_UF", "ID_ESCOLA", "TP_DEPENDENCIA", "CO_MUNICIPIO", "NO_MUNICIPIO",
+               "IN_PRESENCA_LP", "IN_ALFABETIZADO", "VL_PROFICIENCIA_LP", "VL_PESO_ALUNO_LP",
+               "CO_BLOCO_1", "TX_RESPOSTA_BLOCO_1", "TX_GABARITO_BLOCO_1", "ANOMESDIA")
+
+SILVER_STUDENTS_UPPER_SQL = f"""
+WITH {STUDENTS_SQL},
+raw AS (
+  SELECT ano AS NU_ANO_AVALIACAO, id_uf AS CO_UF, sigla_uf AS SG_UF, id_aluno AS ID_ALUNO,
+         CAST(id_aluno % 1000 AS VARCHAR) AS ID_ESCOLA,
+         CAST(id_aluno % 3 + 1 AS DOUBLE) AS TP_DEPENDENCIA, id_municipio AS CO_MUNICIPIO,
+         nome_municipio AS NO_MUNICIPIO, in_presenca_lp AS IN_PRESENCA_LP,
+         in_alfabetizado AS IN_ALFABETIZADO, vl_proficiencia_lp AS VL_PROFICIENCIA_LP,
+         vl_peso_aluno_lp AS VL_PESO_ALUNO_LP, id_aluno % 7 AS CO_BLOCO_1,
+         'ABCD' AS TX_RESPOSTA_BLOCO_1, 'ABCE' AS TX_GABARITO_BLOCO_1,
+         _ingestion_timestamp AS _INGESTION_TIMESTAMP,
+         strftime(_ingestion_timestamp, '%Y%m%d') AS ANOMESDIA
+  FROM students
+),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY NU_ANO_AVALIACAO, ID_ALUNO
+    ORDER BY _INGESTION_TIMESTAMP DESC NULLS LAST,
+             {', '.join(c + ' DESC NULLS LAST' for c in _UPPER_REST)}) AS rn
+  FROM raw WHERE NU_ANO_AVALIACAO IS NOT NULL AND ID_ALUNO IS NOT NULL
+)
+SELECT NU_ANO_AVALIACAO, CO_UF, {_clean_text('SG_UF')} AS SG_UF, ID_ALUNO,
+       {_clean_text('ID_ESCOLA')} AS ID_ESCOLA, {r2('TP_DEPENDENCIA')} AS TP_DEPENDENCIA,
+       CO_MUNICIPIO, {_clean_text('NO_MUNICIPIO')} AS NO_MUNICIPIO, IN_PRESENCA_LP,
+       IN_ALFABETIZADO, {r2('VL_PROFICIENCIA_LP')} AS VL_PROFICIENCIA_LP,
+       {r2('VL_PESO_ALUNO_LP')} AS VL_PESO_ALUNO_LP, CO_BLOCO_1,
+       {_clean_text('TX_RESPOSTA_BLOCO_1')} AS TX_RESPOSTA_BLOCO_1,
+       {_clean_text('TX_GABARITO_BLOCO_1')} AS TX_GABARITO_BLOCO_1, _INGESTION_TIMESTAMP,
+       {_clean_text('ANOMESDIA')} AS ANOMESDIA, 'v1.2_silver_uppercase' AS _PIPELINE_VERSION
+FROM ranked WHERE rn = 1"""
+
+BRONZE_STUDENTS_CSV_SQL = f"""
+WITH {STUDENTS_SQL}
+SELECT ano AS NU_ANO_AVALIACAO, id_uf AS CO_UF, sigla_uf AS SG_UF, id_aluno AS ID_ALUNO,
+       CAST(NULL AS INTEGER) AS TP_SERIE, CAST(id_aluno % 1000 AS INTEGER) AS ID_ESCOLA,
+       CAST(id_aluno % 3 + 1 AS INTEGER) AS TP_DEPENDENCIA,
+       CAST(id_municipio AS INTEGER) AS CO_MUNICIPIO, nome_municipio AS NO_MUNICIPIO,
+       in_presenca_lp AS IN_PRESENCA_LP, CAST(NULL AS INTEGER) AS IN_PREENCHIMENTO_LP,
+       CAST(NULL AS INTEGER) AS CO_CADERNO_LP, vl_peso_aluno_lp AS VL_PESO_ALUNO_LP,
+       vl_proficiencia_lp AS VL_PROFICIENCIA_LP, in_alfabetizado AS IN_ALFABETIZADO,
+       TIMESTAMP '2026-06-30 12:00:00' AS _ingestion_timestamp, '2026-06-30' AS _ingestion_date,
+       'raw/alunos.csv' AS _source_path, 'alunos' AS _source_entity, 'dev' AS _environment
+FROM students"""
+
+ORACLE.update({
+    "target_projection": TARGET_PROJECTION_SQL,
+    "target_comparison_latest": TARGET_COMPARISON_LATEST_SQL,
+    "present_students": PRESENT_STUDENTS_SQL,
+    "silver_targets": SILVER_TARGETS_SQL,
+    "silver_students_upper": SILVER_STUDENTS_UPPER_SQL,
+    "bronze_students_csv": BRONZE_STUDENTS_CSV_SQL,
+})

@@ -23,10 +23,10 @@ from tessera.operators.clean import clean_values, typed_projection
 from tessera.operators.dedup import dedup_by_contract
 from tessera.plans import adapters
 from tessera.plans.gold import build_gold, publish_gold
-from tessera.plans.silver import build_silver, conform
+from tessera.plans.silver import build_silver, build_silver_upper, conform
 from tessera.session import configure, scratch_path
 from tessera.sources import catalog
-from tessera.sources.csv import read_csv_sniffed, write_csv
+from tessera.sources.csv import read_csv, read_csv_sniffed, write_csv
 from tessera.sources.parquet import read_latest, read_years
 from tessera.sources.sinks import read_back, write_partitioned
 from tessera.streaming.jobs import ingest_dedup_stream, live_indicator_stream
@@ -243,6 +243,57 @@ def invalid_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad_lang.unionByName(bad_size).unionByName(bad_source)
 
 
+# --- more single-operator queries ---------------------------------------------------------
+def target_projection_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-15 / AGG-4: city key as text and one meta column per target year, distinct."""
+    configure(spark)
+    return ind.target_projection(adapters.city_targets(spark, sf_dir), adapters.TARGET_YEARS)
+
+
+def _target_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two target versions per city (base year 1995 and a revision in 1996, +1.5 points)."""
+    t = adapters.city_targets(spark, sf_dir)
+    rev = t.select(F.lit(1996).alias("ano"), "id_municipio", "rede",
+                   *[(F.col(c) + F.lit(1.5)).alias(c) for c in adapters.TARGET_YEARS.values()])
+    return t.unionByName(rev)
+
+
+def target_comparison_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-1 with policy 'latest' (D5): newest target version per city, no fan-out."""
+    configure(spark)
+    return ind.target_comparison(city_indicator(spark, sf_dir), _target_history(spark, sf_dir),
+                                 adapters.TARGET_YEARS, policy="latest")
+
+
+def present_students(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-1 / FLT-2: present students with a valid city."""
+    configure(spark)
+    return ind.indicator_base(adapters.students(spark, sf_dir))
+
+
+def silver_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE-2 for a warehouse entity: city targets through the silver build."""
+    configure(spark)
+    return build_silver(_target_history(spark, sf_dir), CONTRACTS["meta_alfabetizacao_municipio"],
+                        RUN_CLOCK, processed_at=False)
+
+
+def silver_students_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-5 + WIN-1 (upper-case variant): dedup first, then cleaning, upper-case names."""
+    configure(spark)
+    return build_silver_upper(adapters.raw_students(spark, sf_dir),
+                              ("NU_ANO_AVALIACAO", "ID_ALUNO"), processed_at=False)
+
+
+def bronze_students_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2 + PIPE-1: students as ';' Latin-1 CSV, typed by the contract by name, stamped."""
+    configure(spark)
+    path = scratch_path(spark, "students_csv")
+    write_csv(adapters.raw_students(spark, sf_dir).drop("anomesdia", "_ingestion_timestamp"), path)
+    typed = read_csv(spark, path, CONTRACTS["alunos"].schema)
+    return bronze_audit(typed, RUN_CLOCK, "raw/alunos.csv", "alunos")
+
+
 # --- streaming -------------------------------------------------------------------------
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 HIGH_VALUE = 50.0
@@ -305,6 +356,12 @@ QUERIES: dict[str, QueryFn] = {
     "dq_duplicates": dq_duplicates,
     "dq_score": dq_score,
     "invalid_patterns": invalid_patterns,
+    "target_projection": target_projection_q,
+    "target_comparison_latest": target_comparison_latest,
+    "present_students": present_students,
+    "silver_targets": silver_targets,
+    "silver_students_upper": silver_students_upper,
+    "bronze_students_csv": bronze_students_csv,
     "stream_dedup_events": stream_dedup_events,
     "stream_daily_indicator": stream_daily_indicator,
 }

@@ -20,13 +20,14 @@ which shuffles once on the business key.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tessera.constants import BATCH_COLUMNS
+from tessera.constants import BATCH_COLUMNS, NOTEBOOK_NAME_ALIASES, NOTEBOOK_SILVER_VERSION
 from tessera.contracts import EntityContract
 from tessera.operators import columns as cols
 from tessera.operators.audit import RunClock, silver_audit
 from tessera.operators.clean import clean_values, fill_text, string_columns
-from tessera.operators.dedup import dedup_by_contract
+from tessera.operators.dedup import dedup_by_contract, drop_missing_keys, keep_latest
 
 
 def conform(df: DataFrame, contract: EntityContract) -> DataFrame:
@@ -53,3 +54,23 @@ def build_silver(df: DataFrame, contract: EntityContract, clock: RunClock,
     deduped = dedup_by_contract(cleaned, contract.keys, contract.order_by)
     filled = fill_text(deduped, string_columns(deduped))
     return silver_audit(filled, clock, processed_at=processed_at)
+
+
+def build_silver_upper(df: DataFrame, keys: tuple[str, ...],
+                       order_by: tuple[str, ...] = ("_INGESTION_TIMESTAMP",),
+                       string_columns_: tuple[str, ...] = ("SG_UF", "NO_MUNICIPIO", "REDE"),
+                       version: str = NOTEBOOK_SILVER_VERSION,
+                       processed_at: bool = True) -> DataFrame:
+    """Upper-case (notebook) variant: names upper-cased (SIGLA_UF -> SG_UF),
+    newest row per key FIRST, then string casts, blank/NULL text -> 'N/A',
+    numeric rounding, audit columns, names upper-cased again (PRJ-5, WIN-1).
+    """
+    df = cols.upper_case_names(df, NOTEBOOK_NAME_ALIASES)
+    keys = tuple(k.upper() for k in keys)
+    present = [c for c in order_by if c in df.columns]
+    df = keep_latest(drop_missing_keys(df, keys, sentinel=False), keys, present)
+    df = cols.cast_present(df, string_columns_, "string")
+    df = clean_values(df, fill=True)
+    audit = {"_silver_processed_at": F.current_timestamp()} if processed_at else {}
+    audit["_pipeline_version"] = F.lit(version)
+    return cols.upper_case_names(df.withColumns(audit))

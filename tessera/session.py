@@ -69,3 +69,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def partition_settings(input_bytes: int, bytes_per_partition: int = 512 * 1024 * 1024,
+                       max_partitions: int = 65536) -> dict[str, str]:
+    """Shuffle / scan sizing for an input of ``input_bytes``.
+
+    About one shuffle partition per 512 MiB of input (capped so the shuffle
+    block count stays manageable); AQE coalesces small ones and splits skewed
+    ones at runtime. Scan splits of 256 MiB keep a task's input well inside
+    executor memory.
+    """
+    n = max(8, min(max_partitions, -(-int(input_bytes) // bytes_per_partition)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    }
+
+
+def apply_partition_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
+    settings = partition_settings(input_bytes)
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    return settings

@@ -19,14 +19,34 @@ from tessera.operators.clean import typed_projection
 CANDIDATE_SEPARATORS = (";", ",", "\t", "|")
 
 
+def _reader(spark: SparkSession, sep: str, encoding: str, header: bool):
+    return (spark.read.option("header", str(header).lower()).option("sep", sep)
+            .option("encoding", encoding).option("mode", "PERMISSIVE"))
+
+
+def header_columns(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
+    """Column names from the header line (no schema inference pass)."""
+    return _reader(spark, sep, encoding, True).csv(path).columns
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = ";",
-             encoding: str = "ISO-8859-1", header: bool = True) -> DataFrame:
-    """SRC-2: header CSV with a declared schema (all text when no schema)."""
-    reader = (spark.read.option("header", str(header).lower()).option("sep", sep)
-              .option("encoding", encoding).option("mode", "PERMISSIVE"))
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+             encoding: str = "ISO-8859-1", header: bool = True,
+             keep_extra: bool = False) -> DataFrame:
+    """SRC-2: header CSV typed by a declared schema, matched BY NAME.
+
+    A schema handed to the CSV reader is applied by position and the header
+    is ignored, so a file whose column order differs from the contract would
+    be silently misread. Instead every column is read as text under its
+    header name and then cast by name (null tokens -> NULL, ``try_cast``).
+    Without a schema, or without a header, the file stays all text.
+    """
+    if not header:
+        raw = _reader(spark, sep, encoding, False).csv(path)
+        return raw if schema is None else typed_projection(raw, schema, keep_extra=keep_extra)
+    names = header_columns(spark, path, sep, encoding)
+    text_schema = StructType([StructField(n, StringType(), True) for n in names])
+    raw = _reader(spark, sep, encoding, True).schema(text_schema).csv(path)
+    return raw if schema is None else typed_projection(raw, schema, keep_extra=keep_extra)
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
@@ -46,19 +66,11 @@ def detect_separator(spark: SparkSession, path: str,
     return best if counts[best] > 0 else ","
 
 
-def header_columns(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
-    return spark.read.option("header", "true").option("sep", sep).option(
-        "encoding", encoding).csv(path).columns
-
-
-def read_csv_sniffed(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+def read_csv_sniffed(spark: SparkSession, path: str, schema: StructType | None = None,
+                     keep_extra: bool = False) -> DataFrame:
     """SRC-3 (+ SRC-4 / SRC-5): detect encoding and separator, read as text, then type."""
-    encoding = detect_encoding(spark, path)
-    sep = detect_separator(spark, path)
-    names = header_columns(spark, path, sep, encoding)
-    text_schema = StructType([StructField(n, StringType(), True) for n in names])
-    raw = read_csv(spark, path, text_schema, sep=sep, encoding=encoding)
-    return typed_projection(raw, schema) if schema is not None else raw
+    return read_csv(spark, path, schema, sep=detect_separator(spark, path),
+                    encoding=detect_encoding(spark, path), keep_extra=keep_extra)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> None:

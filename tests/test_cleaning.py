@@ -87,3 +87,23 @@ def test_bad_int_text_becomes_null_under_ansi(spark):  # D1
 def test_round_applies_to_decimals(spark):  # D8
     df = spark.createDataFrame([(1,)], "x int").select(F.lit(1.239).cast("decimal(10,3)").alias("d"))
     assert float(clean_values(df).first().d) == 1.24
+
+
+def test_decimal_text_reaches_int_column(spark):  # PRJ-9 with non-ANSI-compatible result
+    df = spark.createDataFrame([("2.0",), ("7",), ("2.9",), ("-1.5",), ("x",), (None,)], "t string")
+    out = [r.t for r in cols.cast_present(df, ["t"], "int").collect()]
+    assert out == [2, 7, 2, -1, None, None]
+
+
+def test_upper_case_variant_dedups_first(spark):  # PRJ-5, notebook order
+    import datetime as dt
+    from tessera.plans.silver import build_silver_upper
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    df = spark.createDataFrame([(2024, 1, "sp ", " ", t1), (2024, 1, "SP", "Sé", t2)],
+                               "nu_ano_avaliacao int, id_aluno long, sigla_uf string, "
+                               "no_municipio string, _ingestion_timestamp timestamp_ntz")
+    out = build_silver_upper(df, ("nu_ano_avaliacao", "id_aluno"), processed_at=False)
+    assert out.columns == ["NU_ANO_AVALIACAO", "ID_ALUNO", "SG_UF", "NO_MUNICIPIO",
+                           "_INGESTION_TIMESTAMP", "_PIPELINE_VERSION"]
+    r = out.collect()
+    assert len(r) == 1 and (r[0].SG_UF, r[0].NO_MUNICIPIO) == ("SP", "Sé")
