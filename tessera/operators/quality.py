@@ -21,7 +21,7 @@ raises under ANSI mode (D1).
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -88,11 +88,12 @@ def _lit_str(v) -> Column:
 
 
 def check_report(df: DataFrame, checks: Sequence[Check],
-                 missing_column: str = "skip") -> DataFrame:
+                 missing_column: str = "skip", with_position: bool = False) -> DataFrame:
     """Lazy DQ report: one row per check, all checks measured in ONE aggregate.
 
     Columns: check_name, kind, column_name, critical, observed, passed, status.
     ``missing_column``: 'skip' (SKIP row, observed NULL) or 'fail' (failed check).
+    ``with_position`` adds ``_pos``, the check's index in ``checks``.
     """
     metrics = [F.count(F.lit(1)).alias("_n")]
     for i, chk in enumerate(checks):
@@ -121,7 +122,8 @@ def check_report(df: DataFrame, checks: Sequence[Check],
                 passed = observed == 0
             status = F.when(passed, F.lit(PASS)).otherwise(
                 F.lit(FAIL if chk.critical else WARN))
-        rows.append(F.struct(_lit_str(chk.name).alias("check_name"),
+        pos = [F.lit(i).alias("_pos")] if with_position else []
+        rows.append(F.struct(*pos, _lit_str(chk.name).alias("check_name"),
                              _lit_str(chk.kind).alias("kind"),
                              _lit_str(chk.column).alias("column_name"),
                              F.lit(chk.critical).alias("critical"),
@@ -148,28 +150,46 @@ def _detail(chk: Check, observed: int | None, status: str) -> str:
     return f"{observed} values outside {list(chk.value)}"
 
 
+def _from_row(chk: Check, r) -> CheckResult:
+    obs = None if r["observed"] is None else int(r["observed"])
+    return CheckResult(chk, obs, bool(r["passed"]), r["status"], _detail(chk, obs, r["status"]))
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check],
                missing_column: str = "skip") -> list[CheckResult]:
-    """Evaluate all checks in one pass (one job); one small row per check returned."""
+    """Evaluate all checks in one pass (one job); one small row per check returned.
+
+    DQ-9: if the combined pass fails (for example a malformed pattern), each
+    check is evaluated on its own and the one that raises becomes a failed
+    check carrying the error message; the others keep their results.
+    """
     if not checks:
         return []
-    got = check_report(df, checks, missing_column).collect()
-    out = []
-    for chk, r in zip(checks, got):
-        obs = None if r["observed"] is None else int(r["observed"])
-        out.append(CheckResult(chk, obs, bool(r["passed"]), r["status"],
-                               _detail(chk, obs, r["status"])))
-        log.info("[DQ] %s | %s | %s", r["status"], chk.name, out[-1].detail)
+    try:
+        out = [_from_row(c, r) for c, r in zip(checks, check_report(df, checks, missing_column)
+                                                 .collect())]
+    except Exception:  # noqa: BLE001 - isolate the failing check below
+        out = []
+        for chk in checks:
+            try:
+                out.append(_from_row(chk, check_report(df, [chk], missing_column).first()))
+            except Exception as e:  # noqa: BLE001 - reported as a failed check
+                msg = str(e).strip().splitlines()[0][:300]
+                out.append(CheckResult(chk, None, False, _status(chk, False),
+                                       f"error while evaluating check: {msg}"))
+    for r in out:
+        log.info("[DQ] %s | %s | %s", r.status, r.check.name, r.detail)
     return out
 
 
-def score_report(report: DataFrame) -> DataFrame:
-    """Lazy score row over a check report (skipped checks stay in the denominator)."""
+def score_report(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Lazy score row (per ``by`` group) over a check report; skipped checks
+    stay in the denominator."""
     n = F.count(F.lit(1))
     passed = F.count_if(F.col("passed"))
     skipped = F.count_if(F.col("status") == SKIP)
     crit = F.count_if(F.col("status") == FAIL)
-    return report.agg(
+    return report.groupBy(*by).agg(
         n.cast("long").alias("n_checks"), passed.cast("long").alias("n_passed"),
         (n - passed - skipped).cast("long").alias("n_failed"),
         skipped.cast("long").alias("n_skipped"), crit.cast("long").alias("n_critical_failed"),
@@ -177,6 +197,28 @@ def score_report(report: DataFrame) -> DataFrame:
         (crit > 0).alias("blocked"))
 
 
+def rule_set_scores(df: DataFrame, rule_sets: Mapping[str, Sequence[Check]],
+                    missing_column: str = "skip") -> DataFrame:
+    """Score several rule sets over one table with ONE pass over the data.
+
+    The distinct checks of all rule sets are measured in a single aggregate
+    (one row per check, tagged with its position); a literal membership table
+    maps rule sets to positions and one group-by over that tiny report scores
+    every rule set. Rule sets without checks are left out.
+    """
+    unique: list[Check] = []
+    for checks in rule_sets.values():
+        for c in checks:
+            if c not in unique:
+                unique.append(c)
+    report = check_report(df, unique, missing_column, with_position=True)
+    pairs = [F.struct(F.lit(name).alias("rule_set"), F.lit(unique.index(c)).alias("_pos"))
+             for name, checks in rule_sets.items() for c in checks]
+    membership = report.sparkSession.range(1).select(F.inline(F.array(*pairs)))
+    # the report holds one row per distinct check: its size is fixed by the rule sets
+    return score_report(membership.join(F.broadcast(report), "_pos"), by=("rule_set",))
+
+
 def score(results: Sequence[CheckResult]) -> dict:
     """Counts and score; skipped checks stay in the denominator (D9)."""
     n = len(results)

@@ -221,13 +221,9 @@ def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-6 / DQ-7: score of the student table under each silver rule set."""
     configure(spark)
-    students = adapters.students(spark, sf_dir)
-    out = None
-    for rule_set in ("common", "students_job", "city_job"):
-        rep = dq.check_report(students, RULE_SETS[rule_set]["alunos"])
-        s = dq.score_report(rep).select(F.lit(rule_set).alias("rule_set"), "*")
-        out = s if out is None else out.unionByName(s)
-    return out
+    return dq.rule_set_scores(adapters.students(spark, sf_dir),
+                              {name: RULE_SETS[name]["alunos"]
+                               for name in ("common", "students_job", "city_job")})
 
 
 def invalid_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:

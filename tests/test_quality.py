@@ -106,3 +106,21 @@ def test_violation_filters(spark):  # FLT-5 / FLT-6
     df = spark.createDataFrame([("SP", 5.0), ("sp", 101.0), ("N/A", None)], "s string, x double")
     assert dq.regex_violations(df, "s", "^[A-Z]{2}$").count() == 1
     assert dq.range_violations(df, "x", 0, 100).count() == 1
+
+
+def test_check_error_becomes_failed_check(spark):  # DQ-9
+    df = spark.createDataFrame([("SP",)], "s string")
+    res = dq.run_checks(df, [Check("min_count", value=1), Check("regex", "s", "[unclosed"),
+                             Check("not_null", "s")])
+    assert [r.status for r in res] == ["PASS", "FAIL", "PASS"]
+    assert "error" in res[1].detail
+
+
+def test_rule_sets_scored_in_one_pass(spark, tmp_dir):  # DQ-7 / DQ-10
+    spark.range(10).selectExpr("id % 5 AS id_aluno", "2024 AS ano").write.parquet(f"{tmp_dir}/s")
+    df = spark.read.parquet(f"{tmp_dir}/s")
+    sets = {k: RULE_SETS[k]["alunos"] for k in ("common", "city_job")}
+    out = dq.rule_set_scores(df, sets)
+    assert plan_text(out, "simple").count("FileScan parquet") == 1
+    got = {r.rule_set: (r.n_checks, r.n_passed, r.score, r.blocked) for r in out.collect()}
+    assert got == {"common": (3, 3, 100.0, False), "city_job": (4, 3, 75.0, True)}
