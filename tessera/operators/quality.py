@@ -257,6 +257,34 @@ def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
     return not duplicate_groups(df, keys).isEmpty()
 
 
+def rule_violations(df: DataFrame, id_columns: Sequence[str],
+                    checks: Sequence[Check]) -> DataFrame:
+    """FLT-5 / FLT-6 for several rules in ONE pass: (ids..., rule) per violation.
+
+    Each row gets the array of rules it breaks (regex / range semantics as in
+    the checks: NULL passes, sentinel exempt when asked); rows breaking none
+    are dropped, the others exploded to one row per broken rule.
+    """
+    flags = []
+    for chk in checks:
+        c = F.col(chk.column)
+        if chk.kind == "regex":
+            t = c.cast("string")
+            bad = t.isNotNull() & ~t.rlike(str(chk.value))
+            if chk.regex_exempt_sentinel:
+                bad = bad & (t != F.lit(MISSING_TEXT))
+        elif chk.kind == "range":
+            lo, hi = chk.value
+            x = c.try_cast("double")
+            bad = (x < F.lit(float(lo))) | (x > F.lit(float(hi)))
+        else:
+            raise ValueError(f"row-level rule expected, got {chk.kind!r}")
+        flags.append(F.when(F.coalesce(bad, F.lit(False)), F.lit(chk.name)))
+    broken = F.filter(F.array(*flags), lambda x: x.isNotNull())
+    return (df.select(*id_columns, broken.alias("_rules")).where(F.size("_rules") > 0)
+            .select(*id_columns, F.explode("_rules").alias("rule")))
+
+
 def regex_violations(df: DataFrame, column: str, pattern: str,
                      exempt_sentinel: bool = True) -> DataFrame:
     """FLT-5: rows whose non-NULL (non-sentinel) value does not match ``pattern``."""

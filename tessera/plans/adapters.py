@@ -60,8 +60,9 @@ def students(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_aluno"),
         F.col("s_suppkey").alias("id_municipio"),
         F.col("s_name").alias("nome_municipio"),
-        F.when(F.col("l_linestatus") == "F", 1).otherwise(0).alias("in_presenca_lp"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("in_alfabetizado"),
+        # flag = (code = X) as int: a presence filter on it reaches the lineitem scan
+        (F.col("l_linestatus") == "F").cast("int").alias("in_presenca_lp"),
+        (F.col("l_returnflag") == "R").cast("int").alias("in_alfabetizado"),
         F.col("l_extendedprice").alias("vl_proficiencia_lp"),
         F.col("l_quantity").alias("vl_peso_aluno_lp"),
         F.col("l_shipdate").alias("_ingestion_timestamp"),
@@ -119,8 +120,8 @@ students AS (
          l.l_orderkey * 10 + l.l_linenumber AS id_aluno,
          s.s_suppkey AS id_municipio,
          s.s_name AS nome_municipio,
-         CASE WHEN l.l_linestatus = 'F' THEN 1 ELSE 0 END AS in_presenca_lp,
-         CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END AS in_alfabetizado,
+         CAST(l.l_linestatus = 'F' AS INTEGER) AS in_presenca_lp,
+         CAST(l.l_returnflag = 'R' AS INTEGER) AS in_alfabetizado,
          l.l_extendedprice AS vl_proficiencia_lp,
          l.l_quantity AS vl_peso_aluno_lp,
          l.l_shipdate AS _ingestion_timestamp

@@ -229,14 +229,11 @@ def dq_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def invalid_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-5 / FLT-6: offending document rows per rule."""
     configure(spark)
-    docs = adapters.table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars", "source")
-    bad_lang = dq.regex_violations(docs, "lang", r"^[a-z]{2}$").select(
-        "doc_id", F.lit("regex:lang").alias("rule"))
-    bad_size = dq.range_violations(docs, "n_chars", 1, 20000).select(
-        "doc_id", F.lit("range:n_chars").alias("rule"))
-    bad_source = dq.regex_violations(docs, "source", r"^src[0-9]$").select(
-        "doc_id", F.lit("regex:source").alias("rule"))
-    return bad_lang.unionByName(bad_size).unionByName(bad_source)
+    docs = adapters.table(spark, sf_dir, "documents")
+    return dq.rule_violations(docs, ["doc_id"], [
+        Check("regex", "lang", r"^[a-z]{2}$"),
+        Check("range", "n_chars", (1, 20000)),
+        Check("regex", "source", r"^src[0-9]$")])
 
 
 # --- more single-operator queries ---------------------------------------------------------

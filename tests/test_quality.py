@@ -124,3 +124,14 @@ def test_rule_sets_scored_in_one_pass(spark, tmp_dir):  # DQ-7 / DQ-10
     assert plan_text(out, "simple").count("FileScan parquet") == 1
     got = {r.rule_set: (r.n_checks, r.n_passed, r.score, r.blocked) for r in out.collect()}
     assert got == {"common": (3, 3, 100.0, False), "city_job": (4, 3, 75.0, True)}
+
+
+def test_rule_violations_one_pass(spark, tmp_dir):  # FLT-5 / FLT-6 together
+    spark.createDataFrame([(1, "SP", 5.0), (2, "sp", 101.0), (3, "N/A", None), (4, "xx", -1.0)],
+                          "id int, s string, x double").write.parquet(f"{tmp_dir}/v")
+    df = spark.read.parquet(f"{tmp_dir}/v")
+    out = dq.rule_violations(df, ["id"], [Check("regex", "s", "^[A-Z]{2}$"),
+                                          Check("range", "x", (0, 100))])
+    assert plan_text(out, "simple").count("FileScan parquet") == 1
+    assert sorted(map(tuple, out.collect())) == [(2, "range:x"), (2, "regex:s"), (4, "range:x"),
+                                                 (4, "regex:s")]
