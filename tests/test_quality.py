@@ -135,3 +135,18 @@ def test_rule_violations_one_pass(spark, tmp_dir):  # FLT-5 / FLT-6 together
     assert plan_text(out, "simple").count("FileScan parquet") == 1
     assert sorted(map(tuple, out.collect())) == [(2, "range:x"), (2, "regex:s"), (4, "range:x"),
                                                  (4, "regex:s")]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.sampled_from(["PASS", "FAIL", "WARN", "SKIP"]), max_size=12))
+def test_score_in_range_property(statuses):  # DQ-7 property
+    res = [dq.CheckResult(Check("min_count", value=1, critical=(s == "FAIL")), 0, s == "PASS", s, "")
+           for s in statuses]
+    s = dq.score(res)
+    assert 0.0 <= s["score"] <= 100.0
+    assert s["n_passed"] + s["n_failed"] + s["n_skipped"] == s["n_checks"]
+    assert s["blocked"] == ("FAIL" in statuses)

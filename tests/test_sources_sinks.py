@@ -143,3 +143,13 @@ def test_run_silver_loop_collects_outcomes(spark, tmp_dir):  # PIPE-5, E15, D6
     assert outs == {"alunos": "written", "meta_alfabetizacao_municipio": "written",
                     "uf": "skipped", "municipio": "skipped"}
     assert spark.read.parquet(f"{lake}/silver/alunos").count() > 0
+
+
+def test_gold_rerun_same_counts(spark, tmp_dir):  # re-run test (SURVEY §5)
+    views = build_gold(adapters.students(spark, SF), adapters.city_targets(spark, SF),
+                       adapters.TARGET_YEARS, materialize=True)
+    first = publish_gold(spark, views, f"{tmp_dir}/gold")
+    counts1 = {k: spark.read.parquet(p).count() for k, p in first.written.items()}
+    second = publish_gold(spark, views, f"{tmp_dir}/gold")
+    counts2 = {k: spark.read.parquet(p).count() for k, p in second.written.items()}
+    assert counts1 == counts2 and all(v > 0 for v in counts1.values())
