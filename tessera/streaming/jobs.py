@@ -98,12 +98,19 @@ def gated_writer(path: str, checks: Sequence[Check], mode: str = "overwrite"):
 
     A critical failure raises, the micro-batch is not committed and the
     previous output stays in place; the query resumes from its checkpoint.
+    ``mode="overwrite"`` replaces the table (complete mode). ``mode="append"``
+    writes each epoch to its own ``batch_id=N`` folder with overwrite, so a
+    micro-batch replayed after a failure rewrites its folder instead of
+    appending its rows twice (idempotent, exactly-once output).
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
             gate(run_checks(batch, list(checks)), f"micro-batch {epoch_id}")
-            batch.write.mode(mode).parquet(path)
+            if mode == "append":
+                batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={epoch_id}")
+            else:
+                batch.write.mode(mode).parquet(path)
         finally:
             batch.unpersist()
     return write

@@ -57,3 +57,11 @@ def test_live_indicator_stream_complete_mode(spark, tmp_dir):
            for r in spark.read.parquet(f"{tmp_dir}/sink").collect()}
     assert got == {("2024-01-01 00:00:00", "click"): (2, 1, 50.0),
                    ("2024-01-02 00:00:00", "view"): (1, 1, 100.0)}
+
+
+def test_append_batches_are_idempotent(spark, tmp_dir):
+    write = gated_writer(f"{tmp_dir}/out", [Check("min_count", value=1)], mode="append")
+    write(spark.range(3), 0)
+    write(spark.range(3), 0)          # replay of epoch 0
+    write(spark.range(2), 1)
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 5
