@@ -104,6 +104,8 @@ def gated_writer(path: str, checks: Sequence[Check], mode: str = "overwrite"):
     appending its rows twice (idempotent, exactly-once output).
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():          # nothing closed in this trigger: skipped (FLT-4)
+            return
         batch = batch.persist()
         try:
             gate(run_checks(batch, list(checks)), f"micro-batch {epoch_id}")

@@ -65,3 +65,10 @@ def test_append_batches_are_idempotent(spark, tmp_dir):
     write(spark.range(3), 0)          # replay of epoch 0
     write(spark.range(2), 1)
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 5
+
+
+def test_empty_micro_batch_skipped(spark, tmp_dir):
+    write = gated_writer(f"{tmp_dir}/out", [Check("min_count", value=1)], mode="append")
+    write(spark.range(0), 0)          # no closed window yet: no error, nothing written
+    write(spark.range(2), 1)
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 2
