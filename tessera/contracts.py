@@ -162,3 +162,8 @@ GOLD_CHECKS: dict[str, tuple[Check, ...]] = {
 RULE_SETS = {"common": {k: v.checks for k, v in CONTRACTS.items() if v.checks},
              "students_job": STUDENTS_JOB_CHECKS, "city_job": CITY_JOB_CHECKS,
              "gold": GOLD_CHECKS}
+
+# What a check on an absent column does under each rule set: the students job
+# has no guard, so the column lookup raises and the check fails; the others skip.
+MISSING_COLUMN_POLICY = {"common": "skip", "students_job": "fail", "city_job": "skip",
+                         "gold": "skip"}

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from tessera.constants import SILVER_PARTITIONS
-from tessera.contracts import CONTRACTS, SILVER_ENTITIES, Check
+from tessera.contracts import CONTRACTS, MISSING_COLUMN_POLICY, RULE_SETS, SILVER_ENTITIES, Check
 from tessera.operators.audit import RunClock
 from tessera.operators.quality import DataQualityError
 from tessera.plans.gold import build_gold, publish_gold
@@ -42,7 +42,7 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                entities: list[str] | None = None,
                checks: dict[str, tuple[Check, ...]] | None = None,
                student_years: tuple[str, ...] = ("alunos_2023", "alunos_2024", "alunos_2025"),
-               ) -> list[Outcome]:
+               missing_column: str = "skip") -> list[Outcome]:
     """PIPE-5: every entity (default all six); failures are collected, raised at the end (D6)."""
     outcomes: list[Outcome] = []
     for entity in entities or list(SILVER_ENTITIES):
@@ -61,7 +61,7 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
             # by the business key, so no extra repartition before writing (D12)
             target = Target(silver, f"{lake_root}/silver/{entity}", SILVER_PARTITIONS,
                             tuple((checks or {}).get(entity, contract.checks)))
-            publish_checked(spark, {entity: target})
+            publish_checked(spark, {entity: target}, missing_column)
             outcomes.append(Outcome(entity, "written"))
         except DataQualityError as e:
             outcomes.append(Outcome(entity, "failed", detail=str(e)))
@@ -84,6 +84,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--lake-root", required=True)
     p.add_argument("--entity", default="", help="one entity; empty = all")
     p.add_argument("--batch-date", default=None, help="bronze batch YYYYMMDD (default: today)")
+    p.add_argument("--rule-set", default="common", choices=sorted(RULE_SETS),
+                   help="silver check rule set")
     p.add_argument("--input-bytes", type=int, default=0,
                    help="approximate input size; sizes shuffle partitions and scan splits")
     args = p.parse_args(argv)
@@ -93,7 +95,9 @@ def main(argv: list[str] | None = None) -> int:
     clock = RunClock.now()
     if args.layer == "silver":
         outs = run_silver(spark, args.lake_root, args.batch_date or clock.batch, clock,
-                          [args.entity] if args.entity else None)
+                          [args.entity] if args.entity else None,
+                          checks=dict(RULE_SETS[args.rule_set]),
+                          missing_column=MISSING_COLUMN_POLICY[args.rule_set])
         for o in outs:
             log.info("%s: %s %s", o.entity, o.status, o.detail)
         failed = [o for o in outs if o.status == "failed"]
