@@ -47,10 +47,17 @@ def test_every_query_has_oracle_or_reason():
     assert set(entry.oracle_sql()) == set(entry.queries())
 
 
+DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(entry.oracle_sql()[name])
+    assert dict(df.dtypes) == {c: DUCK_TO_SPARK.get(str(t), str(t))
+                               for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
