@@ -24,11 +24,15 @@ def ingest_bronze(df: DataFrame, bronze_root: str, entity: str, clock: RunClock,
 
 
 def ingest_csv(spark: SparkSession, path: str, contract: EntityContract, bronze_root: str,
-               clock: RunClock, sniff: bool = False) -> str:
-    """CSV entity: declared schema (SRC-2) or detected encoding/separator (SRC-3/4)."""
+               clock: RunClock, sniff: bool = False, entity: str | None = None) -> str:
+    """CSV entity: declared schema (SRC-2) or detected encoding/separator (SRC-3/4).
+
+    ``entity`` names the bronze folder (e.g. one folder per year of students);
+    it defaults to the contract's name.
+    """
     df = (read_csv_sniffed(spark, path, contract.schema) if sniff
           else read_csv(spark, path, contract.schema))
-    return ingest_bronze(df, bronze_root, contract.name, clock, path)
+    return ingest_bronze(df, bronze_root, entity or contract.name, clock, path)
 
 
 def ingest_warehouse(spark: SparkSession, table: str, entity: str, bronze_root: str,

@@ -46,12 +46,12 @@ def build_gold(students: DataFrame, targets: DataFrame, target_columns: Mapping[
 
 def publish_gold(spark: SparkSession, views: Mapping[str, DataFrame], gold_root: str,
                  checks: Mapping[str, tuple[Check, ...]] = GOLD_CHECKS,
-                 version: str = GOLD_VERSION) -> Published:
+                 version: str = GOLD_VERSION, report_path: str | None = None) -> Published:
     """Stage all views, check them, then publish all of them or none."""
     targets = {name: Target(gold_audit(df, version), f"{gold_root.rstrip('/')}/{name}",
                             (), tuple(checks.get(name, ())))
                for name, df in views.items()}
-    return publish_checked(spark, targets)
+    return publish_checked(spark, targets, report_path=report_path)
 
 
 __all__ = ["build_gold", "publish_gold", "GOLD_VERSION"]

@@ -19,6 +19,7 @@ from tessera.constants import SILVER_PARTITIONS
 from tessera.contracts import CONTRACTS, MISSING_COLUMN_POLICY, RULE_SETS, SILVER_ENTITIES, Check
 from tessera.operators.audit import RunClock
 from tessera.operators.quality import DataQualityError
+from tessera.plans.bronze import ingest_csv, ingest_warehouse
 from tessera.plans.gold import build_gold, publish_gold
 from tessera.plans.publish import Target, publish_checked
 from tessera.plans.silver import build_silver
@@ -61,7 +62,8 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
             # by the business key, so no extra repartition before writing (D12)
             target = Target(silver, f"{lake_root}/silver/{entity}", SILVER_PARTITIONS,
                             tuple((checks or {}).get(entity, contract.checks)))
-            publish_checked(spark, {entity: target}, missing_column)
+            publish_checked(spark, {entity: target}, missing_column,
+                            report_path=f"{lake_root}/quality_reports/silver")
             outcomes.append(Outcome(entity, "written"))
         except DataQualityError as e:
             outcomes.append(Outcome(entity, "failed", detail=str(e)))
@@ -75,17 +77,23 @@ def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COL
     students = read_latest(spark, f"{lake_root}/silver/alunos")
     targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")
     views = build_gold(students, targets, target_columns, materialize=True)
-    return publish_gold(spark, views, f"{lake_root}/gold")
+    return publish_gold(spark, views, f"{lake_root}/gold",
+                        report_path=f"{lake_root}/quality_reports/gold")
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tessera")
-    p.add_argument("layer", choices=("silver", "gold"))
+    p.add_argument("layer", choices=("bronze", "silver", "gold"))
     p.add_argument("--lake-root", required=True)
     p.add_argument("--entity", default="", help="one entity; empty = all")
     p.add_argument("--batch-date", default=None, help="bronze batch YYYYMMDD (default: today)")
     p.add_argument("--rule-set", default="common", choices=sorted(RULE_SETS),
                    help="silver check rule set")
+    p.add_argument("--csv", default=None, help="bronze: raw CSV path for --entity")
+    p.add_argument("--sniff", action="store_true", help="bronze: detect encoding and separator")
+    p.add_argument("--table", default=None, help="bronze: warehouse table for --entity")
+    p.add_argument("--export-root", default=None,
+                   help="bronze: read the warehouse table from a Parquet export instead")
     p.add_argument("--input-bytes", type=int, default=0,
                    help="approximate input size; sizes shuffle partitions and scan splits")
     args = p.parse_args(argv)
@@ -93,7 +101,18 @@ def main(argv: list[str] | None = None) -> int:
     if args.input_bytes:
         apply_partition_settings(spark, args.input_bytes)
     clock = RunClock.now()
-    if args.layer == "silver":
+    if args.layer == "bronze":
+        if not args.entity or not (args.csv or args.table):
+            raise SystemExit("bronze needs --entity and --csv or --table")
+        if args.csv:
+            contract = CONTRACTS.get(args.entity.split("_2")[0], CONTRACTS["dicionario"])
+            out = ingest_csv(spark, args.csv, contract, f"{args.lake_root}/bronze", clock,
+                             sniff=args.sniff, entity=args.entity)
+        else:
+            out = ingest_warehouse(spark, args.table, args.entity, f"{args.lake_root}/bronze",
+                                   clock, fallback_root=args.export_root)
+        log.info("bronze written: %s", out)
+    elif args.layer == "silver":
         outs = run_silver(spark, args.lake_root, args.batch_date or clock.batch, clock,
                           [args.entity] if args.entity else None,
                           checks=dict(RULE_SETS[args.rule_set]),

@@ -15,13 +15,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.contracts import Check
 from tessera.operators.quality import CheckResult, DataQualityError, run_checks, score
 from tessera.session import scratch_path
-from tessera.sources.sinks import write_partitioned, write_table
+from tessera.sources.sinks import append_report, write_partitioned, write_table
+
+REPORT_SCHEMA = ("table_name string, check_name string, kind string, column_name string, "
+                 "critical boolean, observed bigint, passed boolean, status string, "
+                 "detail string, score double, checked_at timestamp_ntz")
 
 
 @dataclass(frozen=True)
@@ -39,8 +44,20 @@ class Published:
     scores: dict[str, dict] = field(default_factory=dict)
 
 
+def report_frame(spark: SparkSession, results: Mapping[str, list[CheckResult]],
+                 scores: Mapping[str, dict]) -> DataFrame:
+    """SNK-6 rows: one per check and table (a handful of rows, built on the driver)."""
+    now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    rows = [(table, r.check.name, r.check.kind, r.check.column, r.check.critical, r.observed,
+             r.passed, r.status, r.detail, float(scores[table]["score"]), now)
+            for table, res in results.items() for r in res]
+    return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
 def publish_checked(spark: SparkSession, targets: Mapping[str, Target],
-                    missing_column: str = "skip") -> Published:
+                    missing_column: str = "skip", report_path: str | None = None) -> Published:
+    """Stage, check and publish ``targets``; with ``report_path`` every check
+    result is also appended to the quality-report area, pass or fail."""
     out = Published()
     staged: dict[str, str] = {}
     for name, t in targets.items():
@@ -54,6 +71,8 @@ def publish_checked(spark: SparkSession, targets: Mapping[str, Target],
         out.scores[name] = score(res)
         if out.scores[name]["blocked"]:
             blocked.append(name)
+    if report_path:
+        append_report(report_frame(spark, out.results, out.scores), report_path)
     if blocked:
         raise DataQualityError(f"critical data-quality failure in {blocked}: nothing published")
     for name, t in targets.items():

@@ -153,3 +153,35 @@ def test_gold_rerun_same_counts(spark, tmp_dir):  # re-run test (SURVEY §5)
     second = publish_gold(spark, views, f"{tmp_dir}/gold")
     counts2 = {k: spark.read.parquet(p).count() for k, p in second.written.items()}
     assert counts1 == counts2 and all(v > 0 for v in counts1.values())
+
+
+def test_jobs_cli_bronze_silver_gold_with_reports(spark, tmp_dir):  # PIPE-1/5/6, SNK-6
+    from tessera.plans.jobs import main
+    lake = f"{tmp_dir}/lake"
+    csv = f"{tmp_dir}/alunos_2024.csv"
+    with open(csv, "wb") as f:
+        f.write(("NU_ANO_AVALIACAO;SG_UF;ID_ALUNO;CO_MUNICIPIO;NO_MUNICIPIO;IN_PRESENCA_LP;"
+                 "IN_ALFABETIZADO\n2024;SP;1;3550308;São Paulo;1;1\n2024;SP;2;3550308;São Paulo;1;0\n"
+                 "2024;SP;2;3550308;São Paulo;1;0\n").encode("latin-1"))
+    assert main(["bronze", "--lake-root", lake, "--entity", "alunos_2024", "--csv", csv,
+                 "--sniff"]) == 0
+    adapters.city_targets(spark, SF).select(
+        F.lit(2023).alias("ano"), F.lit("3550308").alias("id_municipio"), F.lit("publica").alias("rede"),
+        F.lit(50.0).alias("meta_alfabetizacao_2024"), F.lit(60.0).alias("meta_alfabetizacao_2025")) \
+        .limit(1).write.parquet(f"{tmp_dir}/export/meta")
+    assert main(["bronze", "--lake-root", lake, "--entity", "meta_alfabetizacao_municipio",
+                 "--table", "meta", "--export-root", f"{tmp_dir}/export"]) == 0
+    from tessera.operators.audit import RunClock
+    batch = RunClock.now().batch
+    from tessera.plans.jobs import run_silver
+    outs = run_silver(spark, lake, batch, RunClock.now(),
+                      ["alunos", "meta_alfabetizacao_municipio"], student_years=("alunos_2024",))
+    assert {o.entity: o.status for o in outs} == {"alunos": "written",
+                                                  "meta_alfabetizacao_municipio": "written"}
+    assert main(["gold", "--lake-root", lake]) == 0
+    comp = spark.read.parquet(f"{lake}/gold/comparativo_metas_resultados").first()
+    assert (comp.total_avaliados, comp.taxa_alfabetizacao_real, comp.meta_ano,
+            comp.status_meta) == (2, 50.0, 50.0, "Atingiu a Meta")
+    reports = spark.read.parquet(f"{lake}/quality_reports/gold")
+    assert reports.count() == 7 and reports.where("status = 'PASS'").count() == 7
+    assert spark.read.parquet(f"{lake}/quality_reports/silver").count() > 0
