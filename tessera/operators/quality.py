@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import BinaryType, StringType
 
 from tessera.constants import MISSING_TEXT
 from tessera.contracts import Check
@@ -72,8 +72,12 @@ def _metric(check: Check, df: DataFrame) -> Column | None:
         num = c.try_cast("double")
         return F.count_if((num < F.lit(float(lo))) | (num > F.lit(float(hi))))
     if check.kind == "unique":
-        # distinct().count() counts NULL as one value; count(DISTINCT) does not
-        return (F.count_distinct(c) + F.max(c.isNull().cast("int"))).cast("long")
+        # distinct().count() counts NULL as one value; count(DISTINCT) does not.
+        # Text is compared by its 32-byte SHA-256 digest: the distinct step then
+        # shuffles digests, not whole documents (collision odds ~2^-128).
+        key = F.unhex(F.sha2(c, 256)) if isinstance(types.get(check.column),
+                                                    (StringType, BinaryType)) else c
+        return (F.count_distinct(key) + F.max(c.isNull().cast("int"))).cast("long")
     if check.kind == "min_count":
         return None
     raise ValueError(f"unknown check kind {check.kind!r}")
