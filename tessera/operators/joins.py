@@ -36,6 +36,23 @@ def _row_width(df: DataFrame) -> int:
     return max(8 + sum(_value_width(f.dataType) for f in df.schema.fields), 16)
 
 
+# (plan hash, input files, bound) -> bounded row count of a probe already checked
+_PROBED: dict[tuple, int] = {}
+
+
+def _bounded_count(probe: DataFrame, max_rows: int) -> int:
+    """min(rows, max_rows + 1), remembered per (plan, input files).
+
+    Written files are immutable (an overwrite writes new file names), so the
+    same plan over the same files always has the same row count; a rewritten
+    input has new names and is probed again.
+    """
+    key = (probe.semanticHash(), tuple(sorted(probe.inputFiles())), max_rows)
+    if key not in _PROBED:
+        _PROBED[key] = probe.limit(max_rows + 1).count()
+    return _PROBED[key]
+
+
 def fits_broadcast(df: DataFrame, probe: DataFrame | None = None,
                    max_rows: int = BROADCAST_MAX_ROWS,
                    max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
@@ -43,10 +60,11 @@ def fits_broadcast(df: DataFrame, probe: DataFrame | None = None,
 
     ``probe`` is a frame whose row count bounds ``df``'s (for example the raw
     table under a projection/distinct); it defaults to ``df``. The check reads
-    at most ``max_rows + 1`` rows of the probe, so its cost is bounded too.
+    at most ``max_rows + 1`` rows of the probe (a row count of a raw Parquet
+    table needs only the file footers), so its cost is bounded too.
     """
     probe = df if probe is None else probe
-    n = probe.limit(max_rows + 1).count()
+    n = _bounded_count(probe, max_rows)
     return n <= max_rows and n * _row_width(df) <= max_bytes
 
 

@@ -8,6 +8,7 @@ round trip, catalog, streams) write under the shared checkpoint folder.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,8 +75,9 @@ def students_union_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "raw_students")
     raw = adapters.raw_students(spark, sf_dir).withColumn("_year", F.col("NU_ANO_AVALIACAO"))
     raw.write.mode("overwrite").partitionBy("_year").parquet(root)
-    years = sorted(r["_year"] for r in spark.read.parquet(root).select("_year").distinct()
-                   .collect())
+    # the yearly folders, from the file listing Spark already made (no job)
+    years = sorted({m.group(1) for f in spark.read.parquet(root).inputFiles()
+                    if (m := re.search(r"/_year=([^/]+)/", f))})
     paths = [f"{root}/_year={y}" for y in years]
     return read_years(spark, paths, CONTRACTS["alunos"].schema)
 
