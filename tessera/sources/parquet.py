@@ -16,10 +16,16 @@ from tessera.operators.clean import typed_projection
 log = logging.getLogger(__name__)
 
 
-def try_read_parquet(spark: SparkSession, path: str) -> DataFrame | None:
-    """SRC-9: None when the path does not exist or holds no data files."""
+def try_read_parquet(spark: SparkSession, path: str,
+                     ignore_missing_files: bool = False) -> DataFrame | None:
+    """SRC-9: None when the path does not exist or holds no data files.
+
+    ``ignore_missing_files``: files listed but gone by the time a task reads
+    them (e.g. a concurrent overwrite) are skipped instead of failing the job.
+    """
     try:
-        return spark.read.parquet(path)
+        return spark.read.option("ignoreMissingFiles", str(ignore_missing_files).lower()) \
+            .parquet(path)
     except AnalysisException as e:
         msg = str(e)
         if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
@@ -51,10 +57,12 @@ def read_years(spark: SparkSession, paths: Sequence[str], schema: StructType | N
     One glob over all years takes a single footer's schema and fails when a
     column's type differs between years (D11); per-year reads do not. Missing
     columns come out NULL (``allowMissingColumns``), extra ones are kept.
+    Missing folders are skipped, and so are files that vanish between listing
+    and reading (``ignoreMissingFiles``).
     """
     frames = []
     for p in paths:
-        df = try_read_parquet(spark, p)
+        df = try_read_parquet(spark, p, ignore_missing_files=True)
         if df is None:
             continue
         if schema is not None:
