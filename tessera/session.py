@@ -49,20 +49,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment and points at shared storage;
-    it is read from the session. Only when it is unset (local tests) a folder
-    of our own is created and registered.
+    it is read from the session. Only when it is unset and the master is
+    local (tests) a folder of our own is created and registered.
     """
-    sc = spark.sparkContext
-    path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote (Connect) sessions have no SparkContext
+        sc = None
+    path = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
                                "(a machine-local folder is not valid on a cluster)")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if not sc.getCheckpointDir():
+    if sc and not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    return (sc.getCheckpointDir() if sc else None) or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
