@@ -51,6 +51,10 @@ class EntityContract:
     order_by: tuple[str, ...] = ("_ingestion_timestamp",)  # newest wins in dedup
 
 
+# --- fixed values: entity column lists, business keys and check rule sets ---
+# Column names/types, keys and checks below must equal the original jobs'
+# for identical results; they are stated as data, in the original order.
+
 def _schema(*cols: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in cols])
 
