@@ -12,13 +12,18 @@ def _ident(name: str) -> str:
 def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = False) -> None:
     """CAT-1: external Parquet table over a written folder; partitions discovered.
 
-    Replaces the crawler call: the table is (re)declared at its location and,
-    when partitioned, its partitions are recovered from the folder layout.
+    Replaces the crawler call. A new table is declared at its location; an
+    existing one is pointed at the (new) location in one metadata change, so
+    readers never see it missing. Partitions are recovered from the folder
+    layout and cached file listings are dropped.
     """
-    spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
-    spark.sql(f"CREATE TABLE {_ident(name)} USING parquet LOCATION '{path}'")
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {_ident(name)} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"CREATE TABLE {_ident(name)} USING parquet LOCATION '{path}'")
     if partitioned:
         spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def sql(spark: SparkSession, query: str) -> DataFrame:

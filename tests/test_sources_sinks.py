@@ -185,3 +185,13 @@ def test_jobs_cli_bronze_silver_gold_with_reports(spark, tmp_dir):  # PIPE-1/5/6
     reports = spark.read.parquet(f"{lake}/quality_reports/gold")
     assert reports.count() == 7 and reports.where("status = 'PASS'").count() == 7
     assert spark.read.parquet(f"{lake}/quality_reports/silver").count() > 0
+
+
+def test_catalog_reregistration_moves_location(spark, tmp_dir):  # CAT-1 re-run
+    a, b = f"{tmp_dir}/a", f"{tmp_dir}/b"
+    spark.range(3).write.parquet(a)
+    spark.range(5).write.parquet(b)
+    catalog.register_table(spark, "t_moving", a)
+    assert catalog.sql(spark, "SELECT count(*) AS n FROM t_moving").first().n == 3
+    catalog.register_table(spark, "t_moving", b)
+    assert catalog.sql(spark, "SELECT count(*) AS n FROM t_moving").first().n == 5
