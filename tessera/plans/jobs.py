@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import argparse
 import logging
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -105,7 +106,9 @@ def main(argv: list[str] | None = None) -> int:
         if not args.entity or not (args.csv or args.table):
             raise SystemExit("bronze needs --entity and --csv or --table")
         if args.csv:
-            contract = CONTRACTS.get(args.entity.split("_2")[0], CONTRACTS["dicionario"])
+            # yearly student folders (alunos_2024, ...) share the students contract
+            base = re.sub(r"_\d{4}$", "", args.entity)
+            contract = CONTRACTS.get(base, CONTRACTS["dicionario"])
             out = ingest_csv(spark, args.csv, contract, f"{args.lake_root}/bronze", clock,
                              sniff=args.sniff, entity=args.entity)
         else:
