@@ -36,7 +36,8 @@ GOLD_TARGET_COLUMNS = {2024: "meta_alfabetizacao_2024", 2025: "meta_alfabetizaca
 class Outcome:
     entity: str
     status: str          # written | skipped | failed
-    rows_in: int = 0
+    rows_in: int = 0     # bronze rows read
+    rows_out: int = 0    # silver rows written (after key screening and dedup)
     detail: str = ""
 
 
@@ -58,14 +59,18 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
             if bronze is None or bronze.isEmpty():
                 outcomes.append(Outcome(entity, "skipped", 0, "empty or missing batch"))
                 continue
-            silver = build_silver(bronze, contract, clock)
+            counts: dict = {}
+            silver = build_silver(bronze, contract, clock, counts=counts)
             # stage -> check -> publish; the dedup already hash-partitioned rows
             # by the business key, so no extra repartition before writing (D12)
             target = Target(silver, f"{lake_root}/silver/{entity}", SILVER_PARTITIONS,
                             tuple((checks or {}).get(entity, contract.checks)))
             publish_checked(spark, {entity: target}, missing_column,
                             report_path=f"{lake_root}/quality_reports/silver")
-            outcomes.append(Outcome(entity, "written"))
+            rows_in, rows_out = counts["in"].get["rows"], counts["out"].get["rows"]
+            log.info("%s: %d bronze rows, %d silver rows, %d null-key/duplicate rows removed",
+                     entity, rows_in, rows_out, rows_in - rows_out)
+            outcomes.append(Outcome(entity, "written", rows_in, rows_out))
         except DataQualityError as e:
             outcomes.append(Outcome(entity, "failed", detail=str(e)))
         except Exception as e:  # noqa: BLE001 - one entity's error must not stop the loop

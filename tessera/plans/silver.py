@@ -19,7 +19,7 @@ which shuffles once on the business key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tessera.constants import BATCH_COLUMNS, NOTEBOOK_NAME_ALIASES, NOTEBOOK_SILVER_VERSION
@@ -48,10 +48,21 @@ def clean(df: DataFrame, contract: EntityContract) -> DataFrame:
 
 
 def build_silver(df: DataFrame, contract: EntityContract, clock: RunClock,
-                 processed_at: bool = True) -> DataFrame:
-    """PIPE-2: pure DataFrame -> DataFrame silver build for one entity."""
+                 processed_at: bool = True, counts: dict | None = None) -> DataFrame:
+    """PIPE-2: pure DataFrame -> DataFrame silver build for one entity.
+
+    AGG-5: pass a dict as ``counts`` to get ``Observation``s of the rows in
+    (``counts["in"]``) and out of the dedup (``counts["out"]``); they are
+    filled by whatever action runs the plan (the write), with no extra pass.
+    """
+    if counts is not None:
+        counts["in"] = Observation(f"{contract.name}_rows_in")
+        df = df.observe(counts["in"], F.count(F.lit(1)).alias("rows"))
     cleaned = clean(df, contract)
     deduped = dedup_by_contract(cleaned, contract.keys, contract.order_by)
+    if counts is not None:
+        counts["out"] = Observation(f"{contract.name}_rows_out")
+        deduped = deduped.observe(counts["out"], F.count(F.lit(1)).alias("rows"))
     filled = fill_text(deduped, string_columns(deduped))
     return silver_audit(filled, clock, processed_at=processed_at)
 

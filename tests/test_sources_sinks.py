@@ -142,6 +142,13 @@ def test_run_silver_loop_collects_outcomes(spark, tmp_dir):  # PIPE-5, E15, D6
         student_years=("alunos_1995", "alunos_1996"))}
     assert outs == {"alunos": "written", "meta_alfabetizacao_municipio": "written",
                     "uf": "skipped", "municipio": "skipped"}
+    # AGG-5: counts observed during the staging write, no extra pass
+    rerun = {o.entity: o for o in run_silver(spark, lake, DAY1.batch, DAY1, ["alunos"],
+                                             student_years=("alunos_1995", "alunos_1996"))}
+    in_rows = raw.where(F.col("NU_ANO_AVALIACAO").isin(1995, 1996)).count()
+    keys = raw.where(F.col("NU_ANO_AVALIACAO").isin(1995, 1996)) \
+        .select("NU_ANO_AVALIACAO", "ID_ALUNO").distinct().count()
+    assert (rerun["alunos"].rows_in, rerun["alunos"].rows_out) == (in_rows, keys)
     assert spark.read.parquet(f"{lake}/silver/alunos").count() > 0
 
 
