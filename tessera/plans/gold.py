@@ -21,7 +21,7 @@ from tessera.constants import VIEW_CITY_INDICATOR, VIEW_STATE_EVOLUTION, VIEW_TA
 from tessera.contracts import GOLD_CHECKS, Check
 from tessera.operators import indicators as ind
 from tessera.operators.audit import gold_audit
-from tessera.plans.publish import Published, Target, publish_checked
+from tessera.plans.publish import Published, Target, publish_checked, read_published
 
 log = logging.getLogger(__name__)
 
@@ -46,12 +46,26 @@ def build_gold(students: DataFrame, targets: DataFrame, target_columns: Mapping[
 
 def publish_gold(spark: SparkSession, views: Mapping[str, DataFrame], gold_root: str,
                  checks: Mapping[str, tuple[Check, ...]] = GOLD_CHECKS,
-                 version: str = GOLD_VERSION, report_path: str | None = None) -> Published:
-    """Stage all views, check them, then publish all of them or none."""
-    targets = {name: Target(gold_audit(df, version), f"{gold_root.rstrip('/')}/{name}",
-                            (), tuple(checks.get(name, ())))
+                 version: str = GOLD_VERSION, report_path: str | None = None,
+                 versioned: bool = False) -> Published:
+    """Stage all views, check them, then publish all of them or none.
+
+    ``versioned`` writes ``<view>/run_id=<id>`` folders and commits the run in
+    ``<gold_root>/commits`` (read with :func:`read_gold`), so even a crash
+    while copying never exposes views of different runs.
+    """
+    root = gold_root.rstrip("/")
+    targets = {name: Target(gold_audit(df, version), f"{root}/{name}", (),
+                            tuple(checks.get(name, ())))
                for name, df in views.items()}
-    return publish_checked(spark, targets, report_path=report_path)
+    return publish_checked(spark, targets, report_path=report_path,
+                           commit_log=f"{root}/commits" if versioned else None)
+
+
+def read_gold(spark: SparkSession, gold_root: str, view: str) -> DataFrame:
+    """A gold view as of the newest committed (versioned) run."""
+    root = gold_root.rstrip("/")
+    return read_published(spark, f"{root}/{view}", f"{root}/commits")
 
 
-__all__ = ["build_gold", "publish_gold", "GOLD_VERSION"]
+__all__ = ["build_gold", "publish_gold", "read_gold", "GOLD_VERSION"]

@@ -84,7 +84,7 @@ def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COL
     targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")
     views = build_gold(students, targets, target_columns, materialize=True)
     return publish_gold(spark, views, f"{lake_root}/gold",
-                        report_path=f"{lake_root}/quality_reports/gold")
+                        report_path=f"{lake_root}/quality_reports/gold", versioned=True)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -9,19 +9,27 @@
 
 A critical failure raises :class:`DataQualityError` before step 3, so every
 previously published table is left exactly as it was.
+
+Versioned publication (``commit_log``) also covers a crash in step 3: each
+table is written to ``<path>/run_id=<id>`` and only after all of them are in
+place one row is appended to the commit log. Readers resolve the newest
+committed run, so a half-published run is never visible.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.contracts import Check
 from tessera.operators.quality import CheckResult, DataQualityError, run_checks, score
 from tessera.session import scratch_path
+from tessera.sources.parquet import try_read_parquet
 from tessera.sources.sinks import append_report, write_partitioned, write_table
 
 REPORT_SCHEMA = ("table_name string, check_name string, kind string, column_name string, "
@@ -39,6 +47,7 @@ class Target:
 
 @dataclass
 class Published:
+    run_id: str | None = None
     written: dict[str, str] = field(default_factory=dict)
     results: dict[str, list[CheckResult]] = field(default_factory=dict)
     scores: dict[str, dict] = field(default_factory=dict)
@@ -54,11 +63,35 @@ def report_frame(spark: SparkSession, results: Mapping[str, list[CheckResult]],
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
+def new_run_id() -> str:
+    """Sortable run id: UTC time, then a random suffix."""
+    return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
+
+
+def latest_commit(spark: SparkSession, commit_log: str) -> str | None:
+    """The newest committed run id (one tiny aggregate over the commit log)."""
+    log_df = try_read_parquet(spark, commit_log)
+    if log_df is None:
+        return None
+    return log_df.agg(F.max("run_id").alias("r")).first()["r"]
+
+
+def read_published(spark: SparkSession, path: str, commit_log: str) -> DataFrame:
+    """A versioned table as of its newest committed run."""
+    run = latest_commit(spark, commit_log)
+    if run is None:
+        raise FileNotFoundError(f"nothing committed in {commit_log}")
+    return spark.read.parquet(f"{path.rstrip('/')}/run_id={run}")
+
+
 def publish_checked(spark: SparkSession, targets: Mapping[str, Target],
-                    missing_column: str = "skip", report_path: str | None = None) -> Published:
+                    missing_column: str = "skip", report_path: str | None = None,
+                    commit_log: str | None = None) -> Published:
     """Stage, check and publish ``targets``; with ``report_path`` every check
-    result is also appended to the quality-report area, pass or fail."""
+    result is also appended to the quality-report area, pass or fail; with
+    ``commit_log`` the publication is versioned and committed atomically."""
     out = Published()
+    run_id = new_run_id() if commit_log else None
     staged: dict[str, str] = {}
     for name, t in targets.items():
         path = scratch_path(spark, f"stage-{name}")
@@ -77,6 +110,13 @@ def publish_checked(spark: SparkSession, targets: Mapping[str, Target],
         raise DataQualityError(f"critical data-quality failure in {blocked}: nothing published")
     for name, t in targets.items():
         data = spark.read.parquet(staged[name])
-        out.written[name] = (write_partitioned(data, t.path, t.partitions) if t.partitions
-                             else write_table(data, t.path))
+        path = f"{t.path.rstrip('/')}/run_id={run_id}" if run_id else t.path
+        out.written[name] = (write_partitioned(data, path, t.partitions) if t.partitions
+                             else write_table(data, path))
+    if run_id:
+        commit = spark.createDataFrame(
+            [(run_id, datetime.now(timezone.utc).replace(tzinfo=None), sorted(targets))],
+            "run_id string, committed_at timestamp_ntz, tables array<string>")
+        append_report(commit, commit_log)
+        out.run_id = run_id
     return out

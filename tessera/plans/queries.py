@@ -23,7 +23,7 @@ from tessera.operators.audit import RunClock, bronze_audit
 from tessera.operators.clean import clean_values, typed_projection
 from tessera.operators.dedup import dedup_by_contract
 from tessera.plans import adapters
-from tessera.plans.gold import build_gold, publish_gold
+from tessera.plans.gold import build_gold, publish_gold, read_gold
 from tessera.plans.silver import build_silver, build_silver_upper, conform
 from tessera.session import configure, scratch_path
 from tessera.sources import catalog
@@ -157,11 +157,11 @@ def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     students = read_latest(spark, f"{lake}/silver/alunos")
     tgt = read_latest(spark, f"{lake}/silver/meta_alfabetizacao_municipio")
     views = build_gold(students, tgt, adapters.TARGET_YEARS, materialize=True)
-    out = publish_gold(spark, views, f"{lake}/gold")
+    out = publish_gold(spark, views, f"{lake}/gold", versioned=True)
     back = read_back(spark, out.written[VIEW_CITY_INDICATOR])
     if back.error:
         raise RuntimeError(back.error)
-    return spark.read.parquet(out.written[VIEW_CITY_INDICATOR]).drop("_gold_processed_at")
+    return read_gold(spark, f"{lake}/gold", VIEW_CITY_INDICATOR).drop("_gold_processed_at")
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

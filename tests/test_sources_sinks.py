@@ -186,7 +186,8 @@ def test_jobs_cli_bronze_silver_gold_with_reports(spark, tmp_dir):  # PIPE-1/5/6
     assert {o.entity: o.status for o in outs} == {"alunos": "written",
                                                   "meta_alfabetizacao_municipio": "written"}
     assert main(["gold", "--lake-root", lake]) == 0
-    comp = spark.read.parquet(f"{lake}/gold/comparativo_metas_resultados").first()
+    from tessera.plans.gold import read_gold
+    comp = read_gold(spark, f"{lake}/gold", "comparativo_metas_resultados").first()
     assert (comp.total_avaliados, comp.taxa_alfabetizacao_real, comp.meta_ano,
             comp.status_meta) == (2, 50.0, 50.0, "Atingiu a Meta")
     reports = spark.read.parquet(f"{lake}/quality_reports/gold")
@@ -202,3 +203,26 @@ def test_catalog_reregistration_moves_location(spark, tmp_dir):  # CAT-1 re-run
     assert catalog.sql(spark, "SELECT count(*) AS n FROM t_moving").first().n == 3
     catalog.register_table(spark, "t_moving", b)
     assert catalog.sql(spark, "SELECT count(*) AS n FROM t_moving").first().n == 5
+
+
+
+def test_versioned_gold_hides_uncommitted_runs(spark, tmp_dir):  # PIPE-4 atomic publication
+    from tessera.contracts import Check
+    from tessera.operators.quality import DataQualityError
+    from tessera.plans.gold import read_gold
+    views = build_gold(adapters.students(spark, SF), adapters.city_targets(spark, SF),
+                       adapters.TARGET_YEARS, materialize=True)
+    first = publish_gold(spark, views, f"{tmp_dir}/gold", versioned=True)
+    view = "indicador_alfabetizacao_municipio"
+    n = read_gold(spark, f"{tmp_dir}/gold", view).count()
+    # a run that fails its checks commits nothing: readers keep the first run
+    with pytest.raises(DataQualityError):
+        publish_gold(spark, {k: v.limit(1) for k, v in views.items()}, f"{tmp_dir}/gold",
+                     {k: (Check("min_count", value=10**9),) for k in views}, versioned=True)
+    assert read_gold(spark, f"{tmp_dir}/gold", view).count() == n
+    # a run whose files exist but was never committed (crash before commit) stays invisible
+    spark.range(1).write.parquet(f"{tmp_dir}/gold/{view}/run_id=99999999T999999999999-dead")
+    assert read_gold(spark, f"{tmp_dir}/gold", view).count() == n
+    second = publish_gold(spark, views, f"{tmp_dir}/gold", versioned=True)
+    assert second.run_id > first.run_id
+    assert read_gold(spark, f"{tmp_dir}/gold", view).count() == n
