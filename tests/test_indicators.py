@@ -110,3 +110,12 @@ def test_presence_filter_pushed_to_scan(spark, tmp_dir):
     df = ind.city_indicator(ind.indicator_base(spark.read.parquet(f"{tmp_dir}/s")))
     plan = plan_text(df)
     assert "PushedFilters: [IsNotNull(in_presenca_lp), EqualTo(in_presenca_lp,1)" in plan
+
+
+def test_top_rows_and_cached(spark):  # SRT-2, PIPE-7
+    from tessera.operators.quality import cached
+    df = spark.range(10).selectExpr("id", "id % 3 AS g")
+    assert [r.id for r in ind.top_rows(df, 3, ["g", "id"]).collect()] == [0, 3, 6]
+    with cached(df) as c:
+        assert c.is_cached and c.count() == 10
+    assert not df.is_cached
