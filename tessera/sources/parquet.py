@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -93,7 +95,37 @@ def latest_snapshot(df: DataFrame, partitions: Sequence[str] = SILVER_PARTITIONS
     return df.where(cond)
 
 
+def newest_partition(df: DataFrame, partitions: Sequence[str]) -> dict[str, str] | None:
+    """The greatest partition value tuple among the files of a path-based table.
+
+    Spark lists every file of the table on the driver when it is opened, so
+    the partition folders are read from that listing: no job, no footers.
+    None when some file is not under the expected partition folders.
+    """
+    pattern = re.compile("/".join(f"{re.escape(p)}=([^/]+)" for p in partitions) + "/")
+    best = None
+    for f in df.inputFiles():
+        m = pattern.search(f)
+        if m is None:
+            return None
+        best = max(best, m.groups()) if best else m.groups()
+    return None if best is None else {p: unquote(v) for p, v in zip(partitions, best)}
+
+
 def read_latest(spark: SparkSession, root: str,
                 partitions: Sequence[str] = SILVER_PARTITIONS) -> DataFrame:
-    """SRC-8: whole-table scan restricted to the latest ingestion partition."""
-    return latest_snapshot(spark.read.parquet(root), partitions)
+    """SRC-8: whole table restricted to the latest ingestion partition.
+
+    The newest partition comes from the file listing (no job); the filter on
+    it prunes every other partition from the scan. Falls back to the
+    aggregate of :func:`latest_snapshot` for layouts it cannot read.
+    """
+    df = spark.read.parquet(root)
+    newest = newest_partition(df, partitions)
+    if newest is None:
+        return latest_snapshot(df, partitions)
+    cond = None
+    for p in partitions:
+        c = F.col(p) == F.lit(newest[p])
+        cond = c if cond is None else cond & c
+    return df.where(cond)

@@ -226,3 +226,15 @@ def test_versioned_gold_hides_uncommitted_runs(spark, tmp_dir):  # PIPE-4 atomic
     second = publish_gold(spark, views, f"{tmp_dir}/gold", versioned=True)
     assert second.run_id > first.run_id
     assert read_gold(spark, f"{tmp_dir}/gold", view).count() == n
+
+
+def test_newest_partition_from_listing(spark, tmp_dir):  # SRC-8 without a job
+    from tessera.sources.parquet import newest_partition
+    df = spark.createDataFrame([("2026", "06", "30", 1), ("2026", "07", "01", 2), ("2025", "12", "31", 3)],
+                               "ano_ingestao string, mes_ingestao string, dia_ingestao string, v int")
+    write_partitioned(df, f"{tmp_dir}/t")
+    t = spark.read.parquet(f"{tmp_dir}/t")
+    assert newest_partition(t, ("ano_ingestao", "mes_ingestao", "dia_ingestao")) == \
+        {"ano_ingestao": "2026", "mes_ingestao": "07", "dia_ingestao": "01"}
+    assert [r.v for r in read_latest(spark, f"{tmp_dir}/t").collect()] == [2]
+    assert newest_partition(spark.range(1), ("a",)) is None
