@@ -24,6 +24,7 @@ from tessera.plans.bronze import ingest_csv, ingest_warehouse
 from tessera.plans.gold import build_gold, publish_gold
 from tessera.plans.publish import Target, publish_checked
 from tessera.plans.silver import build_silver
+from tessera.sources.catalog import register_table
 from tessera.sources.parquet import read_batch, read_latest, read_years
 from tessera.session import apply_partition_settings, configure
 
@@ -45,7 +46,7 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                entities: list[str] | None = None,
                checks: dict[str, tuple[Check, ...]] | None = None,
                student_years: tuple[str, ...] = ("alunos_2023", "alunos_2024", "alunos_2025"),
-               missing_column: str = "skip") -> list[Outcome]:
+               missing_column: str = "skip", catalog_prefix: str | None = None) -> list[Outcome]:
     """PIPE-5: every entity (default all six); failures are collected, raised at the end (D6)."""
     outcomes: list[Outcome] = []
     for entity in entities or list(SILVER_ENTITIES):
@@ -67,6 +68,8 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                             tuple((checks or {}).get(entity, contract.checks)))
             publish_checked(spark, {entity: target}, missing_column,
                             report_path=f"{lake_root}/quality_reports/silver")
+            if catalog_prefix:                      # CAT-1: the crawler's job
+                register_table(spark, f"{catalog_prefix}_{entity}", target.path, partitioned=True)
             rows_in, rows_out = counts["in"].get["rows"], counts["out"].get["rows"]
             log.info("%s: %d bronze rows, %d silver rows, %d null-key/duplicate rows removed",
                      entity, rows_in, rows_out, rows_in - rows_out)
@@ -79,12 +82,22 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
     return outcomes
 
 
-def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COLUMNS):
+def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COLUMNS,
+             catalog_prefix: str | None = None):
+    """Gold from the latest silver snapshots; versioned, committed publication.
+
+    With ``catalog_prefix`` every view's catalog table is then pointed at the
+    committed run folder (one metadata change per view).
+    """
     students = read_latest(spark, f"{lake_root}/silver/alunos")
     targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")
     views = build_gold(students, targets, target_columns, materialize=True)
-    return publish_gold(spark, views, f"{lake_root}/gold",
-                        report_path=f"{lake_root}/quality_reports/gold", versioned=True)
+    out = publish_gold(spark, views, f"{lake_root}/gold",
+                       report_path=f"{lake_root}/quality_reports/gold", versioned=True)
+    if catalog_prefix:
+        for name, path in out.written.items():
+            register_table(spark, f"{catalog_prefix}_{name}", path)
+    return out
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -100,6 +113,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--table", default=None, help="bronze: warehouse table for --entity")
     p.add_argument("--export-root", default=None,
                    help="bronze: read the warehouse table from a Parquet export instead")
+    p.add_argument("--catalog-prefix", default=None,
+                   help="register silver/gold tables in the catalog as <prefix>_<table>")
     p.add_argument("--input-bytes", type=int, default=0,
                    help="approximate input size; sizes shuffle partitions and scan splits")
     args = p.parse_args(argv)
@@ -124,14 +139,15 @@ def main(argv: list[str] | None = None) -> int:
         outs = run_silver(spark, args.lake_root, args.batch_date or clock.batch, clock,
                           [args.entity] if args.entity else None,
                           checks=dict(RULE_SETS[args.rule_set]),
-                          missing_column=MISSING_COLUMN_POLICY[args.rule_set])
+                          missing_column=MISSING_COLUMN_POLICY[args.rule_set],
+                          catalog_prefix=args.catalog_prefix)
         for o in outs:
             log.info("%s: %s %s", o.entity, o.status, o.detail)
         failed = [o for o in outs if o.status == "failed"]
         if failed:
             raise SystemExit(f"silver failed for {[o.entity for o in failed]}")
     else:
-        run_gold(spark, args.lake_root)
+        run_gold(spark, args.lake_root, catalog_prefix=args.catalog_prefix)
     return 0
 
 

@@ -182,10 +182,14 @@ def test_jobs_cli_bronze_silver_gold_with_reports(spark, tmp_dir):  # PIPE-1/5/6
     batch = RunClock.now().batch
     from tessera.plans.jobs import run_silver
     outs = run_silver(spark, lake, batch, RunClock.now(),
-                      ["alunos", "meta_alfabetizacao_municipio"], student_years=("alunos_2024",))
+                      ["alunos", "meta_alfabetizacao_municipio"], student_years=("alunos_2024",),
+                      catalog_prefix="silver")
     assert {o.entity: o.status for o in outs} == {"alunos": "written",
                                                   "meta_alfabetizacao_municipio": "written"}
-    assert main(["gold", "--lake-root", lake]) == 0
+    assert spark.sql("SELECT count(*) AS n FROM silver_alunos").first().n == 2
+    assert main(["gold", "--lake-root", lake, "--catalog-prefix", "gold"]) == 0
+    assert spark.sql("SELECT status_meta FROM gold_comparativo_metas_resultados").first()[0] \
+        == "Atingiu a Meta"
     from tessera.plans.gold import read_gold
     comp = read_gold(spark, f"{lake}/gold", "comparativo_metas_resultados").first()
     assert (comp.total_avaliados, comp.taxa_alfabetizacao_real, comp.meta_ano,
