@@ -59,6 +59,27 @@ def main() -> None:
     for name, df in runs.items():
         sc.setJobGroup(f"skew:{name}", name)
         df.write.format("noop").mode("overwrite").save()
+
+    # shuffle join with a hot key: a third of lineitem rows on supplier 1, no
+    # broadcast; AQE's skew thresholds are scaled down to this data size (at
+    # scale the defaults apply) so the hot partition is split across tasks.
+    # AQE splits a skewed partition along map-task boundaries; sf0.1 lineitem
+    # is 3 row groups (3 map tasks), while 100 TB arrives as thousands of
+    # splits, so the input is spread over 24 map tasks first to stand for that.
+    li = adapters.table(spark, sf_dir, "lineitem").repartition(24).select(
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("l_suppkey"))
+         .alias("l_suppkey"), "l_orderkey", "l_extendedprice", "l_shipdate")
+    sup = adapters.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    for k, v in {"spark.sql.shuffle.partitions": "32",
+                 "spark.sql.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}.items():
+        spark.conf.set(k, v)
+    name = "shuffle join"
+    runs[name] = None
+    sc.setJobGroup(f"skew:{name}", name)
+    li.join(sup, li.l_suppkey == sup.s_suppkey).write.format("noop").mode("overwrite").save()
     spark.stop()
 
     stage_group, reads = {}, defaultdict(list)
