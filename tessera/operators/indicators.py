@@ -109,19 +109,46 @@ def target_comparison(cities: DataFrame, targets: DataFrame, target_columns: Map
     as text); the indicator keeps its own key type in the output. The target
     side is city-sized: it is broadcast only when its row count is proven
     under the bound, else the join is a shuffle join.
+
+    ``policy``: 'distinct' (original: join on the city, pick the year's column),
+    'latest' (newest target row per city) or 'by_year' (unpivoted targets,
+    join on city and year; fans out only where a year has differing targets).
     """
-    proj = target_projection(targets, target_columns, policy)
-    right = bounded_broadcast(proj.withColumnRenamed("id_municipio", "_city_key"),
-                              probe=targets)
     left = cities.withColumn("_city_key", F.col("id_municipio").cast("string"))
-    years = {y: f"meta_{y}" for y in target_columns}
-    return (left.join(right, "_city_key", "left")
-            .withColumn("meta_ano", target_for_year("ano", years))
+    if policy == "by_year":
+        right = bounded_broadcast(targets_by_year(targets, target_columns), probe=targets)
+        joined = left.join(right, (left["_city_key"] == right["_city_key"])
+                           & (left["ano"] == right["_target_year"]), "left") \
+            .drop(right["_city_key"]).drop("_target_year")
+    else:
+        proj = target_projection(targets, target_columns, policy)
+        right = bounded_broadcast(proj.withColumnRenamed("id_municipio", "_city_key"),
+                                  probe=targets)
+        years = {y: f"meta_{y}" for y in target_columns}
+        joined = (left.join(right, "_city_key", "left")
+                  .withColumn("meta_ano", target_for_year("ano", years)))
+    return (joined
             .withColumn("desvio_meta", deviation("taxa_alfabetizacao_real", "meta_ano"))
             .withColumn("status_meta", goal_status("meta_ano", "desvio_meta"))
             .select(*COMPARISON_COLUMNS))
 
 
+def targets_by_year(targets: DataFrame, target_columns: Mapping[int, str]) -> DataFrame:
+    """PRJ-17 generalised: one row per (city, target year, target value).
+
+    The year columns are unpivoted (``df.unpivot``) so the join is on
+    (city, year) and carries a single target column, however many target
+    years the table has; NULL targets are dropped (the year then has none).
+    """
+    proj = targets.select(F.col("id_municipio").cast("string").alias("_city_key"),
+                          *[F.col(src).cast("double").alias(f"y{year}")
+                            for year, src in target_columns.items()])
+    long = proj.unpivot("_city_key", [f"y{y}" for y in target_columns], "_col", "meta_ano")
+    year = F.substring(F.col("_col"), 2, 4).cast("int")
+    return (long.where(F.col("meta_ano").isNotNull() & F.col("_city_key").isNotNull())
+            .select("_city_key", year.alias("_target_year"), "meta_ano").distinct())
+
+
 def target_fanout(targets: DataFrame, target_columns: Mapping[int, str]) -> DataFrame:
     """Cities with more than one distinct target row (they duplicate output rows)."""
     return (target_projection(targets, target_columns).groupBy("id_municipio").count()
@@ -136,5 +163,5 @@ def top_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 __all__ = [
     "CITY_KEYS", "STATE_KEYS", "COMPARISON_COLUMNS", "present_students", "valid_city",
     "indicator_base", "city_indicator", "state_evolution", "state_evolution_from_cities",
-    "target_projection", "target_comparison", "target_fanout", "top_rows",
+    "target_projection", "target_comparison", "targets_by_year", "target_fanout", "top_rows",
 ]

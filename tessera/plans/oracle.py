@@ -413,6 +413,45 @@ TARGET_COMPARISON_LATEST_SQL = TARGET_COMPARISON_SQL.replace(
   FROM targets""")
 assert TARGET_COMPARISON_LATEST_SQL != TARGET_COMPARISON_SQL
 
+TARGET_COMPARISON_BY_YEAR_SQL = f"""
+WITH {STUDENTS_SQL}, {TARGETS_SQL},
+base AS (
+  SELECT * FROM students
+  WHERE in_presenca_lp = 1 AND id_municipio IS NOT NULL
+    AND CAST(id_municipio AS VARCHAR) NOT IN ('N/A', '', 'NaN')
+),
+agg AS (
+  SELECT ano, sigla_uf, id_municipio, nome_municipio,
+         count(id_aluno) AS total_avaliados,
+         CAST(sum(CASE WHEN in_alfabetizado = 1 THEN 1 ELSE 0 END) AS BIGINT) AS total_alfabetizados
+  FROM base GROUP BY ano, sigla_uf, id_municipio, nome_municipio
+),
+ind AS (
+  SELECT *, {rate_sql('total_alfabetizados', 'total_avaliados')} AS taxa_alfabetizacao_real FROM agg
+),
+history AS (
+  SELECT id_municipio, meta_alfabetizacao_1996 AS m96, meta_alfabetizacao_1997 AS m97 FROM targets
+  UNION ALL
+  SELECT id_municipio, meta_alfabetizacao_1996 + 1.5, meta_alfabetizacao_1997 + 1.5 FROM targets
+),
+long AS (
+  SELECT DISTINCT id_municipio, 1996 AS yr, m96 AS meta FROM history WHERE m96 IS NOT NULL
+  UNION
+  SELECT DISTINCT id_municipio, 1997, m97 FROM history WHERE m97 IS NOT NULL
+),
+j AS (
+  SELECT ind.*, long.meta AS meta_ano
+  FROM ind LEFT JOIN long
+    ON CAST(ind.id_municipio AS VARCHAR) = long.id_municipio AND ind.ano = long.yr
+),
+d AS (SELECT *, {r2('taxa_alfabetizacao_real - meta_ano')} AS desvio_meta FROM j)
+SELECT ano, sigla_uf, id_municipio, nome_municipio, total_avaliados, taxa_alfabetizacao_real,
+       meta_ano, desvio_meta,
+       CASE WHEN meta_ano IS NULL THEN 'Sem Meta Definida'
+            WHEN desvio_meta >= 0 THEN 'Atingiu a Meta'
+            ELSE 'Abaixo da Meta' END AS status_meta
+FROM d"""
+
 PRESENT_STUDENTS_SQL = f"""
 WITH {STUDENTS_SQL}
 SELECT ano, sigla_uf, id_municipio, nome_municipio, id_aluno, in_alfabetizado, in_presenca_lp
@@ -498,6 +537,7 @@ FROM students"""
 ORACLE.update({
     "target_projection": TARGET_PROJECTION_SQL,
     "target_comparison_latest": TARGET_COMPARISON_LATEST_SQL,
+    "target_comparison_by_year": TARGET_COMPARISON_BY_YEAR_SQL,
     "present_students": PRESENT_STUDENTS_SQL,
     "silver_targets": SILVER_TARGETS_SQL,
     "silver_students_upper": SILVER_STUDENTS_UPPER_SQL,

@@ -266,6 +266,13 @@ def target_comparison_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  adapters.TARGET_YEARS, policy="latest")
 
 
+def target_comparison_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ-17 generalised: unpivoted target history joined on (city, year)."""
+    configure(spark)
+    return ind.target_comparison(city_indicator(spark, sf_dir), _target_history(spark, sf_dir),
+                                 adapters.TARGET_YEARS, policy="by_year")
+
+
 def present_students(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-1 / FLT-2: present students with a valid city."""
     configure(spark)
@@ -359,6 +366,7 @@ QUERIES: dict[str, QueryFn] = {
     "invalid_patterns": invalid_patterns,
     "target_projection": target_projection_q,
     "target_comparison_latest": target_comparison_latest,
+    "target_comparison_by_year": target_comparison_by_year,
     "present_students": present_students,
     "silver_targets": silver_targets,
     "silver_students_upper": silver_students_upper,

@@ -119,3 +119,20 @@ def test_top_rows_and_cached(spark):  # SRT-2, PIPE-7
     with cached(df) as c:
         assert c.is_cached and c.count() == 10
     assert not df.is_cached
+
+
+def test_by_year_fans_out_only_where_targets_differ(spark):  # PRJ-17 generalised, E12
+    cities = spark.createDataFrame(
+        [(2023, "SP", 1, "A", 10, 60.0), (2024, "SP", 1, "A", 10, 60.0), (2025, "SP", 1, "A", 10, 60.0)],
+        "ano int, sigla_uf string, id_municipio int, nome_municipio string, "
+        "total_avaliados long, taxa_alfabetizacao_real double")
+    targets = spark.createDataFrame([(2022, "1", 50.0, 55.0), (2023, "1", 50.0, 75.0)], TARGETS)
+    rows = ind.target_comparison(cities, targets, YEARS, policy="by_year").collect()
+    per_year = {}
+    for r in rows:
+        per_year.setdefault(r.ano, []).append((r.meta_ano, r.status_meta))
+    assert per_year[2023] == [(None, STATUS_NO_TARGET)]
+    assert per_year[2024] == [(50.0, STATUS_MET)]
+    assert sorted(per_year[2025]) == [(55.0, STATUS_MET), (75.0, STATUS_BELOW)]
+    # the distinct policy fans every year out by the number of target rows
+    assert ind.target_comparison(cities, targets, YEARS).count() == 6
