@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -18,19 +18,26 @@ from tessera.operators.clean import typed_projection
 log = logging.getLogger(__name__)
 
 
-def try_read_parquet(spark: SparkSession, path: str,
-                     ignore_missing_files: bool = False) -> DataFrame | None:
+def _is_missing(e: AnalysisException) -> bool:
+    msg = str(e)
+    return any(k in msg for k in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist"))
+
+
+def try_read_parquet(spark: SparkSession, path: str, ignore_missing_files: bool = False,
+                     base_path: str | None = None) -> DataFrame | None:
     """SRC-9: None when the path does not exist or holds no data files.
 
     ``ignore_missing_files``: files listed but gone by the time a task reads
     them (e.g. a concurrent overwrite) are skipped instead of failing the job.
+    ``base_path`` keeps the partition columns of the folders below it.
     """
+    reader = spark.read.option("ignoreMissingFiles", str(ignore_missing_files).lower())
+    if base_path:
+        reader = reader.option("basePath", base_path)
     try:
-        return spark.read.option("ignoreMissingFiles", str(ignore_missing_files).lower()) \
-            .parquet(path)
+        return reader.parquet(path)
     except AnalysisException as e:
-        msg = str(e)
-        if "PATH_NOT_FOUND" in msg or "UNABLE_TO_INFER_SCHEMA" in msg or "does not exist" in msg:
+        if _is_missing(e):
             log.warning("no data at %s: skipped", path)
             return None
         raise
@@ -41,16 +48,9 @@ def read_batch(spark: SparkSession, root: str, batch: str,
     """SRC-6: one ``anomesdia=D`` directory, partition column kept.
 
     Only that directory is listed and read (the path names it; ``basePath``
-    keeps the partition value as a column).
+    keeps the partition value as a column). None when the batch is missing.
     """
-    path = f"{root.rstrip('/')}/{partition}={batch}"
-    try:
-        return spark.read.option("basePath", root).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            log.warning("batch %s not found under %s", batch, root)
-            return None
-        raise
+    return try_read_parquet(spark, f"{root.rstrip('/')}/{partition}={batch}", base_path=root)
 
 
 def read_years(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
@@ -88,11 +88,16 @@ def latest_snapshot(df: DataFrame, partitions: Sequence[str] = SILVER_PARTITIONS
     newest = df.agg(F.max(F.struct(*[F.col(p) for p in partitions])).alias("m")).first()["m"]
     if newest is None:
         return df.limit(0)
+    return df.where(_partition_equals({p: newest[p] for p in partitions}))
+
+
+def _partition_equals(values: Mapping[str, str]) -> Column:
+    """partition_1 = v1 AND partition_2 = v2 ... (prunes every other partition)."""
     cond = None
-    for p in partitions:
-        c = F.col(p) == F.lit(newest[p])
+    for p, v in values.items():
+        c = F.col(p) == F.lit(v)
         cond = c if cond is None else cond & c
-    return df.where(cond)
+    return cond
 
 
 def newest_partition(df: DataFrame, partitions: Sequence[str]) -> dict[str, str] | None:
@@ -124,8 +129,4 @@ def read_latest(spark: SparkSession, root: str,
     newest = newest_partition(df, partitions)
     if newest is None:
         return latest_snapshot(df, partitions)
-    cond = None
-    for p in partitions:
-        c = F.col(p) == F.lit(newest[p])
-        cond = c if cond is None else cond & c
-    return df.where(cond)
+    return df.where(_partition_equals(newest))
