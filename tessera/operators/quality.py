@@ -77,7 +77,9 @@ def _metric(check: Check, df: DataFrame) -> Column | None:
         # shuffles digests, not whole documents (collision odds ~2^-128).
         key = F.unhex(F.sha2(c, 256)) if isinstance(types.get(check.column),
                                                     (StringType, BinaryType)) else c
-        return (F.count_distinct(key) + F.max(c.isNull().cast("int"))).cast("long")
+        # coalesce: max() over an empty table is NULL, and 0 rows hold 0 duplicates
+        return (F.count_distinct(key)
+                + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))).cast("long")
     if check.kind == "min_count":
         return None
     raise ValueError(f"unknown check kind {check.kind!r}")

@@ -58,7 +58,7 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
             else:
                 bronze = read_batch(spark, f"{lake_root}/bronze/{entity}", batch)
             if bronze is None or bronze.isEmpty():
-                outcomes.append(Outcome(entity, "skipped", 0, "empty or missing batch"))
+                outcomes.append(Outcome(entity, "skipped", detail="empty or missing batch"))
                 continue
             counts: dict = {}
             silver = build_silver(bronze, contract, clock, counts=counts)

@@ -264,8 +264,8 @@ def _check_sql(source: str, checks: list[tuple], text_cols: set[str]) -> str:
             measures.append(f"count(*) FILTER (WHERE {cond}) AS m{i}")
             obs, ok = f"m{i}", f"m{i} = 0"
         elif kind == "unique":
-            measures.append(f"count(DISTINCT {col}) + max(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END)"
-                            f" AS m{i}")
+            measures.append(f"count(DISTINCT {col}) + "
+                            f"coalesce(max(CASE WHEN {col} IS NULL THEN 1 ELSE 0 END), 0) AS m{i}")
             obs, ok = f"n - m{i}", f"n - m{i} = 0"
         elif kind == "regex":
             t = f"CAST({col} AS VARCHAR)"
@@ -328,7 +328,8 @@ m AS (
   SELECT count(*) AS n,
          count(*) FILTER (WHERE id_aluno IS NULL) AS nn_id,
          count(*) FILTER (WHERE ano IS NULL) AS nn_ano,
-         count(DISTINCT id_aluno) + max(CASE WHEN id_aluno IS NULL THEN 1 ELSE 0 END) AS d_id
+         count(DISTINCT id_aluno)
+           + coalesce(max(CASE WHEN id_aluno IS NULL THEN 1 ELSE 0 END), 0) AS d_id
   FROM students
 ),
 checks AS (

@@ -158,3 +158,12 @@ def test_unique_on_text_uses_digest_same_result(spark):  # DQ-3 on long text
     r = dq.run_checks(df, [Check("unique", "t")])[0]
     assert r.observed == 2                       # 5 rows - 3 distinct values (NULL counts once)
     assert "sha2" in plan_text(dq.check_report(df, [Check("unique", "t")]), "simple")
+
+
+def test_checks_on_empty_table(spark):  # no rows: no nulls, no duplicates, too few rows
+    df = spark.createDataFrame([], "a int, s string")
+    res = dq.run_checks(df, [Check("unique", "a"), Check("not_null", "s"),
+                             Check("regex", "s", "^x$"), Check("range", "a", (0, 1)),
+                             Check("min_count", value=1)])
+    assert [(r.observed, r.status) for r in res] == [(0, "PASS"), (0, "PASS"), (0, "PASS"),
+                                                    (0, "PASS"), (0, "FAIL")]

@@ -137,11 +137,13 @@ def test_run_silver_loop_collects_outcomes(spark, tmp_dir):  # PIPE-5, E15, D6
     write_batch(adapters.city_targets(spark, SF), f"{lake}/bronze/meta_alfabetizacao_municipio",
                 DAY1.batch)
     write_batch(adapters.city_targets(spark, SF).limit(0), f"{lake}/bronze/uf", DAY1.batch)
-    outs = {o.entity: o.status for o in run_silver(
+    result = {o.entity: o for o in run_silver(
         spark, lake, DAY1.batch, DAY1, ["alunos", "meta_alfabetizacao_municipio", "uf", "municipio"],
         student_years=("alunos_1995", "alunos_1996"))}
+    outs = {k: o.status for k, o in result.items()}
     assert outs == {"alunos": "written", "meta_alfabetizacao_municipio": "written",
                     "uf": "skipped", "municipio": "skipped"}
+    assert result["uf"].detail == "empty or missing batch" and result["uf"].rows_out == 0
     # AGG-5: counts observed during the staging write, no extra pass
     rerun = {o.entity: o for o in run_silver(spark, lake, DAY1.batch, DAY1, ["alunos"],
                                              student_years=("alunos_1995", "alunos_1996"))}
