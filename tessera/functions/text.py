@@ -6,21 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tessera.constants import MISSING_TEXT, NULL_TOKENS
-
-
-def _c(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+from tessera.functions.base import as_col
 
 
 def blank_to_null(c: str | Column) -> Column:
     """'' or spaces only -> NULL; anything else kept as is (not trimmed)."""
-    c = _c(c)
+    c = as_col(c)
     return F.when(F.trim(c) == "", F.lit(None).cast("string")).otherwise(c)
 
 
 def fill_missing(c: str | Column, sentinel: str = MISSING_TEXT) -> Column:
     """NULL -> sentinel."""
-    return F.coalesce(_c(c), F.lit(sentinel))
+    return F.coalesce(as_col(c), F.lit(sentinel))
 
 
 def clean_text(c: str | Column, sentinel: str = MISSING_TEXT) -> Column:
@@ -30,11 +27,11 @@ def clean_text(c: str | Column, sentinel: str = MISSING_TEXT) -> Column:
 
 def is_missing(c: str | Column, sentinel: str = MISSING_TEXT) -> Column:
     """NULL, or the sentinel text (string columns only)."""
-    c = _c(c)
+    c = as_col(c)
     return c.isNull() | (c == F.lit(sentinel))
 
 
 def null_tokens_to_null(c: str | Column, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     """Textual null tokens (NaN, None, NULL ...) -> NULL."""
-    c = _c(c)
+    c = as_col(c)
     return F.when(c.isin(list(tokens)), F.lit(None).cast("string")).otherwise(c)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType, NumericType, StringType, StructType
 
 from tessera.constants import MISSING_TEXT, NULL_TOKENS
-from tessera.functions.text import blank_to_null, null_tokens_to_null
+from tessera.functions.text import blank_to_null, clean_text, null_tokens_to_null
 from tessera.functions.typing import safe_cast
 
 
@@ -41,8 +41,7 @@ def clean_values(df: DataFrame, fill: bool = True, round_scale: int | None = 2,
         if f.name in keep:
             out.append(c)
         elif isinstance(f.dataType, StringType):
-            e = blank_to_null(c)
-            out.append((F.coalesce(e, F.lit(MISSING_TEXT)) if fill else e).alias(f.name))
+            out.append((clean_text(c) if fill else blank_to_null(c)).alias(f.name))
         elif round_scale is not None and isinstance(f.dataType, FractionalType):
             out.append(F.round(c, round_scale).alias(f.name))
         else:
