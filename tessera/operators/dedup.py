@@ -25,8 +25,7 @@ from tessera.constants import MISSING_TEXT
 log = logging.getLogger(__name__)
 
 
-def drop_missing_keys(df: DataFrame, keys: Sequence[str], sentinel: bool = True) -> DataFrame:
-    """FLT-3: drop rows with a NULL key; blank or sentinel text keys count as NULL."""
+def _keys_present(df: DataFrame, keys: Sequence[str], sentinel: bool) -> Column | None:
     cond = None
     types = {f.name: f.dataType for f in df.schema.fields}
     for k in keys:
@@ -34,9 +33,21 @@ def drop_missing_keys(df: DataFrame, keys: Sequence[str], sentinel: bool = True)
         if sentinel and isinstance(types.get(k), StringType):
             c = c & (F.trim(F.col(k)) != "") & (F.col(k) != F.lit(MISSING_TEXT))
         cond = c if cond is None else cond & c
+    return cond
+
+
+def drop_missing_keys(df: DataFrame, keys: Sequence[str], sentinel: bool = True) -> DataFrame:
+    """FLT-3: drop rows with a NULL key; blank or sentinel text keys count as NULL."""
+    cond = _keys_present(df, keys, sentinel)
     return df.where(cond) if cond is not None else df
 
 
+def missing_key_rows(df: DataFrame, keys: Sequence[str], sentinel: bool = True) -> DataFrame:
+    """The rows :func:`drop_missing_keys` rejects (for a quarantine table, D13)."""
+    cond = _keys_present(df, [k for k in keys if k in df.columns], sentinel)
+    return df.where(~F.coalesce(cond, F.lit(False))) if cond is not None else df.limit(0)
+
+
 def _order(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> list[Column]:
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     return [F.col(c).desc_nulls_last() for c in (*order_by, *rest)]

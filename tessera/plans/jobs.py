@@ -15,17 +15,20 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tessera.constants import SILVER_PARTITIONS
 from tessera.contracts import CONTRACTS, MISSING_COLUMN_POLICY, RULE_SETS, SILVER_ENTITIES, Check
 from tessera.operators.audit import RunClock
+from tessera.operators.dedup import missing_key_rows
 from tessera.operators.quality import DataQualityError
 from tessera.plans.bronze import ingest_csv, ingest_warehouse
 from tessera.plans.gold import build_gold, publish_gold
 from tessera.plans.publish import Target, publish_checked
-from tessera.plans.silver import build_silver
+from tessera.plans.silver import build_silver, clean
 from tessera.sources.catalog import register_table
 from tessera.sources.parquet import read_batch, read_latest, read_years
+from tessera.sources.sinks import write_batch
 from tessera.session import apply_partition_settings, configure
 
 log = logging.getLogger(__name__)
@@ -46,7 +49,8 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                entities: list[str] | None = None,
                checks: dict[str, tuple[Check, ...]] | None = None,
                student_years: tuple[str, ...] = ("alunos_2023", "alunos_2024", "alunos_2025"),
-               missing_column: str = "skip", catalog_prefix: str | None = None) -> list[Outcome]:
+               missing_column: str = "skip", catalog_prefix: str | None = None,
+               quarantine: bool = False) -> list[Outcome]:
     """PIPE-5: every entity (default all six); failures are collected, raised at the end (D6)."""
     outcomes: list[Outcome] = []
     for entity in entities or list(SILVER_ENTITIES):
@@ -68,6 +72,10 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                             tuple((checks or {}).get(entity, contract.checks)))
             publish_checked(spark, {entity: target}, missing_column,
                             report_path=f"{lake_root}/quality_reports/silver")
+            if quarantine and contract.keys:       # D13: rows rejected for missing keys
+                rejected = missing_key_rows(clean(bronze, contract), contract.keys)
+                write_batch(rejected.withColumn("_reason", F.lit("missing business key")),
+                            f"{lake_root}/quarantine/{entity}", batch)
             if catalog_prefix:                      # CAT-1: the crawler's job
                 register_table(spark, f"{catalog_prefix}_{entity}", target.path, partitioned=True)
             rows_in, rows_out = counts["in"].get["rows"], counts["out"].get["rows"]
@@ -113,6 +121,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--table", default=None, help="bronze: warehouse table for --entity")
     p.add_argument("--export-root", default=None,
                    help="bronze: read the warehouse table from a Parquet export instead")
+    p.add_argument("--quarantine", action="store_true",
+                   help="silver: keep rows rejected for missing keys under <lake>/quarantine")
     p.add_argument("--catalog-prefix", default=None,
                    help="register silver/gold tables in the catalog as <prefix>_<table>")
     p.add_argument("--input-bytes", type=int, default=0,
@@ -140,7 +150,7 @@ def main(argv: list[str] | None = None) -> int:
                           [args.entity] if args.entity else None,
                           checks=dict(RULE_SETS[args.rule_set]),
                           missing_column=MISSING_COLUMN_POLICY[args.rule_set],
-                          catalog_prefix=args.catalog_prefix)
+                          catalog_prefix=args.catalog_prefix, quarantine=args.quarantine)
         for o in outs:
             log.info("%s: %s %s", o.entity, o.status, o.detail)
         failed = [o for o in outs if o.status == "failed"]

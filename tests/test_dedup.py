@@ -62,3 +62,11 @@ def test_hot_key_keeps_one_row(spark):
     df = spark.range(20000).select(F.lit(1).alias("k"), F.col("id").alias("v")).repartition(16)
     out = keep_latest(df, ("k",), ("v",)).collect()
     assert len(out) == 1 and out[0].v == 19999
+
+
+def test_missing_key_rows_complement(spark):  # D13 quarantine
+    from tessera.operators.dedup import missing_key_rows
+    df = spark.createDataFrame([(None, "x"), ("", "y"), ("N/A", "z"), ("k", "w")], "k string, v string")
+    kept = {r.v for r in drop_missing_keys(df, ["k"]).collect()}
+    rejected = {r.v for r in missing_key_rows(df, ["k"]).collect()}
+    assert kept == {"w"} and rejected == {"x", "y", "z"}

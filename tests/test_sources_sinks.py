@@ -146,7 +146,9 @@ def test_run_silver_loop_collects_outcomes(spark, tmp_dir):  # PIPE-5, E15, D6
     assert result["uf"].detail == "empty or missing batch" and result["uf"].rows_out == 0
     # AGG-5: counts observed during the staging write, no extra pass
     rerun = {o.entity: o for o in run_silver(spark, lake, DAY1.batch, DAY1, ["alunos"],
-                                             student_years=("alunos_1995", "alunos_1996"))}
+                                             student_years=("alunos_1995", "alunos_1996"),
+                                             quarantine=True)}
+    assert spark.read.parquet(f"{lake}/quarantine/alunos").count() == 0   # no missing keys here
     in_rows = raw.where(F.col("NU_ANO_AVALIACAO").isin(1995, 1996)).count()
     keys = raw.where(F.col("NU_ANO_AVALIACAO").isin(1995, 1996)) \
         .select("NU_ANO_AVALIACAO", "ID_ALUNO").distinct().count()
