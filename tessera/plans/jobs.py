@@ -23,6 +23,7 @@ from tessera.operators.audit import RunClock
 from tessera.operators.dedup import missing_key_rows
 from tessera.operators.quality import DataQualityError
 from tessera.plans.bronze import ingest_csv, ingest_warehouse
+from tessera.operators.indicators import target_fanout
 from tessera.plans.gold import build_gold, publish_gold
 from tessera.plans.publish import Target, publish_checked
 from tessera.plans.silver import build_silver, clean
@@ -99,6 +100,11 @@ def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COL
     """
     students = read_latest(spark, f"{lake_root}/silver/alunos")
     targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")
+    # D5: cities with several differing target rows duplicate comparison rows
+    fanout = target_fanout(targets, target_columns).count()
+    if fanout:
+        log.warning("[DQ:GOLD] WARN | %d cities have more than one distinct target row; "
+                    "their comparison rows are repeated (use policy='latest' to keep one)", fanout)
     views = build_gold(students, targets, target_columns, materialize=True)
     out = publish_gold(spark, views, f"{lake_root}/gold",
                        report_path=f"{lake_root}/quality_reports/gold", versioned=True)
