@@ -14,7 +14,7 @@ from pyspark.sql.types import FractionalType, NumericType, StringType, StructTyp
 
 from tessera.constants import MISSING_TEXT, NULL_TOKENS
 from tessera.functions.text import blank_to_null, clean_text, null_tokens_to_null
-from tessera.functions.typing import safe_cast
+from tessera.functions.casts import safe_cast
 
 
 def string_columns(df: DataFrame) -> list[str]:

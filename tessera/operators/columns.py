@@ -11,7 +11,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.typing import safe_cast
+from tessera.functions.casts import safe_cast
 
 
 def _check_unique(names: list[str]) -> None:
@@ -53,7 +53,7 @@ def cast_present(df: DataFrame, columns: Iterable[str], to: str) -> DataFrame:
 
     Casts use ``try_cast`` so a value that does not fit becomes NULL instead of
     failing the job under ANSI mode; decimal text such as '12.0' still reaches
-    an integer column (see ``functions.typing.safe_cast``).
+    an integer column (see ``functions.casts.safe_cast``).
     """
     wanted = set(columns)
     if not wanted & set(df.columns):
