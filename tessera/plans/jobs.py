@@ -14,7 +14,7 @@ import logging
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.constants import SILVER_PARTITIONS
@@ -114,6 +114,32 @@ def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COL
     return out
 
 
+def explain_run(spark: SparkSession, layer: str, lake_root: str, batch: str, clock: RunClock,
+                entities: list[str] | None = None,
+                student_years: tuple[str, ...] = ("alunos_2023", "alunos_2024", "alunos_2025"),
+                target_columns=GOLD_TARGET_COLUMNS) -> dict[str, DataFrame]:
+    """The DataFrames a silver or gold run would write, with their plans printed."""
+    frames: dict[str, DataFrame] = {}
+    if layer == "silver":
+        for entity in entities or list(SILVER_ENTITIES):
+            contract = CONTRACTS[entity]
+            if entity == "alunos":
+                paths = [f"{lake_root}/bronze/{y}/anomesdia={batch}" for y in student_years]
+                bronze = read_years(spark, paths, contract.schema)
+            else:
+                bronze = read_batch(spark, f"{lake_root}/bronze/{entity}", batch)
+            if bronze is not None:
+                frames[entity] = build_silver(bronze, contract, clock)
+    elif layer == "gold":
+        students = read_latest(spark, f"{lake_root}/silver/alunos")
+        targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")
+        frames = build_gold(students, targets, target_columns)
+    for name, df in frames.items():
+        print(f"===== {layer}: {name}")
+        df.explain("formatted")
+    return frames
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="tessera")
     p.add_argument("layer", choices=("bronze", "silver", "gold"))
@@ -131,6 +157,8 @@ def main(argv: list[str] | None = None) -> int:
                    help="silver: keep rows rejected for missing keys under <lake>/quarantine")
     p.add_argument("--catalog-prefix", default=None,
                    help="register silver/gold tables in the catalog as <prefix>_<table>")
+    p.add_argument("--explain", action="store_true",
+                   help="silver/gold: print the physical plans a run would execute; write nothing")
     p.add_argument("--input-bytes", type=int, default=0,
                    help="approximate input size; sizes shuffle partitions and scan splits")
     args = p.parse_args(argv)
@@ -138,6 +166,10 @@ def main(argv: list[str] | None = None) -> int:
     if args.input_bytes:
         apply_partition_settings(spark, args.input_bytes)
     clock = RunClock.now()
+    if args.explain:
+        explain_run(spark, args.layer, args.lake_root, args.batch_date or clock.batch, clock,
+                    [args.entity] if args.entity else None)
+        return 0
     if args.layer == "bronze":
         if not args.entity or not (args.csv or args.table):
             raise SystemExit("bronze needs --entity and --csv or --table")

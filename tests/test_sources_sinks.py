@@ -191,6 +191,11 @@ def test_jobs_cli_bronze_silver_gold_with_reports(spark, tmp_dir):  # PIPE-1/5/6
     assert {o.entity: o.status for o in outs} == {"alunos": "written",
                                                   "meta_alfabetizacao_municipio": "written"}
     assert spark.sql("SELECT count(*) AS n FROM silver_alunos").first().n == 2
+    from tessera.plans.jobs import explain_run
+    planned = explain_run(spark, "gold", lake, batch, RunClock.now())
+    assert set(planned) == {"indicador_alfabetizacao_municipio", "comparativo_metas_resultados",
+                            "evolucao_temporal_estado"}
+    assert main(["silver", "--lake-root", lake, "--entity", "alunos", "--explain"]) == 0
     assert main(["gold", "--lake-root", lake, "--catalog-prefix", "gold"]) == 0
     assert spark.sql("SELECT status_meta FROM gold_comparativo_metas_resultados").first()[0] \
         == "Atingiu a Meta"
