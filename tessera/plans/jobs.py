@@ -46,6 +46,18 @@ class Outcome:
     detail: str = ""
 
 
+def _read_bronze(spark: SparkSession, lake_root: str, entity: str, batch: str,
+                 student_years: tuple[str, ...]) -> DataFrame | None:
+    """The bronze batch of one entity; None when it is missing (students: every year)."""
+    if entity != "alunos":
+        return read_batch(spark, f"{lake_root}/bronze/{entity}", batch)
+    paths = [f"{lake_root}/bronze/{y}/anomesdia={batch}" for y in student_years]
+    try:
+        return read_years(spark, paths, CONTRACTS[entity].schema)
+    except FileNotFoundError:
+        return None
+
+
 def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                entities: list[str] | None = None,
                checks: dict[str, tuple[Check, ...]] | None = None,
@@ -57,11 +69,7 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
     for entity in entities or list(SILVER_ENTITIES):
         contract = CONTRACTS[entity]
         try:
-            if entity == "alunos":
-                paths = [f"{lake_root}/bronze/{y}/anomesdia={batch}" for y in student_years]
-                bronze = read_years(spark, paths, contract.schema)
-            else:
-                bronze = read_batch(spark, f"{lake_root}/bronze/{entity}", batch)
+            bronze = _read_bronze(spark, lake_root, entity, batch, student_years)
             if bronze is None or bronze.isEmpty():
                 outcomes.append(Outcome(entity, "skipped", detail="empty or missing batch"))
                 continue
@@ -122,14 +130,9 @@ def explain_run(spark: SparkSession, layer: str, lake_root: str, batch: str, clo
     frames: dict[str, DataFrame] = {}
     if layer == "silver":
         for entity in entities or list(SILVER_ENTITIES):
-            contract = CONTRACTS[entity]
-            if entity == "alunos":
-                paths = [f"{lake_root}/bronze/{y}/anomesdia={batch}" for y in student_years]
-                bronze = read_years(spark, paths, contract.schema)
-            else:
-                bronze = read_batch(spark, f"{lake_root}/bronze/{entity}", batch)
+            bronze = _read_bronze(spark, lake_root, entity, batch, student_years)
             if bronze is not None:
-                frames[entity] = build_silver(bronze, contract, clock)
+                frames[entity] = build_silver(bronze, CONTRACTS[entity], clock)
     elif layer == "gold":
         students = read_latest(spark, f"{lake_root}/silver/alunos")
         targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")

@@ -144,6 +144,8 @@ def test_run_silver_loop_collects_outcomes(spark, tmp_dir):  # PIPE-5, E15, D6
     assert outs == {"alunos": "written", "meta_alfabetizacao_municipio": "written",
                     "uf": "skipped", "municipio": "skipped"}
     assert result["uf"].detail == "empty or missing batch" and result["uf"].rows_out == 0
+    # a batch date with no yearly student folder is skipped, not failed
+    assert run_silver(spark, lake, "19000101", DAY1, ["alunos"])[0].status == "skipped"
     # AGG-5: counts observed during the staging write, no extra pass
     rerun = {o.entity: o for o in run_silver(spark, lake, DAY1.batch, DAY1, ["alunos"],
                                              student_years=("alunos_1995", "alunos_1996"),
