@@ -14,7 +14,7 @@ import logging
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.constants import SILVER_PARTITIONS
@@ -46,6 +46,13 @@ class Outcome:
     detail: str = ""
 
 
+def _observed_rows(obs: Observation) -> int:
+    """The ``rows`` metric of an Observation (``Observation.get`` is a property
+    holding the metrics dict once the observed action has run)."""
+    metrics: dict = obs.get
+    return int(metrics["rows"])
+
+
 def _read_bronze(spark: SparkSession, lake_root: str, entity: str, batch: str,
                  student_years: tuple[str, ...]) -> DataFrame | None:
     """The bronze batch of one entity; None when it is missing (students: every year)."""
@@ -87,7 +94,7 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                             f"{lake_root}/quarantine/{entity}", batch)
             if catalog_prefix:                      # CAT-1: the crawler's job
                 register_table(spark, f"{catalog_prefix}_{entity}", target.path, partitioned=True)
-            rows_in, rows_out = counts["in"].get["rows"], counts["out"].get["rows"]
+            rows_in, rows_out = _observed_rows(counts["in"]), _observed_rows(counts["out"])
             log.info("%s: %d bronze rows, %d silver rows, %d null-key/duplicate rows removed",
                      entity, rows_in, rows_out, rows_in - rows_out)
             outcomes.append(Outcome(entity, "written", rows_in, rows_out))
