@@ -374,7 +374,14 @@ SELECT window_start, window_start + INTERVAL 1 DAY AS window_end, event_type, n_
        n_flagged, {rate_sql('n_flagged', 'n_events')} AS flag_rate
 FROM d"""
 
+# append mode: a window is emitted once the watermark (newest event - 1 day)
+# has passed its end
+STREAM_DAILY_INDICATOR_APPEND_SQL = f"""
+SELECT * FROM ({STREAM_DAILY_INDICATOR_SQL}) w
+WHERE w.window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY"""
+
 ORACLE.update({
+    "stream_daily_indicator_append": STREAM_DAILY_INDICATOR_APPEND_SQL,
     "stream_dedup_events": STREAM_DEDUP_EVENTS_SQL,
     "stream_daily_indicator": STREAM_DAILY_INDICATOR_SQL,
     "students_latest": STUDENTS_LATEST_SQL,
