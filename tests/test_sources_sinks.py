@@ -253,3 +253,11 @@ def test_newest_partition_from_listing(spark, tmp_dir):  # SRC-8 without a job
         {"ano_ingestao": "2026", "mes_ingestao": "07", "dia_ingestao": "01"}
     assert [r.v for r in read_latest(spark, f"{tmp_dir}/t").collect()] == [2]
     assert newest_partition(spark.range(1), ("a",)) is None
+
+
+def test_read_gold_before_any_commit(spark, tmp_dir):
+    from tessera.plans.gold import read_gold
+    from tessera.plans.publish import latest_commit
+    assert latest_commit(spark, f"{tmp_dir}/gold/commits") is None
+    with pytest.raises(FileNotFoundError):
+        read_gold(spark, f"{tmp_dir}/gold", "indicador_alfabetizacao_municipio")
