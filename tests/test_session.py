@@ -19,3 +19,18 @@ def test_checkpoint_folder_is_kept_and_scratch_under_it(spark):
     p = scratch_path(spark, "x")
     assert p.startswith(first.rstrip("/") + "/tables/x-")
     assert scratch_path(spark, "x") != p
+
+
+def test_queries_do_not_depend_on_caller_time_zone(spark):
+    import __spark_entry__ as entry
+    sf = "/root/testdata/sf0.001"
+    q = entry.queries()
+    utc = sorted(map(tuple, q["stream_daily_indicator"](spark, sf).collect()))
+    audit_utc = q["bronze_audit"](spark, sf).select("_ingestion_timestamp").first()[0]
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        other = sorted(map(tuple, q["stream_daily_indicator"](spark, sf).collect()))
+        audit_other = q["bronze_audit"](spark, sf).select("_ingestion_timestamp").first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert other == utc and audit_other == audit_utc
