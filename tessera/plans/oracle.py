@@ -317,6 +317,32 @@ DQ_DOCUMENTS_SQL = _check_sql("SELECT * FROM documents", [
     ("not_null", "source", None, True, True),
 ], {"text", "lang", "source"})
 
+def _score_sql(view: str, source: str, checks: list[tuple], text_cols: set[str]) -> str:
+    """Score row of one view from its per-check SQL (skipped checks: none here)."""
+    rows = _check_sql(source, checks, text_cols)
+    return f"""SELECT '{view}' AS view_name, count(*) AS n_checks,
+       count(*) FILTER (WHERE passed) AS n_passed,
+       count(*) FILTER (WHERE NOT passed AND status <> 'SKIP') AS n_failed,
+       count(*) FILTER (WHERE status = 'SKIP') AS n_skipped,
+       count(*) FILTER (WHERE status = 'FAIL') AS n_critical_failed,
+       CAST(round(count(*) FILTER (WHERE passed) * 100.0 / count(*), 1) AS DOUBLE) AS score,
+       count(*) FILTER (WHERE status = 'FAIL') > 0 AS blocked
+FROM ({rows}) c"""
+
+
+DQ_GOLD_SCORES_SQL = "\nUNION ALL\n".join([
+    _score_sql("indicador_alfabetizacao_municipio", CITY_INDICATOR_SQL, [
+        ("min_count", None, 1, True, True),
+        ("range", "taxa_alfabetizacao_real", (0.0, 100.0), True, True)], set()),
+    _score_sql("comparativo_metas_resultados", TARGET_COMPARISON_SQL, [
+        ("min_count", None, 1, True, True),
+        ("not_null", "status_meta", None, True, True)], {"status_meta"}),
+    _score_sql("evolucao_temporal_estado", STATE_EVOLUTION_SQL, [
+        ("min_count", None, 1, True, True),
+        ("regex", "sigla_uf", "^[A-Z]{2}$", False, True),
+        ("range", "taxa_alfabetizacao_estado", (0.0, 100.0), True, True)], {"sigla_uf"}),
+])
+
 DQ_DUPLICATES_SQL = f"""
 WITH {STUDENTS_SQL}
 SELECT ano, id_aluno, count(*) AS n_rows FROM students
@@ -398,6 +424,7 @@ ORACLE.update({
     "dq_students": DQ_STUDENTS_SQL,
     "dq_city_indicator": DQ_CITY_INDICATOR_SQL,
     "dq_documents": DQ_DOCUMENTS_SQL,
+    "dq_gold_scores": DQ_GOLD_SCORES_SQL,
     "dq_duplicates": DQ_DUPLICATES_SQL,
     "dq_score": DQ_SCORE_SQL,
     "invalid_patterns": INVALID_PATTERNS_SQL,

@@ -220,6 +220,19 @@ def dq_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.check_report(adapters.table(spark, sf_dir, "documents"), DOCUMENT_CHECKS)
 
 
+def dq_gold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-10 gold rule set: every gold view scored under its own checks."""
+    configure(spark)
+    views = build_gold(adapters.students(spark, sf_dir), adapters.city_targets(spark, sf_dir),
+                       adapters.TARGET_YEARS)
+    out = None
+    for name, view in views.items():
+        scored = dq.score_report(dq.check_report(view, GOLD_CHECKS[name])).select(
+            F.lit(name).alias("view_name"), "*")
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
 def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-6 / AGG-7: student key groups holding more than one row."""
     configure(spark)
@@ -375,6 +388,7 @@ QUERIES: dict[str, QueryFn] = {
     "dq_students": dq_students,
     "dq_city_indicator": dq_city_indicator,
     "dq_documents": dq_documents,
+    "dq_gold_scores": dq_gold_scores,
     "dq_duplicates": dq_duplicates,
     "dq_score": dq_score,
     "invalid_patterns": invalid_patterns,
