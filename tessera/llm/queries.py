@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm.common import documents
+from tessera.llm.near_duplicates import near_duplicates
 from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import interleaved_shards
 from tessera.session import configure
@@ -22,6 +23,10 @@ def public_vocabulary(name: str) -> Callable[[], str]:
     return path
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(configure(spark), sf_dir), k=3, percent=85)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(configure(spark), sf_dir),
                           public_vocabulary("word_bpe_49k.json"))
@@ -32,6 +37,7 @@ def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_interleaved_shards": op8_interleaved_shards,
 }
