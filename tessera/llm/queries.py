@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import documents
+from tessera.llm.decontaminate import benchmark_hits, contamination
+from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.near_duplicates import near_duplicates
 from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import interleaved_shards
@@ -23,10 +26,23 @@ def public_vocabulary(name: str) -> Callable[[], str]:
     return path
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(configure(spark), sf_dir)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination(docs, benchmark_hits(docs, benchmark))
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(configure(spark), sf_dir), k=3, percent=85)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(configure(spark), sf_dir).select("doc_id", "text")
+    out = dedup_lines(docs, counts=("n_lines", "n_dropped"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.length("text").alias("n_chars_kept"),
+                      F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(configure(spark), sf_dir),
                           public_vocabulary("word_bpe_49k.json"))
@@ -37,7 +53,9 @@ def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
+    "op4_line_dedup": op4_line_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_interleaved_shards": op8_interleaved_shards,
 }
