@@ -13,6 +13,7 @@ from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.near_duplicates import near_duplicates
 from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import interleaved_shards
+from tessera.llm.toxicity import toxicity
 from tessera.session import configure
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +44,11 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(configure(spark), sf_dir),
+                    spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(configure(spark), sf_dir),
                           public_vocabulary("word_bpe_49k.json"))
@@ -56,6 +62,7 @@ QUERIES: dict[str, QueryFn] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
     "op4_line_dedup": op4_line_dedup,
+    "op5_toxicity": op5_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_interleaved_shards": op8_interleaved_shards,
 }
