@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_rows
+from tessera.llm.common import arrow_rows, stored
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß"
 EDGE, OTHER, SIZE = 0, len(LETTERS) + 1, len(LETTERS) + 2
@@ -203,8 +203,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Labelled rows that are held out (crc32 of the id, modulo 5, is 0) are never
     used. Of the others at most ``sample_rows`` a label are, the same ones each
-    time, weighted back to the labels' true shares. Half of them give the
-    words' weights, the other half the weights of a document's statistics.
+    time, weighted back to the labels' true shares. The weights of a document's statistics come from describing
+    either half of them with the words' weights of the other half.
     """
     letters = Characters(character_counts(docs, text_col))
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"),
@@ -223,40 +223,55 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text"))
     # at most 2 * sample_rows ids
-    sample = texts.join(F.broadcast(picked), "doc_id")
+    sample = stored(texts.join(F.broadcast(picked), "doc_id"), "labelled")
+
+    columns = [f"{kind}{half}" for half in (0, 1) for kind in ("clean", "toxic")]
 
     def count(cols: dict) -> dict:
         seen: dict[str, list[int]] = {}
-        for text, y in zip(cols["text"], cols["y"], strict=True):
+        for text, y, half in zip(cols["text"], cols["y"], cols["half"], strict=True):
             own: set[str] = set()
             for w in set(letters.words(text or "")):
                 own.update(features(letters.restore(w) if needs_decoding(w) else w))
             for f in own:
-                seen.setdefault(f, [0, 0])[y] += 1
-        return {"feature": list(seen), "clean": [v[0] for v in seen.values()],
-                "toxic": [v[1] for v in seen.values()]}
+                seen.setdefault(f, [0, 0, 0, 0])[2 * half + y] += 1
+        return {"feature": list(seen)} | {
+            c: [v[i] for v in seen.values()] for i, c in enumerate(columns)}
 
-    halves = sample.filter("half = 0")
-    sizes = {r["y"]: r["n"] for r in halves.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(sizes) < 2:
+    sizes = {(r["half"], r["y"]): r["n"] for r in
+             sample.groupBy("half", "y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(sizes) < 4:
         return Scorer(letters, {})
-    per = arrow_rows(halves, ["text", "y"], "feature string, clean long, toxic long", count,
+    per = arrow_rows(sample, ["text", "y", "half"],
+                     "feature string, " + ", ".join(f"{c} long" for c in columns), count,
                      text_col="text", max_chars=16_000_000)
-    per = per.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    odds = (F.log((F.col("toxic") + 0.0) / sizes[1])
-            - F.log((F.col("clean") + 1.0) / (sizes[0] + 1.0)))
+    per = per.groupBy("feature").agg(*[F.sum(c).alias(c) for c in columns])
     # bounded by the sample: features of at least three of its toxic rows
-    kept = per.filter("toxic >= 3").withColumn("weight", odds).filter("weight > 1.5").collect()
-    scorer = Scorer(letters, {r["feature"]: r["weight"] for r in kept})
-
-    def describe(cols: dict, own: Scorer) -> dict:
-        return {"y": cols["y"], "x": [own.statistics(t) for t in cols["text"]]}
-
-    rest = arrow_rows(sample.filter("half = 1"), ["text", "y"], "y int, x array<double>", describe,
-                      text_col="text", setup=lambda: scorer).collect()
+    kept = per.filter("toxic0 + toxic1 >= 3").collect()
+
+    def weights(halves: tuple[int, ...], least: int) -> dict[str, float]:
+        out = {}
+        for r in kept:
+            toxic = sum(r[f"toxic{h}"] for h in halves)
+            clean = sum(r[f"clean{h}"] for h in halves)
+            if toxic >= least:
+                of = [sum(sizes[h, y] for h in halves) for y in (0, 1)]
+                w = math.log(toxic / of[1]) - math.log((clean + 1) / (of[0] + 1))
+                if w > 1.5:
+                    out[r["feature"]] = w
+        return out
+
+    # each half is described with the weights of the other one
+    others = tuple(Scorer(letters, weights((1 - half,), 2)) for half in (0, 1))
+
+    def describe(cols: dict, own: tuple[Scorer, Scorer]) -> dict:
+        return {"y": cols["y"], "x": [own[half].statistics(t) for t, half in
+                                      zip(cols["text"], cols["half"], strict=True)]}
+
+    rest = arrow_rows(sample, ["text", "y", "half"], "y int, x array<double>", describe,
+                      text_col="text", setup=lambda: others).collect()
+    scorer = Scorer(letters, weights((0, 1), 3))
     y = np.array([r["y"] for r in rest], float)
-    if len(set(y.tolist())) < 2:
-        return Scorer(letters, {})
     x = np.array([r["x"] for r in rest])
     whole = shares[0] + shares[1]
     weight = np.where(y == 1, shares[1] / whole / y.mean(), shares[0] / whole / (1 - y.mean()))
