@@ -157,7 +157,7 @@ class Scorer:
         words = Counter(self.letters.words(text) if text else [])
         if len(self.cache) > self.max_words:
             self.cache.clear()
-        for w in words.keys() - self.cache.keys():
+        for w in set(words).difference(self.cache):
             self.cache[w] = self.word_score(w)
         # a word counts once, and by the logarithm of how often it is repeated
         found = [(s, words[w]) for w, s in zip(words, map(self.cache.__getitem__, words),
