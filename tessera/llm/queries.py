@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import documents
 from tessera.llm.decontaminate import benchmark_hits, contamination
+from tessera.llm.licenses import license_scan
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.near_duplicates import near_duplicates
 from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import interleaved_shards
+from tessera.llm.token_counts import sentence_pieces, token_counts
 from tessera.llm.toxicity import toxicity
 from tessera.session import configure
 
@@ -37,6 +39,10 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(configure(spark), sf_dir), k=3, percent=85)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(configure(spark), sf_dir))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(configure(spark), sf_dir).select("doc_id", "text")
     out = dedup_lines(docs, counts=("n_lines", "n_dropped"))
@@ -58,13 +64,20 @@ def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(documents(configure(spark), sf_dir))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_vocabulary("piece_bpe_32k.model")
+    return token_counts(documents(configure(spark), sf_dir), lambda: sentence_pieces(vocabulary()))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_license_scan": op3_license_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_interleaved_shards": op8_interleaved_shards,
+    "op10_token_counts": op10_token_counts,
 }
 
 # Hashes, checksums, vocabularies and searches here have no SQL equivalent in

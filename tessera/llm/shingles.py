@@ -44,8 +44,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of each word (A-Z lower-cased, split at ASCII white space).
+ASCII_BLANKS = np.zeros(256, bool)
+ASCII_BLANKS[[32, *range(9, 14)]] = True
+
+
+def word_hashes(raw: np.ndarray, at: np.ndarray,
+                blanks: np.ndarray = ASCII_BLANKS) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of each word (A-Z lower-cased, split at the bytes in ``blanks``).
 
     Returns the hashes in order and, like ``at``, where each text's words start
     and end. A word's hash is a polynomial in its bytes, taken from prefix sums.
@@ -53,7 +58,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray
     if not len(raw):
         return np.empty(0, np.uint64), np.zeros(len(at), np.int64)
     low = raw + (((raw >= 65) & (raw <= 90)) * np.uint8(32)).astype(np.uint8)
-    blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    blank = blanks[low]
     edge = np.zeros(len(raw) + 1, bool)
     edge[at] = True
     begins = ~blank

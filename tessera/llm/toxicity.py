@@ -14,9 +14,11 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -300,3 +302,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                         text_col="text", setup=lambda: held.value)
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"),
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                  text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` with a score below ``threshold``; cases as in :func:`toxicity`."""
+    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
+
+    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        own = held.value
+        for part in texts:
+            yield pd.Series([own.score(t) for t in part], dtype="float64")
+
+    score = F.pandas_udf(scores, "double")
+    return docs.filter(score(F.col(text_col).cast("string")) < threshold)
