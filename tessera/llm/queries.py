@@ -12,6 +12,7 @@ from tessera.llm.decontaminate import benchmark_hits, contamination
 from tessera.llm.licenses import license_scan
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.near_duplicates import near_duplicates
+from tessera.llm.order_minhash import fingerprints
 from tessera.llm.packing import pack_documents
 from tessera.llm.sharding import interleaved_shards
 from tessera.llm.token_counts import sentence_pieces, token_counts
@@ -55,6 +56,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(configure(spark), sf_dir))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(configure(spark), sf_dir),
                           public_vocabulary("word_bpe_49k.json"))
@@ -75,6 +80,7 @@ QUERIES: dict[str, QueryFn] = {
     "op3_license_scan": op3_license_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_order_minhash": op6_order_minhash,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_interleaved_shards": op8_interleaved_shards,
     "op10_token_counts": op10_token_counts,

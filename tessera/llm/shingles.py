@@ -131,10 +131,13 @@ class SetSketch:
             return out
         x, starts = (flat >> np.uint64(16)).astype(np.uint32), at[:-1][full]
         least = np.empty((self.m, len(full)), np.uint32)
-        value = np.empty_like(x)
+        value, high = np.empty_like(x), np.empty_like(x)
         for i in range(self.m):
             np.bitwise_xor(x, self.flip[i], out=value)
             np.multiply(value, self.times[i], out=value)
+            np.right_shift(value, np.uint32(15), out=high)
+            np.bitwise_xor(value, high, out=value)
+            np.multiply(value, np.uint32(0x2C1B3C6D), out=value)
             np.minimum.reduceat(value, starts, out=least[i])
         exponential = -np.log1p(-(least.astype(np.float64) + 0.5) / 2.0**32)
         level = np.floor(1 - np.log(exponential) / np.log(self.b)) + self.shift
