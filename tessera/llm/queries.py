@@ -14,6 +14,7 @@ from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.near_duplicates import near_duplicates
 from tessera.llm.order_minhash import fingerprints
 from tessera.llm.packing import pack_documents
+from tessera.llm.pii import personal_data
 from tessera.llm.sharding import interleaved_shards
 from tessera.llm.token_counts import sentence_pieces, token_counts
 from tessera.llm.toxicity import toxicity
@@ -69,6 +70,10 @@ def op8_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(documents(configure(spark), sf_dir))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(documents(configure(spark), sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_vocabulary("piece_bpe_32k.model")
     return token_counts(documents(configure(spark), sf_dir), lambda: sentence_pieces(vocabulary()))
@@ -83,6 +88,7 @@ QUERIES: dict[str, QueryFn] = {
     "op6_order_minhash": op6_order_minhash,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_interleaved_shards": op8_interleaved_shards,
+    "op9_personal_data": op9_personal_data,
     "op10_token_counts": op10_token_counts,
 }
 
