@@ -109,6 +109,67 @@ def verified_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return _pair_filter(joined, keep)
 
 
+def unlike_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of members of unfinished buckets that may still be linked.
+
+    ``stars`` has (centre, rep, component, outside): every member of a bucket
+    that is not in one component, with its centre and whether it is outside the
+    centre's component (so not linked to it). Let D be the elements in which a
+    member differs from the centre. For x outside and y any member, a link
+    needs D_x and D_y to share more than (|D_x| + |D_y| - e) / 2 elements,
+    where e is how much linked sets of their sizes may differ; and |D_x| alone
+    exceeds what a link to the centre allows, so this is above half of |D_y|,
+    about, and of |D_x| all but e. Hence, with D ordered by how rarely an
+    element is a difference from this centre, the first e elements of D_x and
+    the first half of D_y have one in common, and only such pairs are made.
+    What most members share with each other or have lost comes last and brings
+    nobody together.
+    """
+    t = percent / 100
+    fields = ("centre long, rep long, component long, outside boolean, first int, half int, "
+              "elements array<long>")
+    schema = to_arrow_schema(StructType.fromDDL(fields))
+    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s_{x}"))
+    joined = stars.join(side("centre"), "centre").join(side("rep"), "rep") \
+        .select("centre", "rep", "component", "outside", "s_centre", "s_rep")
+
+    def run(batches):
+        for batch in batches:
+            firsts, halves, elements = [], [], []
+            for one, two in zip(batch.column("s_centre").to_pylist(),
+                                batch.column("s_rep").to_pylist(), strict=True):
+                one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
+                own = np.setxor1d(one, two, assume_unique=True)
+                shared = (len(own) + (1 - t) / (1 + t) * (len(one) - len(two))) / 2
+                halves.append(max(len(own) - max(1, int(np.floor(shared - 1e-9)) + 1) + 1, 0))
+                firsts.append(int(len(two) * (1 - t) / t + 1e-9) + 1)
+                elements.append(own.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(i) for i in range(4)), pa.array(firsts, pa.int32()),
+                 pa.array(halves, pa.int32()), pa.array(elements, pa.list_(pa.int64()))],
+                schema=schema)
+
+    rows = stored(joined.mapInArrow(run, fields), "differences")
+    each = rows.select("centre", "rep", F.explode("elements").alias("element"))
+    often = each.groupBy("centre", "element").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    order = (each.join(often, ["centre", "element"], "left")
+             .groupBy("centre", "rep")
+             .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"),
+                                                       "element"))).alias("order")))
+    rows = rows.drop("elements").join(order, ["centre", "rep"]).withColumn(
+        "order", F.slice("order", 1, F.greatest(F.when(F.col("outside"), F.col("first"))
+                                                .otherwise(F.lit(0)), "half")))
+    spread = rows.select("centre", "rep", "component", "outside", "first", "half",
+                         F.posexplode("order").alias("at", "e")).filter("e.n > 1")
+    spread = stored(spread.withColumn("element", F.col("e.element")).drop("e"), "spread")
+    one = spread.filter("outside and at < first") \
+        .select("centre", "element", F.col("rep").alias("x"), F.col("component").alias("of_x"))
+    two = spread.filter("at < half") \
+        .select("centre", "element", F.col("rep").alias("y"), F.col("component").alias("of_y"))
+    return (one.join(two, ["centre", "element"]).filter("of_x <> of_y")
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
@@ -119,11 +180,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     Rows with equal sets become one class first, so copies cost one row each.
     Classes that agree on all registers of some band are candidates. Within a
     bucket of candidates, not all pairs are made: every class is paired with
-    one centre, and a bucket is done once all its classes are in one component.
-    Buckets that are not done get a new centre each round, until few pairs are
-    left in all; those are then made. So each pair of a bucket is either
-    checked or already connected. Pairs pass an estimate by joint likelihood
-    of the registers and then the exact check on full sets.
+    the bucket's centre (the class that meets most others), and a bucket is
+    done if all its classes are then in one component. The members of other
+    buckets meet by how they differ from the centre, see :func:`unlike_pairs`.
+    So each pair of a bucket is connected, checked or ruled out. Pairs pass an
+    estimate by joint likelihood of the registers and then the exact check on
+    full sets.
 
     Defined cases: a text without words (or null) has no shingle and is linked
     with nothing; with fewer than ``k`` words the whole sequence is the only
@@ -131,7 +193,6 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     n_shingles; a null id gets component null and is kept; an empty table gives
     an empty result; other columns are not read.
     """
-    spark = docs.sparkSession
     found = stored(sketches(docs, k, id_col, text_col), "sketches")
     same_set = ["n_shingles", "c1", "c2"]
     classes = stored(found.filter("n_shingles > 0 and doc_id is not null").groupBy(*same_set)
@@ -140,59 +201,44 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("registers", 1 + 2 * BAND * i, 2 * BAND))
                      for i in range(REGISTERS // BAND)])
     bands = classes.select("rep", F.explode(keys).alias("key"))
-    shared = bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"))
-    buckets = stored(bands.join(shared.filter("lo < hi").select("key"), "key")
-                     .select("key", "rep").distinct(), "buckets")
-    candidates = stored(buckets.select("rep").distinct(), "candidates")
-    texts = docs.withColumnRenamed(id_col, "rep").select("rep", text_col) \
-        .join(candidates, "rep")
+    shared = (bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"),
+                                       F.count(F.lit(1)).alias("size"))
+              .filter("lo < hi").select("key", "size"))
+    buckets = stored(bands.join(shared, "key").select("key", "rep", "size"), "buckets")
+    candidates = stored(buckets.groupBy("rep").agg(F.sum("size").alias("met")), "candidates")
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), text_col) \
+        .join(candidates.select("rep"), "rep")
     sets = stored(full_sets(texts, k, "rep", text_col), "sets")
-    nodes = stored(classes.join(candidates, "rep").select("rep", "n_shingles", "registers"), "nodes")
-
-    links = tested = labels = None
-    while True:
-        live = buckets.withColumn("component", F.col("rep")) if labels is None else (
-            buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-            .select("key", "rep", F.coalesce("component", "rep").alias("component")))
-        open_keys = (live.groupBy("key")
-                     .agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("size"),
-                          F.min("component").alias("lo"), F.max("component").alias("hi"))
-                     .filter("lo < hi").select("key", "centre", "size"))
-        live = stored(live.join(open_keys, "key"), "live")
-        counts = live.agg(F.count(F.lit(1)).alias("members"),
-                          F.sum(F.col("size") - F.lit(1)).alias("pairs")).first()
-        if not counts["members"]:
-            break
-        if labels is not None and counts["pairs"] <= 8 * counts["members"]:
-            one, two = (live.select("key", F.col("rep").alias(x), F.col("component").alias(f"of_{x}"))
-                        for x in ("a", "b"))
-            pairs = one.join(two, "key").filter("a < b and of_a <> of_b").select("a", "b")
-            last = True
-        else:
-            centre = live.filter("rep = centre").select("key", F.col("component").alias("of_centre"))
-            pairs = (live.join(centre, "key").filter("rep <> centre and component <> of_centre")
-                     .select(F.least("rep", "centre").alias("a"),
-                             F.greatest("rep", "centre").alias("b")))
-            buckets = live.filter("rep <> centre").select("key", "rep")
-            last = False
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        good = stored(verified_pairs(likely_pairs(pairs, nodes, percent / 100), sets, percent),
-                      "good")
-        links = good if links is None else links.union(good)
-        labels = components(links)
-        if last:
-            break
+    nodes = stored(classes.join(candidates, "rep")
+                   .select("rep", "met", "n_shingles", "registers"), "nodes")
+    met = nodes.groupBy("rep").agg(F.max("met").alias("met"))
+    buckets = buckets.select("key", "rep").distinct()
+
+    # every class with its bucket's centre
+    centres = (buckets.join(met, "rep").groupBy("key")
+               .agg(F.max_by("rep", F.struct("met", "rep")).alias("centre")))
+    live = stored(buckets.join(centres, "key"), "live")
+    pairs = (live.filter("rep <> centre").select(F.least("rep", "centre").alias("a"),
+                                                 F.greatest("rep", "centre").alias("b")).distinct())
+    links = stored(verified_pairs(likely_pairs(pairs, nodes, percent / 100), sets, percent), "links")
+    labels = components(links).withColumnRenamed("node", "rep")
+    # buckets that are not in one component yet
+    live = stored(live.join(labels, "rep", "left")
+                  .withColumn("component", F.coalesce("component", "rep")), "live")
+    left = (live.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+            .filter("lo < hi").select("key"))
+    own = live.filter("rep = centre").select("key", F.col("component").alias("of_centre"))
+    stars = (live.join(left, "key").filter("rep <> centre").join(own, "key")
+             .select("centre", "rep", "component",
+                     (F.col("component") != F.col("of_centre")).alias("outside")).distinct())
+    more = stored(unlike_pairs(stars, sets, percent), "pairs")
+    more = stored(verified_pairs(likely_pairs(more, nodes, percent / 100), sets, percent), "links")
+    labels = components(links.union(more)).withColumnRenamed("node", "rep")
 
     rows = found.select("doc_id", *same_set).join(classes.select(*same_set, "rep"), same_set, "left")
-    if labels is None:
-        rows = rows.withColumn("component", F.lit(None).cast("long"))
-    else:
-        rows = rows.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    rows = rows.join(labels, "rep", "left")
     whole = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(
         F.coalesce("component", "rep", "doc_id"))
     return rows.select("doc_id", "n_shingles", whole.cast("long").alias("component_id"),
                        F.coalesce(F.col("doc_id") == whole, F.lit(True)).alias("kept"))
+
