@@ -9,7 +9,10 @@ among pieces of equal length, as joins.
 
 from __future__ import annotations
 
+import re
+import sys
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
@@ -17,6 +20,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_rows, bucket_count, hash_bucket, ranked, stored
 
+assert array("I").itemsize == 4 and sys.byteorder == "little"
+
 CAPACITY = 4096
 END_ID = 1
 PIECES = ("doc_id long, piece int, start long, length long, ids_crc32 long")
@@ -26,31 +31,63 @@ class WordIds:
     """Token ids of words as little-endian bytes, with a bounded cache.
 
     The vocabulary drops white space and never joins across it, so a text's
-    ids are the ids of its blank-separated words, one after the other.
+    ids are the ids of its blank-separated words, one after the other. It
+    lower-cases, and cuts between letters and signs, so words are stored in
+    lower case and without the comma or stop behind them.
     """
 
-    def __init__(self, path: str, max_words: int = 300_000):
-        from tokenizers import Tokenizer
+    #: a sign before a comma or stop: both may belong to one run of signs
+    SIGNS = re.compile(r"[\W_][,.] ")
+
+    def __init__(self, path: str, max_words: int = 500_000):
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer, self.max_words, self.seen = Tokenizer.from_file(path), max_words, {}
+        self.model = self.tokenizer.model
+        # how the vocabulary writes each byte of a letter
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.written = {c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, 0x180)}
+
+    def learn(self, words: list[str]) -> None:
+        """Adds the ids of new words.
+
+        Words of plain lower-case letters are one unit for the vocabulary and go
+        to its model as they are; others take the tokenizer's whole way.
+        """
+        rest = []
+        for w in words:
+            if w.isalpha() and w.islower() and max(w) < "\u0180" and w == w.lower():
+                plain = w if w.isascii() else w.translate(self.written)
+                self.seen[w] = array("I", [t.id for t in self.model.tokenize(plain)]).tobytes()
+            else:
+                rest.append(w)
+        if not rest:
+            return
+        found = self.tokenizer.encode(rest, is_pretokenized=True, add_special_tokens=False)
+        ids = [array("I") for _ in rest]
+        for i, word in zip(found.ids, found.word_ids, strict=True):
+            ids[word].append(i)
+        for w, own in zip(rest, ids, strict=True):
+            self.seen[w] = own.tobytes()
+
+    def split(self, text: str) -> list[str]:
+        if "<|" not in text:  # special tokens are matched as written
+            text = text.encode().lower().decode()  # A-Z only
+        text = text.replace("\n", " ")
+        if not self.SIGNS.search(text):
+            text = text.replace(", ", " , ").replace(". ", " . ")
+        return text.split(" ")
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
-        import numpy as np
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [self.split(t) for t in texts]
         if len(self.seen) > self.max_words:
             self.seen.clear()
-        new = list({w for words in split for w in words}.difference(self.seen))
-        if new:
-            found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids = np.asarray(found.ids, dtype="<u4")
-            at = np.asarray(found.word_ids, dtype=np.int64)
-            ends = np.searchsorted(at, np.arange(len(new)), side="right") * 4
-            raw, begin = ids.tobytes(), 0
-            for word, end in zip(new, ends.tolist(), strict=True):
-                self.seen[word] = raw[begin:end]
-                begin = end
-        get = self.seen.__getitem__
-        for words in split:
-            yield b"".join(map(get, words))
+        found = [list(map(self.seen.get, words)) for words in split]
+        holes = [[i for i, ids in enumerate(own) if ids is None] for own in found]
+        self.learn(list({words[i] for words, at in zip(split, holes, strict=True) for i in at}))
+        for words, own, at in zip(split, found, holes, strict=True):
+            for i in at:
+                own[i] = self.seen[words[i]]
+            yield b"".join(own)
 
 
 def token_pieces(docs: DataFrame, vocabulary: Callable[[], str], capacity: int = CAPACITY,
