@@ -78,6 +78,17 @@ def _cut(batch: pa.RecordBatch, text_col: str | None, max_bytes: int) -> Iterato
         yield batch.slice(lo, hi - lo)
 
 
+def join_checked(rows: DataFrame, table: DataFrame, on: Sequence[str] | Column, how: str = "inner",
+                 most_rows: int = 200_000) -> DataFrame:
+    """``rows`` joined with a stored ``table``, broadcast only if it is small.
+
+    The table's rows are counted (from the files' footers); up to ``most_rows``
+    the wide rows stay where they are, beyond that both sides are shuffled.
+    """
+    small = table.count() <= most_rows
+    return rows.join(F.broadcast(table) if small else table, on, how)
+
+
 def hash_bucket(h: Column, n: int) -> Column:
     """Bucket 0..n-1 of a 64-bit hash, ascending with the hash."""
     unit = h.cast("double") / F.lit(2.0**64) + F.lit(0.5)

@@ -22,14 +22,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import _cut, stored
+from tessera.llm.common import _cut, join_checked, stored
 from tessera.llm.shingles import POWERS, mix, text_bytes, word_hashes
 
 #: Lines of fewer words must be equal: one word would be too large a part.
 MIN_WORDS = 8
 LEAST_ID = -(2**63)
-LINES = ("doc long, t long, pos int, n_words int, h1 long, h2 long, "
-         "k1 long, k2 long, k3 long, k4 long")
+LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>"
 NEAR = "doc long, t long, pos int, words binary, v1 array<long>, v2 array<long>"
 SALTS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 
@@ -89,14 +88,16 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line with words: its digest and four hashes of its halves.
+def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per line with words: its digest and hashes of its ends.
 
-    A line of n words gives the halves it shares with a line of equal length
-    and those it shares with a line of one word less (its own length as the
-    longer one of a pair).
+    Two lines of n and of n or n + 1 words within one edit agree on their first
+    or last g(n) words, g(n) being at most half of n. A line gives both ends
+    for its own length and for one word less. Lines too short to have
+    neighbours give none.
     """
     schema = to_arrow_schema(StructType.fromDDL(LINES))
+    g = lambda n: np.maximum(3, n // 4 * 2)
 
     def run(batches):
         for batch in batches:
@@ -104,18 +105,22 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 x = LineWords(part.column(2))
                 lo, hi = x.lo, x.hi
                 n, row = hi - lo, x.text[lo]
-                halves = []
+                ends, have = [], []
                 for short in (0, 1):
-                    size = np.maximum(n - short, 0)
-                    head = size // 2
+                    use = (n >= min_words - 1 + short) & ((short == 0) | (g(n) != g(n - 1)))
+                    size = np.where(use, g(n - short), 0)
                     tag = mix(size.astype(np.uint64) * np.uint64(2))
-                    halves += [mix(x.stretch(0, lo, lo + head) + tag),
-                               mix(x.stretch(0, hi - (size - head), hi) + tag + np.uint64(1))]
+                    ends += [mix(x.stretch(0, lo, lo + size) + tag),
+                             mix(x.stretch(0, hi - size, hi) + tag + np.uint64(1))]
+                    have += [use, use]
+                have = np.array(have).T
+                keys = pa.ListArray.from_arrays(
+                    pa.array(np.r_[0, np.cumsum(have.sum(1))], pa.int32()),
+                    _signed(np.array(ends).T[have]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
-                     pa.array(x.line[lo], pa.int32()), pa.array(n, pa.int32()),
-                     _signed(x.whole(0, lo, hi)), _signed(x.whole(1, lo, hi)),
-                     *map(_signed, halves)], schema=schema)
+                     pa.array(x.line[lo], pa.int32()), _signed(x.whole(0, lo, hi)),
+                     _signed(x.whole(1, lo, hi)), keys], schema=schema)
 
     return docs.select(*_ids(docs, id_col, text_col),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(run, LINES)
@@ -124,10 +129,11 @@ def line_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Words and variants of the lines (doc, t, pos) in ``wanted``."""
     schema = to_arrow_schema(StructType.fromDDL(NEAR))
-    by_text = wanted.groupBy("doc", "t").agg(F.collect_set("pos").alias("positions"))
-    texts = (docs.select(*_ids(docs, id_col, text_col),
-                         F.col(text_col).cast("string").alias("text"))
-             .join(by_text, ["doc", "t"]).select("doc", "t", "text", "positions"))
+    by_text = stored(wanted.groupBy("doc", "t").agg(F.collect_set("pos").alias("positions")),
+                     "wanted")
+    texts = join_checked(docs.select(*_ids(docs, id_col, text_col),
+                                     F.col(text_col).cast("string").alias("text")),
+                         by_text, ["doc", "t"]).select("doc", "t", "text", "positions")
 
     def run(batches):
         for batch in batches:
@@ -199,17 +205,14 @@ def _earlier_neighbours(near: DataFrame, min_words: int) -> DataFrame:
 def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc, t, positions): the lines to drop, by document and text digest."""
-    lines = stored(line_table(docs, id_col, text_col), "lines")
-    kinds = lines.groupBy("h1", "h2").agg(
-        F.min(F.struct("doc", "t", "pos")).alias("line"), F.count(F.lit(1)).alias("n"),
-        *[F.first(c).alias(c) for c in ("n_words", "k1", "k2", "k3", "k4")])
-    kinds = stored(kinds, "kinds")
-    keys = (kinds.filter(F.col("n_words") >= min_words - 1)
-            .select("h1", "h2", F.explode(F.array("k1", "k2", "k3", "k4")).alias("key")))
+    lines = stored(line_table(docs, min_words, id_col, text_col), "lines")
+    kinds = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "t", "pos")).alias("line"),
+                                                 F.count(F.lit(1)).alias("n")), "kinds")
+    keys = lines.select("h1", F.explode("keys").alias("key"))
     shared = (keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
               .filter("a < b").select("key"))
-    wanted = keys.join(shared, "key").select("h1", "h2").distinct()
-    wanted = kinds.join(wanted, ["h1", "h2"]).select("line.*")
+    wanted = keys.join(shared, "key").select("h1").distinct()
+    wanted = kinds.join(wanted, "h1").select("line.*")
     near = stored(_neighbourhoods(docs, wanted, id_col, text_col).dropDuplicates(["doc", "t", "pos"]),
                   "near")
     pairs = _earlier_neighbours(near, min_words)
@@ -236,9 +239,9 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "
                .filter("n > 1 or near")
                .select("h1", "h2", F.col("line").alias("first"),
                        F.coalesce("near", F.lit(False)).alias("near")))
-    return (lines.select("doc", "t", "pos", "h1", "h2").join(verdict, ["h1", "h2"])
-            .filter(F.col("near") | (F.struct("doc", "t", "pos") != F.col("first")))
-            .groupBy("doc", "t").agg(F.collect_set("pos").alias("positions")))
+    return stored(lines.select("doc", "t", "pos", "h1", "h2").join(verdict, ["h1", "h2"])
+                  .filter(F.col("near") | (F.struct("doc", "t", "pos") != F.col("first")))
+                  .groupBy("doc", "t").agg(F.collect_set("pos").alias("positions")), "dropped")
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
@@ -259,7 +262,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     dropped = duplicate_lines(docs, min_words, id_col, text_col)
     doc, t = _ids(docs, id_col, text_col)
     dropped = dropped.toDF("__doc", "__t", "__positions")
-    joined = docs.join(dropped, (doc == F.col("__doc")) & (t == F.col("__t")), "left")
+    joined = join_checked(docs, dropped, (doc == F.col("__doc")) & (t == F.col("__t")), "left")
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - F.lit(1)), F.col("__positions"))
     text = F.when(F.col("__positions").isNull(), F.col(text_col)).otherwise(

@@ -126,8 +126,8 @@ def unlike_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     nobody together.
     """
     t = percent / 100
-    fields = ("centre long, rep long, component long, outside boolean, first int, half int, "
-              "elements array<long>")
+    fields = ("centre long, rep long, component long, outside boolean, n int, d int, first int, "
+              "half int, elements array<long>")
     schema = to_arrow_schema(StructType.fromDDL(fields))
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s_{x}"))
     joined = stars.join(side("centre"), "centre").join(side("rep"), "rep") \
@@ -135,7 +135,7 @@ def unlike_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            firsts, halves, elements = [], [], []
+            sizes, firsts, halves, elements = [], [], [], []
             for one, two in zip(batch.column("s_centre").to_pylist(),
                                 batch.column("s_rep").to_pylist(), strict=True):
                 one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
@@ -144,8 +144,10 @@ def unlike_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 halves.append(max(len(own) - max(1, int(np.floor(shared - 1e-9)) + 1) + 1, 0))
                 firsts.append(int(len(two) * (1 - t) / t + 1e-9) + 1)
                 elements.append(own.view(np.int64))
+                sizes.append(len(two))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in range(4)), pa.array(firsts, pa.int32()),
+                [*(batch.column(i) for i in range(4)), pa.array(sizes, pa.int32()),
+                 pa.array([len(e) for e in elements], pa.int32()), pa.array(firsts, pa.int32()),
                  pa.array(halves, pa.int32()), pa.array(elements, pa.list_(pa.int64()))],
                 schema=schema)
 
@@ -159,14 +161,21 @@ def unlike_pairs(stars: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = rows.drop("elements").join(order, ["centre", "rep"]).withColumn(
         "order", F.slice("order", 1, F.greatest(F.when(F.col("outside"), F.col("first"))
                                                 .otherwise(F.lit(0)), "half")))
-    spread = rows.select("centre", "rep", "component", "outside", "first", "half",
+    spread = rows.select("centre", "rep", "component", "outside", "n", "d", "first", "half",
                          F.posexplode("order").alias("at", "e")).filter("e.n > 1")
     spread = stored(spread.withColumn("element", F.col("e.element")).drop("e"), "spread")
-    one = spread.filter("outside and at < first") \
-        .select("centre", "element", F.col("rep").alias("x"), F.col("component").alias("of_x"))
-    two = spread.filter("at < half") \
-        .select("centre", "element", F.col("rep").alias("y"), F.col("component").alias("of_y"))
-    return (one.join(two, ["centre", "element"]).filter("of_x <> of_y")
+    side = lambda x: ["centre", "element", F.col("rep").alias(x), *(
+        F.col(c).alias(f"{c}_{x}") for c in ("component", "n", "d", "at"))]
+    one, two = (spread.filter("outside and at < first").select(*side("x")),
+                spread.filter("at < half").select(*side("y")))
+    # the first element they share must leave room for all that a link shares
+    shared = F.floor((F.col("d_x") + F.col("d_y")
+                      - F.lit((1 - t) / (1 + t)) * (F.col("n_x") + F.col("n_y"))) / 2 - F.lit(1e-9))
+    room = F.least(F.col("d_x") - F.col("at_x"), F.col("d_y") - F.col("at_y"))
+    return (one.join(two, ["centre", "element"])
+            .filter((F.col("component_x") != F.col("component_y"))
+                    & (F.least("n_x", "n_y") >= F.greatest("n_x", "n_y") * F.lit(t - 1e-9))
+                    & (room >= F.greatest(F.lit(0), shared) + F.lit(1)))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
