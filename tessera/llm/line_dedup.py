@@ -16,6 +16,7 @@ within the bound is lost by it.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,7 +102,7 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
 
     def run(batches):
         for batch in batches:
-            for part in _cut(batch, "text", 2_000_000):
+            for part in _cut(batch, "text", 1_000_000):
                 x = LineWords(part.column(2))
                 lo, hi = x.lo, x.hi
                 n, row = hi - lo, x.text[lo]
@@ -137,7 +138,7 @@ def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: s
 
     def run(batches):
         for batch in batches:
-            for part in _cut(batch, "text", 2_000_000):
+            for part in _cut(batch, "text", 1_000_000):
                 x = LineWords(part.column(2))
                 at = {(r, p): i for i, (r, p) in enumerate(zip(
                     x.text[x.lo].tolist(), x.line[x.lo].tolist(), strict=True))}
@@ -263,12 +264,23 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     doc, t = _ids(docs, id_col, text_col)
     dropped = dropped.toDF("__doc", "__t", "__positions")
     joined = join_checked(docs, dropped, (doc == F.col("__doc")) & (t == F.col("__t")), "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - F.lit(1)), F.col("__positions"))
-    text = F.when(F.col("__positions").isNull(), F.col(text_col)).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.element_at(lines, i + F.lit(1))), "\n"))
+    def without(texts: pd.Series, positions: pd.Series) -> pd.Series:
+        out = []
+        for text, drop in zip(texts, positions, strict=True):
+            if text is not None:
+                gone = set(drop.tolist())
+                text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+            out.append(text)
+        return pd.Series(out, dtype=object)
+
+    # only texts that lose lines go to Python
+    touched = F.col("__positions").isNotNull()
+    text = F.col(text_col).cast("string")
+    rebuilt = F.pandas_udf(without, "string")(F.when(touched, text), F.col("__positions"))
+    n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + F.lit(1)
     more = {} if counts is None else {
-        counts[0]: F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines)),
+        counts[0]: F.coalesce(n_lines, F.lit(0)),
         counts[1]: F.coalesce(F.size("__positions"), F.lit(0))}
-    return (joined.withColumns(more).withColumn(text_col, text)
+    return (joined.withColumns(more).withColumn("__rebuilt", rebuilt)
+            .withColumn(text_col, F.when(touched, F.col("__rebuilt")).otherwise(F.col(text_col)))
             .select(*docs.columns, *more))
