@@ -37,7 +37,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def arrow_rows(df: DataFrame, columns: Sequence[str], schema: str,
                rows: Callable[[dict[str, list]], dict[str, Iterable]],
-               max_chars: int = 4_000_000, text_col: str | None = None,
+               max_chars: int = 2_000_000, text_col: str | None = None,
                setup: Callable[[], object] | None = None) -> DataFrame:
     """Apply ``rows`` to column lists, batch by batch, in Arrow.
 
@@ -59,10 +59,19 @@ def arrow_rows(df: DataFrame, columns: Sequence[str], schema: str,
                                     (c.to_pylist() for c in part.columns), strict=True)), *made)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[f.name], type=f.type) for f in out_schema], schema=out_schema)
+        del made
+        release()
 
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Gives a worker's unused memory back: it may wait long for its next task."""
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def _cut(batch: pa.RecordBatch, text_col: str | None, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``max_bytes`` of ``text_col`` each."""
     import numpy as np

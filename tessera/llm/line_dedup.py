@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import _cut, join_checked, stored
+from tessera.llm.common import _cut, join_checked, release, stored
 from tessera.llm.shingles import POWERS, mix, text_bytes, word_hashes
 
 #: Lines of fewer words must be equal: one word would be too large a part.
@@ -122,6 +122,7 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
                     [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
                      pa.array(x.line[lo], pa.int32()), _signed(x.whole(0, lo, hi)),
                      _signed(x.whole(1, lo, hi)), keys], schema=schema)
+        release()
 
     return docs.select(*_ids(docs, id_col, text_col),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(run, LINES)

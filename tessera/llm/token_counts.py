@@ -25,7 +25,7 @@ class LongestMatch:
     A character no piece begins with counts as its UTF-8 bytes (byte fallback).
     """
 
-    def __init__(self, pieces: Iterable[str], max_words: int = 400_000) -> None:
+    def __init__(self, pieces: Iterable[str], max_words: int = 200_000) -> None:
         self.max_words, self.seen = max_words, {}
         self.next: list[dict[str, int]] = [{}]
         weight = [0]

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_rows, stored
+from tessera.llm.common import arrow_rows, release, stored
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß"
 EDGE, OTHER, SIZE = 0, len(LETTERS) + 1, len(LETTERS) + 2
@@ -145,7 +145,7 @@ class Scorer:
     letters: Characters
     weights: dict[str, float]
     model: np.ndarray | None = None
-    max_words: int = 400_000
+    max_words: int = 150_000
     cache: dict[str, float] = field(default_factory=dict)
 
     def word_score(self, word: str) -> float:
@@ -313,6 +313,8 @@ def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         own = held.value
         for part in texts:
             yield pd.Series([own.score(t) for t in part], dtype="float64")
+        del own
+        release()
 
     score = F.pandas_udf(scores, "double")
     return docs.filter(score(F.col(text_col).cast("string")) < threshold)
