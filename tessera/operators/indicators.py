@@ -11,9 +11,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tessera.constants import INVALID_ID_TEXT
 from tessera.functions import count_flag, deviation, goal_status, rate, target_for_year
+from tessera.functions.numeric import flag_is_one
 from tessera.operators.joins import bounded_broadcast
 
 CITY_KEYS = ("ano", "sigla_uf", "id_municipio", "nome_municipio")
@@ -24,7 +26,12 @@ COMPARISON_COLUMNS = ("ano", "sigla_uf", "id_municipio", "nome_municipio", "tota
 
 # --- FLT-1 / FLT-2 -----------------------------------------------------------
 def present_students(students: DataFrame) -> DataFrame:
-    """Students present at the test (flag = 1), pushed down to the scan."""
+    """Students present at the test (flag = 1), pushed down to the scan.
+
+    A text flag (FLT-7) is compared by value; what is no number is absent.
+    """
+    if isinstance(students.schema["in_presenca_lp"].dataType, StringType):
+        return students.where(flag_is_one("in_presenca_lp"))
     return students.where(F.col("in_presenca_lp") == F.lit(1))
 
 

@@ -28,7 +28,7 @@ from tessera.plans.gold import build_gold, publish_gold
 from tessera.plans.publish import Target, publish_checked
 from tessera.plans.silver import build_silver, clean
 from tessera.sources.catalog import register_table
-from tessera.sources.parquet import read_batch, read_latest, read_years
+from tessera.sources.parquet import read_batch, read_latest, read_years, try_read_parquet
 from tessera.sources.sinks import write_batch
 from tessera.session import apply_partition_settings, configure
 
@@ -54,15 +54,23 @@ def _observed_rows(obs: Observation) -> int:
 
 
 def _read_bronze(spark: SparkSession, lake_root: str, entity: str, batch: str,
-                 student_years: tuple[str, ...]) -> DataFrame | None:
-    """The bronze batch of one entity; None when it is missing (students: every year)."""
+                 student_years: tuple[str, ...],
+                 allow_missing_years: bool = False) -> DataFrame | None:
+    """The bronze batch of one entity; None when it is missing.
+
+    Students: every batch of every year, whatever day it was ingested on (the
+    dedup keeps the newest row of a student). A year without any batch is an
+    error unless allowed; None only when no year has one.
+    """
     if entity != "alunos":
         return read_batch(spark, f"{lake_root}/bronze/{entity}", batch)
-    paths = [f"{lake_root}/bronze/{y}/anomesdia={batch}" for y in student_years]
-    try:
-        return read_years(spark, paths, CONTRACTS[entity].schema)
-    except FileNotFoundError:
+    paths = [f"{lake_root}/bronze/{y}" for y in student_years]
+    missing = [p for p in paths if try_read_parquet(spark, p) is None]
+    if len(missing) == len(paths):
         return None
+    if missing and not allow_missing_years:
+        raise FileNotFoundError(f"expected student years without any batch: {missing}")
+    return read_years(spark, paths, CONTRACTS[entity].schema)
 
 
 def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
@@ -70,13 +78,14 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                checks: dict[str, tuple[Check, ...]] | None = None,
                student_years: tuple[str, ...] = ("alunos_2023", "alunos_2024", "alunos_2025"),
                missing_column: str = "skip", catalog_prefix: str | None = None,
-               quarantine: bool = False) -> list[Outcome]:
+               quarantine: bool = False, allow_missing_years: bool = False) -> list[Outcome]:
     """PIPE-5: every entity (default all six); failures are collected, raised at the end (D6)."""
     outcomes: list[Outcome] = []
     for entity in entities or list(SILVER_ENTITIES):
         contract = CONTRACTS[entity]
         try:
-            bronze = _read_bronze(spark, lake_root, entity, batch, student_years)
+            bronze = _read_bronze(spark, lake_root, entity, batch, student_years,
+                                  allow_missing_years)
             if bronze is None or bronze.isEmpty():
                 outcomes.append(Outcome(entity, "skipped", detail="empty or missing batch"))
                 continue
@@ -137,7 +146,8 @@ def explain_run(spark: SparkSession, layer: str, lake_root: str, batch: str, clo
     frames: dict[str, DataFrame] = {}
     if layer == "silver":
         for entity in entities or list(SILVER_ENTITIES):
-            bronze = _read_bronze(spark, lake_root, entity, batch, student_years)
+            bronze = _read_bronze(spark, lake_root, entity, batch, student_years,
+                                  True)
             if bronze is not None:
                 frames[entity] = build_silver(bronze, CONTRACTS[entity], clock)
     elif layer == "gold":
@@ -163,6 +173,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--table", default=None, help="bronze: warehouse table for --entity")
     p.add_argument("--export-root", default=None,
                    help="bronze: read the warehouse table from a Parquet export instead")
+    p.add_argument("--allow-missing-years", action="store_true",
+                   help="silver: go on when an expected student year has no batch")
     p.add_argument("--quarantine", action="store_true",
                    help="silver: keep rows rejected for missing keys under <lake>/quarantine")
     p.add_argument("--catalog-prefix", default=None,
@@ -198,7 +210,8 @@ def main(argv: list[str] | None = None) -> int:
                           [args.entity] if args.entity else None,
                           checks=dict(RULE_SETS[args.rule_set]),
                           missing_column=MISSING_COLUMN_POLICY[args.rule_set],
-                          catalog_prefix=args.catalog_prefix, quarantine=args.quarantine)
+                          catalog_prefix=args.catalog_prefix, quarantine=args.quarantine,
+                          allow_missing_years=args.allow_missing_years)
         for o in outs:
             log.info("%s: %s %s", o.entity, o.status, o.detail)
         failed = [o for o in outs if o.status == "failed"]

@@ -578,3 +578,6 @@ ORACLE.update({
     "silver_students_upper": SILVER_STUDENTS_UPPER_SQL,
     "bronze_students_csv": BRONZE_STUDENTS_CSV_SQL,
 })
+
+ORACLE["csv_documents"] = """
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, text FROM documents"""

@@ -30,7 +30,7 @@ from tessera.sources import catalog
 from tessera.sources.csv import read_csv, read_csv_sniffed, write_csv
 from tessera.sources.parquet import read_latest, read_years
 from tessera.sources.sinks import read_back, write_partitioned
-from tessera.streaming.jobs import ingest_dedup_stream, live_indicator_stream
+from tessera.streaming.jobs import closed_windows, ingest_dedup_stream, live_indicator_stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -322,19 +322,22 @@ STREAM_CHECKS = (Check("min_count", value=1), Check("not_null", "event_type"),
                  Check("range", "flag_rate", (0.0, 100.0)))
 
 
-def _stage_redelivered_events(spark: SparkSession, sf_dir: str) -> str:
-    """Event files as a source folder: every event delivered twice (at-least-once)."""
+N_EVENT_FILES = 8
+
+
+def _stage_events(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> str:
+    """Eight event files, not ordered by time, as a source folder; all delivered ``deliveries`` times."""
     src = scratch_path(spark, "events_src")
-    events = adapters.table(spark, sf_dir, "events")
-    events.write.mode("overwrite").parquet(src)
-    events.write.mode("append").parquet(src)
+    events = adapters.table(spark, sf_dir, "events").repartition(N_EVENT_FILES // deliveries, F.xxhash64("event_id"))
+    for _ in range(deliveries):
+        events.write.mode("append").parquet(src)
     return src
 
 
 def stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-1 / STR-2: redelivered event files -> deduplicated, stamped bronze stream."""
+    """STR-1 / STR-2: redelivered event files, one a trigger -> deduplicated, stamped stream."""
     configure(spark)
-    src = _stage_redelivered_events(spark, sf_dir)
+    src = _stage_events(spark, sf_dir, deliveries=2)
     schema = adapters.table(spark, sf_dir, "events").schema
     sink, ckpt = scratch_path(spark, "events_bronze"), scratch_path(spark, "events_ckpt")
     q = ingest_dedup_stream(spark, src, schema, "event_id", "ts", sink, ckpt, "events",
@@ -357,17 +360,25 @@ def stream_daily_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_daily_indicator_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR-3 in append mode (the production default): only windows the watermark
-    has closed are emitted, each micro-batch into its own idempotent folder."""
+    """STR-3, one unordered file a trigger: windows closed a day before the latest event."""
     configure(spark)
-    src = scratch_path(spark, "events_src")
-    adapters.table(spark, sf_dir, "events").write.mode("overwrite").parquet(src)
+    src = _stage_events(spark, sf_dir)
     schema = adapters.table(spark, sf_dir, "events").schema
     sink, ckpt = scratch_path(spark, "events_daily_app"), scratch_path(spark, "events_daily_app_ckpt")
     q = live_indicator_stream(spark, src, schema, "ts", F.col("value") >= F.lit(HIGH_VALUE),
-                              sink, ckpt, STREAM_CHECKS, output_mode="append")
+                              sink, ckpt, STREAM_CHECKS, output_mode="append",
+                              max_files_per_trigger=1)
     q.awaitTermination()
-    return spark.read.parquet(sink).drop("batch_id")
+    return closed_windows(spark, sink)
+
+
+def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-2 / SRC-3 / SRC-5: documents through CSV (quotes, newlines, accents), untyped, sniffed."""
+    configure(spark)
+    path = scratch_path(spark, "documents_csv")
+    write_csv(adapters.table(spark, sf_dir, "documents").select("doc_id", "source", "text"), path,
+              encoding="UTF-8")
+    return read_csv_sniffed(spark, path)
 
 
 QUERIES: dict[str, QueryFn] = {
@@ -399,6 +410,7 @@ QUERIES: dict[str, QueryFn] = {
     "silver_targets": silver_targets,
     "silver_students_upper": silver_students_upper,
     "bronze_students_csv": bronze_students_csv,
+    "csv_documents": csv_documents,
     "stream_dedup_events": stream_dedup_events,
     "stream_daily_indicator": stream_daily_indicator,
     "stream_daily_indicator_append": stream_daily_indicator_append,

@@ -19,9 +19,14 @@ from tessera.operators.clean import typed_projection
 CANDIDATE_SEPARATORS = (";", ",", "\t", "|")
 
 
-def _reader(spark: SparkSession, sep: str, encoding: str, header: bool):
+def _reader(spark: SparkSession, sep: str, encoding: str, header: bool, multi_line: bool = False):
+    """Quotes inside quotes are doubled. ``multi_line`` allows newlines inside quotes; such a
+    file cannot be split, so one task reads it whole: use it only where needed. The header of
+    every file must agree with the columns read (``enforceSchema`` off), else the read fails."""
     return (spark.read.option("header", str(header).lower()).option("sep", sep)
-            .option("encoding", encoding).option("mode", "PERMISSIVE"))
+            .option("encoding", encoding).option("mode", "PERMISSIVE")
+            .option("quote", '"').option("escape", '"').option("enforceSchema", "false")
+            .option("multiLine", str(multi_line).lower()))
 
 
 def header_columns(spark: SparkSession, path: str, sep: str, encoding: str) -> list[str]:
@@ -31,7 +36,7 @@ def header_columns(spark: SparkSession, path: str, sep: str, encoding: str) -> l
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, sep: str = ";",
              encoding: str = "ISO-8859-1", header: bool = True,
-             keep_extra: bool = False) -> DataFrame:
+             keep_extra: bool = False, multi_line: bool = False) -> DataFrame:
     """SRC-2: header CSV typed by a declared schema, matched BY NAME.
 
     A schema handed to the CSV reader is applied by position and the header
@@ -41,11 +46,11 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, s
     Without a schema, or without a header, the file stays all text.
     """
     if not header:
-        raw = _reader(spark, sep, encoding, False).csv(path)
+        raw = _reader(spark, sep, encoding, False, multi_line).csv(path)
         return raw if schema is None else typed_projection(raw, schema, keep_extra=keep_extra)
     names = header_columns(spark, path, sep, encoding)
     text_schema = StructType([StructField(n, StringType(), True) for n in names])
-    raw = _reader(spark, sep, encoding, True).schema(text_schema).csv(path)
+    raw = _reader(spark, sep, encoding, True, multi_line).schema(text_schema).csv(path)
     return raw if schema is None else typed_projection(raw, schema, keep_extra=keep_extra)
 
 
@@ -66,15 +71,24 @@ def detect_separator(spark: SparkSession, path: str,
     return best if counts[best] > 0 else ","
 
 
+def detect_multi_line(spark: SparkSession, path: str) -> bool:
+    """Whether some quoted field goes on over a line end (whole input checked)."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return bool(spark.read.text(path).agg(F.count_if(quotes % 2 == 1).alias("odd")).first()["odd"])
+
+
 def read_csv_sniffed(spark: SparkSession, path: str, schema: StructType | None = None,
                      keep_extra: bool = False) -> DataFrame:
     """SRC-3 (+ SRC-4 / SRC-5): detect encoding and separator, read as text, then type."""
     return read_csv(spark, path, schema, sep=detect_separator(spark, path),
-                    encoding=detect_encoding(spark, path), keep_extra=keep_extra)
+                    encoding=detect_encoding(spark, path), keep_extra=keep_extra,
+                    multi_line=detect_multi_line(spark, path))
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> None:
     """Delimited export with a header (used to stage raw files)."""
     (df.write.mode("overwrite").option("header", "true").option("sep", sep)
+     .option("quote", '"').option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      .option("encoding", encoding).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
      .csv(path))

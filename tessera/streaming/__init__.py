@@ -1,8 +1,8 @@
 """Structured Streaming ingest, dedup and live indicator (STR-1 .. STR-3)."""
 
-from tessera.streaming.jobs import (dedup_events, gated_writer, ingest_dedup_stream,
+from tessera.streaming.jobs import (closed_windows, dedup_writer, gated_writer, ingest_dedup_stream,
                                     live_indicator_stream, read_file_stream, stream_audit,
                                     windowed_indicator, with_event_time)
 
-__all__ = ["dedup_events", "gated_writer", "ingest_dedup_stream", "live_indicator_stream",
+__all__ = ["closed_windows", "dedup_writer", "gated_writer", "ingest_dedup_stream", "live_indicator_stream",
            "read_file_stream", "stream_audit", "windowed_indicator", "with_event_time"]

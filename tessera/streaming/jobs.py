@@ -2,12 +2,13 @@
 
 STR-1  file stream -> bronze audit columns -> Parquet sink (exactly-once via
        the checkpoint; ``availableNow`` drains what is there and stops)
-STR-2  late-safe dedup by event key: ``withWatermark`` +
-       ``dropDuplicatesWithinWatermark`` keeps state for one watermark delay
-       only, so state stays bounded however long the stream runs
+STR-2  late-safe dedup by event key: every micro-batch is deduplicated (combined
+       in each task before the shuffle) and then compared with what the sink
+       holds for the event dates in the batch, so the result does not depend
+       on how a backlog is sliced or ordered
 STR-3  live indicator: tumbling event-time window x type -> counts and rate;
-       every micro-batch result passes the DQ gate in ``foreachBatch`` before
-       it is written
+       a micro-batch recomputes the windows it touches, whatever their age;
+       every result passes the DQ gate in ``foreachBatch`` before it is written
 
 Event time must be a TIMESTAMP (with zone) for watermarks; a TIMESTAMP_NTZ
 source column is read as UTC wall clock (session time zone UTC).
@@ -25,6 +26,7 @@ from pyspark.sql.types import StructType
 from tessera.contracts import Check
 from tessera.functions import rate
 from tessera.operators.quality import gate, run_checks
+from tessera.sources.parquet import try_read_parquet
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Bounded micro-batches: a backlog is drained in slices of at most this many
@@ -64,37 +66,60 @@ def stream_audit(df: DataFrame, entity: str, environment: str = "dev") -> DataFr
     })
 
 
-def dedup_events(df: DataFrame, keys: Sequence[str], event_time: str = "event_time",
-                 delay: str = "1 day") -> DataFrame:
-    """STR-2: drop redelivered events with the same key within the watermark delay.
+def _dates(batch: DataFrame, column: str) -> list[str]:
+    """The distinct event dates of a micro-batch (as many as calendar days at most)."""
+    return [r[0] for r in batch.select(column).distinct().collect()]
 
-    Rows are hash-partitioned by key and checked against the state row by
-    row: copies of one hot key meet in one task of the micro-batch, which
-    costs time but no memory (nothing is buffered per key); micro-batches are
-    bounded by ``maxFilesPerTrigger``.
+
+def _stored(spark: SparkSession, path: str, dates: list[str], epoch_id: int) -> DataFrame | None:
+    """Rows of the epoch folders under ``path`` for ``dates``, without the epoch's own."""
+    found = try_read_parquet(spark, path)
+    return None if found is None else found.filter(
+        F.col("event_date").isin(dates) & (F.col("batch_id") != str(epoch_id)))
+
+
+def dedup_writer(sink_dir: str, keys: Sequence[str]):
+    """``foreachBatch`` function for STR-2: append only keys the sink does not hold.
+
+    Copies within the batch are combined by ``dropDuplicates`` before the
+    shuffle, so a hot key costs one row a task. The batch is then anti-joined
+    with the sink's rows of the same event dates. A redelivered event carries
+    the event time of the first delivery. Each epoch writes its own
+    ``batch_id=N`` folder and a replay rewrites it, so output is exactly-once.
     """
-    return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    root = sink_dir.rstrip("/")
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        batch = batch.dropDuplicates([*keys, "event_date"]).persist()
+        try:
+            dates = _dates(batch, "event_date")
+            if dates:
+                seen = _stored(batch.sparkSession, root, dates, epoch_id)
+                new = batch if seen is None else batch.join(
+                    seen.select(*keys, "event_date"), [*keys, "event_date"], "left_anti")
+                (new.select(*batch.columns).write.mode("overwrite").partitionBy("event_date")
+                 .parquet(f"{root}/batch_id={epoch_id}"))
+        finally:
+            batch.unpersist()
+    return write
 
 
 def ingest_dedup_stream(spark: SparkSession, source_dir: str, schema: StructType, key: str,
                         time_column: str, sink_dir: str, checkpoint: str, entity: str,
-                        delay: str = "1 day", max_files_per_trigger: int = MAX_FILES_PER_TRIGGER
-                        ) -> StreamingQuery:
-    """STR-1 + STR-2 as one query: read, dedup, stamp, append to Parquet."""
-    use_rocksdb_state(spark)
-    src = with_event_time(read_file_stream(spark, source_dir, schema,
-                                           max_files_per_trigger=max_files_per_trigger),
-                          time_column)
-    out = stream_audit(dedup_events(src, [key], "event_time", delay), entity).drop("event_time")
-    return (out.writeStream.format("parquet").outputMode("append")
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink_dir))
+                        max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
+    """STR-1 + STR-2 as one query: read, stamp, dedup, append to the sink's epoch folders."""
+    src = read_file_stream(spark, source_dir, schema, max_files_per_trigger=max_files_per_trigger)
+    out = stream_audit(src, entity).withColumn(
+        "event_date", F.coalesce(F.date_format(F.col(time_column), "yyyy-MM-dd"), F.lit("none")))
+    return (out.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(dedup_writer(sink_dir, [key])).trigger(availableNow=True).start())
 
 
 def windowed_indicator(df: DataFrame, flag: Column, event_time: str = "event_time",
                        window: str = "1 day", by: Sequence[str] = ("event_type",),
-                       delay: str = "1 day") -> DataFrame:
+                       delay: str | None = "1 day") -> DataFrame:
     """STR-3: per (window, group) -> n_events, n_flagged, rate (= AGG-1 on a stream)."""
-    return (df.withWatermark(event_time, delay)
+    return ((df.withWatermark(event_time, delay) if delay else df)
             .groupBy(F.window(event_time, window).alias("w"), *by)
             .agg(F.count(F.lit(1)).alias("n_events"),
                  F.sum(F.when(flag, 1).otherwise(0)).cast("long").alias("n_flagged"))
@@ -114,10 +139,10 @@ def gated_writer(path: str, checks: Sequence[Check], mode: str = "overwrite"):
     appending its rows twice (idempotent, exactly-once output).
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():          # nothing closed in this trigger: skipped (FLT-4)
-            return
         batch = batch.persist()
         try:
+            if batch.isEmpty():          # nothing in this trigger: skipped (FLT-4)
+                return
             gate(run_checks(batch, list(checks)), f"micro-batch {epoch_id}")
             if mode == "append":
                 batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={epoch_id}")
@@ -128,16 +153,75 @@ def gated_writer(path: str, checks: Sequence[Check], mode: str = "overwrite"):
     return write
 
 
+def window_writer(sink_dir: str, flag: Column, checks: Sequence[Check], window: str,
+                  by: Sequence[str]):
+    """``foreachBatch`` function for STR-3: recompute the windows a batch touches.
+
+    Events are kept by event date (``events/batch_id=N``); a batch adds its own
+    and recounts all windows that start on the dates it holds, from everything
+    stored for them, replacing those dates' partitions of ``windows``. So late
+    events change their window instead of being lost, in any order of arrival.
+    ``seen/batch_id=N`` keeps the batch's latest event time for
+    :func:`closed_windows`.
+    """
+    root = sink_dir.rstrip("/")
+
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.filter("event_time is not null").persist()
+        try:
+            dates = _dates(batch, "event_date")
+            if not dates:            # nothing new in this trigger: skipped (FLT-4)
+                return
+            before = _stored(spark, f"{root}/events", dates, epoch_id)
+            whole = batch if before is None else before.select(*batch.columns).union(batch)
+            counts = windowed_indicator(whole, flag, "event_time", window, by, delay=None) \
+                .withColumn("event_date", F.date_format("window_start", "yyyy-MM-dd"))
+            counts = counts.persist()
+            try:
+                gate(run_checks(counts, list(checks)), f"micro-batch {epoch_id}")
+                (batch.write.mode("overwrite").partitionBy("event_date")
+                 .parquet(f"{root}/events/batch_id={epoch_id}"))
+                (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("event_date").parquet(f"{root}/windows"))
+                (batch.agg(F.max("event_time").alias("latest")).write.mode("overwrite")
+                 .parquet(f"{root}/seen/batch_id={epoch_id}"))
+            finally:
+                counts.unpersist()
+        finally:
+            batch.unpersist()
+    return write
+
+
+def closed_windows(spark: SparkSession, sink_dir: str, delay: str = "1 day") -> DataFrame:
+    """Windows of :func:`window_writer` that ended at least ``delay`` before the latest event."""
+    root = sink_dir.rstrip("/")
+    latest = (spark.read.parquet(f"{root}/seen")
+              .agg(F.max("latest").cast("timestamp_ntz").alias("latest")))  # one row
+    return (spark.read.parquet(f"{root}/windows").drop("event_date").join(F.broadcast(latest))
+            .filter(F.col("window_end") <= F.col("latest") - F.expr(f"interval {delay}"))
+            .drop("latest"))
+
+
 def live_indicator_stream(spark: SparkSession, source_dir: str, schema: StructType,
                           time_column: str, flag: Column, sink_dir: str, checkpoint: str,
                           checks: Sequence[Check], output_mode: str = "append",
-                          window: str = "1 day", delay: str = "1 day") -> StreamingQuery:
-    """STR-3 as a query. ``append`` emits closed windows only (bounded state);
-    ``complete`` rewrites the whole table each batch (small group counts)."""
+                          window: str = "1 day", delay: str = "1 day",
+                          max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
+    """STR-3 as a query. ``append`` keeps events by date and recounts touched windows
+    (windows of at most a day); ``complete`` holds all counts in state and rewrites
+    the whole table each batch (small group counts)."""
     use_rocksdb_state(spark)
-    src = with_event_time(read_file_stream(spark, source_dir, schema), time_column)
-    agg = windowed_indicator(src, flag, "event_time", window, ("event_type",), delay)
-    mode = "overwrite" if output_mode == "complete" else "append"
-    return (agg.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
-            .foreachBatch(gated_writer(sink_dir, checks, mode))
+    src = with_event_time(read_file_stream(spark, source_dir, schema,
+                                           max_files_per_trigger=max_files_per_trigger), time_column)
+    by = ("event_type",)
+    if output_mode == "complete":
+        agg = windowed_indicator(src, flag, "event_time", window, by, delay)
+        return (agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
+                .foreachBatch(gated_writer(sink_dir, checks, "overwrite"))
+                .trigger(availableNow=True).start())
+    dated = src.withColumn("event_date", F.date_format(F.window("event_time", window)["start"],
+                                                       "yyyy-MM-dd"))
+    return (dated.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(window_writer(sink_dir, flag, checks, window, by))
             .trigger(availableNow=True).start())
