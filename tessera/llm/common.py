@@ -50,6 +50,7 @@ def arrow_rows(df: DataFrame, columns: Sequence[str], schema: str,
     from pyspark.sql.types import StructType
 
     out_schema = to_arrow_schema(StructType.fromDDL(schema))
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = (setup(),) if setup else ()
@@ -67,9 +68,18 @@ def arrow_rows(df: DataFrame, columns: Sequence[str], schema: str,
 
 def release() -> None:
     """Gives a worker's unused memory back: it may wait long for its next task."""
+    import ctypes
     import gc
     gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Texts travel to Python in batches of at most ``rows``, which bounds both sides' memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def _cut(batch: pa.RecordBatch, text_col: str | None, max_bytes: int) -> Iterator[pa.RecordBatch]:

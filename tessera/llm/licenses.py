@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import _cut
+from tessera.llm.common import _cut, small_batches
 from tessera.llm.shingles import text_bytes, word_hashes
 
 # Phrases whose every place counts, and their labels.
@@ -254,6 +254,7 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None,
     phrases = BASE_PHRASES if phrases is None else phrases
     templates = TEMPLATES if templates is None else templates
     schema = to_arrow_schema(StructType.fromDDL(SCANS))
+    small_batches(docs.sparkSession)
 
     def run(batches):
         scanner = LicenseScanner(phrases, templates, least_match, least_cover, widest_gap)

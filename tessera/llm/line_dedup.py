@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import _cut, join_checked, release, stored
+from tessera.llm.common import _cut, join_checked, release, small_batches, stored
 from tessera.llm.shingles import POWERS, mix, text_bytes, word_hashes
 
 #: Lines of fewer words must be equal: one word would be too large a part.
@@ -261,6 +261,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     an id and its text are one document and keep the same lines; an empty
     table gives an empty result; other columns are passed on untouched.
     """
+    small_batches(docs.sparkSession)
     dropped = duplicate_lines(docs, min_words, id_col, text_col)
     doc, t = _ids(docs, id_col, text_col)
     dropped = dropped.toDF("__doc", "__t", "__positions")

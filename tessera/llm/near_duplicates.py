@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from tessera.llm.common import _cut, stored
+from tessera.llm.common import _cut, release, small_batches, stored
 from tessera.llm.graph import components
 from tessera.llm.shingles import SetSketch, mix, shingle_sets
 
@@ -30,7 +30,9 @@ def _map_texts(docs: DataFrame, id_col: str, text_col: str, schema: str, make) -
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip(make(part), out_schema, strict=True)],
                     schema=out_schema)
+        release()
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 

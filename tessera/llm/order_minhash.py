@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from tessera.llm.common import small_batches
 from tessera.llm.shingles import mix
 
 FUNCTIONS, TUPLE, KMER = 64, 2, 5
@@ -118,6 +119,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     columns are not read.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))

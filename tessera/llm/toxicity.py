@@ -145,7 +145,7 @@ class Scorer:
     letters: Characters
     weights: dict[str, float]
     model: np.ndarray | None = None
-    max_words: int = 150_000
+    max_words: int = 100_000
     cache: dict[str, float] = field(default_factory=dict)
 
     def word_score(self, word: str) -> float:
@@ -246,7 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return Scorer(letters, {})
     per = arrow_rows(sample, ["text", "y", "half"],
                      "feature string, " + ", ".join(f"{c} long" for c in columns), count,
-                     text_col="text", max_chars=16_000_000)
+                     text_col="text", max_chars=1_000_000)
     per = per.groupBy("feature").agg(*[F.sum(c).alias(c) for c in columns])
     # bounded by the sample: features of at least three of its toxic rows
     kept = per.filter("toxic0 + toxic1 >= 3").collect()
