@@ -197,10 +197,10 @@ def closed_windows(spark: SparkSession, sink_dir: str, delay: str = "1 day") ->
     """Windows of :func:`window_writer` that ended at least ``delay`` before the latest event."""
     root = sink_dir.rstrip("/")
     latest = (spark.read.parquet(f"{root}/seen")
-              .agg(F.max("latest").cast("timestamp_ntz").alias("latest")))  # one row
-    return (spark.read.parquet(f"{root}/windows").drop("event_date").join(F.broadcast(latest))
-            .filter(F.col("window_end") <= F.col("latest") - F.expr(f"interval {delay}"))
-            .drop("latest"))
+              .agg(F.max("latest").cast("timestamp_ntz").cast("string")).first()[0])
+    end = F.lit(latest).cast("timestamp_ntz") - F.expr(f"interval {delay}")
+    return (spark.read.parquet(f"{root}/windows").drop("event_date")
+            .filter(F.col("window_end") <= end))
 
 
 def live_indicator_stream(spark: SparkSession, source_dir: str, schema: StructType,

