@@ -54,3 +54,9 @@ BATCH_PARTITION = "anomesdia"
 VIEW_CITY_INDICATOR = "indicador_alfabetizacao_municipio"
 VIEW_TARGET_COMPARISON = "comparativo_metas_resultados"
 VIEW_STATE_EVOLUTION = "evolucao_temporal_estado"
+
+# fixed values: grouping keys and columns of the gold views
+CITY_KEYS = ("ano", "sigla_uf", "id_municipio", "nome_municipio")
+STATE_KEYS = ("ano", "sigla_uf")
+COMPARISON_COLUMNS = ("ano", "sigla_uf", "id_municipio", "nome_municipio", "total_avaliados",
+                      "taxa_alfabetizacao_real", "meta_ano", "desvio_meta", "status_meta")

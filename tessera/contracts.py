@@ -78,9 +78,9 @@ CITY_TARGET_SCHEMA = _schema(("ano", _I), ("id_municipio", _I), ("rede", _S),
                              ("taxa_alfabetizacao", _D), *_TARGET_YEARS,
                              ("nivel_alfabetizacao", _D), ("percentual_participacao", _D))
 _LEVELS = tuple((f"proporcao_aluno_nivel_{i}", _D) for i in range(9))
-CITY_RESULT_SCHEMA = _schema(("ano", _I), ("id_municipio", _I), ("serie", _I), ("rede", _S),
+CITY_RESULT_SCHEMA = _schema(("ano", _I), ("id_municipio", _I), ("serie", _I), ("rede", _I),
                              ("taxa_alfabetizacao", _D), ("media_portugues", _D), *_LEVELS)
-STATE_RESULT_SCHEMA = _schema(("ano", _I), ("sigla_uf", _S), ("serie", _I), ("rede", _S),
+STATE_RESULT_SCHEMA = _schema(("ano", _I), ("sigla_uf", _S), ("serie", _I), ("rede", _I),
                               ("taxa_alfabetizacao", _D), ("media_portugues", _D), *_LEVELS)
 
 

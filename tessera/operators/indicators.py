@@ -13,15 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from tessera.constants import INVALID_ID_TEXT
+from tessera.constants import CITY_KEYS, COMPARISON_COLUMNS, INVALID_ID_TEXT, STATE_KEYS
 from tessera.functions import count_flag, deviation, goal_status, rate, target_for_year
 from tessera.functions.numeric import flag_is_one
-from tessera.operators.joins import bounded_broadcast
-
-CITY_KEYS = ("ano", "sigla_uf", "id_municipio", "nome_municipio")
-STATE_KEYS = ("ano", "sigla_uf")
-COMPARISON_COLUMNS = ("ano", "sigla_uf", "id_municipio", "nome_municipio", "total_avaliados",
-                      "taxa_alfabetizacao_real", "meta_ano", "desvio_meta", "status_meta")
 
 
 # --- FLT-1 / FLT-2 -----------------------------------------------------------
@@ -113,9 +107,10 @@ def target_comparison(cities: DataFrame, targets: DataFrame, target_columns: Map
     """Left join of the city indicator with its targets; deviation and status.
 
     Both join keys are compared as text (the target table stores the city id
-    as text); the indicator keeps its own key type in the output. The target
-    side is city-sized: it is broadcast only when its row count is proven
-    under the bound, else the join is a shuffle join.
+    as text); the indicator keeps its own key type in the output. The join
+    carries no hint: adaptive execution broadcasts the target side only when
+    the bytes it measured are under ``autoBroadcastJoinThreshold``, else it
+    stays a shuffle join with skewed partitions split.
 
     ``policy``: 'distinct' (original: join on the city, pick the year's column),
     'latest' (newest target row per city) or 'by_year' (unpivoted targets,
@@ -123,14 +118,13 @@ def target_comparison(cities: DataFrame, targets: DataFrame, target_columns: Map
     """
     left = cities.withColumn("_city_key", F.col("id_municipio").cast("string"))
     if policy == "by_year":
-        right = bounded_broadcast(targets_by_year(targets, target_columns), probe=targets)
+        right = targets_by_year(targets, target_columns)
         joined = left.join(right, (left["_city_key"] == right["_city_key"])
                            & (left["ano"] == right["_target_year"]), "left") \
             .drop(right["_city_key"]).drop("_target_year")
     else:
         proj = target_projection(targets, target_columns, policy)
-        right = bounded_broadcast(proj.withColumnRenamed("id_municipio", "_city_key"),
-                                  probe=targets)
+        right = proj.withColumnRenamed("id_municipio", "_city_key")
         years = {y: f"meta_{y}" for y in target_columns}
         joined = (left.join(right, "_city_key", "left")
                   .withColumn("meta_ano", target_for_year("ano", years)))

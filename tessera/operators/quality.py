@@ -1,9 +1,10 @@
 """Data-quality checks, severities, score and the write gate (DQ-1 .. DQ-10, OBS-1).
 
-All checks of one table are evaluated in ONE aggregate pass (one Spark job):
-each check becomes a ``count_if`` / ``count`` / ``count(DISTINCT)`` column of
-a single ``agg``. The aggregate is map-side combinable, so only one small row
-per task is shuffled and the driver receives a single row.
+All checks of one table are evaluated in ONE aggregate over one scan: each
+check becomes a ``count_if`` / ``count`` / ``count(DISTINCT)`` column of a
+single ``agg``. Counts are combined map-side, one small row per task; a
+``unique`` check shuffles its column's distinct values (digests of text). The
+driver receives a single row.
 
 Semantics kept from the original jobs:
   not_null  rows that are NULL (or the 'N/A' text sentinel) must be 0
@@ -26,7 +27,9 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import (AnalysisException, ArithmeticException, DateTimeException,
+                            IllegalArgumentException, NumberFormatException, SparkRuntimeException)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
@@ -35,6 +38,10 @@ from tessera.contracts import Check
 
 log = logging.getLogger(__name__)
 
+# errors a check's own pattern, bounds or column can cause
+CHECK_ERRORS = (AnalysisException, ArithmeticException, DateTimeException,
+                IllegalArgumentException, NumberFormatException, SparkRuntimeException)
+
 PASS, FAIL, WARN, SKIP = "PASS", "FAIL", "WARN", "SKIP"
 
 
@@ -161,28 +168,47 @@ def _from_row(chk: Check, r) -> CheckResult:
     return CheckResult(chk, obs, bool(r["passed"]), r["status"], _detail(chk, obs, r["status"]))
 
 
+def _pattern_error(spark: SparkSession, chk: Check) -> str | None:
+    """What is wrong with a check's pattern, found before any task compiles it."""
+    if chk.kind != "regex":
+        return None
+    try:
+        spark._jvm.java.util.regex.Pattern.compile(str(chk.value))
+    except IllegalArgumentException as e:
+        return str(e).strip()
+    return None
+
+
+def _failed(chk: Check, message: str) -> CheckResult:
+    return CheckResult(chk, None, False, _status(chk, False),
+                       f"error while evaluating check: {message}")
+
+
 def run_checks(df: DataFrame, checks: Sequence[Check],
                missing_column: str = "skip") -> list[CheckResult]:
     """Evaluate all checks in one pass (one job); one small row per check returned.
 
-    DQ-9: if the combined pass fails (for example a malformed pattern), each
-    check is evaluated on its own and the one that raises becomes a failed
-    check carrying the error message; the others keep their results.
+    DQ-9: if a check itself is at fault (a malformed pattern, a value that does
+    not fit), each check is evaluated on its own and the one that raises becomes
+    a failed check carrying the error message; the others keep their results.
+    Any other error, such as a lost executor or a missing file, is raised.
     """
     if not checks:
         return []
+    errors = [_pattern_error(df.sparkSession, c) for c in checks]
+    good = [c for c, e in zip(checks, errors) if e is None]
     try:
-        out = [_from_row(c, r) for c, r in zip(checks, check_report(df, checks, missing_column)
-                                                 .collect())]
-    except Exception:  # noqa: BLE001 - isolate the failing check below
-        out = []
-        for chk in checks:
+        rows = check_report(df, good, missing_column).collect() if good else []
+        results = [_from_row(c, r) for c, r in zip(good, rows)]
+    except CHECK_ERRORS:      # isolate the failing check below
+        results = []
+        for chk in good:
             try:
-                out.append(_from_row(chk, check_report(df, [chk], missing_column).first()))
-            except Exception as e:  # noqa: BLE001 - reported as a failed check
-                msg = str(e).strip().splitlines()[0][:300]
-                out.append(CheckResult(chk, None, False, _status(chk, False),
-                                       f"error while evaluating check: {msg}"))
+                results.append(_from_row(chk, check_report(df, [chk], missing_column).first()))
+            except CHECK_ERRORS as e:
+                results.append(_failed(chk, str(e).strip()))
+    measured = iter(results)
+    out = [next(measured) if e is None else _failed(c, e) for c, e in zip(checks, errors)]
     for r in out:
         log.info("[DQ] %s | %s | %s", r.status, r.check.name, r.detail)
     return out
@@ -253,16 +279,6 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)
 
 
-def duplicate_count(df: DataFrame, column: str) -> int:
-    """AGG-7: rows minus distinct values (NULL counted as one value)."""
-    return run_checks(df, [Check("unique", column)])[0].observed or 0
-
-
-def has_duplicates(df: DataFrame, keys: Sequence[str]) -> bool:
-    """AGG-6: any key group with more than one row."""
-    return not duplicate_groups(df, keys).isEmpty()
-
-
 def rule_violations(df: DataFrame, id_columns: Sequence[str],
                     checks: Sequence[Check]) -> DataFrame:
     """FLT-5 / FLT-6 for several rules in ONE pass: (ids..., rule) per violation.
@@ -291,22 +307,6 @@ def rule_violations(df: DataFrame, id_columns: Sequence[str],
             .select(*id_columns, F.explode("_rules").alias("rule")))
 
 
-def regex_violations(df: DataFrame, column: str, pattern: str,
-                     exempt_sentinel: bool = True) -> DataFrame:
-    """FLT-5: rows whose non-NULL (non-sentinel) value does not match ``pattern``."""
-    c = F.col(column).cast("string")
-    cond = c.isNotNull() & ~c.rlike(pattern)
-    if exempt_sentinel:
-        cond = cond & (c != F.lit(MISSING_TEXT))
-    return df.where(cond)
-
-
-def range_violations(df: DataFrame, column: str, lo: float, hi: float) -> DataFrame:
-    """FLT-6: rows outside [lo, hi]; NULL passes, NaN fails (NaN sorts above all)."""
-    c = F.col(column).try_cast("double")
-    return df.where((c < F.lit(float(lo))) | (c > F.lit(float(hi))))
-
-
 @contextmanager
 def cached(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK):
     """PIPE-7: persist around multi-pass work, always released.

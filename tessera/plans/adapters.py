@@ -15,8 +15,9 @@ inputs from the shared tables with one fixed rule (SURVEY 7.4):
     city target      <- supplier row: meta for 1996 = 20 + key % 30,
                         meta for 1997 = NULL when key % 7 = 0 else 25 + key % 30
 
-The supplier and nation sides are joined with a size-checked broadcast:
-supplier grows with the data, so beyond the bound it is a shuffle join.
+The supplier and nation joins carry no hint: Spark broadcasts a side only while
+its measured size is under the session's thresholds. Supplier grows with the
+data, so beyond them its join is a shuffle join.
 """
 
 from __future__ import annotations
@@ -24,8 +25,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import bounded_broadcast
-
 # target year -> source column in the adapter's target table
 TARGET_YEARS = {1996: "meta_alfabetizacao_1996", 1997: "meta_alfabetizacao_1997"}
 
@@ -41,8 +40,7 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.char(F.lit(65) + F.col("n_nationkey")),
                  F.char(F.lit(65) + F.col("n_regionkey"))).alias("sigla_uf"))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return supplier.join(bounded_broadcast(nation),
-                         supplier.s_nationkey == nation.n_nationkey, "inner")
+    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "inner")
 
 
 def students(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,8 +49,7 @@ def students(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
     city = cities(spark, sf_dir)
-    probe = table(spark, sf_dir, "supplier")
-    joined = li.join(bounded_broadcast(city, probe=probe), li.l_suppkey == city.s_suppkey, "inner")
+    joined = li.join(city, li.l_suppkey == city.s_suppkey, "inner")
     return joined.select(
         F.year("l_shipdate").alias("ano"),
         F.col("n_nationkey").alias("id_uf"),

@@ -25,11 +25,11 @@ from tessera.operators.quality import DataQualityError
 from tessera.plans.bronze import ingest_csv, ingest_warehouse
 from tessera.operators.indicators import target_fanout
 from tessera.plans.gold import build_gold, publish_gold
-from tessera.plans.publish import Target, publish_checked
+from tessera.plans.publish import Target, publish_checked, read_published
 from tessera.plans.silver import build_silver, clean
-from tessera.sources.catalog import register_table
-from tessera.sources.parquet import read_batch, read_latest, read_years, try_read_parquet
-from tessera.sources.sinks import write_batch
+from tessera.sources.catalog import register_run, register_table
+from tessera.sources.parquet import read_batch, read_years, try_read_parquet
+from tessera.sources.sinks import append_report, write_batch
 from tessera.session import apply_partition_settings, configure
 
 log = logging.getLogger(__name__)
@@ -79,7 +79,9 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                student_years: tuple[str, ...] = ("alunos_2023", "alunos_2024", "alunos_2025"),
                missing_column: str = "skip", catalog_prefix: str | None = None,
                quarantine: bool = False, allow_missing_years: bool = False) -> list[Outcome]:
-    """PIPE-5: every entity (default all six); failures are collected, raised at the end (D6)."""
+    """PIPE-5: every entity (default all six); failures are collected, raised at the end (D6).
+
+    The outcomes are also appended to ``<lake_root>/run_log/silver``."""
     outcomes: list[Outcome] = []
     for entity in entities or list(SILVER_ENTITIES):
         contract = CONTRACTS[entity]
@@ -91,18 +93,20 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                 continue
             counts: dict = {}
             silver = build_silver(bronze, contract, clock, counts=counts)
-            # stage -> check -> publish; the dedup already hash-partitioned rows
+            # write -> check -> commit; the dedup already hash-partitioned rows
             # by the business key, so no extra repartition before writing (D12)
             target = Target(silver, f"{lake_root}/silver/{entity}", SILVER_PARTITIONS,
                             tuple((checks or {}).get(entity, contract.checks)))
-            publish_checked(spark, {entity: target}, missing_column,
-                            report_path=f"{lake_root}/quality_reports/silver")
+            published = publish_checked(spark, {entity: target}, f"{lake_root}/silver/commits",
+                                        missing_column,
+                                        report_path=f"{lake_root}/quality_reports/silver")
             if quarantine and contract.keys:       # D13: rows rejected for missing keys
                 rejected = missing_key_rows(clean(bronze, contract), contract.keys)
                 write_batch(rejected.withColumn("_reason", F.lit("missing business key")),
                             f"{lake_root}/quarantine/{entity}", batch)
             if catalog_prefix:                      # CAT-1: the crawler's job
-                register_table(spark, f"{catalog_prefix}_{entity}", target.path, partitioned=True)
+                register_run(spark, f"{catalog_prefix}_{entity}", target.path,
+                             published.written[entity], SILVER_PARTITIONS)
             rows_in, rows_out = _observed_rows(counts["in"]), _observed_rows(counts["out"])
             log.info("%s: %d bronze rows, %d silver rows, %d null-key/duplicate rows removed",
                      entity, rows_in, rows_out, rows_in - rows_out)
@@ -112,18 +116,27 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
         except Exception as e:  # noqa: BLE001 - one entity's error must not stop the loop
             log.exception("entity %s failed", entity)
             outcomes.append(Outcome(entity, "failed", detail=str(e)))
+    append_report(spark.createDataFrame(
+        [(clock.batch, o.entity, o.status, o.rows_in, o.rows_out, o.detail) for o in outcomes],
+        "batch string, entity string, status string, rows_in bigint, rows_out bigint, "
+        "detail string"), f"{lake_root}/run_log/silver")
     return outcomes
 
 
+def read_silver(spark: SparkSession, lake_root: str, entity: str) -> DataFrame:
+    """SRC-8: one silver table as of its newest committed run."""
+    return read_published(spark, f"{lake_root}/silver/{entity}", f"{lake_root}/silver/commits", entity)
+
+
 def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COLUMNS,
              catalog_prefix: str | None = None):
-    """Gold from the latest silver snapshots; versioned, committed publication.
+    """Gold from the latest silver snapshots; committed publication.
 
     With ``catalog_prefix`` every view's catalog table is then pointed at the
     committed run folder (one metadata change per view).
     """
-    students = read_latest(spark, f"{lake_root}/silver/alunos")
-    targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")
+    students = read_silver(spark, lake_root, "alunos")
+    targets = read_silver(spark, lake_root, "meta_alfabetizacao_municipio")
     # D5: cities with several differing target rows duplicate comparison rows
     fanout = target_fanout(targets, target_columns).count()
     if fanout:
@@ -131,7 +144,7 @@ def run_gold(spark: SparkSession, lake_root: str, target_columns=GOLD_TARGET_COL
                     "their comparison rows are repeated (use policy='latest' to keep one)", fanout)
     views = build_gold(students, targets, target_columns, materialize=True)
     out = publish_gold(spark, views, f"{lake_root}/gold",
-                       report_path=f"{lake_root}/quality_reports/gold", versioned=True)
+                       report_path=f"{lake_root}/quality_reports/gold")
     if catalog_prefix:
         for name, path in out.written.items():
             register_table(spark, f"{catalog_prefix}_{name}", path)
@@ -151,8 +164,8 @@ def explain_run(spark: SparkSession, layer: str, lake_root: str, batch: str, clo
             if bronze is not None:
                 frames[entity] = build_silver(bronze, CONTRACTS[entity], clock)
     elif layer == "gold":
-        students = read_latest(spark, f"{lake_root}/silver/alunos")
-        targets = read_latest(spark, f"{lake_root}/silver/meta_alfabetizacao_municipio")
+        students = read_silver(spark, lake_root, "alunos")
+        targets = read_silver(spark, lake_root, "meta_alfabetizacao_municipio")
         frames = build_gold(students, targets, target_columns)
     for name, df in frames.items():
         print(f"===== {layer}: {name}")

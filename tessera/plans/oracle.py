@@ -7,6 +7,7 @@ DuckDB's ``round(double)`` does not, so the oracle rounds the decimal text:
 
 from __future__ import annotations
 
+from tessera.contracts import RULE_SETS
 from tessera.plans.adapters import STUDENTS_SQL, TARGETS_SQL
 
 
@@ -581,3 +582,113 @@ ORACLE.update({
 
 ORACLE["csv_documents"] = """
 SELECT CAST(doc_id AS VARCHAR) AS doc_id, source, text FROM documents"""
+
+# --- whole jobs ------------------------------------------------------------------------
+# bronze batches: each year on its own day, the first year's even ids again on 28 June
+_BATCHES_SQL = f"""
+WITH {STUDENTS_SQL},
+bronze AS (
+  SELECT * EXCLUDE (_ingestion_timestamp),
+         TIMESTAMP '2026-06-01 08:00:00'
+           + to_days(CAST(dense_rank() OVER (ORDER BY ano) - 1 AS INTEGER)) AS _ingestion_timestamp
+  FROM students
+  UNION ALL
+  SELECT * EXCLUDE (_ingestion_timestamp) REPLACE (vl_proficiencia_lp + 1.0 AS vl_proficiencia_lp),
+         TIMESTAMP '2026-06-28 08:00:00'
+  FROM students WHERE ano = (SELECT min(ano) FROM students) AND id_aluno % 2 = 0
+),
+cleaned AS (
+  SELECT * REPLACE ({r2('vl_proficiencia_lp')} AS vl_proficiencia_lp,
+                    {r2('vl_peso_aluno_lp')} AS vl_peso_aluno_lp) FROM bronze
+),
+lake AS (
+  SELECT * FROM cleaned
+  QUALIFY row_number() OVER (
+    PARTITION BY ano, id_aluno
+    ORDER BY _ingestion_timestamp DESC, id_uf DESC, sigla_uf DESC, id_municipio DESC,
+             nome_municipio DESC, in_presenca_lp DESC, vl_peso_aluno_lp DESC,
+             vl_proficiencia_lp DESC, in_alfabetizado DESC) = 1
+)"""
+
+ORACLE["silver_run"] = _BATCHES_SQL + """
+SELECT ano, id_aluno, sigla_uf, CAST(id_municipio AS INTEGER) AS id_municipio, in_presenca_lp,
+       in_alfabetizado, vl_proficiencia_lp, vl_peso_aluno_lp, _ingestion_timestamp,
+       '28' AS dia_ingestao
+FROM lake"""
+
+ORACLE["lake_run_log"] = _BATCHES_SQL + """
+SELECT 'alunos' AS entity, 'written' AS status, (SELECT count(*) FROM bronze) AS rows_in,
+       (SELECT count(*) FROM lake) AS rows_out
+UNION ALL SELECT 'meta_alfabetizacao_municipio', 'written', count(*), count(*) FROM supplier
+UNION ALL SELECT 'uf', 'skipped', 0, 0
+UNION ALL SELECT 'municipio', 'skipped', 0, 0"""
+
+# the goal comparison over the lake's students (silver stores the city id as int)
+_LAKE_COMPARISON = TARGET_COMPARISON_SQL.replace(f"WITH {STUDENTS_SQL}", _BATCHES_SQL) \
+    .replace("SELECT * FROM students\n  WHERE in_presenca_lp = 1",
+             "SELECT * REPLACE (CAST(id_municipio AS INTEGER) AS id_municipio) FROM lake\n"
+             "  WHERE in_presenca_lp = 1")
+ORACLE["lake_gold"] = _LAKE_COMPARISON
+
+ORACLE["quality_reports"] = DQ_DOCUMENTS_SQL + """
+UNION ALL
+SELECT 'regex:lang', 'regex', 'lang', FALSE, CAST(NULL AS BIGINT), FALSE, 'WARN' FROM m"""
+
+ORACLE["ordered_sample"] = f"""
+SELECT ano, id_aluno, sigla_uf, vl_proficiencia_lp FROM ({SILVER_STUDENTS_SQL}) s
+ORDER BY ano, id_aluno LIMIT 50"""
+
+_OTHER_FLAG = "CASE (l.l_orderkey * 10 + l.l_linenumber) % 3 WHEN 0 THEN '0' WHEN 1 THEN 'N/A' END"
+_TEXT_STUDENTS_SQL = STUDENTS_SQL \
+    .replace("CAST(l.l_linestatus = 'F' AS INTEGER)",
+             f"CASE WHEN l.l_linestatus = 'F' THEN '1' ELSE {_OTHER_FLAG} END") \
+    .replace("CAST(l.l_returnflag = 'R' AS INTEGER)",
+             f"CASE WHEN l.l_returnflag = 'R' THEN '1' ELSE {_OTHER_FLAG} END")
+ORACLE["text_flags"] = CITY_INDICATOR_SQL \
+    .replace(STUDENTS_SQL, f"{_TEXT_STUDENTS_SQL}, {CONFORMED_SQL}, {SILVER_SQL}") \
+    .replace("SELECT * FROM students\n  WHERE in_presenca_lp = 1",
+             "SELECT * FROM silver\n  WHERE in_presenca_lp = '1'") \
+    .replace("in_alfabetizado = 1", "in_alfabetizado = '1'")
+
+_UPPER_STUDENTS_SQL = f"""
+students AS (
+  SELECT NU_ANO_AVALIACAO AS ano, SG_UF AS sigla_uf, CO_MUNICIPIO AS id_municipio,
+         NO_MUNICIPIO AS nome_municipio, ID_ALUNO AS id_aluno, IN_PRESENCA_LP AS in_presenca_lp,
+         IN_ALFABETIZADO AS in_alfabetizado
+  FROM ({SILVER_STUDENTS_UPPER_SQL}) u
+)"""
+ORACLE["gold_upper"] = f"""
+SELECT ano AS NU_ANO_AVALIACAO, sigla_uf AS SG_UF, id_municipio AS CO_MUNICIPIO,
+       nome_municipio AS NO_MUNICIPIO, total_avaliados AS TOTAL_AVALIADOS,
+       taxa_alfabetizacao_real AS TAXA_ALFABETIZACAO_REAL, meta_ano AS META_ANO,
+       desvio_meta AS DESVIO_META, status_meta AS STATUS_META
+FROM ({TARGET_COMPARISON_SQL.replace(STUDENTS_SQL, _UPPER_STUDENTS_SQL)}) c"""
+
+_ALL_CITIES_SQL = CITY_INDICATOR_SQL.replace("WHERE in_presenca_lp = 1 AND id_municipio IS NOT NULL",
+                                             "WHERE TRUE OR id_municipio IS NULL") \
+    .replace("AND CAST(id_municipio AS VARCHAR) NOT IN ('N/A', '', 'NaN')", "")
+_ENTITY_SQL = {
+    "alunos": _STUDENTS_SRC,
+    "meta_alfabetizacao_brasil": f"WITH {TARGETS_SQL} SELECT DISTINCT ano, rede FROM targets",
+    "meta_alfabetizacao_uf": """SELECT DISTINCT 1995 AS ano,
+        chr(65 + n_nationkey) || chr(65 + n_regionkey) AS sigla_uf
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    "meta_alfabetizacao_municipio": f"WITH {TARGETS_SQL} SELECT * FROM targets",
+    "municipio": f"SELECT ano, id_municipio FROM ({_ALL_CITIES_SQL}) c",
+    "uf": f"SELECT DISTINCT ano, sigla_uf FROM ({_ALL_CITIES_SQL}) c",
+}
+_TEXT_COLUMNS = {"sigla_uf", "rede"}
+
+
+def _entity_score_sql(entity: str, rule_set: str) -> str:
+    checks = [(c.kind, c.column, c.value, c.critical,
+               c.sentinel_is_null if c.kind == "not_null" else c.regex_exempt_sentinel)
+              for c in RULE_SETS[rule_set][entity]]
+    # city targets store the city id as text
+    text = _TEXT_COLUMNS | ({"id_municipio"} if entity == "meta_alfabetizacao_municipio" else set())
+    scored = _score_sql(entity, _ENTITY_SQL[entity], checks, text)
+    return f"SELECT view_name AS entity, '{rule_set}' AS rule_set, * EXCLUDE (view_name) FROM ({scored}) s"
+
+
+ORACLE["dq_entity_scores"] = "\nUNION ALL\n".join(
+    _entity_score_sql(e, r) for e in _ENTITY_SQL for r in ("common", "students_job", "city_job"))

@@ -1,19 +1,14 @@
-"""Checked publication: stage -> check the staged data -> publish (all or nothing).
-
-1. every frame is computed ONCE and written to a staging folder under the
-   shared checkpoint folder (survives executor loss, unlike cached blocks);
-2. the checks of every frame run on the staged Parquet, reading only the
-   checked columns, in one aggregate pass per frame;
-3. only when no critical check failed anywhere, each staged table is copied
-   to its final place (dynamic partition overwrite or full overwrite).
-
-A critical failure raises :class:`DataQualityError` before step 3, so every
-previously published table is left exactly as it was.
-
-Versioned publication (``commit_log``) also covers a crash in step 3: each
-table is written to ``<path>/run_id=<id>`` and only after all of them are in
-place one row is appended to the commit log. Readers resolve the newest
-committed run, so a half-published run is never visible.
+"""Checked publication: write once -> check the written files -> commit (all or nothing).
+
+1. every frame is computed and written ONCE, to ``<path>/run_id=<id>``;
+2. the checks of every frame run on those files, reading only the checked
+   columns, in one aggregate pass per frame;
+3. only when no critical check failed anywhere, one row is appended to the
+   commit log.
+
+Readers resolve the newest committed run, so a run that failed its checks or
+crashed half way is never visible and everything published before is left as
+it was. A run that fails its checks deletes its own folders.
 """
 
 from __future__ import annotations
@@ -28,9 +23,8 @@ from pyspark.sql import functions as F
 
 from tessera.contracts import Check
 from tessera.operators.quality import CheckResult, DataQualityError, run_checks, score
-from tessera.session import scratch_path
 from tessera.sources.parquet import try_read_parquet
-from tessera.sources.sinks import append_report, write_partitioned, write_table
+from tessera.sources.sinks import append_report, delete_folder, write_partitioned, write_table
 
 REPORT_SCHEMA = ("table_name string, check_name string, kind string, column_name string, "
                  "critical boolean, observed bigint, passed boolean, status string, "
@@ -41,13 +35,13 @@ REPORT_SCHEMA = ("table_name string, check_name string, kind string, column_name
 class Target:
     df: DataFrame
     path: str
-    partitions: Sequence[str] = ()   # () -> full overwrite, else dynamic partition overwrite
+    partitions: Sequence[str] = ()   # partition columns inside the run's folder
     checks: Sequence[Check] = ()
 
 
 @dataclass
 class Published:
-    run_id: str | None = None
+    run_id: str
     written: dict[str, str] = field(default_factory=dict)
     results: dict[str, list[CheckResult]] = field(default_factory=dict)
     scores: dict[str, dict] = field(default_factory=dict)
@@ -68,38 +62,53 @@ def new_run_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:8]
 
 
-def latest_commit(spark: SparkSession, commit_log: str) -> str | None:
-    """The newest committed run id (one tiny aggregate over the commit log)."""
+def latest_commit(spark: SparkSession, commit_log: str, table: str | None = None) -> str | None:
+    """The newest committed run id, of ``table`` if named (one tiny aggregate over the log)."""
     log_df = try_read_parquet(spark, commit_log)
     if log_df is None:
         return None
+    if table is not None:
+        log_df = log_df.where(F.array_contains("tables", table))
     return log_df.agg(F.max("run_id").alias("r")).first()["r"]
 
 
-def read_published(spark: SparkSession, path: str, commit_log: str) -> DataFrame:
-    """A versioned table as of its newest committed run."""
-    run = latest_commit(spark, commit_log)
+def run_path(path: str, run_id: str) -> str:
+    return f"{path.rstrip('/')}/run_id={run_id}"
+
+
+def read_published(spark: SparkSession, path: str, commit_log: str,
+                   table: str | None = None) -> DataFrame:
+    """A table as of its newest committed run (of ``table``, where several share the log)."""
+    run = latest_commit(spark, commit_log, table)
     if run is None:
         raise FileNotFoundError(f"nothing committed in {commit_log}")
-    return spark.read.parquet(f"{path.rstrip('/')}/run_id={run}")
-
-
-def publish_checked(spark: SparkSession, targets: Mapping[str, Target],
-                    missing_column: str = "skip", report_path: str | None = None,
-                    commit_log: str | None = None) -> Published:
-    """Stage, check and publish ``targets``; with ``report_path`` every check
-    result is also appended to the quality-report area, pass or fail; with
-    ``commit_log`` the publication is versioned and committed atomically."""
-    out = Published()
-    run_id = new_run_id() if commit_log else None
-    staged: dict[str, str] = {}
-    for name, t in targets.items():
-        path = scratch_path(spark, f"stage-{name}")
-        t.df.write.mode("overwrite").parquet(path)
-        staged[name] = path
+    return spark.read.parquet(run_path(path, run))
+
+
+def commit_run(spark: SparkSession, commit_log: str, run_id: str, tables: Sequence[str]) -> None:
+    """Append one row to the commit log: from now on readers see the run."""
+    commit = spark.createDataFrame(
+        [(run_id, datetime.now(timezone.utc).replace(tzinfo=None), list(tables))],
+        "run_id string, committed_at timestamp_ntz, tables array<string>")
+    append_report(commit, commit_log)
+
+
+def publish_checked(spark: SparkSession, targets: Mapping[str, Target], commit_log: str,
+                    missing_column: str = "skip", report_path: str | None = None) -> Published:
+    """Write, check and commit ``targets`` as one run; with ``report_path`` every
+    check result is also appended to the quality-report area, pass or fail."""
+    out = Published(new_run_id())
+    paths = {name: run_path(t.path, out.run_id) for name, t in targets.items()}
     blocked = []
     for name, t in targets.items():
-        res = run_checks(spark.read.parquet(staged[name]), list(t.checks), missing_column)
+        if t.partitions:
+            write_partitioned(t.df, paths[name], t.partitions)
+        else:
+            write_table(t.df, paths[name])
+    for name, t in targets.items():
+        # the frame's schema, as partition folders alone carry no files when it is empty
+        written = spark.read.schema(t.df.schema).parquet(paths[name])
+        res = run_checks(written, list(t.checks), missing_column)
         out.results[name] = res
         out.scores[name] = score(res)
         if out.scores[name]["blocked"]:
@@ -107,16 +116,9 @@ def publish_checked(spark: SparkSession, targets: Mapping[str, Target],
     if report_path:
         append_report(report_frame(spark, out.results, out.scores), report_path)
     if blocked:
+        for path in paths.values():
+            delete_folder(spark, path)
         raise DataQualityError(f"critical data-quality failure in {blocked}: nothing published")
-    for name, t in targets.items():
-        data = spark.read.parquet(staged[name])
-        path = f"{t.path.rstrip('/')}/run_id={run_id}" if run_id else t.path
-        out.written[name] = (write_partitioned(data, path, t.partitions) if t.partitions
-                             else write_table(data, path))
-    if run_id:
-        commit = spark.createDataFrame(
-            [(run_id, datetime.now(timezone.utc).replace(tzinfo=None), sorted(targets))],
-            "run_id string, committed_at timestamp_ntz, tables array<string>")
-        append_report(commit, commit_log)
-        out.run_id = run_id
+    commit_run(spark, commit_log, out.run_id, sorted(targets))
+    out.written = paths
     return out

@@ -8,14 +8,14 @@ round trip, catalog, streams) write under the shared checkpoint folder.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from tessera.constants import STATE_CODE_PATTERN, VIEW_CITY_INDICATOR
+from tessera.constants import STATE_CODE_PATTERN, VIEW_CITY_INDICATOR, VIEW_TARGET_COMPARISON
 from tessera.contracts import CITY_JOB_CHECKS, CONTRACTS, GOLD_CHECKS, RULE_SETS, Check
 from tessera.operators import indicators as ind
 from tessera.operators import quality as dq
@@ -23,14 +23,18 @@ from tessera.operators.audit import RunClock, bronze_audit
 from tessera.operators.clean import clean_values, typed_projection
 from tessera.operators.dedup import dedup_by_contract
 from tessera.plans import adapters
-from tessera.plans.gold import build_gold, publish_gold, read_gold
+from tessera.plans.bronze import ingest_bronze, ingest_warehouse
+from tessera.plans.gold import (UPPER_CASE_COLUMNS, build_gold, publish_gold, read_gold,
+                                upper_case_view)
+from tessera.plans.jobs import read_silver, run_gold, run_silver
+from tessera.plans.publish import Target, publish_checked
 from tessera.plans.silver import build_silver, build_silver_upper, conform
-from tessera.session import configure, scratch_path
+from tessera.session import configure, scratch_path, written
 from tessera.sources import catalog
 from tessera.sources.csv import read_csv, read_csv_sniffed, write_csv
-from tessera.sources.parquet import read_latest, read_years
+from tessera.sources.parquet import partition_values, read_latest, read_years
 from tessera.sources.sinks import read_back, write_partitioned
-from tessera.streaming.jobs import closed_windows, ingest_dedup_stream, live_indicator_stream
+from tessera.streaming.jobs import closed_windows, ingest_dedup_stream, live_indicator_stream, read_live
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -75,10 +79,7 @@ def students_union_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "raw_students")
     raw = adapters.raw_students(spark, sf_dir).withColumn("_year", F.col("NU_ANO_AVALIACAO"))
     raw.write.mode("overwrite").partitionBy("_year").parquet(root)
-    # the yearly folders, from the file listing Spark already made (no job)
-    years = sorted({m.group(1) for f in spark.read.parquet(root).inputFiles()
-                    if (m := re.search(r"/_year=([^/]+)/", f))})
-    paths = [f"{root}/_year={y}" for y in years]
+    paths = [f"{root}/_year={y}" for y in partition_values(spark, root, "_year")]
     return read_years(spark, paths, CONTRACTS["alunos"].schema)
 
 
@@ -157,7 +158,7 @@ def gold_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     students = read_latest(spark, f"{lake}/silver/alunos")
     tgt = read_latest(spark, f"{lake}/silver/meta_alfabetizacao_municipio")
     views = build_gold(students, tgt, adapters.TARGET_YEARS, materialize=True)
-    out = publish_gold(spark, views, f"{lake}/gold", versioned=True)
+    out = publish_gold(spark, views, f"{lake}/gold")
     back = read_back(spark, out.written[VIEW_CITY_INDICATOR])
     if back.error:
         raise RuntimeError(back.error)
@@ -224,7 +225,7 @@ def dq_gold_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ-10 gold rule set: every gold view scored under its own checks."""
     configure(spark)
     views = build_gold(adapters.students(spark, sf_dir), adapters.city_targets(spark, sf_dir),
-                       adapters.TARGET_YEARS)
+                       adapters.TARGET_YEARS, materialize=True)
     out = None
     for name, view in views.items():
         scored = dq.score_report(dq.check_report(view, GOLD_CHECKS[name])).select(
@@ -356,7 +357,7 @@ def stream_daily_indicator(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = live_indicator_stream(spark, src, schema, "ts", F.col("value") >= F.lit(HIGH_VALUE),
                               sink, ckpt, STREAM_CHECKS, output_mode="complete")
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    return read_live(spark, sink)
 
 
 def stream_daily_indicator_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -381,6 +382,150 @@ def csv_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_sniffed(spark, path)
 
 
+# --- whole jobs ------------------------------------------------------------------------
+def _day(n: int) -> RunClock:
+    """The run of the n-th day of the test lake."""
+    return RunClock(FIRST_DAY.at + timedelta(days=n))
+
+
+FIRST_DAY = RunClock.fixed("2026-06-01 08:00:00")
+LAST_DAY = 27
+
+
+def _student_lake(spark: SparkSession, sf_dir: str) -> tuple[str, tuple[str, ...]]:
+    """Bronze: every student year ingested on its own day, the first year again later
+    with every second student's proficiency raised. Returns the lake and the year folders."""
+    lake, raw_path = scratch_path(spark, "lake"), scratch_path(spark, "raw_students")
+    (adapters.raw_students(spark, sf_dir).drop("_ingestion_timestamp", "anomesdia")
+     .withColumn("_year", F.col("NU_ANO_AVALIACAO")).write.partitionBy("_year").parquet(raw_path))
+    years = partition_values(spark, raw_path, "_year")
+    for n, year in enumerate(years):
+        df = spark.read.parquet(f"{raw_path}/_year={year}")
+        ingest_bronze(df, f"{lake}/bronze", f"alunos_{year}", _day(n), "raw/alunos")
+        if n == 0:
+            again = df.where(F.col("ID_ALUNO") % 2 == 0).withColumn(
+                "VL_PROFICIENCIA_LP", F.col("VL_PROFICIENCIA_LP") + 1.0)
+            ingest_bronze(again, f"{lake}/bronze", f"alunos_{year}", _day(LAST_DAY), "raw/alunos")
+    return lake, tuple(f"alunos_{y}" for y in years)
+
+
+def silver_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE-1 / PIPE-5 / PIPE-6, SRC-7, SNK-1 / SNK-5: the silver job reads every batch of every year."""
+    configure(spark)
+    lake, years = _student_lake(spark, sf_dir)
+    run_silver(spark, lake, _day(LAST_DAY).batch, _day(LAST_DAY), ["alunos"], student_years=years)
+    return read_silver(spark, lake, "alunos").select(
+        "ano", "id_aluno", "sigla_uf", "id_municipio", "in_presenca_lp", "in_alfabetizado",
+        "vl_proficiencia_lp", "vl_peso_aluno_lp", "_ingestion_timestamp", "dia_ingestao")
+
+
+def _whole_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Bronze (students, exported targets, an empty batch) through the silver job."""
+    lake, years = _student_lake(spark, sf_dir)
+    clock, targets = _day(LAST_DAY), adapters.city_targets(spark, sf_dir)
+    export = scratch_path(spark, "export")
+    targets.write.parquet(f"{export}/targets")
+    ingest_warehouse(spark, "targets", "meta_alfabetizacao_municipio", f"{lake}/bronze", clock,
+                     fallback_root=export)
+    ingest_bronze(targets.limit(0), f"{lake}/bronze", "uf", clock, "warehouse://uf")
+    run_silver(spark, lake, clock.batch, clock,
+               ["alunos", "meta_alfabetizacao_municipio", "uf", "municipio"], student_years=years)
+    return lake
+
+
+def lake_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-1 / SRC-6 / SRC-9, FLT-4, AGG-5: outcomes and row counts of one silver run;
+    ``uf`` has an empty batch and ``municipio`` none at all."""
+    configure(spark)
+    return (spark.read.parquet(f"{_whole_lake(spark, sf_dir)}/run_log/silver")
+            .select("entity", "status", "rows_in", "rows_out"))
+
+
+def lake_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIPE-1 to PIPE-6: bronze, silver and gold jobs end to end; the goal comparison."""
+    configure(spark)
+    lake = _whole_lake(spark, sf_dir)
+    run_gold(spark, lake, adapters.TARGET_YEARS)
+    return read_gold(spark, f"{lake}/gold", VIEW_TARGET_COMPARISON).drop("_gold_processed_at",
+                                                                         "_analytics_version")
+
+
+def quality_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6 / DQ-9: report rows of a publication in which one pattern is malformed."""
+    configure(spark)
+    lake = scratch_path(spark, "lake")
+    checks = (*DOCUMENT_CHECKS, Check("regex", "lang", "[a-z", critical=False))
+    docs = adapters.table(spark, sf_dir, "documents")
+    publish_checked(spark, {"documents": Target(docs, f"{lake}/documents", (), checks)},
+                    f"{lake}/commits", report_path=f"{lake}/quality_reports")
+    return (spark.read.parquet(f"{lake}/quality_reports")
+            .select("check_name", "kind", "column_name", "critical", "observed", "passed", "status"))
+
+
+SAMPLE_ROWS = 50
+
+
+def ordered_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """VAL-1 / SRT-2 / SNK-3: silver students clustered by key, then the read-back's ordered sample."""
+    configure(spark)
+    path = scratch_path(spark, "silver")
+    write_partitioned(build_silver(adapters.raw_students(spark, sf_dir), CONTRACTS["alunos"], RUN_CLOCK),
+                      path, cluster_by=STUDENT_KEYS)
+    back = read_back(spark, path, SAMPLE_ROWS, STUDENT_KEYS)
+    if back.error:
+        raise RuntimeError(back.error)
+    return back.sample.select(*STUDENT_KEYS, "sigla_uf", "vl_proficiencia_lp")
+
+
+# --- variants of the gold inputs -----------------------------------------------------------
+def text_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-7: flags stored as text ('1', '0', 'N/A', blank) through silver and gold."""
+    configure(spark)
+    k = F.col("ID_ALUNO")
+    other = F.when(k % 3 == 0, F.lit("0")).when(k % 3 == 1, F.lit("N/A")).otherwise(F.lit(" "))
+    raw = adapters.raw_students(spark, sf_dir).withColumns({
+        c: F.when(F.col(c) == 1, F.lit("1")).otherwise(other)
+        for c in ("IN_PRESENCA_LP", "IN_ALFABETIZADO")})
+    silver = build_silver(raw, CONTRACTS["alunos"], RUN_CLOCK, processed_at=False)
+    return ind.city_indicator(ind.indicator_base(silver))
+
+
+def gold_upper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN-2: the goal comparison from upper-case silver tables, under upper-case names."""
+    configure(spark)
+    students = build_silver_upper(adapters.raw_students(spark, sf_dir),
+                                  ("NU_ANO_AVALIACAO", "ID_ALUNO"), processed_at=False)
+    targets = build_silver_upper(adapters.city_targets(spark, sf_dir), ("ANO", "ID_MUNICIPIO"),
+                                 processed_at=False)
+    views = build_gold(students, targets, {y: c.upper() for y, c in adapters.TARGET_YEARS.items()},
+                       columns=UPPER_CASE_COLUMNS)
+    return upper_case_view(views[VIEW_TARGET_COMPARISON])
+
+
+def dq_entity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-10: the six silver entities, each under the three silver rule sets."""
+    configure(spark)
+    students, targets = adapters.students(spark, sf_dir), adapters.city_targets(spark, sf_dir)
+    results = written(ind.city_indicator(students.select(*ind.CITY_KEYS, "id_aluno",
+                                                         "in_alfabetizado")), "results")
+    entities = {
+        "alunos": students,
+        "meta_alfabetizacao_brasil": targets.groupBy("ano", "rede").agg(
+            F.max("meta_alfabetizacao_1996").alias("meta_alfabetizacao_1996")),
+        "meta_alfabetizacao_uf": adapters.cities(spark, sf_dir).select(
+            F.lit(1995).alias("ano"), "sigla_uf").distinct(),
+        "meta_alfabetizacao_municipio": targets,
+        "municipio": results.select("ano", "id_municipio", "taxa_alfabetizacao_real"),
+        "uf": ind.state_evolution_from_cities(results, sort=False)}
+    out = None
+    for name, df in entities.items():
+        scored = dq.rule_set_scores(df, {r: RULE_SETS[r][name] for r in
+                                         ("common", "students_job", "city_job")}) \
+            .select(F.lit(name).alias("entity"), "*")
+        out = scored if out is None else out.unionByName(scored)
+    return out
+
+
 QUERIES: dict[str, QueryFn] = {
     "city_indicator": city_indicator,
     "target_comparison": target_comparison,
@@ -414,4 +559,12 @@ QUERIES: dict[str, QueryFn] = {
     "stream_dedup_events": stream_dedup_events,
     "stream_daily_indicator": stream_daily_indicator,
     "stream_daily_indicator_append": stream_daily_indicator_append,
+    "silver_run": silver_run,
+    "lake_run_log": lake_run_log,
+    "lake_gold": lake_gold,
+    "quality_reports": quality_reports,
+    "ordered_sample": ordered_sample,
+    "text_flags": text_flags,
+    "gold_upper": gold_upper,
+    "dq_entity_scores": dq_entity_scores,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job expects. ANSI stays on (the 4.x default); time zone is UTC
 # so timestamps, windows and partition dates agree across executors.
@@ -15,6 +15,8 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a side is broadcast at runtime only by the bytes its shuffle wrote
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # partition values such as "01" stay strings when read back (D7)
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
@@ -75,6 +77,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once into a scratch table and read back: lineage ends at files
+    every executor reaches."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def partition_settings(input_bytes: int, bytes_per_partition: int = 512 * 1024 * 1024,
                        max_partitions: int = 65536) -> dict[str, str]:
     """Shuffle / scan sizing for an input of ``input_bytes``.

@@ -54,6 +54,20 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None, s
     return raw if schema is None else typed_projection(raw, schema, keep_extra=keep_extra)
 
 
+def malformed_rows(spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1",
+                   multi_line: bool = False) -> DataFrame:
+    """Rows with more or fewer fields than the header, with their text in ``_corrupt_record``.
+
+    :func:`read_csv` keeps such rows, without surplus fields and with NULL for
+    missing ones; count them here (one scan) where the source is not trusted.
+    """
+    names = header_columns(spark, path, sep, encoding)
+    schema = StructType([StructField(n, StringType(), True) for n in (*names, "_corrupt_record")])
+    return (_reader(spark, sep, encoding, True, multi_line).option("enforceSchema", "true")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema).csv(path)
+            .where(F.col("_corrupt_record").isNotNull()))
+
+
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """'UTF-8' when every line is valid UTF-8, else 'ISO-8859-1' (whole input checked)."""
     bad = (spark.read.text(path)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import re
 from collections.abc import Mapping, Sequence
 from urllib.parse import unquote
 
@@ -18,9 +17,7 @@ from tessera.operators.clean import typed_projection
 log = logging.getLogger(__name__)
 
 
-def _is_missing(e: AnalysisException) -> bool:
-    msg = str(e)
-    return any(k in msg for k in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "does not exist"))
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")   # error conditions of an absent or empty path
 
 
 def try_read_parquet(spark: SparkSession, path: str, ignore_missing_files: bool = False,
@@ -37,7 +34,7 @@ def try_read_parquet(spark: SparkSession, path: str, ignore_missing_files: bool
     try:
         return reader.parquet(path)
     except AnalysisException as e:
-        if _is_missing(e):
+        if e.getCondition() in _MISSING:
             log.warning("no data at %s: skipped", path)
             return None
         raise
@@ -53,18 +50,19 @@ def read_batch(spark: SparkSession, root: str, batch: str,
     return try_read_parquet(spark, f"{root.rstrip('/')}/{partition}={batch}", base_path=root)
 
 
-def read_years(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
+def read_years(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None,
+               ignore_missing_files: bool = False) -> DataFrame:
     """SRC-7 / SET-1: read each yearly input alone, cast it to the contract, union by name.
 
     One glob over all years takes a single footer's schema and fails when a
     column's type differs between years (D11); per-year reads do not. Missing
     columns come out NULL (``allowMissingColumns``), extra ones are kept.
-    Missing folders are skipped, and so are files that vanish between listing
-    and reading (``ignoreMissingFiles``).
+    Missing folders are skipped. A file that vanishes between listing and
+    reading fails the job; ``ignore_missing_files`` leaves it out instead.
     """
     frames = []
     for p in paths:
-        df = try_read_parquet(spark, p, ignore_missing_files=True)
+        df = try_read_parquet(spark, p, ignore_missing_files)
         if df is None:
             continue
         if schema is not None:
@@ -100,33 +98,53 @@ def _partition_equals(values: Mapping[str, str]) -> Column:
     return cond
 
 
-def newest_partition(df: DataFrame, partitions: Sequence[str]) -> dict[str, str] | None:
-    """The greatest partition value tuple among the files of a path-based table.
+def _child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path`` (one listing call, no job)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(folder):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory()]
 
-    Spark lists every file of the table on the driver when it is opened, so
-    the partition folders are read from that listing: no job, no footers.
-    None when some file is not under the expected partition folders.
+
+def partition_values(spark: SparkSession, path: str, partition: str) -> list[str]:
+    """The ``partition=value`` folder names directly below ``path``, sorted by value."""
+    prefix = f"{partition}="
+    return sorted(n[len(prefix):] for n in _child_folders(spark, path) if n.startswith(prefix))
+
+
+def newest_partition(spark: SparkSession, root: str, partitions: Sequence[str]) -> str | None:
+    """Path of the newest partition folder; None when a level has no such folder.
+
+    One folder listing per partition level, whatever the number of files.
     """
-    pattern = re.compile("/".join(f"{re.escape(p)}=([^/]+)" for p in partitions) + "/")
-    best = None
-    for f in df.inputFiles():
-        m = pattern.search(f)
-        if m is None:
+    path = root.rstrip("/")
+    for p in partitions:
+        values = partition_values(spark, path, p)
+        if not values:
             return None
-        best = max(best, m.groups()) if best else m.groups()
-    return None if best is None else {p: unquote(v) for p, v in zip(partitions, best)}
+        path = f"{path}/{p}={values[-1]}"
+    return path
+
+
+def partition_folders(spark: SparkSession, path: str,
+                      partitions: Sequence[str]) -> list[tuple[str, tuple[str, ...]]]:
+    """(folder, partition values) of every partition folder of a table."""
+    found = [(path.rstrip("/"), ())]
+    for p in partitions:
+        found = [(f"{folder}/{p}={v}", (*values, unquote(v))) for folder, values in found
+                 for v in partition_values(spark, folder, p)]
+    return found
 
 
 def read_latest(spark: SparkSession, root: str,
                 partitions: Sequence[str] = SILVER_PARTITIONS) -> DataFrame:
     """SRC-8: whole table restricted to the latest ingestion partition.
 
-    The newest partition comes from the file listing (no job); the filter on
-    it prunes every other partition from the scan. Falls back to the
-    aggregate of :func:`latest_snapshot` for layouts it cannot read.
+    Only the newest partition folder is opened (``basePath`` keeps the
+    partition columns). Falls back to the aggregate of
+    :func:`latest_snapshot` for other layouts.
     """
-    df = spark.read.parquet(root)
-    newest = newest_partition(df, partitions)
-    if newest is None:
-        return latest_snapshot(df, partitions)
-    return df.where(_partition_equals(newest))
+    newest = newest_partition(spark, root, partitions)
+    df = newest and try_read_parquet(spark, newest, base_path=root)
+    return df if df is not None else latest_snapshot(spark.read.parquet(root), partitions)

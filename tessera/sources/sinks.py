@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tessera.constants import BATCH_PARTITION, SILVER_PARTITIONS
+from tessera.operators.indicators import top_rows
 
 # Cap on rows per output file: large partitions become several files of a
 # bounded size instead of one huge file per task.
@@ -58,6 +59,12 @@ def append_report(df: DataFrame, path: str) -> str:
     return _refresh(df, path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete one folder through the file system Spark itself uses."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 @dataclass
 class ReadBack:
     count: int
@@ -71,7 +78,7 @@ def read_back(spark: SparkSession, path: str, n: int = 3,
     """VAL-1: count, schema and a small ordered sample; errors reported, not raised."""
     try:
         df = spark.read.parquet(path)
-        sample = df.orderBy(*(order or df.columns[:1])).limit(n)
+        sample = top_rows(df, n, order or df.columns[:1])
         return ReadBack(df.count(), df.schema, sample)
     except Exception as e:  # reported to the caller, as in the original read-back
         return ReadBack(-1, StructType([]), spark.createDataFrame([], StructType([])), str(e))

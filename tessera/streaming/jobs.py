@@ -25,8 +25,10 @@ from pyspark.sql.types import StructType
 
 from tessera.contracts import Check
 from tessera.functions import rate
-from tessera.operators.quality import gate, run_checks
+from tessera.operators.quality import cached, gate, run_checks
+from tessera.plans.publish import commit_run, read_published, run_path
 from tessera.sources.parquet import try_read_parquet
+from tessera.sources.sinks import delete_folder
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Bounded micro-batches: a backlog is drained in slices of at most this many
@@ -90,8 +92,7 @@ def dedup_writer(sink_dir: str, keys: Sequence[str]):
     root = sink_dir.rstrip("/")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.dropDuplicates([*keys, "event_date"]).persist()
-        try:
+        with cached(batch.dropDuplicates([*keys, "event_date"])) as batch:
             dates = _dates(batch, "event_date")
             if dates:
                 seen = _stored(batch.sparkSession, root, dates, epoch_id)
@@ -99,8 +100,6 @@ def dedup_writer(sink_dir: str, keys: Sequence[str]):
                     seen.select(*keys, "event_date"), [*keys, "event_date"], "left_anti")
                 (new.select(*batch.columns).write.mode("overwrite").partitionBy("event_date")
                  .parquet(f"{root}/batch_id={epoch_id}"))
-        finally:
-            batch.unpersist()
     return write
 
 
@@ -128,28 +127,42 @@ def windowed_indicator(df: DataFrame, flag: Column, event_time: str = "event_tim
                     "n_events", "n_flagged", rate("n_flagged", "n_events").alias("flag_rate")))
 
 
+def _epoch(epoch_id: int) -> str:
+    return f"{epoch_id:018d}"        # sorts as text like the number
+
+
+def _log(path: str) -> str:
+    return f"{path.rstrip('/')}_commits"
+
+
+def read_live(spark: SparkSession, path: str) -> DataFrame:
+    """The newest committed table of a complete-mode :func:`gated_writer`."""
+    return read_published(spark, path, _log(path))
+
+
 def gated_writer(path: str, checks: Sequence[Check], mode: str = "overwrite"):
     """``foreachBatch`` function: DQ gate on the micro-batch result, then write.
 
     A critical failure raises, the micro-batch is not committed and the
     previous output stays in place; the query resumes from its checkpoint.
-    ``mode="overwrite"`` replaces the table (complete mode). ``mode="append"``
+    ``mode="overwrite"`` replaces the table (complete mode): each epoch writes a
+    run folder and commits it, so a write that fails leaves the last one readable
+    (:func:`read_live`); folders before the last are deleted. ``mode="append"``
     writes each epoch to its own ``batch_id=N`` folder with overwrite, so a
     micro-batch replayed after a failure rewrites its folder instead of
     appending its rows twice (idempotent, exactly-once output).
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
+        with cached(batch) as batch:
             if batch.isEmpty():          # nothing in this trigger: skipped (FLT-4)
                 return
             gate(run_checks(batch, list(checks)), f"micro-batch {epoch_id}")
             if mode == "append":
                 batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={epoch_id}")
             else:
-                batch.write.mode(mode).parquet(path)
-        finally:
-            batch.unpersist()
+                batch.write.mode("overwrite").parquet(run_path(path, _epoch(epoch_id)))
+                commit_run(batch.sparkSession, _log(path), _epoch(epoch_id), ["live"])
+                delete_folder(batch.sparkSession, run_path(path, _epoch(epoch_id - 2)))
     return write
 
 
@@ -168,8 +181,7 @@ def window_writer(sink_dir: str, flag: Column, checks: Sequence[Check], window:
 
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch = batch.filter("event_time is not null").persist()
-        try:
+        with cached(batch.filter("event_time is not null")) as batch:
             dates = _dates(batch, "event_date")
             if not dates:            # nothing new in this trigger: skipped (FLT-4)
                 return
@@ -177,8 +189,7 @@ def window_writer(sink_dir: str, flag: Column, checks: Sequence[Check], window:
             whole = batch if before is None else before.select(*batch.columns).union(batch)
             counts = windowed_indicator(whole, flag, "event_time", window, by, delay=None) \
                 .withColumn("event_date", F.date_format("window_start", "yyyy-MM-dd"))
-            counts = counts.persist()
-            try:
+            with cached(counts) as counts:
                 gate(run_checks(counts, list(checks)), f"micro-batch {epoch_id}")
                 (batch.write.mode("overwrite").partitionBy("event_date")
                  .parquet(f"{root}/events/batch_id={epoch_id}"))
@@ -186,10 +197,6 @@ def window_writer(sink_dir: str, flag: Column, checks: Sequence[Check], window:
                  .partitionBy("event_date").parquet(f"{root}/windows"))
                 (batch.agg(F.max("event_time").alias("latest")).write.mode("overwrite")
                  .parquet(f"{root}/seen/batch_id={epoch_id}"))
-            finally:
-                counts.unpersist()
-        finally:
-            batch.unpersist()
     return write
 
 

@@ -5,34 +5,53 @@ from pyspark.sql import functions as F
 
 from conftest import plan_text
 from tessera.contracts import Check
-from tessera.operators.joins import bounded_broadcast, fits_broadcast
-from tessera.streaming.jobs import gated_writer, live_indicator_stream
-
-
-def test_bound_decides_broadcast(spark):
-    small = spark.range(10)
-    assert fits_broadcast(small)
-    assert not fits_broadcast(small, max_rows=5)
-    assert not fits_broadcast(small, max_bytes=10)
+from tessera.operators import indicators as ind
+from tessera.streaming.jobs import gated_writer, live_indicator_stream, read_live
+
+
+def test_target_join_carries_no_hint(spark, tmp_dir):  # JN-1: measured sides only
+    years = {y: f"meta_{y}" for y in range(2024, 2031)}
+    cities = spark.createDataFrame([(2024, "SP", 1, "A", 10, 60.0)],
+                                   "ano int, sigla_uf string, id_municipio int, nome_municipio string, "
+                                   "total_avaliados long, taxa_alfabetizacao_real double")
+    # long city ids: few rows, many bytes
+    spark.range(200).select(
+        F.lit(2023).alias("ano"),
+        F.concat(F.col("id").cast("string"), F.repeat(F.lit("x"), 100_000)).alias("id_municipio"),
+        *[F.lit(float(y)).alias(c) for y, c in years.items()]).write.parquet(f"{tmp_dir}/targets")
+    targets = spark.read.parquet(f"{tmp_dir}/targets")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "1MB"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for policy in ("distinct", "by_year"):
+            df = ind.target_comparison(cities, targets, years, policy)
+            assert df.count() == 1
+            plan = plan_text(df)
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
 
 
-def test_over_bound_side_is_shuffle_joined_and_skew_safe(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_hot_key_in_a_shuffle_join(spark):
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for k in settings:
+        spark.conf.set(k, "-1")
     try:
         # one key holds a third of the big side
         big = spark.range(30000).select(
             F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"),
             F.col("id").alias("v"))
         dim = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-        joined = big.join(bounded_broadcast(dim, max_rows=100), "k")
-        plan = plan_text(joined)
-        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
-        assert joined.count() == 30000
-        hinted = big.join(bounded_broadcast(dim), "k")
-        assert "BroadcastHashJoin" in plan_text(hinted)
-        assert hinted.agg(F.sum("w")).first()[0] == joined.agg(F.sum("w")).first()[0]
+        joined = big.join(dim, "k")
+        assert "SortMergeJoin" in plan_text(joined)
+        want = sum(2 * (7 if i % 3 == 0 else i % 1000) for i in range(30000))
+        assert tuple(joined.agg(F.count("*"), F.sum("w")).first()) == (30000, want)
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset(settings[0])
+        spark.conf.set(settings[1], "64MB")
 
 
 def test_gated_writer_refuses_failing_batch(spark, tmp_dir):
@@ -40,7 +59,13 @@ def test_gated_writer_refuses_failing_batch(spark, tmp_dir):
     with pytest.raises(Exception):
         write(spark.range(3), 0)
     write(spark.range(6), 1)
-    assert spark.read.parquet(f"{tmp_dir}/out").count() == 6
+    assert read_live(spark, f"{tmp_dir}/out").count() == 6
+    for epoch, n in ((2, 7), (3, 8), (3, 8)):        # the last one is a replay
+        write(spark.range(n), epoch)
+        assert read_live(spark, f"{tmp_dir}/out").count() == n
+    with pytest.raises(Exception):
+        write(spark.range(3), 4)
+    assert read_live(spark, f"{tmp_dir}/out").count() == 8
 
 
 def test_live_indicator_stream_complete_mode(spark, tmp_dir):
@@ -54,7 +79,7 @@ def test_live_indicator_stream_complete_mode(spark, tmp_dir):
                               [Check("min_count", value=1)], output_mode="complete")
     q.awaitTermination()
     got = {(str(r.window_start), r.event_type): (r.n_events, r.n_flagged, r.flag_rate)
-           for r in spark.read.parquet(f"{tmp_dir}/sink").collect()}
+           for r in read_live(spark, f"{tmp_dir}/sink").collect()}
     assert got == {("2024-01-01 00:00:00", "click"): (2, 1, 50.0),
                    ("2024-01-02 00:00:00", "view"): (1, 1, 100.0)}
 

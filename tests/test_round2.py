@@ -84,3 +84,56 @@ def test_files_with_other_header_order_are_refused(spark, tmp_dir):
 def test_text_presence_flags(spark):
     df = spark.createDataFrame([("1",), ("0",), ("N/A",), (" ",), (None,)], "in_presenca_lp string")
     assert present_students(df).count() == 1
+
+
+def test_check_pass_raises_what_no_check_caused(spark, tmp_dir):  # DQ-9
+    import os
+
+    from tessera.operators.quality import run_checks
+    spark.range(10).write.parquet(f"{tmp_dir}/t")
+    df = spark.read.parquet(f"{tmp_dir}/t")
+    for f in os.listdir(f"{tmp_dir}/t"):
+        os.remove(f"{tmp_dir}/t/{f}")
+    with pytest.raises(Exception):                       # its files are gone
+        run_checks(df, (Check("not_null", "id", critical=False),))
+
+
+def test_rerun_of_a_day_moves_its_catalog_partition(spark, tmp_dir):  # CAT-1, SNK-2
+    lake = f"{tmp_dir}/lake"
+    checks = {"alunos": (Check("min_count", value=1),)}
+    for day, ids in ((29, [1, 2]), (30, [1, 2, 3]), (30, [1, 2, 3, 4])):
+        clock = RunClock.fixed(f"2026-06-{day} 08:00:00")
+        ingest_bronze(student(spark, 1996, ids), f"{lake}/bronze", "alunos_1996", clock, "x")
+        run_silver(spark, lake, clock.batch, clock, ["alunos"], checks, ("alunos_1996",),
+                   catalog_prefix="moved")
+    got = spark.sql("SELECT dia_ingestao, count(*) AS n FROM moved_alunos GROUP BY 1").collect()
+    assert {r.dia_ingestao: r.n for r in got} == {"29": 2, "30": 4}
+
+
+def test_failed_run_leaves_nothing(spark, tmp_dir):  # PIPE-4, DQ-6
+    import os
+
+    from tessera.operators.quality import DataQualityError
+    from tessera.plans.publish import Target, publish_checked, read_published
+    publish = lambda df, n: publish_checked(
+        spark, {"t": Target(df, f"{tmp_dir}/t", ("d",), (Check("min_count", value=n),))}, f"{tmp_dir}/log")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "v int, d string")
+    publish(rows, 1)
+    for bad in (rows, rows.limit(0)):
+        with pytest.raises(DataQualityError):
+            publish(bad, 3)
+    assert len(os.listdir(f"{tmp_dir}/t")) == 1
+    assert read_published(spark, f"{tmp_dir}/t", f"{tmp_dir}/log").count() == 2
+
+
+def test_malformed_csv_rows_are_counted(spark, tmp_dir):  # SRC-2
+    from tessera.sources.csv import malformed_rows
+    with open(f"{tmp_dir}/a.csv", "w") as f:
+        f.write("A;B\n1;2\n1;2;3\n4\n")
+    assert sorted(r._corrupt_record for r in malformed_rows(spark, f"{tmp_dir}/a.csv").collect()) == ["1;2;3", "4"]
+
+
+def test_gold_scores_scan_students_once(spark):  # DQ-10
+    from conftest import plan_text
+    from tessera.plans.queries import dq_gold_scores
+    assert plan_text(dq_gold_scores(spark, "/root/testdata/sf0.001"), "simple").count("lineitem") == 0

@@ -227,18 +227,18 @@ def test_versioned_gold_hides_uncommitted_runs(spark, tmp_dir):  # PIPE-4 atomic
     from tessera.plans.gold import read_gold
     views = build_gold(adapters.students(spark, SF), adapters.city_targets(spark, SF),
                        adapters.TARGET_YEARS, materialize=True)
-    first = publish_gold(spark, views, f"{tmp_dir}/gold", versioned=True)
+    first = publish_gold(spark, views, f"{tmp_dir}/gold")
     view = "indicador_alfabetizacao_municipio"
     n = read_gold(spark, f"{tmp_dir}/gold", view).count()
     # a run that fails its checks commits nothing: readers keep the first run
     with pytest.raises(DataQualityError):
         publish_gold(spark, {k: v.limit(1) for k, v in views.items()}, f"{tmp_dir}/gold",
-                     {k: (Check("min_count", value=10**9),) for k in views}, versioned=True)
+                     {k: (Check("min_count", value=10**9),) for k in views})
     assert read_gold(spark, f"{tmp_dir}/gold", view).count() == n
     # a run whose files exist but was never committed (crash before commit) stays invisible
     spark.range(1).write.parquet(f"{tmp_dir}/gold/{view}/run_id=99999999T999999999999-dead")
     assert read_gold(spark, f"{tmp_dir}/gold", view).count() == n
-    second = publish_gold(spark, views, f"{tmp_dir}/gold", versioned=True)
+    second = publish_gold(spark, views, f"{tmp_dir}/gold")
     assert second.run_id > first.run_id
     assert read_gold(spark, f"{tmp_dir}/gold", view).count() == n
 
@@ -248,11 +248,13 @@ def test_newest_partition_from_listing(spark, tmp_dir):  # SRC-8 without a job
     df = spark.createDataFrame([("2026", "06", "30", 1), ("2026", "07", "01", 2), ("2025", "12", "31", 3)],
                                "ano_ingestao string, mes_ingestao string, dia_ingestao string, v int")
     write_partitioned(df, f"{tmp_dir}/t")
-    t = spark.read.parquet(f"{tmp_dir}/t")
-    assert newest_partition(t, ("ano_ingestao", "mes_ingestao", "dia_ingestao")) == \
-        {"ano_ingestao": "2026", "mes_ingestao": "07", "dia_ingestao": "01"}
-    assert [r.v for r in read_latest(spark, f"{tmp_dir}/t").collect()] == [2]
-    assert newest_partition(spark.range(1), ("a",)) is None
+    levels = ("ano_ingestao", "mes_ingestao", "dia_ingestao")
+    assert newest_partition(spark, f"{tmp_dir}/t", levels) == \
+        f"{tmp_dir}/t/ano_ingestao=2026/mes_ingestao=07/dia_ingestao=01"
+    latest = read_latest(spark, f"{tmp_dir}/t")
+    assert [(r.v, r.mes_ingestao) for r in latest.collect()] == [(2, "07")]
+    assert newest_partition(spark, f"{tmp_dir}/t", ("a",)) is None
+    assert newest_partition(spark, f"{tmp_dir}/none", levels) is None
 
 
 def test_read_gold_before_any_commit(spark, tmp_dir):
