@@ -145,6 +145,7 @@ class LicenseScanner:
                 sequences.append(words_of(text))
         self.n_base = len(phrases)
         self.sizes = [len(s) for s in sequences]
+        self.shortest = min([least_match, *self.sizes[:self.n_base]])  # runs below hold nothing
         vocabulary = sorted({w for s in sequences for w in s})
         raw = np.frombuffer(b" ".join(vocabulary), np.uint8)
         hashes, _ = word_hashes(raw, np.array([0, len(raw)]), NOT_WORD)
@@ -175,7 +176,7 @@ class LicenseScanner:
         known = ids > 0
         edges = np.flatnonzero(np.diff(np.r_[False, known, False]))
         for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-            if hi - lo < 2:
+            if hi - lo < self.shortest:
                 continue
             state = size = 0
             run = ids[lo:hi].tolist()
@@ -264,7 +265,7 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None,
                 words, at = word_hashes(*text_bytes(part.column(1)), NOT_WORD)
                 ids = scanner.known(words)
                 some = np.r_[0, np.cumsum(ids > 0)][at]
-                rows = [scanner.row(ids[at[i]:at[i + 1]]) if some[i + 1] - some[i] > 1 else empty
+                rows = [scanner.row(ids[at[i]:at[i + 1]]) if some[i + 1] - some[i] >= scanner.shortest else empty
                         for i in range(part.num_rows)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(np.diff(at))]

@@ -13,6 +13,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -125,9 +126,12 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     cuts = sorted({int(x) for x in rows.select("doc_id").approxQuantile(
         "doc_id", [i / n for i in range(1, n)], 0.2 / n)}) if n > 1 else []
-    ids = F.array(*[F.lit(c).cast("long") for c in cuts])
-    part = F.coalesce(F.size(F.filter(ids, lambda c: c <= F.col("doc_id"))), F.lit(0)) \
-        if cuts else F.lit(0)
+    held_cuts = spark.sparkContext.broadcast(np.array(cuts, np.int64))  # fewer than n
+
+    def range_of(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(held_cuts.value, ids.to_numpy(), side="right"))
+
+    part = F.pandas_udf(range_of, "int")(F.coalesce("doc_id", F.lit(0).cast("long")))
     rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(part)) \
         .withColumn("t", F.xxhash64("text"))
     # the first row of each range: at most n rows

@@ -359,3 +359,23 @@ def test_pipeline_stages(spark, docs, empty, labels, tmp_path):
             assert {1, 2, 4, 5, None} <= set(left) and 6 not in left
         else:
             assert packed == []
+
+
+def test_fingerprints_do_not_depend_on_the_number_of_ranges(spark, docs):
+    n = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    try:
+        for ranges in ("1", "3", "17"):
+            spark.conf.set("spark.sql.shuffle.partitions", ranges)
+            seen.append(sorted(map(str, omh.fingerprints(docs).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+    assert seen[0] == seen[1] == seen[2]
+    assert len(seen[0]) == docs.count()
+
+
+def test_phrases_of_one_word_count(spark):
+    df = spark.createDataFrame([(1, "MIT or not"), (2, "a mit b, mit")], "doc_id long, text string")
+    got = {r.doc_id: (r.n_base, r.first_word, r.last_word, r.labels)
+           for r in licenses.license_scan(df, {"mit": "x"}, {}).collect()}
+    assert got == {1: (1, 0, 0, "x"), 2: (2, 1, 3, "x")}
