@@ -15,8 +15,6 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a side is broadcast at runtime only by the bytes its shuffle wrote
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # partition values such as "01" stay strings when read back (D7)
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -32,7 +32,7 @@ def test_target_join_carries_no_hint(spark, tmp_dir):  # JN-1: measured sides on
             assert "SortMergeJoin" in plan and "Broadcast" not in plan
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
 def test_hot_key_in_a_shuffle_join(spark):
@@ -51,7 +51,7 @@ def test_hot_key_in_a_shuffle_join(spark):
         assert tuple(joined.agg(F.count("*"), F.sum("w")).first()) == (30000, want)
     finally:
         spark.conf.unset(settings[0])
-        spark.conf.set(settings[1], "64MB")
+        spark.conf.unset(settings[1])
 
 
 def test_gated_writer_refuses_failing_batch(spark, tmp_dir):
