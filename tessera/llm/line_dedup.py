@@ -1,16 +1,25 @@
-"""Line dedup by a deletion-neighbourhood join, within one word edit.
-
-A line's variants are the line itself and the line without any one of its
-words. Two lines within one word edit share a variant: without the word at the
-same place (one replaced), or one line is a variant of the other (one left
-out). Variants travel as 128-bit hashes; per variant only the earliest line is
-kept, so no pairs are made inside a group; the earliest line found for a line
-is verified on the words of both.
-
-Emitting variants of every line would multiply the corpus by its line length.
-A pigeonhole comes first: lines within one edit agree on their first or second
-half, so only lines that share a half with another line emit variants. No line
-within the bound is lost by it.
+"""Line dedup within a word edit distance that grows with the line's length.
+
+Two lines are near if ``edits(n)`` word edits, n being the words of the longer
+one, make them equal: one edit below 20 words, a tenth of the words from there.
+
+Up to 19 words (one edit): a line's variants are the line itself and the line
+without any one of its words. Two lines within one word edit share a variant:
+without the word at the same place (one replaced), or one line is a variant of
+the other (one left out). Variants travel as 128-bit hashes; per variant only
+the earliest line is kept, so no pairs are made inside a group; the earliest
+line found for a line is verified on the words of both. A pigeonhole comes
+first: lines within one edit agree on their first or second half, so only lines
+that share a half with another line emit variants.
+
+From 20 words on: k edits leave at most k + 1 common stretches, of which one
+has 6 words at least (8 if the longer line has 40 words). A line's marks are
+the least hashes of four words in every window of so many words; lines with a
+common stretch share the mark of it, at places at most k apart. A line is
+compared with the lines of its marks, by their words: with all in groups of up
+to ``FEW`` lines and with the earliest in larger ones; lines that are still
+without a near line are then compared with all earlier lines of the larger
+groups too. No line within the bound is lost by it.
 """
 
 from __future__ import annotations
@@ -18,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -28,8 +37,25 @@ from tessera.llm.shingles import POWERS, mix, text_bytes, word_hashes
 
 #: Lines of fewer words must be equal: one word would be too large a part.
 MIN_WORDS = 8
+#: From twice as many words on, so many words allow one edit.
+PER_EDIT = 10
+LONG = 2 * PER_EDIT
+MARK = 4
+#: Groups of so many lines with a common mark are compared line by line at once.
+FEW = 16
+#: (words of the shorter line at least, of the longer one at most, hashes in a window): the
+#: least common stretch of two lines of 20 to 39 words has 6 words, beyond that 8.
+CLASSES = ((18, 39, 3), (36, 2**31 - 1, 5))
 LEAST_ID = -(2**63)
-LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>"
+LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>, n int"
+#: 48 bits of a mark; 40 bits of its line's h1, then 24 of its place: short rows for the shuffle
+MARKS = "mark long, at long"
+PLACE = 24
+#: A task forgets which lines it has given marks of after so many.
+REMEMBERED = 200_000
+WORDS = "doc long, t long, pos int, words binary, sketch array<long>"
+#: Longs of a line's sketch, which has a bit for each of its words.
+SKETCH = 4
 NEAR = "doc long, t long, pos int, words binary, v1 array<long>, v2 array<long>"
 SALTS = (np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB))
 
@@ -79,6 +105,27 @@ class LineWords:
         back = self.stretch(which, i + 1, np.full(hi - lo, hi)) * self.up[i - lo]
         return mix(front + back + np.uint64(hi - lo - 1))
 
+    def marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(line, place, hash) of the marks of long lines, line by line."""
+        empty = np.empty(0, np.int64)
+        found = [(empty, empty, empty.view(np.uint64))]
+        n = self.hi - self.lo
+        line = np.repeat(np.arange(len(n)), n)
+        start = np.arange(max(len(line) - MARK + 1, 0))
+        grams = self.whole(0, start, start + MARK)
+        for salt, (least, most, width) in enumerate(CLASSES):
+            if len(grams) < width:
+                continue
+            whole = line[:len(grams) - width + 1] == line[width + MARK - 2:]
+            use = np.flatnonzero(whole & ((n >= least) & (n <= most))[line[:len(whole)]])
+            mixed = mix(grams + np.uint64(salt))
+            windows = np.lib.stride_tricks.sliding_window_view(mixed, width)[use]
+            at = np.unique(use + windows.argmin(1))
+            found.append((line[at], at - self.lo[line[at]], mixed[at]))
+        row, place, mark = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(row, kind="stable")
+        return row[order], place[order], mark[order]
+
 
 def _ids(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
     return [F.coalesce(F.col(id_col).cast("long"), F.lit(LEAST_ID)).alias("doc"),
@@ -95,7 +142,7 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
     Two lines of n and of n or n + 1 words within one edit agree on their first
     or last g(n) words, g(n) being at most half of n. A line gives both ends
     for its own length and for one word less. Lines too short to have
-    neighbours give none.
+    neighbours give none; long lines have marks instead.
     """
     schema = to_arrow_schema(StructType.fromDDL(LINES))
     g = lambda n: np.maximum(3, n // 4 * 2)
@@ -109,6 +156,7 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
                 ends, have = [], []
                 for short in (0, 1):
                     use = (n >= min_words - 1 + short) & ((short == 0) | (g(n) != g(n - 1)))
+                    use &= n < LONG
                     size = np.where(use, g(n - short), 0)
                     tag = mix(size.astype(np.uint64) * np.uint64(2))
                     ends += [mix(x.stretch(0, lo, lo + size) + tag),
@@ -121,16 +169,48 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
                      pa.array(x.line[lo], pa.int32()), _signed(x.whole(0, lo, hi)),
-                     _signed(x.whole(1, lo, hi)), keys], schema=schema)
+                     _signed(x.whole(1, lo, hi)), keys, pa.array(n, pa.int32())],
+                    schema=schema)
         release()
 
     return docs.select(*_ids(docs, id_col, text_col),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(run, LINES)
 
 
-def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Words and variants of the lines (doc, t, pos) in ``wanted``."""
-    schema = to_arrow_schema(StructType.fromDDL(NEAR))
+def mark_table(docs: DataFrame, text_col: str) -> DataFrame:
+    """The marks of long lines; a line that a task has met before gives none again."""
+    schema = to_arrow_schema(StructType.fromDDL(MARKS))
+
+    def run(batches):
+        met: set[int] = set()
+        for batch in batches:
+            for part in _cut(batch, "text", 1_000_000):
+                x = LineWords(part.column(0))
+                h1 = x.whole(0, x.lo, x.hi)
+                new = np.zeros(len(h1), bool)
+                for i, h in enumerate(h1.tolist()):
+                    if h not in met:
+                        new[i] = True
+                        met.add(h)
+                if len(met) > REMEMBERED:
+                    met.clear()
+                line, place, mark = x.marks()
+                use = new[line]
+                line, place, mark = line[use], place[use], mark[use]
+                ref = h1[line] >> np.uint64(PLACE) << np.uint64(PLACE)
+                at = ref | np.minimum(place, 2**PLACE - 1).astype(np.uint64)
+                yield pa.RecordBatch.from_arrays([_signed(mark >> np.uint64(16)), _signed(at)],
+                                                 schema=schema)
+        release()
+
+    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, MARKS)
+
+
+def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
+                    kind: str = NEAR) -> DataFrame:
+    """Words and (if ``kind`` has them) variants of the lines (doc, t, pos) in ``wanted``."""
+    schema = to_arrow_schema(StructType.fromDDL(kind))
+    variants = ((0, "v1"), (1, "v2")) if kind == NEAR else ()
     by_text = stored(wanted.groupBy("doc", "t").agg(F.collect_set("pos").alias("positions")),
                      "wanted")
     texts = join_checked(docs.select(*_ids(docs, id_col, text_col),
@@ -153,7 +233,11 @@ def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: s
                         out["t"].append(t)
                         out["pos"].append(p)
                         out["words"].append(x.words[lo:hi].tobytes())
-                        for which, name in ((0, "v1"), (1, "v2")):
+                        if kind == WORDS:
+                            bits = np.zeros(64 * SKETCH, bool)
+                            bits[mix(x.words[lo:hi]) % np.uint64(64 * SKETCH)] = True
+                            out["sketch"].append(np.packbits(bits).view(np.int64))
+                        for which, name in variants:
                             own = x.whole(which, np.array([lo]), np.array([hi]))
                             out[name].append(np.r_[own, x.variants(which, lo, hi)].view(np.int64))
                         if len(out["doc"]) >= 2000:
@@ -161,24 +245,39 @@ def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: s
                             out = {f.name: [] for f in schema}
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
 
-    return texts.mapInArrow(run, NEAR)
+    return texts.mapInArrow(run, kind)
+
 
+def edits(words: int) -> int:
+    """Word edits by which a line may differ from a shorter or equally long one."""
+    return max(1, words // PER_EDIT)
 
-def word_distance_at_most_one(one: np.ndarray, two: np.ndarray) -> bool:
-    if abs(len(one) - len(two)) > 1:
+
+def word_distance_within(one: list, two: list, most: int) -> bool:
+    """Are two lists of words within ``most`` edits? Furthest places on diagonals."""
+    n, m = len(one), len(two)
+    if abs(n - m) > most or max(len(set(one).difference(two)), len(set(two).difference(one))) > most:
         return False
-    n = min(len(one), len(two))
-    same = one[:n] == two[:n]
-    head = n if same.all() else int(same.argmin())
-    if len(one) == len(two):
-        return bool((one[head + 1:] == two[head + 1:]).all())
-    if len(one) > len(two):
-        one, two = two, one
-    return bool((one[head:] == two[head + 1:]).all())
+    reached: dict[int, int] = {}  # by diagonal j - i, the furthest i with so many edits
+    for used in range(most + 1):
+        now = {}
+        for d in range(-used, used + 1):
+            i = max(reached.get(d, -1) + 1, reached.get(d + 1, -1) + 1, reached.get(d - 1, -1)) \
+                if used else 0
+            i = min(i, n, m - d)
+            if i < max(0, -d):
+                continue
+            while i < n and i + d < m and one[i] == two[i + d]:
+                i += 1
+            if i == n and i + d == m:
+                return True
+            now[d] = i
+        reached = now
+    return False
 
 
 def _earlier_neighbours(near: DataFrame, min_words: int) -> DataFrame:
-    """(line, witness): the earliest line before ``line`` within one word edit.
+    """(line, witness): the earliest line before a short ``line`` within one word edit.
 
     Lines of ``min_words`` - 1 words take part as the shorter line of a pair only.
     """
@@ -204,39 +303,115 @@ def _earlier_neighbours(near: DataFrame, min_words: int) -> DataFrame:
             .groupBy("line").agg(F.min("witness").alias("witness")))
 
 
-def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """(doc, t, positions): the lines to drop, by document and text digest."""
-    lines = stored(line_table(docs, min_words, id_col, text_col), "lines")
-    kinds = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "t", "pos")).alias("line"),
-                                                 F.count(F.lit(1)).alias("n")), "kinds")
-    keys = lines.select("h1", F.explode("keys").alias("key"))
-    shared = (keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
-              .filter("a < b").select("key"))
-    wanted = keys.join(shared, "key").select("h1").distinct()
-    wanted = kinds.join(wanted, "h1").select("line.*")
-    near = stored(_neighbourhoods(docs, wanted, id_col, text_col).dropDuplicates(["doc", "t", "pos"]),
-                  "near")
-    pairs = _earlier_neighbours(near, min_words)
-    side = lambda x: near.select(F.struct("doc", "t", "pos").alias(x),
-                                 F.col("words").alias(f"words_{x}"))
+def _verified(pairs: DataFrame, words: DataFrame, min_words: int) -> DataFrame:
+    """(line): the lines of ``pairs`` that are within the bound of a witness."""
+    side = lambda x: words.select(F.struct("doc", "t", "pos").alias(x),
+                                  F.col("words").alias(f"words_{x}"))
     pairs = pairs.join(side("line"), "line").join(side("witness"), "witness") \
         .select("line.*", "words_line", "words_witness")
-    schema = to_arrow_schema(StructType.fromDDL("doc long, t long, pos int"))
+    kind = "doc long, t long, pos int"
+    schema = to_arrow_schema(StructType.fromDDL(kind))
 
     def verify(batches):
         for batch in batches:
             keep = []
             for one, two in zip(batch.column("words_line").to_pylist(),
                                 batch.column("words_witness").to_pylist(), strict=True):
-                one, two = np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64)
-                keep.append(word_distance_at_most_one(one, two))
+                n = max(len(one), len(two)) // 8
+                keep.append(n >= min_words and word_distance_within(
+                    np.frombuffer(one, np.uint64).tolist(),
+                    np.frombuffer(two, np.uint64).tolist(), edits(n)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("doc", "t", "pos")],
                 schema=schema)
 
-    near_dropped = pairs.mapInArrow(verify, "doc long, t long, pos int") \
-        .select(F.struct("doc", "t", "pos").alias("line"), F.lit(True).alias("near"))
+    return pairs.mapInArrow(verify, kind).select(F.struct("doc", "t", "pos").alias("line")).distinct()
+
+
+def _long_near_lines(docs: DataFrame, kinds: DataFrame, min_words: int, id_col: str,
+                     text_col: str) -> DataFrame:
+    """(line): the long lines within the bound of an earlier one."""
+    ref = lambda c: F.shiftrightunsigned(F.col(c), PLACE)
+    one_mark = Window.partitionBy("mark")
+    # one shuffle of the marks: those of one line only go
+    hits = (mark_table(docs, text_col)
+            .withColumn("ref", ref("at"))
+            .withColumn("a", F.min("ref").over(one_mark)).withColumn("b", F.max("ref").over(one_mark))
+            .filter("a < b").select("mark", "at").distinct())
+    hits = stored(hits, "marks")
+    known = kinds.filter(F.col("n_words") >= CLASSES[0][0]) \
+        .select(ref("h1").alias("ref"), "line", F.col("n_words").alias("n"))
+    hits = stored(hits.select("mark", ref("at").alias("ref"),
+                              F.col("at").bitwiseAND(2**PLACE - 1).alias("place"))
+                  .join(known, "ref").select("mark", F.struct("line", "n", "place").alias("x")),
+                  "marked")
+    groups = stored(hits.groupBy("mark").agg(F.min("x").alias("first"),
+                                             F.count(F.lit(1)).alias("size")), "groups")
+    few = (hits.join(groups.filter(F.col("size") <= FEW).select("mark"), "mark")
+           .groupBy("mark").agg(F.collect_list("x").alias("others")))
+    many = groups.filter(F.col("size") > FEW)
+    bound = F.greatest(F.lit(1), F.floor(F.greatest("x.n", "y.n") / F.lit(PER_EDIT)))
+    apart = lambda c: F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) <= bound
+    near = (F.col("y.line") < F.col("x.line")) & apart("n") & apart("place")
+    both = (F.col("x.line").alias("line"), F.col("y.line").alias("witness"))
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = stored(pairs.select(*both).distinct(), f"{name}_pairs")
+        wanted = pairs.select("line.*").union(pairs.select("witness.*")).distinct()
+        words = stored(_neighbourhoods(docs, wanted, id_col, text_col, WORDS)
+                       .dropDuplicates(["doc", "t", "pos"]), f"{name}_words")
+        # a bit that only one line has is a word that only it has, which costs an edit
+        side = lambda x: words.select(F.struct("doc", "t", "pos").alias(x), F.struct(
+            F.octet_length("words").alias("n"),
+            *[F.col("sketch")[i].alias(f"s{i}") for i in range(SKETCH)]).alias(f"{x}_s"))
+        alone = lambda a, b: sum(F.bit_count(F.col(f"{a}_s.s{i}").bitwiseAND(
+            F.bitwise_not(F.col(f"{b}_s.s{i}")))) for i in range(SKETCH))
+        allowed = F.floor(F.greatest("line_s.n", "witness_s.n") / F.lit(8 * PER_EDIT))
+        allowed = F.greatest(F.lit(1), allowed)
+        pairs = pairs.join(side("line"), "line").join(side("witness"), "witness") \
+            .filter((alone("line", "witness") <= allowed) & (alone("witness", "line") <= allowed)) \
+            .select("line", "witness")
+        return stored(_verified(stored(pairs, f"{name}_alike"), words, min_words), f"{name}_near")
+
+    others = few.union(many.select("mark", F.array("first")))
+    one = verified(hits.join(others, "mark").select("x", F.explode("others").alias("y")).filter(near),
+                   "first")
+    crowded = hits.join(many.select("mark"), "mark")
+    left = crowded.join(one.withColumnRenamed("line", "gone"), F.col("x.line") == F.col("gone"),
+                        "left_anti")
+    # lines of a group meet in cells of length and place only: a line stands in one cell, and
+    # asks every cell that lines within its bound (a ninth of its words at most) may stand in
+    most = F.floor(F.col("x.n") / F.lit(PER_EDIT - 1))
+    grade = lambda n: F.floor(F.log2(n) * F.lit(3.0))
+    lengths = F.sequence(grade(F.col("x.n") - most), grade(F.col("x.n") + most))
+    at = F.pow(F.lit(2.0), F.col("g") / F.lit(3.0))
+    asking = (left.select("mark", "x", F.explode(lengths).alias("g"))
+              .select("mark", "x", "g", F.explode(F.sequence(
+                  F.floor(F.greatest(F.col("x.place") - most, F.lit(0)) * 3 / at),
+                  F.floor((F.col("x.place") + most) * 3 / at))).alias("c")))
+    standing = crowded.withColumn("g", grade(F.col("x.n"))) \
+        .select("mark", F.col("x").alias("y"), "g", F.floor(F.col("x.place") * 3 / at).alias("c"))
+    two = verified(asking.join(standing, ["mark", "g", "c"]).filter(near), "second")
+    return one.union(two).distinct()
+
+
+def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """(doc, t, positions): the lines to drop, by document and text digest."""
+    lines = stored(line_table(docs, min_words, id_col, text_col), "lines")
+    kinds = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "t", "pos")).alias("line"),
+                                                 F.count(F.lit(1)).alias("n"),
+                                                 F.first("n").alias("n_words")), "kinds")
+    keys = lines.select("h1", F.explode("keys").alias("key"))
+    shared = (keys.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
+              .filter("a < b").select("key"))
+    wanted = keys.join(shared, "key").select("h1").distinct()
+    wanted = kinds.join(wanted, "h1").select("line.*")
+    near = stored(_neighbourhoods(docs, wanted, id_col, text_col).dropDuplicates(["doc", "t", "pos"]),
+                  "near")
+    near_dropped = _verified(_earlier_neighbours(near, min_words), near, min_words) \
+        .union(_long_near_lines(docs, kinds, min_words, id_col, text_col)).distinct() \
+        .withColumn("near", F.lit(True))
     verdict = (kinds.select("h1", "h2", "line", "n").join(near_dropped, "line", "left")
                .filter("n > 1 or near")
                .select("h1", "h2", F.col("line").alias("first"),
@@ -252,8 +427,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
 
     Lines are compared by their words, A-Z lower-cased and split at ASCII white
     space. A line goes if an equal line stands earlier, by (id, text, place),
-    or, from ``min_words`` words on, an earlier line differs by one word
-    replaced, added or left out. The earliest line always stays.
+    or, from ``min_words`` words on, an earlier line differs by at most
+    ``edits`` (of the longer line's words) words replaced, added or left out.
+    The earliest line always stays.
     ``counts``: names for two more columns, lines before and lines dropped.
 
     Defined cases: lines without words stay as they are; a null text stays

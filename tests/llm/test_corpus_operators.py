@@ -126,6 +126,29 @@ def test_line_dedup_within_one_word(spark):
                    (5, ""), (6, None), (7, ""), (8, "one two three"), (9, "one two four")}
 
 
+def test_long_lines_may_differ_by_a_tenth_of_their_words(spark):
+    rng, data = random.Random(8), []
+    for n in (18, 20, 21, 39, 40, 41, 57, 90, 150):
+        for k in range(3):
+            base = [f"b{rng.randrange(10**6)}" for _ in range(n)]
+            data.append(base)
+            for e in {1, 2, n // 10 - 1, n // 10, n // 10 + 1}:
+                line = list(base)
+                for j, place in enumerate(sorted(rng.sample(range(n), max(e, 1)), reverse=True)):
+                    line[place:place + 1] = [[f"x{rng.randrange(10**6)}"], [], [line[place], f"y{n}"]][(j + k) % 3]
+                data.append(line)
+    base = [f"w{i}" for i in range(60)]
+    for i in range(40):  # a crowd with common marks, many of them far from its earliest line
+        data.append([f"c{rng.randrange(10**6)}" if rng.random() < 0.08 else w for w in base])
+    bound = lambda a, b: max(1, max(len(a), len(b)) // 10)
+    want = {i for i, a in enumerate(data)
+            if any(abs(len(a) - len(b)) <= 15 and edit_distance(a, b) <= bound(a, b) for b in data[:i])}
+    out = dedup_lines(spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(data)],
+                                            "doc_id long, text string"))
+    assert {r.doc_id for r in out.collect() if r.text == ""} == want
+    assert any(edit_distance(data[i], data[j]) > 1 for i in want for j in range(i))
+
+
 def test_line_dedup_passes_other_columns_on(docs, empty):
     assert dedup_lines(docs).columns == docs.columns
     assert dedup_lines(empty).collect() == []
