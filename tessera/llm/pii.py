@@ -218,20 +218,27 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
 
 
-SPELLED = ("(at)", "[at]", " dot ")
+# the words as the field's tokens have them: between letters of no other word, in any case
+AT = re.compile(r"@|(?<![^\W\d_])at(?![^\W\d_])", re.IGNORECASE)
+DOT = re.compile(r"\.|(?<![^\W\d_])dot(?![^\W\d_])", re.IGNORECASE)
+TRIGGER = re.compile(r"[0-9@]+|(?<![^\W\d_])(?:at|dot)(?![^\W\d_])", re.IGNORECASE)
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Stretches around digits, @ signs and spelled-out ones; elsewhere every label is O."""
-    places = [m.span() for m in re.finditer(r"[0-9@]+", text)]
-    for sign in SPELLED:
-        at = text.find(sign)
-        while at >= 0:
-            places.append((at, at + len(sign)))
-            at = text.find(sign, at + 1)
+    """Stretches of whole words around digits, @ signs and the words at and dot.
+
+    A span without a digit, an @ sign or the word at is not plausible, so none
+    lies elsewhere.
+    """
+    places = (m.span() for m in TRIGGER.finditer(text))
     out: list[list[int]] = []
-    for a, b in sorted(places):
+    for a, b in places:
         lo, hi = max(a - WINDOW, 0), min(b + WINDOW, len(text))
+        # not inside a word, whose shape would change
+        while lo and text[lo].isalnum() and text[lo - 1].isalnum() and a - lo < 2 * WINDOW:
+            lo -= 1
+        while hi < len(text) and text[hi].isalnum() and text[hi - 1].isalnum() and hi - b < 2 * WINDOW:
+            hi += 1
         if out and lo <= out[-1][1]:
             out[-1][1] = max(hi, out[-1][1])
         else:
@@ -248,7 +255,7 @@ def plausible(kind: str, text: str) -> bool:
     if kind == "ip":
         parts = re.findall("[0-9]+", text)
         return len(parts) == 4 and all(map(small_part, parts))
-    return re.search(r"@|\bat\b", text) is not None and re.search(r"\.|\bdot\b", text) is not None
+    return AT.search(text) is not None and DOT.search(text) is not None
 
 
 def added_spans(texts: list[str], model: ChainField) -> list[list[tuple[int, str, int]]]:

@@ -326,6 +326,22 @@ def test_the_field_adds_what_patterns_miss(docs, empty):
     assert pii.personal_data(empty).collect() == []
 
 
+def test_spelled_out_addresses_in_any_case_as_by_decoding_whole_texts(monkeypatch):
+    model = pii.ChainField().train(pii.labelled_rows())
+    forms = ["JANE AT EXAMPLE DOT COM", "Jane (AT) Example (DOT) Com", "jane at example.com",
+             "jane (dot) doe at example (dot) com", "jane@example.com", "jane [At] example [Dot] com"]
+    fill = "the river ran by old stone houses and many people walked along it every day " * 3
+    texts = [f"{fill}mail me: {x} please {fill}" for x in forms]
+    rows = [t for t, _ in pii.labelled_rows()]
+    texts += [f"{a} {fill}\n{b}" for a, b in zip(rows, rows[1:], strict=False)]
+    found = pii.added_spans(texts, model)
+    for form, text, spans in zip(forms, texts, found, strict=False):
+        assert any(k == "email" and text[a:b] in form and pii.AT.search(text[a:b])
+                   for a, k, b in spans), form
+    monkeypatch.setattr(pii, "windows", lambda text: [(0, len(text))])
+    assert found == pii.added_spans(texts, model)
+
+
 def test_obfuscated_words_are_restored():
     counts = {}
     for word in ["idiot", "stupid", "trash", "loser", "hello", "house"] * 50:
