@@ -91,6 +91,8 @@ CUES = frozenset("at dot com org net de edu example mail email e tel phone call
                  "whatsapp number contact card visa pay charged host server ping ip from isbn "
                  "token password sha version license section".split())
 WINDOW = 60
+#: Tokens decoded together, padding included, if more than one window is.
+CELLS = 200_000
 
 
 def shape(token: str, spaced: bool) -> str:
@@ -122,19 +124,18 @@ class ChainField:
         self.emit = np.zeros((1, len(LABELS)))
         self.move = np.zeros((len(LABELS), len(LABELS)))
 
-    def described(self, shapes: list[str]) -> list[list[str]]:
+    def described(self, shapes: list[str]) -> Iterator[list[str]]:
         s = ["<", "<", *shapes, ">", ">"]
-        return [[f"0{s[i]}", f"-{s[i - 1]}", f"+{s[i + 1]}", f"a{s[i - 1]}|{s[i]}",
+        return ([f"0{s[i]}", f"-{s[i - 1]}", f"+{s[i + 1]}", f"a{s[i - 1]}|{s[i]}",
                  f"b{s[i]}|{s[i + 1]}", f"c{s[i - 1]}|{s[i]}|{s[i + 1]}",
                  f"d{s[i - 2]}|{s[i - 1]}", f"e{s[i + 1]}|{s[i + 2]}"]
-                for i in range(2, len(shapes) + 2)]
+                for i in range(2, len(shapes) + 2))
 
     def matrix(self, rows: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """(rows, length, features) numbers, 0 for unknown ones and padding, and lengths."""
-        described = [self.described(r) for r in rows]
         out = np.zeros((len(rows), max(map(len, rows), default=0), 8), np.int64)
-        for i, row in enumerate(described):
-            for j, names in enumerate(row):
+        for i, row in enumerate(rows):
+            for j, names in enumerate(self.described(row)):
                 out[i, j] = [self.features.get(n, 0) for n in names]
         return out, np.array([len(r) for r in rows])
 
@@ -191,11 +192,15 @@ class ChainField:
         """The likeliest labels of each row (Viterbi over all rows at once)."""
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(rows)
         order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
-        for lo in range(0, len(order), 512):  # rows of like length together
-            part = order[lo:lo + 512]
+        lo = 0
+        while lo < len(order):  # rows of like length together, long ones few at a time
+            hi = lo + 1
+            while hi < min(lo + 512, len(order)) and (hi - lo + 1) * len(rows[order[hi]]) <= CELLS:
+                hi += 1
+            part, lo = order[lo:hi], hi
             x, n = self.matrix([rows[i] for i in part])
-            e = self.emit[x].sum(2)
-            best, back = e[:, 0].copy(), np.zeros(e.shape, np.int64)
+            e = sum(self.emit[x[:, :, f]] for f in range(x.shape[2]))
+            best, back = e[:, 0].copy(), np.zeros(e.shape, np.int8)
             final = best.copy()
             for t in range(1, e.shape[1]):
                 via = best[:, :, None] + self.move
@@ -265,10 +270,9 @@ def added_spans(texts: list[str], model: ChainField) -> list[list[tuple[int, str
     for i, text in enumerate(texts):
         for lo, hi in windows(text):
             row = tokens(text, lo, hi)
-            for a in range(0, len(row), 400):  # long windows: overlapping parts
-                part = row[max(a - 40, 0):a + 400]
-                rows.append([s for _, _, s in part])
-                whose.append((i, part))
+            if row:  # a window is decoded whole, however long: no span is cut
+                rows.append([s for _, _, s in row])
+                whose.append((i, row))
     for (i, part), path in zip(whose, model.decode(rows), strict=True):
         start = None
         for j in range(len(part) + 1):

@@ -342,6 +342,17 @@ def test_spelled_out_addresses_in_any_case_as_by_decoding_whole_texts(monkeypatc
     assert found == pii.added_spans(texts, model)
 
 
+def test_spans_in_long_windows_are_whole():
+    model = pii.ChainField().train(pii.labelled_rows())
+    for shift in range(12):
+        text = "at 5 or 6 places " * 78 + "and 7 " * shift + "phone 0044 20 7946 0958 for orders " \
+            + "in 2019 there were 1200 cases " * 100
+        assert len(pii.windows(text)) == 1
+        found = [(k, text[a:b]) for a, k, b in pii.added_spans([text], model)[0]]
+        assert ("phone", "0044 20 7946 0958") in found and not any(
+            x in "0044 20 7946 0958" and x != "0044 20 7946 0958" for _, x in found)
+
+
 def test_obfuscated_words_are_restored():
     counts = {}
     for word in ["idiot", "stupid", "trash", "loser", "hello", "house"] * 50:
