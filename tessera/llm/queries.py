@@ -7,14 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.centroids import centroid_clusters
+from tessera.llm.collocations import collocations
 from tessera.llm.common import documents
 from tessera.llm.decontaminate import benchmark_hits, contamination
 from tessera.llm.licenses import license_scan
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.near_duplicates import near_duplicates
 from tessera.llm.order_minhash import fingerprints
+from tessera.llm.oracle import ORACLE as ORACLE
 from tessera.llm.packing import pack_documents
 from tessera.llm.pii import personal_data
+from tessera.llm.set_join import ngram_join
 from tessera.llm.sharding import interleaved_shards
 from tessera.llm.token_counts import sentence_pieces, token_counts
 from tessera.llm.toxicity import toxicity
@@ -79,6 +83,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(configure(spark), sf_dir), lambda: sentence_pieces(vocabulary()))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(documents(configure(spark), sf_dir))
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(documents(configure(spark), sf_dir))
+
+
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters(configure(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_decontamination": op1_decontamination,
     "op2_near_duplicates": op2_near_duplicates,
@@ -90,8 +106,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_interleaved_shards": op8_interleaved_shards,
     "op9_personal_data": op9_personal_data,
     "op10_token_counts": op10_token_counts,
+    "op11_collocations": op11_collocations,
+    "op12_ngram_join": op12_ngram_join,
+    "op13_centroid_clusters": op13_centroid_clusters,
 }
-
-# Hashes, checksums, vocabularies and searches here have no SQL equivalent in
-# DuckDB; these queries are tested against brute force instead.
-ORACLE: dict[str, str] = {}
