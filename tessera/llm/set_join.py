@@ -23,6 +23,7 @@ hash: any fixed order gives right results, a good one short lists.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -39,14 +40,16 @@ from tessera.llm.graph import components
 from tessera.llm.near_duplicates import unlike_pairs, verified_pairs
 from tessera.llm.shingles import mix, shingle_sets
 
-CELL_BITS = 18
+CELL_BITS = 22
 CELLS = 1 << CELL_BITS
+#: Counters travel in blocks of this many, as packed 16-bit numbers.
+BLOCK = 4096
 #: Largest set that may be light; its subsets are enumerated if that is cheaper.
 MOST_LIGHT = 30
 #: Lists up to this length are paired out.
 CROWD = 24
 
-DIGESTS = "doc_id long, n_shingles long, c1 long, c2 long, cell int, times long"
+DIGESTS = "doc_id long, n_shingles long, c1 long, c2 long, block int, times binary"
 HEADS = "doc_id long, n_shingles long, c1 long, c2 long, scan long, elements array<long>"
 SUBSETS = "k1 long, k2 long, lo int, hi int, n int, node long"
 
@@ -89,7 +92,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def digests(texts: DataFrame, k: int) -> DataFrame:
-    """Size and digest of each row's set, and (rows with a cell) a task's element counters."""
+    """Size and digest of each row's set, and (rows with a block) a task's element counters."""
     schema = to_arrow_schema(StructType.fromDDL(DIGESTS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,34 +102,62 @@ def digests(texts: DataFrame, k: int) -> DataFrame:
                 flat, at = shingle_sets(part.column("text"), k)
                 counters += np.bincount((flat >> np.uint64(64 - CELL_BITS)).astype(np.int64),
                                         minlength=CELLS)
-                none = pa.nulls(len(part))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(np.diff(at)),
                      *(pa.array(digest(flat, at, s)) for s in SALTS),
-                     none.cast(pa.int32()), none.cast(pa.int64())], schema=schema)
-        used = np.flatnonzero(counters)
+                     pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())], schema=schema)
+        rows = np.minimum(counters, 65535).astype(np.uint16).reshape(-1, BLOCK)
+        used = np.flatnonzero(rows.any(1))
         none = pa.nulls(len(used), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(used.astype(np.int32)), pa.array(counters[used])],
-            schema=schema)
+            [none, none, none, none, pa.array(used.astype(np.int32)),
+             pa.array([zlib.compress(rows[i].tobytes(), 1) for i in used], pa.binary())], schema=schema)
+        del counters, rows
         release()
 
     return texts.mapInArrow(run, DIGESTS)
 
 
+def rarity(blocks: DataFrame) -> bytes:
+    """A byte a counter, growing with its sum over all tasks (eight steps a doubling)."""
+    schema = to_arrow_schema(StructType.fromDDL("block int, level binary"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row() -> pa.RecordBatch:
+            level = np.minimum(np.floor(8 * np.log2(np.maximum(total, 1))), 255).astype(np.uint8)
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()),
+                                               pa.array([level.tobytes()], pa.binary())], schema=schema)
+        at, total = None, None
+        for batch in batches:
+            for block, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if block != at:
+                    if at is not None:
+                        yield row()
+                    at, total = block, np.zeros(BLOCK, np.int64)
+                total += np.frombuffer(zlib.decompress(times), np.uint16)
+        if at is not None:
+            yield row()
+
+    merged = (blocks.repartition("block").sortWithinPartitions("block")
+              .mapInArrow(run, "block int, level binary").toArrow())  # CELLS bytes at most
+    levels = np.zeros((CELLS // BLOCK, BLOCK), np.uint8)
+    for block, level in zip(merged["block"].to_pylist(), merged["level"].to_pylist(), strict=True):
+        levels[block] = np.frombuffer(level, np.uint8)
+    return levels.tobytes()
+
+
 def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n - least_partner(n, percent) + 1
 
 
-def heads(texts: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFrame:
+def heads(texts: DataFrame, k: int, percent: int, levels: bytes) -> DataFrame:
     """Each row's prefix in the common order (a light set's elements all), and what scanning costs."""
     schema = to_arrow_schema(StructType.fromDDL(HEADS))
-    level = np.minimum(np.floor(8 * np.log2(np.maximum(counts, 1))), 255).astype(np.uint8)
-    shared = texts.sparkSession.sparkContext.broadcast((level.tobytes(), counts.tobytes()))
+    shared = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        level, counts = (np.frombuffer(x, t) for x, t in zip(shared.value, (np.uint8, np.int64),
-                                                             strict=True))
+        level = np.frombuffer(shared.value, np.uint8)
+        length = np.exp2(np.arange(256) / 8)  # rows about, in the list of an element of a level
         for batch in batches:
             for part in _cut(batch, "text", 2_000_000):
                 flat, at = shingle_sets(part.column("text"), k)
@@ -139,7 +170,7 @@ def heads(texts: DataFrame, k: int, percent: int, counts: np.ndarray) -> DataFra
                 for i, n in enumerate(sizes):
                     order = np.argsort(element[at[i]:at[i + 1]])
                     first = order[:prefix_length(n, percent)] if n else order
-                    scans[i] = counts[cell[at[i]:at[i + 1]][first]].sum()
+                    scans[i] = length[level[cell[at[i]:at[i + 1]][first]]].sum()
                     own.append(element[at[i]:at[i + 1]][order if n <= MOST_LIGHT else first])
                 offsets = np.r_[0, np.cumsum([len(x) for x in own])]
                 values = np.concatenate([*own, np.empty(0, np.uint64)]).view(np.int64)
@@ -244,16 +275,13 @@ def ngram_join(docs: DataFrame, k: int = 3, percent: int = 90, id_col: str = "do
     """
     texts = _texts(docs, id_col, text_col)
     found = stored(digests(texts, k), "digests")
-    rows = found.filter("cell is null").select("doc_id", "n_shingles", "c1", "c2")
+    rows = found.filter("block is null").select("doc_id", "n_shingles", "c1", "c2")
     same = ["n_shingles", "c1", "c2"]
-    per_cell = (found.filter("cell is not null").groupBy("cell").agg(F.sum("times").alias("times"))
-                .toArrow())  # at most CELLS rows
-    counts = np.zeros(CELLS, np.int64)
-    counts[per_cell["cell"].to_numpy()] = per_cell["times"].to_numpy()
+    levels = rarity(found.filter("block is not null").select("block", "times"))
 
     reps = (rows.filter("doc_id is not null and n_shingles > 0").groupBy(*same)
             .agg(F.min("doc_id").alias("doc_id")))
-    head = heads(texts, k, percent, counts).filter("doc_id is not null and n_shingles > 0")
+    head = heads(texts, k, percent, levels).filter("doc_id is not null and n_shingles > 0")
     # one row a class, before anything is emitted for its copies
     one = (head.join(reps, [*same, "doc_id"]).groupBy(*same, "doc_id")
            .agg(F.first("scan").alias("scan"), F.first("elements").alias("elements")))
