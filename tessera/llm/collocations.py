@@ -7,7 +7,8 @@ and every level reads the texts once:
 2. for each longer length, a task keeps one stripe a prefix, (next word,
    count) pairs in arrays, for the places where the words but the last and the
    words but the first are both frequent phrases already;
-3. stripes of one prefix are merged elementwise. The merged stripe gives the
+3. stripes are shuffled by buckets of prefixes and those of one prefix merged
+   elementwise. The merged stripe gives the
    frequent extensions; their largest count is what may subsume the prefix,
    and, read by the words after the first, what may subsume the suffix.
 
@@ -37,10 +38,13 @@ CELL_BITS = 22
 CELLS = 1 << CELL_BITS
 #: A task merges its own stripes once it holds this many entries.
 HELD = 1_500_000
-#: Longest piece of a stripe in one row.
-ROW_ENTRIES = 4096
-#: Occurrences of a prefix a segment of its stripe may stand for.
+#: Most entries in one row of packed stripes.
+ROW_ENTRIES = 8192
+#: Occurrences of a prefix that a segment of its stripe may stand for.
 SEGMENT = 1 << 20
+#: Stripes are dealt to buckets of about this many occurrences, which bounds what a merge holds.
+BUCKET = 1 << 24
+LEAST_BUCKETS = 512
 BASE = np.uint64(0xD6E8FEB86659FD93)
 
 WORD, BLANK, STOP = 0, 1, 2
@@ -49,7 +53,7 @@ KIND[[0x20, 0x09]] = BLANK
 KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = STOP
 
 WORDS = "key long, cell int, lang string, word binary, n long"
-STRIPES = "prefix long, segment int, nexts array<long>, counts array<int>"
+STRIPES = "bucket int, prefixes array<long>, lengths array<int>, nexts array<long>, counts array<int>"
 EXTENSIONS = "prefix long, next long, key long, cell int, f long"
 
 
@@ -159,32 +163,45 @@ def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
 NONE = (np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
-def stripes(texts: DataFrame, size: int, frequent: bytes) -> DataFrame:
-    """Each task's stripes (prefix, segment, nexts, counts) for phrases of ``size`` words."""
+def stripes(texts: DataFrame, size: int, frequent: bytes, n_buckets: int) -> DataFrame:
+    """Each task's stripes for phrases of ``size`` words, packed.
+
+    A row holds the stripes of one bucket, one after the other: ``prefixes``,
+    the number of entries of each (``lengths``), and their entries (``nexts``,
+    ``counts``). A stripe's bucket comes from the hashes of its prefix and segment.
+    """
     schema = to_arrow_schema(StructType.fromDDL(STRIPES))
     shared = texts.sparkSession.sparkContext.broadcast(frequent)
 
     def rows(stripe: tuple[np.ndarray, ...], levels: np.ndarray) -> Iterator[pa.RecordBatch]:
         prefix, following, count = stripe
         spread = np.maximum(levels[cells(prefix)].astype(np.int64) - SEGMENT.bit_length(), 0)
-        segment = (mix(following) & ((np.uint64(1) << spread.astype(np.uint64)) - np.uint64(1)))
-        if spread.any():
-            order = np.lexsort((following, segment, prefix))
-            prefix, following, count, segment = (x[order] for x in (prefix, following, count, segment))
+        segment = mix(following) & ((np.uint64(1) << spread.astype(np.uint64)) - np.uint64(1))
+        bucket = mix(prefix + segment * BASE) % np.uint64(n_buckets)
+        order = np.argsort(bucket, kind="stable")
+        prefix, following, count, bucket = (x[order] for x in (prefix, following, count, bucket))
         new = np.ones(len(prefix), bool)
-        new[1:] = (prefix[1:] != prefix[:-1]) | (segment[1:] != segment[:-1])
+        new[1:] = bucket[1:] != bucket[:-1]
         start = np.flatnonzero(new)
         place = np.arange(len(prefix)) - np.repeat(start, np.diff(np.r_[start, len(prefix)]))
-        start = np.flatnonzero(place % ROW_ENTRIES == 0)
-        for lo in range(0, len(start), 5000):
-            own = start[lo:lo + 5000]
-            end = start[lo + 5000] if lo + 5000 < len(start) else len(prefix)
-            offsets = pa.array(np.r_[own, end] - own[0], pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (
-                following[own[0]:end].view(np.int64), count[own[0]:end].astype(np.int32))]
+        new = place % ROW_ENTRIES == 0
+        starts = np.r_[np.flatnonzero(new), len(prefix)]
+        heads = new.copy()
+        heads[1:] |= prefix[1:] != prefix[:-1]
+        for lo in range(0, len(starts) - 1, 64):
+            at = starts[lo:lo + 65]
+            begin, end = at[0], at[-1]
+            head = np.flatnonzero(heads[begin:end]) + begin
+            of_heads = pa.array(np.searchsorted(head, at), pa.int32())
+            of_entries = pa.array(at - begin, pa.int32())
+            lists = [(of_heads, prefix[head].view(np.int64)),
+                     (of_heads, np.diff(np.r_[head, end]).astype(np.int32)),
+                     (of_entries, following[begin:end].view(np.int64)),
+                     (of_entries, count[begin:end].astype(np.int32))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(prefix[own].view(np.int64)), pa.array(segment[own].astype(np.int32)),
-                 *(x.cast(f.type) for x, f in zip(lists, list(schema)[2:], strict=True))],
+                [pa.array(bucket[at[:-1]].astype(np.int32)),
+                 *(pa.ListArray.from_arrays(offsets, pa.array(values)).cast(f.type)
+                   for (offsets, values), f in zip(lists, list(schema)[1:], strict=True))],
                 schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,40 +235,36 @@ def extensions(parts: DataFrame, least: int) -> DataFrame:
     """Merged stripes: (prefix, next, key, cell, f) where f, the sum, is at least ``least``."""
     schema = to_arrow_schema(StructType.fromDDL(EXTENSIONS))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry, open_key = NONE, None
-
-        def rows(stripe: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-            prefix, following, f = (x[stripe[2] >= least] for x in stripe)
-            keys = prefix * BASE + following
-            return pa.RecordBatch.from_arrays(
-                [pa.array(prefix.view(np.int64)), pa.array(following.view(np.int64)),
-                 pa.array(keys.view(np.int64)), pa.array(cells(keys).astype(np.int32)),
-                 pa.array(f)], schema=schema)
+    def rows(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        merged = _merged(parts)
+        prefix, following, f = (x[merged[2] >= least] for x in merged)
+        keys = prefix * BASE + following
+        return pa.RecordBatch.from_arrays(
+            [pa.array(prefix.view(np.int64)), pa.array(following.view(np.int64)),
+             pa.array(keys.view(np.int64)), pa.array(cells(keys).astype(np.int32)),
+             pa.array(f)], schema=schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, parts, n = None, [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            prefix, segment = (batch.column(i).to_numpy() for i in (0, 1))
-            long = np.diff(batch.column(2).offsets.to_numpy())
-            own = (np.repeat(prefix, long).view(np.uint64),
-                   batch.column(2).flatten().to_numpy().view(np.uint64),
-                   batch.column(3).flatten().to_numpy().astype(np.int64))
-            last = (prefix[-1], segment[-1])
-            tail = np.repeat((prefix == last[0]) & (segment == last[1]), long)
-            if open_key == last:  # the whole batch may belong to the open stripe
-                done, carry = [x[~tail] for x in own], _merged([carry, tuple(x[tail] for x in own)])
-                done = _merged([tuple(done)])
-            else:
-                done = _merged([carry, tuple(x[~tail] for x in own)])
-                carry = _merged([tuple(x[tail] for x in own)])
-            open_key = last
-            yield rows(done)
-        yield rows(carry)
+            for bucket, row in zip(batch.column(0).to_pylist(), range(batch.num_rows), strict=True):
+                if bucket != at and parts:
+                    yield rows(parts)
+                    parts, n = [], 0
+                at = bucket
+                prefixes, lengths, nexts, counts = (
+                    batch.column(i)[row].values.to_numpy() for i in range(1, 5))
+                parts.append((np.repeat(prefixes, lengths).view(np.uint64), nexts.view(np.uint64),
+                              counts.astype(np.int64)))
+                n += len(nexts)
+                if n >= HELD:
+                    parts = [_merged(parts)]
+                    n = len(parts[0][0]) // 2  # what stays distinct is not merged at every row
+        if parts:
+            yield rows(parts)
         release()
 
-    dealt = parts.repartition("prefix", "segment").sortWithinPartitions("prefix", "segment")
-    return dealt.mapInArrow(run, EXTENSIONS)
+    return parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, EXTENSIONS)
 
 
 def collocations(docs: DataFrame, least: int = 100, longest: int = 5, percent: int = 100,
@@ -283,10 +296,12 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, percent: i
                    .select("key", "cell", "lang", F.col("word").cast("string").alias("word"),
                            F.array("key").alias("words"), F.col("n").alias("f")), "phrases")
     levels = [often.select("key", "cell", "words", "f")]
+    n_words = sum(r.n for r in totals.agg(F.sum("n").alias("n")).collect() if r.n)
+    n_buckets = max(LEAST_BUCKETS, n_words // BUCKET)
     for size in range(2, longest + 1):
         if levels[-1].isEmpty():
             break
-        found = extensions(stripes(texts, size, frequent_cells(levels[-1])), least)
+        found = extensions(stripes(texts, size, frequent_cells(levels[-1]), n_buckets), least)
         heads = levels[-1].select(F.col("key").alias("prefix"), F.col("words").alias("head"))
         levels.append(stored(found.join(heads, "prefix").select(
             "key", "cell", F.concat("head", F.array("next")).alias("words"), "f"), "phrases"))
@@ -294,20 +309,20 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, percent: i
     for level in levels[1:]:
         known = known.union(level)
     known = known.select("words", "f")
-    n_words = F.size("words")
-    longer = known.filter(n_words > 2)
-    around = (longer.select(F.slice("words", 1, n_words - 1).alias("words"), "f")
-              .union(longer.select(F.slice("words", 2, n_words - 1).alias("words"), "f"))
+    length = F.size("words")
+    longer = known.filter(length > 2)
+    around = (longer.select(F.slice("words", 1, length - 1).alias("words"), "f")
+              .union(longer.select(F.slice("words", 2, length - 1).alias("words"), "f"))
               .groupBy("words").agg(F.max("f").alias("most")))
-    kept = (known.filter(n_words > 1).withColumnRenamed("f", "a").join(around, "words", "left")
+    kept = (known.filter(length > 1).withColumnRenamed("f", "a").join(around, "words", "left")
             .filter(F.coalesce(F.lit(100) * F.col("most") < F.lit(percent) * F.col("a"), F.lit(True)))
             .drop("most"))
     spelled = (kept.select("words", F.posexplode("words").alias("at", "key"))
                .join(often.select("key", "lang", "word"), "key").groupBy("words", "lang")
                .agg(F.sort_array(F.collect_list(F.struct("at", "word"))).alias("spelled")))
-    cuts = (kept.withColumn("k", F.explode(F.sequence(F.lit(1), n_words - 1)))
+    cuts = (kept.withColumn("k", F.explode(F.sequence(F.lit(1), length - 1)))
             .withColumn("one", F.slice("words", F.lit(1), F.col("k")))
-            .withColumn("two", F.slice("words", F.col("k") + 1, n_words - F.col("k"))))
+            .withColumn("two", F.slice("words", F.col("k") + 1, length - F.col("k"))))
     part = lambda x, name: known.select(F.col("words").alias(x), F.col("f").alias(name))
     exact = lambda c: F.col(c).cast("decimal(38,0)")
     # the score is at most 1000 * n / a, well inside 64 bits; its terms need not be
