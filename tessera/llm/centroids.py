@@ -17,6 +17,8 @@ from tessera.llm.common import release, stored
 #: Below this, a component's integer squares and sums exactly in 64 bits.
 SMALL = 1 << 27
 LIMB = 32
+RESULT = ("vec_id long, cluster int, distance long, cluster_inertia long, inertia long, "
+          "centroid_sha256 string")
 
 
 class Orchard:
@@ -183,7 +185,9 @@ def centroid_clusters(vectors: DataFrame, k: int = 8, rounds: int = 10, seed: in
     first = kept.withColumn("h", _start_order(seed)).orderBy(F.asc_nulls_last("h"), "vector").limit(k)
     column = first.select("vector").toArrow()["vector"].combine_chunks()  # k rows
     centroids = [[int(x) for x in row] for row in integers(column, scale)]
-    for _ in range(rounds if centroids else 0):
+    if not centroids:
+        return kept.sparkSession.createDataFrame([], RESULT)
+    for _ in range(rounds):
         sums: dict[tuple[int, int], int] = {}
         for r in moved_sums(kept, centroids, scale).collect():  # a few rows a centroid
             at = (r.cluster, r.component)
