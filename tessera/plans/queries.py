@@ -34,7 +34,8 @@ from tessera.sources import catalog
 from tessera.sources.csv import read_csv, read_csv_sniffed, write_csv
 from tessera.sources.parquet import partition_values, read_latest, read_years
 from tessera.sources.sinks import read_back, write_partitioned
-from tessera.streaming.jobs import closed_windows, ingest_dedup_stream, live_indicator_stream, read_live
+from tessera.streaming.jobs import (closed_windows, fold_windows, ingest_dedup_stream,
+                                    live_indicator_stream, read_live)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -327,11 +328,13 @@ N_EVENT_FILES = 8
 
 
 def _stage_events(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> str:
-    """Eight event files, not ordered by time, as a source folder; all delivered ``deliveries`` times."""
+    """Eight event files, not ordered by time, as a source folder; all delivered ``deliveries``
+    times, each time with event times a day and a half later."""
     src = scratch_path(spark, "events_src")
     events = adapters.table(spark, sf_dir, "events").repartition(N_EVENT_FILES // deliveries, F.xxhash64("event_id"))
-    for _ in range(deliveries):
-        events.write.mode("append").parquet(src)
+    for n in range(deliveries):
+        late = events.withColumn("ts", F.col("ts") + F.expr(f"interval {36 * n} hours"))
+        late.write.mode("append").parquet(src)
     return src
 
 
@@ -370,6 +373,7 @@ def stream_daily_indicator_append(spark: SparkSession, sf_dir: str) -> DataFrame
                               sink, ckpt, STREAM_CHECKS, output_mode="append",
                               max_files_per_trigger=1)
     q.awaitTermination()
+    fold_windows(spark, sink)
     return closed_windows(spark, sink)
 
 

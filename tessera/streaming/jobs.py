@@ -2,12 +2,11 @@
 
 STR-1  file stream -> bronze audit columns -> Parquet sink (exactly-once via
        the checkpoint; ``availableNow`` drains what is there and stops)
-STR-2  late-safe dedup by event key: every micro-batch is deduplicated (combined
-       in each task before the shuffle) and then compared with what the sink
-       holds for the event dates in the batch, so the result does not depend
-       on how a backlog is sliced or ordered
+STR-2  dedup by event key in keyed state (RocksDB): a key that was delivered
+       before is dropped whatever its event time, and the sink is never read back
 STR-3  live indicator: tumbling event-time window x type -> counts and rate;
-       a micro-batch recomputes the windows it touches, whatever their age;
+       each micro-batch adds its own mergeable counts under its epoch, readers
+       sum them, so a trigger reads nothing but its batch and late events count;
        every result passes the DQ gate in ``foreachBatch`` before it is written
 
 Event time must be a TIMESTAMP (with zone) for watermarks; a TIMESTAMP_NTZ
@@ -26,8 +25,8 @@ from pyspark.sql.types import StructType
 from tessera.contracts import Check
 from tessera.functions import rate
 from tessera.operators.quality import cached, gate, run_checks
-from tessera.plans.publish import commit_run, read_published, run_path
-from tessera.sources.parquet import try_read_parquet
+from tessera.plans.publish import commit_run, latest_commit, read_published, run_path
+from tessera.sources.parquet import partition_values, try_read_parquet
 from tessera.sources.sinks import delete_folder
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -68,50 +67,42 @@ def stream_audit(df: DataFrame, entity: str, environment: str = "dev") -> DataFr
     })
 
 
-def _dates(batch: DataFrame, column: str) -> list[str]:
-    """The distinct event dates of a micro-batch (as many as calendar days at most)."""
-    return [r[0] for r in batch.select(column).distinct().collect()]
+def drop_redelivered(df: DataFrame, keys: Sequence[str], horizon: str | None = None,
+                     arrival: str = "_ingestion_timestamp") -> DataFrame:
+    """STR-2: the first delivery of each key; state holds the keys, not the rows.
 
+    ``horizon`` says how long after its first delivery a key is remembered; with
+    None it never is forgotten, and state grows with the number of keys. The
+    horizon counts in arrival time (``arrival``, the trigger's processing time),
+    so no event is too late by its own time, and none is lost. A copy
+    that comes after the horizon is kept as new. Of copies within one trigger
+    one is kept; which one is not defined. A null key is a key.
 
-def _stored(spark: SparkSession, path: str, dates: list[str], epoch_id: int) -> DataFrame | None:
-    """Rows of the epoch folders under ``path`` for ``dates``, without the epoch's own."""
-    found = try_read_parquet(spark, path)
-    return None if found is None else found.filter(
-        F.col("event_date").isin(dates) & (F.col("batch_id") != str(epoch_id)))
-
-
-def dedup_writer(sink_dir: str, keys: Sequence[str]):
-    """``foreachBatch`` function for STR-2: append only keys the sink does not hold.
-
-    Copies within the batch are combined by ``dropDuplicates`` before the
-    shuffle, so a hot key costs one row a task. The batch is then anti-joined
-    with the sink's rows of the same event dates. A redelivered event carries
-    the event time of the first delivery. Each epoch writes its own
-    ``batch_id=N`` folder and a replay rewrites it, so output is exactly-once.
+    All rows of a key go to the state partition of its hash: a hot key costs its
+    task one state lookup a row, at most the rows of one trigger
+    (``maxFilesPerTrigger``).
     """
-    root = sink_dir.rstrip("/")
-
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        with cached(batch.dropDuplicates([*keys, "event_date"])) as batch:
-            dates = _dates(batch, "event_date")
-            if dates:
-                seen = _stored(batch.sparkSession, root, dates, epoch_id)
-                new = batch if seen is None else batch.join(
-                    seen.select(*keys, "event_date"), [*keys, "event_date"], "left_anti")
-                (new.select(*batch.columns).write.mode("overwrite").partitionBy("event_date")
-                 .parquet(f"{root}/batch_id={epoch_id}"))
-    return write
+    if horizon is None:
+        return df.dropDuplicates(list(keys))
+    return df.withWatermark(arrival, horizon).dropDuplicatesWithinWatermark(list(keys))
 
 
 def ingest_dedup_stream(spark: SparkSession, source_dir: str, schema: StructType, key: str,
                         time_column: str, sink_dir: str, checkpoint: str, entity: str,
-                        max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
-    """STR-1 + STR-2 as one query: read, stamp, dedup, append to the sink's epoch folders."""
+                        max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+                        horizon: str | None = None) -> StreamingQuery:
+    """STR-1 + STR-2 as one query: read, stamp, drop redelivered keys, append to the sink.
+
+    State and the sink's file log advance together with the checkpoint: a
+    trigger that is replayed after a failure starts from the state before it and
+    adds the same rows once.
+    """
+    use_rocksdb_state(spark)
     src = read_file_stream(spark, source_dir, schema, max_files_per_trigger=max_files_per_trigger)
-    out = stream_audit(src, entity).withColumn(
+    out = drop_redelivered(stream_audit(src, entity), [key], horizon).withColumn(
         "event_date", F.coalesce(F.date_format(F.col(time_column), "yyyy-MM-dd"), F.lit("none")))
-    return (out.writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(dedup_writer(sink_dir, [key])).trigger(availableNow=True).start())
+    return (out.writeStream.format("parquet").option("checkpointLocation", checkpoint)
+            .partitionBy("event_date").option("path", sink_dir).trigger(availableNow=True).start())
 
 
 def windowed_indicator(df: DataFrame, flag: Column, event_time: str = "event_time",
@@ -166,48 +157,117 @@ def gated_writer(path: str, checks: Sequence[Check], mode: str = "overwrite"):
     return write
 
 
+def window_counts(df: DataFrame, flag: Column, event_time: str, window: str,
+                  by: Sequence[str]) -> DataFrame:
+    """Counts that add up: (window, by...) -> n_events, n_flagged and the latest event time."""
+    return (df.where(F.col(event_time).isNotNull())
+            .groupBy(F.window(event_time, window).alias("w"), *by)
+            .agg(F.count(F.lit(1)).alias("n_events"),
+                 F.sum(F.when(flag, 1).otherwise(0)).cast("long").alias("n_flagged"),
+                 F.max(event_time).cast("timestamp_ntz").alias("latest"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), *by,
+                    "n_events", "n_flagged", "latest"))
+
+
+COUNTS = ("n_events", "n_flagged", "latest")
+
+
+def merged_counts(counts: DataFrame) -> DataFrame:
+    """Counts of several batches as one row a window and group."""
+    by = [c for c in counts.columns if c not in COUNTS]
+    return counts.groupBy(*by).agg(F.sum("n_events").alias("n_events"),
+                                   F.sum("n_flagged").alias("n_flagged"),
+                                   F.max("latest").alias("latest"))
+
+
 def window_writer(sink_dir: str, flag: Column, checks: Sequence[Check], window: str,
                   by: Sequence[str]):
-    """``foreachBatch`` function for STR-3: recompute the windows a batch touches.
-
-    Events are kept by event date (``events/batch_id=N``); a batch adds its own
-    and recounts all windows that start on the dates it holds, from everything
-    stored for them, replacing those dates' partitions of ``windows``. So late
-    events change their window instead of being lost, in any order of arrival.
-    ``seen/batch_id=N`` keeps the batch's latest event time for
-    :func:`closed_windows`.
+    """``foreachBatch`` function for STR-3: add the batch's own counts under its epoch.
+
+    ``windows/batch_id=N`` holds what epoch N counted. Nothing stored before is
+    read, so a trigger costs what its batch costs. An epoch that is replayed
+    overwrites its folder; late events add to their window in any order of
+    arrival. The checks see the batch's counts with their rate.
     """
     root = sink_dir.rstrip("/")
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        with cached(batch.filter("event_time is not null")) as batch:
-            dates = _dates(batch, "event_date")
-            if not dates:            # nothing new in this trigger: skipped (FLT-4)
+        with cached(window_counts(batch, flag, "event_time", window, by)) as counts:
+            if counts.isEmpty():          # nothing in this trigger: skipped (FLT-4)
                 return
-            before = _stored(spark, f"{root}/events", dates, epoch_id)
-            whole = batch if before is None else before.select(*batch.columns).union(batch)
-            counts = windowed_indicator(whole, flag, "event_time", window, by, delay=None) \
-                .withColumn("event_date", F.date_format("window_start", "yyyy-MM-dd"))
-            with cached(counts) as counts:
-                gate(run_checks(counts, list(checks)), f"micro-batch {epoch_id}")
-                (batch.write.mode("overwrite").partitionBy("event_date")
-                 .parquet(f"{root}/events/batch_id={epoch_id}"))
-                (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("event_date").parquet(f"{root}/windows"))
-                (batch.agg(F.max("event_time").alias("latest")).write.mode("overwrite")
-                 .parquet(f"{root}/seen/batch_id={epoch_id}"))
+            gate(run_checks(with_rate(counts), list(checks)), f"micro-batch {epoch_id}")
+            counts.write.mode("overwrite").parquet(f"{root}/windows/batch_id={epoch_id}")
     return write
 
 
-def closed_windows(spark: SparkSession, sink_dir: str, delay: str = "1 day") -> DataFrame:
-    """Windows of :func:`window_writer` that ended at least ``delay`` before the latest event."""
+def with_rate(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("flag_rate", rate("n_flagged", "n_events"))
+
+
+def _stored_counts(spark: SparkSession, root: str) -> tuple[DataFrame | None, int]:
+    """All counts not yet merged (the folded ones and later epochs'), and the last folded epoch."""
+    run = latest_commit(spark, _log(f"{root}/folded"))
+    last = -1 if run is None else int(run)
+    epochs = try_read_parquet(spark, f"{root}/windows")
+    if epochs is not None:
+        epochs = epochs.where(F.col("batch_id").cast("long") > last).drop("batch_id")
+    if run is None:
+        return epochs, last
+    folded = spark.read.parquet(run_path(f"{root}/folded", run))
+    return folded if epochs is None else folded.unionByName(epochs), last
+
+
+def live_windows(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The live indicator: each window and group as counted so far, with its rate."""
+    counts, _ = _stored_counts(spark, sink_dir.rstrip("/"))
+    if counts is None:
+        raise FileNotFoundError(f"no windows in {sink_dir}")
+    return with_rate(merged_counts(counts).drop("latest"))
+
+
+def fold_windows(spark: SparkSession, sink_dir: str) -> int:
+    """Fold the counts of all epochs but the newest into one table; the last epoch folded.
+
+    The newest epoch stays as it is, since the stream may still replay it. The
+    folded table is written whole under the epoch it reaches to and then
+    committed, so a crash in between changes nothing for readers and a fold that
+    is repeated gives the same rows. Epoch folders and tables that the fold
+    before this one had already replaced are deleted: a reader that began before
+    this fold still finds its files. Its cost is the number of windows, not of
+    events.
+    """
     root = sink_dir.rstrip("/")
-    latest = (spark.read.parquet(f"{root}/seen")
-              .agg(F.max("latest").cast("timestamp_ntz").cast("string")).first()[0])
+    epochs = sorted(int(v) for v in partition_values(spark, f"{root}/windows", "batch_id"))
+    run = latest_commit(spark, _log(f"{root}/folded"))
+    last = -1 if run is None else int(run)
+    if not [e for e in epochs[:-1] if e > last]:
+        return last
+    reach = epochs[-2]
+    counts = spark.read.parquet(f"{root}/windows").where(
+        (F.col("batch_id").cast("long") > last) & (F.col("batch_id").cast("long") <= reach)) \
+        .drop("batch_id")
+    if run is not None:
+        counts = spark.read.parquet(run_path(f"{root}/folded", run)).unionByName(counts)
+    merged_counts(counts).write.mode("overwrite").parquet(run_path(f"{root}/folded", _epoch(reach)))
+    commit_run(spark, _log(f"{root}/folded"), _epoch(reach), ["windows"])
+    for epoch in epochs:
+        if epoch <= last:
+            delete_folder(spark, f"{root}/windows/batch_id={epoch}")
+    for old in partition_values(spark, f"{root}/folded", "run_id"):
+        if int(old) < last:
+            delete_folder(spark, run_path(f"{root}/folded", old))
+    return reach
+
+
+def closed_windows(spark: SparkSession, sink_dir: str, delay: str = "1 day") -> DataFrame:
+    """Windows of :func:`live_windows` that ended at least ``delay`` before the latest event."""
+    counts, _ = _stored_counts(spark, sink_dir.rstrip("/"))
+    if counts is None:
+        raise FileNotFoundError(f"no windows in {sink_dir}")
+    latest = counts.agg(F.max("latest").cast("string")).first()[0]
     end = F.lit(latest).cast("timestamp_ntz") - F.expr(f"interval {delay}")
-    return (spark.read.parquet(f"{root}/windows").drop("event_date")
-            .filter(F.col("window_end") <= end))
+    return live_windows(spark, sink_dir).where(F.col("window_end") <= end)
 
 
 def live_indicator_stream(spark: SparkSession, source_dir: str, schema: StructType,
@@ -215,9 +275,9 @@ def live_indicator_stream(spark: SparkSession, source_dir: str, schema: StructTy
                           checks: Sequence[Check], output_mode: str = "append",
                           window: str = "1 day", delay: str = "1 day",
                           max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> StreamingQuery:
-    """STR-3 as a query. ``append`` keeps events by date and recounts touched windows
-    (windows of at most a day); ``complete`` holds all counts in state and rewrites
-    the whole table each batch (small group counts)."""
+    """STR-3 as a query. ``append`` adds each batch's counts (read with :func:`live_windows` or
+    :func:`closed_windows`, kept short by :func:`fold_windows`); ``complete`` holds all
+    counts in state and rewrites the whole table each batch (small group counts)."""
     use_rocksdb_state(spark)
     src = with_event_time(read_file_stream(spark, source_dir, schema,
                                            max_files_per_trigger=max_files_per_trigger), time_column)
@@ -227,8 +287,6 @@ def live_indicator_stream(spark: SparkSession, source_dir: str, schema: StructTy
         return (agg.writeStream.outputMode("complete").option("checkpointLocation", checkpoint)
                 .foreachBatch(gated_writer(sink_dir, checks, "overwrite"))
                 .trigger(availableNow=True).start())
-    dated = src.withColumn("event_date", F.date_format(F.window("event_time", window)["start"],
-                                                       "yyyy-MM-dd"))
-    return (dated.writeStream.option("checkpointLocation", checkpoint)
+    return (src.writeStream.option("checkpointLocation", checkpoint)
             .foreachBatch(window_writer(sink_dir, flag, checks, window, by))
             .trigger(availableNow=True).start())
