@@ -22,14 +22,14 @@ raises under ANSI mode (D1).
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.errors import (AnalysisException, ArithmeticException, DateTimeException,
                             IllegalArgumentException, NumberFormatException, SparkRuntimeException)
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StringType
 
@@ -214,6 +214,59 @@ def run_checks(df: DataFrame, checks: Sequence[Check],
     return out
 
 
+#: Checks whose measure is a sum over rows, so that the write itself can take it.
+ROW_CHECKS = ("min_count", "not_null", "regex", "range")
+
+
+class ObservedChecks:
+    """OBS-1: row checks measured by the write of a frame, with no pass of their own.
+
+    Write :attr:`df`, then ask for :meth:`results`. The counts ride as an
+    ``Observation`` on top of the plan, that is in the tasks that write the files:
+    a task that is run again after a loss counts once. Only ``unique``
+    checks read what was written (their column alone). A pattern that does not
+    compile is never sent to the tasks and becomes a failed check (DQ-9).
+    """
+
+    def __init__(self, df: DataFrame, checks: Sequence[Check], missing_column: str = "skip") -> None:
+        self.checks, self.missing_column = list(checks), missing_column
+        self.errors = [_pattern_error(df.sparkSession, c) for c in self.checks]
+        self.present = [not c.column or c.column in df.columns for c in self.checks]
+        metrics = [F.count(F.lit(1)).alias("_n")]
+        for i, chk in enumerate(self.checks):
+            if (self.errors[i] is None and self.present[i] and chk.kind in ROW_CHECKS
+                    and (m := _metric(chk, df)) is not None):
+                metrics.append(m.alias(f"_m{i}"))
+        self.observation = Observation()
+        self.df = df.observe(self.observation, *metrics) if self.checks else df
+
+    def results(self, written: Callable[[], DataFrame]) -> list[CheckResult]:
+        """Results in the checks' order; ``written`` gives the written rows, for ``unique`` checks."""
+        if not self.checks:
+            return []
+        seen: dict = self.observation.get
+        again = [i for i, c in enumerate(self.checks) if c.kind == "unique" and self.present[i]]
+        counted = iter(run_checks(written(), [self.checks[i] for i in again]) if again else [])
+        out = []
+        for i, chk in enumerate(self.checks):
+            if i in again:
+                out.append(next(counted))
+                continue
+            if self.errors[i] is not None:
+                result = _failed(chk, self.errors[i])
+            elif not self.present[i]:
+                status = SKIP if self.missing_column == "skip" else _status(chk, False)
+                result = CheckResult(chk, None, False, status, _detail(chk, None, status))
+            else:
+                observed = int(seen["_n"] if chk.kind == "min_count" else seen[f"_m{i}"])
+                ok = observed >= int(chk.value) if chk.kind == "min_count" else observed == 0
+                status = PASS if ok else _status(chk, False)
+                result = CheckResult(chk, observed, ok, status, _detail(chk, observed, status))
+            log.info("[DQ] %s | %s | %s", result.status, chk.name, result.detail)
+            out.append(result)
+        return out
+
+
 def score_report(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Lazy score row (per ``by`` group) over a check report; skipped checks
     stay in the denominator."""
@@ -230,9 +283,12 @@ def score_report(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def rule_set_scores(df: DataFrame, rule_sets: Mapping[str, Sequence[Check]],
-                    missing_column: str = "skip") -> DataFrame:
+                    missing_column: str | Mapping[str, str] = "skip") -> DataFrame:
     """Score several rule sets over one table with ONE pass over the data.
 
+    ``missing_column`` is one policy for all rule sets or one for each (DQ-8):
+    the same absent column can be skipped under one and fail under another.
+
     The distinct checks of all rule sets are measured in a single aggregate
     (one row per check, tagged with its position); a literal membership table
     maps rule sets to positions and one group-by over that tiny report scores
@@ -243,12 +299,17 @@ def rule_set_scores(df: DataFrame, rule_sets: Mapping[str, Sequence[Check]],
         for c in checks:
             if c not in unique:
                 unique.append(c)
-    report = check_report(df, unique, missing_column, with_position=True)
-    pairs = [F.struct(F.lit(name).alias("rule_set"), F.lit(unique.index(c)).alias("_pos"))
+    report = check_report(df, unique, "skip", with_position=True)
+    policy = missing_column if isinstance(missing_column, Mapping) else dict.fromkeys(rule_sets, missing_column)
+    pairs = [F.struct(F.lit(name).alias("rule_set"), F.lit(unique.index(c)).alias("_pos"),
+                      F.lit(policy.get(name, "skip") == "fail").alias("_fails"))
              for name, checks in rule_sets.items() for c in checks]
     membership = report.sparkSession.range(1).select(F.inline(F.array(*pairs)))
+    failed = F.when(F.col("critical"), F.lit(FAIL)).otherwise(F.lit(WARN))
     # the report holds one row per distinct check: its size is fixed by the rule sets
-    return score_report(membership.join(F.broadcast(report), "_pos"), by=("rule_set",))
+    rows = membership.join(F.broadcast(report), "_pos").withColumn(
+        "status", F.when(F.col("_fails") & (F.col("status") == SKIP), failed).otherwise(F.col("status")))
+    return score_report(rows, by=("rule_set",))
 
 
 def score(results: Sequence[CheckResult]) -> dict:

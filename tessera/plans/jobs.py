@@ -79,7 +79,8 @@ def run_silver(spark: SparkSession, lake_root: str, batch: str, clock: RunClock,
                student_years: tuple[str, ...] = ("alunos_2023", "alunos_2024", "alunos_2025"),
                missing_column: str = "skip", catalog_prefix: str | None = None,
                quarantine: bool = False, allow_missing_years: bool = False) -> list[Outcome]:
-    """PIPE-5: every entity (default all six); failures are collected, raised at the end (D6).
+    """PIPE-5: every entity (default all six); failures are collected in the outcomes (D6),
+    and :func:`main` ends with an error if there are any.
 
     The outcomes are also appended to ``<lake_root>/run_log/silver``."""
     outcomes: list[Outcome] = []

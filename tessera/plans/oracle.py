@@ -378,6 +378,34 @@ SELECT rule_set, count(*) AS n_checks, count(*) FILTER (WHERE passed) AS n_passe
        count(*) FILTER (WHERE NOT passed AND critical) > 0 AS blocked
 FROM checks GROUP BY rule_set"""
 
+DQ_MISSING_COLUMN_SQL = f"""
+WITH {STUDENTS_SQL},
+m AS (
+  SELECT count(*) AS n, count(*) FILTER (WHERE id_aluno IS NULL) AS nn_id,
+         count(DISTINCT id_aluno)
+           + coalesce(max(CASE WHEN id_aluno IS NULL THEN 1 ELSE 0 END), 0) AS d_id
+  FROM students
+),
+checks AS (
+  SELECT 'common' AS rule_set, n >= 1 AS passed, FALSE AS skipped FROM m
+  UNION ALL SELECT 'common', nn_id = 0, FALSE FROM m
+  UNION ALL SELECT 'common', FALSE, TRUE
+  UNION ALL SELECT 'students_job', n >= 1, FALSE FROM m
+  UNION ALL SELECT 'students_job', nn_id = 0, FALSE FROM m
+  UNION ALL SELECT 'students_job', FALSE, FALSE
+  UNION ALL SELECT 'city_job', n >= 1, FALSE FROM m
+  UNION ALL SELECT 'city_job', nn_id = 0, FALSE FROM m
+  UNION ALL SELECT 'city_job', FALSE, TRUE
+  UNION ALL SELECT 'city_job', n - d_id = 0, FALSE FROM m
+)
+SELECT rule_set, count(*) AS n_checks, count(*) FILTER (WHERE passed) AS n_passed,
+       count(*) FILTER (WHERE NOT passed AND NOT skipped) AS n_failed,
+       count(*) FILTER (WHERE skipped) AS n_skipped,
+       count(*) FILTER (WHERE NOT passed AND NOT skipped) AS n_critical_failed,
+       round(count(*) FILTER (WHERE passed) * 100.0 / count(*), 1)::DOUBLE AS score,
+       count(*) FILTER (WHERE NOT passed AND NOT skipped) > 0 AS blocked
+FROM checks GROUP BY rule_set"""
+
 INVALID_PATTERNS_SQL = """
 SELECT doc_id, 'regex:lang' AS rule FROM documents
 WHERE lang IS NOT NULL AND lang <> 'N/A' AND NOT regexp_matches(lang, '^[a-z]{2}$')
@@ -428,6 +456,7 @@ ORACLE.update({
     "dq_gold_scores": DQ_GOLD_SCORES_SQL,
     "dq_duplicates": DQ_DUPLICATES_SQL,
     "dq_score": DQ_SCORE_SQL,
+    "dq_missing_column": DQ_MISSING_COLUMN_SQL,
     "invalid_patterns": INVALID_PATTERNS_SQL,
 })
 

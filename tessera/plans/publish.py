@@ -1,8 +1,8 @@
 """Checked publication: write once -> check the written files -> commit (all or nothing).
 
-1. every frame is computed and written ONCE, to ``<path>/run_id=<id>``;
-2. the checks of every frame run on those files, reading only the checked
-   columns, in one aggregate pass per frame;
+1. every frame is computed and written ONCE, to ``<path>/run_id=<id>``, and the
+   write itself counts what its row checks ask for;
+2. only ``unique`` checks read those files, the checked column alone;
 3. only when no critical check failed anywhere, one row is appended to the
    commit log.
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.contracts import Check
-from tessera.operators.quality import CheckResult, DataQualityError, run_checks, score
+from tessera.operators.quality import CheckResult, DataQualityError, ObservedChecks, score
 from tessera.sources.parquet import try_read_parquet
 from tessera.sources.sinks import append_report, delete_folder, write_partitioned, write_table
 
@@ -100,15 +100,15 @@ def publish_checked(spark: SparkSession, targets: Mapping[str, Target], commit_l
     out = Published(new_run_id())
     paths = {name: run_path(t.path, out.run_id) for name, t in targets.items()}
     blocked = []
+    observed = {name: ObservedChecks(t.df, t.checks, missing_column) for name, t in targets.items()}
     for name, t in targets.items():
         if t.partitions:
-            write_partitioned(t.df, paths[name], t.partitions)
+            write_partitioned(observed[name].df, paths[name], t.partitions)
         else:
-            write_table(t.df, paths[name])
+            write_table(observed[name].df, paths[name])
     for name, t in targets.items():
         # the frame's schema, as partition folders alone carry no files when it is empty
-        written = spark.read.schema(t.df.schema).parquet(paths[name])
-        res = run_checks(written, list(t.checks), missing_column)
+        res = observed[name].results(lambda: spark.read.schema(t.df.schema).parquet(paths[name]))
         out.results[name] = res
         out.scores[name] = score(res)
         if out.scores[name]["blocked"]:

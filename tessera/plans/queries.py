@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tessera.constants import STATE_CODE_PATTERN, VIEW_CITY_INDICATOR, VIEW_TARGET_COMPARISON
-from tessera.contracts import CITY_JOB_CHECKS, CONTRACTS, GOLD_CHECKS, RULE_SETS, Check
+from tessera.contracts import (CITY_JOB_CHECKS, CONTRACTS, GOLD_CHECKS, MISSING_COLUMN_POLICY,
+                               RULE_SETS, Check)
 from tessera.operators import indicators as ind
 from tessera.operators import quality as dq
 from tessera.operators.audit import RunClock, bronze_audit
@@ -249,6 +250,13 @@ def dq_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                                for name in ("common", "students_job", "city_job")})
 
 
+def dq_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ-8: students without their year column, scored as each rule set takes an absent column."""
+    configure(spark)
+    sets = {name: RULE_SETS[name]["alunos"] for name in ("common", "students_job", "city_job")}
+    return dq.rule_set_scores(adapters.students(spark, sf_dir).drop("ano"), sets, MISSING_COLUMN_POLICY)
+
+
 def invalid_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-5 / FLT-6: offending document rows per rule."""
     configure(spark)
@@ -551,6 +559,7 @@ QUERIES: dict[str, QueryFn] = {
     "dq_gold_scores": dq_gold_scores,
     "dq_duplicates": dq_duplicates,
     "dq_score": dq_score,
+    "dq_missing_column": dq_missing_column,
     "invalid_patterns": invalid_patterns,
     "target_projection": target_projection_q,
     "target_comparison_latest": target_comparison_latest,

@@ -59,7 +59,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         master = sc.master if sc else spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
             raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
                                "(a machine-local folder is not valid on a cluster)")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
