@@ -457,6 +457,9 @@ ORACLE.update({
     "dq_duplicates": DQ_DUPLICATES_SQL,
     "dq_score": DQ_SCORE_SQL,
     "dq_missing_column": DQ_MISSING_COLUMN_SQL,
+    # kept up to date batch by batch, they must equal the builds over everything
+    "silver_incremental": SILVER_STUDENTS_SQL,
+    "gold_incremental": GOLD_PUBLISHED_SQL,
     "invalid_patterns": INVALID_PATTERNS_SQL,
 })
 
