@@ -12,14 +12,15 @@ line found for a line is verified on the words of both. A pigeonhole comes
 first: lines within one edit agree on their first or second half, so only lines
 that share a half with another line emit variants.
 
-From 20 words on: k edits leave at most k + 1 common stretches, of which one
-has 6 words at least (8 if the longer line has 40 words). A line's marks are
-the least hashes of four words in every window of so many words; lines with a
-common stretch share the mark of it, at places at most k apart. A line is
-compared with the lines of its marks, by their words: with all in groups of up
-to ``FEW`` lines and with the earliest in larger ones; lines that are still
-without a near line are then compared with all earlier lines of the larger
-groups too. No line within the bound is lost by it.
+From 20 words on, variants of whole lines would be too many. k edits leave all
+but 2k of a line's word pairs (numbered by occurrence), so in one fixed order of
+pairs two near lines have at least ``SHARED`` in common among the first 2k +
+``SHARED`` of each. These are a line's marks. The order puts rare pairs first,
+by counters over all long lines; any fixed order gives right results. Lines
+that share marks enough are compared by their words: in groups of up to ``FEW``
+lines with a mark all of them, in larger ones each with the group's ``FEW``
+earliest; lines that are still without a near line then meet the others of
+larger groups by two marks at once. No line within the bound is lost by it.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tessera.llm.common import _cut, join_checked, release, small_batches, stored
+from tessera.llm.set_join import CELL_BITS, CELLS, packed_counters, rarity
 from tessera.llm.shingles import POWERS, mix, text_bytes, word_hashes
 
 #: Lines of fewer words must be equal: one word would be too large a part.
@@ -40,17 +42,15 @@ MIN_WORDS = 8
 #: From twice as many words on, so many words allow one edit.
 PER_EDIT = 10
 LONG = 2 * PER_EDIT
-MARK = 4
+#: Marks that two near long lines share at least.
+SHARED = 2
 #: Groups of so many lines with a common mark are compared line by line at once.
 FEW = 16
-#: (words of the shorter line at least, of the longer one at most, hashes in a window): the
-#: least common stretch of two lines of 20 to 39 words has 6 words, beyond that 8.
-CLASSES = ((18, 39, 3), (36, 2**31 - 1, 5))
+#: Words of the shorter of two near lines at least, if the longer one is long.
+LEAST_LONG = LONG - LONG // PER_EDIT
 LEAST_ID = -(2**63)
 LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>, n int"
-#: 48 bits of a mark; 40 bits of its line's h1, then 24 of its place: short rows for the shuffle
-MARKS = "mark long, at long"
-PLACE = 24
+MARKS = "mark long, ref long"
 #: A task forgets which lines it has given marks of after so many.
 REMEMBERED = 200_000
 WORDS = "doc long, t long, pos int, words binary, sketch array<long>"
@@ -105,26 +105,54 @@ class LineWords:
         back = self.stretch(which, i + 1, np.full(hi - lo, hi)) * self.up[i - lo]
         return mix(front + back + np.uint64(hi - lo - 1))
 
-    def marks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(line, place, hash) of the marks of long lines, line by line."""
-        empty = np.empty(0, np.int64)
-        found = [(empty, empty, empty.view(np.uint64))]
-        n = self.hi - self.lo
-        line = np.repeat(np.arange(len(n)), n)
-        start = np.arange(max(len(line) - MARK + 1, 0))
-        grams = self.whole(0, start, start + MARK)
-        for salt, (least, most, width) in enumerate(CLASSES):
-            if len(grams) < width:
-                continue
-            whole = line[:len(grams) - width + 1] == line[width + MARK - 2:]
-            use = np.flatnonzero(whole & ((n >= least) & (n <= most))[line[:len(whole)]])
-            mixed = mix(grams + np.uint64(salt))
-            windows = np.lib.stride_tricks.sliding_window_view(mixed, width)[use]
-            at = np.unique(use + windows.argmin(1))
-            found.append((line[at], at - self.lo[line[at]], mixed[at]))
-        row, place, mark = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.argsort(row, kind="stable")
-        return row[order], place[order], mark[order]
+    def pairs(self, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(line, hash) of the word pairs of the lines in ``use``, numbered by occurrence in their line."""
+        n = (self.hi - self.lo)[use]
+        line = np.repeat(use, n - 1)
+        start = np.arange(len(line)) + np.repeat(self.lo[use] - (np.cumsum(n - 1) - (n - 1)), n - 1)
+        pair = self.whole(0, start, start + 2)
+        order = np.lexsort((pair, line))
+        line, pair = line[order], pair[order]
+        new = np.ones(len(pair), bool)
+        new[1:] = (pair[1:] != pair[:-1]) | (line[1:] != line[:-1])
+        first = np.flatnonzero(new)
+        times = np.arange(len(pair)) - np.repeat(first, np.diff(np.r_[first, len(pair)]))
+        return line, mix(pair + times.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
+
+    def marks(self, use: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(line, mark): the first pairs of the lines in ``use`` by ``level`` of their counter, then hash."""
+        line, pair = self.pairs(use)
+        cell = (pair >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+        mark = level[cell].astype(np.uint64) << np.uint64(56) | pair & np.uint64((1 << 56) - 1)
+        order = np.lexsort((mark, line))
+        line, mark = line[order], mark[order]
+        new = np.ones(len(line), bool)
+        new[1:] = line[1:] != line[:-1]
+        first = np.flatnonzero(new)
+        rank = np.arange(len(line)) - np.repeat(first, np.diff(np.r_[first, len(line)]))
+        # the longest line within its bound of n words has 10 / 9 as many, so n // 9 edits
+        keep = rank < 2 * ((self.hi - self.lo)[line] // (PER_EDIT - 1)) + SHARED
+        return line[keep], mark[keep]
+
+
+class NewLines:
+    """Which long lines of a batch a task has not met before (it forgets after ``REMEMBERED``)."""
+
+    def __init__(self) -> None:
+        self.met: set[int] = set()
+
+    def of(self, x: LineWords) -> tuple[np.ndarray, np.ndarray]:
+        """(line, digest) of the new ones."""
+        use = np.flatnonzero(x.hi - x.lo >= LEAST_LONG)
+        h1 = x.whole(0, x.lo[use], x.hi[use])
+        if len(self.met) > REMEMBERED:
+            self.met.clear()
+        new = np.zeros(len(use), bool)
+        for i, h in enumerate(h1.tolist()):
+            if h not in self.met:
+                new[i] = True
+                self.met.add(h)
+        return use[new], h1[new]
 
 
 def _ids(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
@@ -177,33 +205,73 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
                        F.col(text_col).cast("string").alias("text")).mapInArrow(run, LINES)
 
 
-def mark_table(docs: DataFrame, text_col: str) -> DataFrame:
-    """The marks of long lines; a line that a task has met before gives none again."""
+def pair_counters(texts: DataFrame) -> DataFrame:
+    """A task's counters of the word pairs of its long lines, as (block, times)."""
+    kind = "block int, times binary"
+    schema = to_arrow_schema(StructType.fromDDL(kind))
+
+    def run(batches):
+        counters, lines = np.zeros(CELLS, np.int64), NewLines()
+        for batch in batches:
+            for part in _cut(batch, "text", 1_000_000):
+                x = LineWords(part.column(0))
+                _, pair = x.pairs(lines.of(x)[0])
+                cell, times = np.unique(pair >> np.uint64(64 - CELL_BITS), return_counts=True)
+                counters[cell.astype(np.int64)] += times
+        yield from packed_counters(counters, schema)
+        del counters, lines
+        release()
+
+    return texts.mapInArrow(run, kind)
+
+
+def mark_table(texts: DataFrame, levels: bytes) -> DataFrame:
+    """(mark, ref): the marks of long lines; a line that a task has met before gives none again."""
     schema = to_arrow_schema(StructType.fromDDL(MARKS))
+    shared = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
-        met: set[int] = set()
+        level, lines = np.frombuffer(shared.value, np.uint8), NewLines()
         for batch in batches:
             for part in _cut(batch, "text", 1_000_000):
                 x = LineWords(part.column(0))
-                h1 = x.whole(0, x.lo, x.hi)
-                new = np.zeros(len(h1), bool)
-                for i, h in enumerate(h1.tolist()):
-                    if h not in met:
-                        new[i] = True
-                        met.add(h)
-                if len(met) > REMEMBERED:
-                    met.clear()
-                line, place, mark = x.marks()
-                use = new[line]
-                line, place, mark = line[use], place[use], mark[use]
-                ref = h1[line] >> np.uint64(PLACE) << np.uint64(PLACE)
-                at = ref | np.minimum(place, 2**PLACE - 1).astype(np.uint64)
-                yield pa.RecordBatch.from_arrays([_signed(mark >> np.uint64(16)), _signed(at)],
-                                                 schema=schema)
+                use, h1 = lines.of(x)
+                line, mark = x.marks(use, level)
+                ref = h1[np.searchsorted(use, line)]
+                yield pa.RecordBatch.from_arrays([_signed(mark), _signed(ref)], schema=schema)
+        del lines
         release()
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, MARKS)
+    return texts.mapInArrow(run, MARKS)
+
+
+def shared_marks(marks: DataFrame) -> DataFrame:
+    """The distinct rows of ``marks`` whose mark more than one line has, in one shuffle."""
+    schema = to_arrow_schema(StructType.fromDDL(MARKS))
+
+    def run(batches):
+        last, sent = None, False  # the row before this batch, and whether it went out
+        for batch in batches:
+            mark, ref = (batch.column(i).to_numpy() for i in (0, 1))
+            if last is not None:
+                mark, ref = np.r_[last[0], mark], np.r_[last[1], ref]
+            if not len(mark):
+                continue
+            again = np.zeros(len(mark), bool)
+            again[1:] = (mark[1:] == mark[:-1]) & (ref[1:] == ref[:-1])
+            mark, ref = mark[~again], ref[~again]
+            more = np.zeros(len(mark), bool)
+            more[1:] = mark[1:] == mark[:-1]
+            use = more.copy()
+            use[:-1] |= more[1:]
+            end = use[-1] or (sent and len(mark) == 1)
+            if last is not None and sent:
+                use[0] = False
+            last, sent = (mark[-1:], ref[-1:]), bool(end)
+            yield pa.RecordBatch.from_arrays([pa.array(mark[use]), pa.array(ref[use])], schema=schema)
+
+    dealt = marks.repartition("mark").sortWithinPartitions("mark", "ref")
+    return dealt.mapInArrow(run, MARKS)
 
 
 def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
@@ -331,28 +399,18 @@ def _verified(pairs: DataFrame, words: DataFrame, min_words: int) -> DataFrame:
 def _long_near_lines(docs: DataFrame, kinds: DataFrame, min_words: int, id_col: str,
                      text_col: str) -> DataFrame:
     """(line): the long lines within the bound of an earlier one."""
-    ref = lambda c: F.shiftrightunsigned(F.col(c), PLACE)
-    one_mark = Window.partitionBy("mark")
-    # one shuffle of the marks: those of one line only go
-    hits = (mark_table(docs, text_col)
-            .withColumn("ref", ref("at"))
-            .withColumn("a", F.min("ref").over(one_mark)).withColumn("b", F.max("ref").over(one_mark))
-            .filter("a < b").select("mark", "at").distinct())
-    hits = stored(hits, "marks")
-    known = kinds.filter(F.col("n_words") >= CLASSES[0][0]) \
-        .select(ref("h1").alias("ref"), "line", F.col("n_words").alias("n"))
-    hits = stored(hits.select("mark", ref("at").alias("ref"),
-                              F.col("at").bitwiseAND(2**PLACE - 1).alias("place"))
-                  .join(known, "ref").select("mark", F.struct("line", "n", "place").alias("x")),
-                  "marked")
-    groups = stored(hits.groupBy("mark").agg(F.min("x").alias("first"),
-                                             F.count(F.lit(1)).alias("size")), "groups")
-    few = (hits.join(groups.filter(F.col("size") <= FEW).select("mark"), "mark")
-           .groupBy("mark").agg(F.collect_list("x").alias("others")))
-    many = groups.filter(F.col("size") > FEW)
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    levels = rarity(pair_counters(texts))
+    hits = stored(shared_marks(mark_table(texts, levels)), "marks")
+    known = kinds.filter(F.col("n_words") >= LEAST_LONG) \
+        .select(F.col("h1").alias("ref"), "line", F.col("n_words").alias("n"))
+    hits = stored(hits.join(known, "ref").select("mark", F.struct("line", "n").alias("x")), "marked")
+    many = stored(hits.groupBy("mark").agg(F.count(F.lit(1)).alias("size"))
+                  .filter(F.col("size") > FEW).select("mark"), "crowded")
+    crowded = hits.join(many, "mark")
+    other = F.col("x").alias("y")
     bound = F.greatest(F.lit(1), F.floor(F.greatest("x.n", "y.n") / F.lit(PER_EDIT)))
-    apart = lambda c: F.abs(F.col(f"x.{c}") - F.col(f"y.{c}")) <= bound
-    near = (F.col("y.line") < F.col("x.line")) & apart("n") & apart("place")
+    near = (F.col("y.line") < F.col("x.line")) & (F.abs(F.col("x.n") - F.col("y.n")) <= bound)
     both = (F.col("x.line").alias("line"), F.col("y.line").alias("witness"))
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
@@ -373,25 +431,30 @@ def _long_near_lines(docs: DataFrame, kinds: DataFrame, min_words: int, id_col:
             .select("line", "witness")
         return stored(_verified(stored(pairs, f"{name}_alike"), words, min_words), f"{name}_near")
 
-    others = few.union(many.select("mark", F.array("first")))
-    one = verified(hits.join(others, "mark").select("x", F.explode("others").alias("y")).filter(near),
-                   "first")
-    crowded = hits.join(many.select("mark"), "mark")
-    left = crowded.join(one.withColumnRenamed("line", "gone"), F.col("x.line") == F.col("gone"),
-                        "left_anti")
-    # lines of a group meet in cells of length and place only: a line stands in one cell, and
-    # asks every cell that lines within its bound (a ninth of its words at most) may stand in
-    most = F.floor(F.col("x.n") / F.lit(PER_EDIT - 1))
-    grade = lambda n: F.floor(F.log2(n) * F.lit(3.0))
-    lengths = F.sequence(grade(F.col("x.n") - most), grade(F.col("x.n") + most))
-    at = F.pow(F.lit(2.0), F.col("g") / F.lit(3.0))
-    asking = (left.select("mark", "x", F.explode(lengths).alias("g"))
-              .select("mark", "x", "g", F.explode(F.sequence(
-                  F.floor(F.greatest(F.col("x.place") - most, F.lit(0)) * 3 / at),
-                  F.floor((F.col("x.place") + most) * 3 / at))).alias("c")))
-    standing = crowded.withColumn("g", grade(F.col("x.n"))) \
-        .select("mark", F.col("x").alias("y"), "g", F.floor(F.col("x.place") * 3 / at).alias("c"))
-    two = verified(asking.join(standing, ["mark", "g", "c"]).filter(near), "second")
+    # small groups: lines that share marks enough, those in crowded groups counted for both
+    few = hits.join(many, "mark", "left_anti")
+    met = (few.join(few.select("mark", other), "mark").filter(near).groupBy("x", "y")
+           .agg(F.count(F.lit(1)).alias("met")))
+    hidden = crowded.groupBy("x").agg(F.count(F.lit(1)).alias("hidden"))
+    met = met.join(hidden.select("x", F.col("hidden").alias("h_x")), "x", "left") \
+        .join(hidden.select(other, F.col("hidden").alias("h_y")), "y", "left")
+    more = F.least(F.coalesce("h_x", F.lit(0)), F.coalesce("h_y", F.lit(0)))
+    met = met.filter(F.col("met") + more >= F.lit(SHARED)).select("x", "y")
+    # larger ones: each line with the earliest of the group
+    early = Window.partitionBy("mark").orderBy("x")
+    earliest = (crowded.withColumn("rank", F.row_number().over(early)).filter(F.col("rank") <= FEW)
+                .select("mark", other))
+    one = verified(met.union(crowded.join(earliest, "mark").filter(near).select("x", "y")), "first")
+    # lines without a near line so far meet the rest of their larger groups by two marks, one of
+    # them crowded
+    left = (crowded.select("x").distinct()
+            .join(one.withColumnRenamed("line", "gone"), F.col("x.line") == F.col("gone"), "left_anti"))
+    marks = (crowded.select("x").distinct().join(hits.join(many.withColumn("many", F.lit(True)), "mark", "left"), "x")
+             .select("x", "mark", F.coalesce("many", F.lit(False)).alias("many")))
+    two = (marks.join(marks.select("x", F.col("mark").alias("mark2"), F.col("many").alias("many2")), "x")
+           .filter("mark < mark2 and (many or many2)").select("mark", "mark2", "x"))
+    asking = two.join(left, "x")
+    two = verified(asking.join(two.select("mark", "mark2", other), ["mark", "mark2"]).filter(near), "second")
     return one.union(two).distinct()
 
 

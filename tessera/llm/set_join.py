@@ -106,18 +106,23 @@ def digests(texts: DataFrame, k: int) -> DataFrame:
                     [part.column("doc_id"), pa.array(np.diff(at)),
                      *(pa.array(digest(flat, at, s)) for s in SALTS),
                      pa.nulls(len(part), pa.int32()), pa.nulls(len(part), pa.binary())], schema=schema)
-        rows = np.minimum(counters, 65535).astype(np.uint16).reshape(-1, BLOCK)
-        used = np.flatnonzero(rows.any(1))
-        none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [none, none, none, none, pa.array(used.astype(np.int32)),
-             pa.array([zlib.compress(rows[i].tobytes(), 1) for i in used], pa.binary())], schema=schema)
-        del counters, rows
+        yield from packed_counters(counters, schema)
+        del counters
         release()
 
     return texts.mapInArrow(run, DIGESTS)
 
 
+def packed_counters(counters: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Counters as rows (..., block, times); the columns before these two are null."""
+    rows = np.minimum(counters, 65535).astype(np.uint16).reshape(-1, BLOCK)
+    used = np.flatnonzero(rows.any(1))
+    none = [pa.nulls(len(used), f.type) for f in list(schema)[:-2]]
+    yield pa.RecordBatch.from_arrays(
+        [*none, pa.array(used.astype(np.int32)),
+         pa.array([zlib.compress(rows[i].tobytes(), 1) for i in used], pa.binary())], schema=schema)
+
+
 def rarity(blocks: DataFrame) -> bytes:
     """A byte a counter, growing with its sum over all tasks (eight steps a doubling)."""
     schema = to_arrow_schema(StructType.fromDDL("block int, level binary"))
