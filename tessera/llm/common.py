@@ -66,6 +66,20 @@ def arrow_rows(df: DataFrame, columns: Sequence[str], schema: str,
     return df.select(*columns).mapInArrow(run, schema)
 
 
+def by_value(spark: SparkSession, thing: object) -> Callable[[], object]:
+    """Broadcasts ``thing`` with the code of its classes; call the result in a task to have it.
+
+    A plain broadcast would name the classes' modules, which a worker without an
+    installed copy of the package cannot import.
+    """
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+    def load() -> object:
+        import pickle
+        return pickle.loads(held.value)
+    return load
+
+
 def release() -> None:
     """Gives a worker's unused memory back: it may wait long for its next task."""
     import ctypes

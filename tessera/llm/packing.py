@@ -78,16 +78,16 @@ class WordIds:
         return text.split(" ")
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
-        split = [self.split(t) for t in texts]
-        if len(self.seen) > self.max_words:
-            self.seen.clear()
-        found = [list(map(self.seen.get, words)) for words in split]
-        holes = [[i for i, ids in enumerate(own) if ids is None] for own in found]
-        self.learn(list({words[i] for words, at in zip(split, holes, strict=True) for i in at}))
-        for words, own, at in zip(split, found, holes, strict=True):
-            for i in at:
-                own[i] = self.seen[words[i]]
-            yield b"".join(own)
+        for text in texts:
+            words = self.split(text)
+            try:  # most texts have no new word: one look a word
+                ids = b"".join(map(self.seen.__getitem__, words))
+            except KeyError:
+                if len(self.seen) > self.max_words:
+                    self.seen.clear()
+                self.learn([w for w in dict.fromkeys(words) if w not in self.seen])
+                ids = b"".join(map(self.seen.__getitem__, words))
+            yield ids
 
 
 def token_pieces(docs: DataFrame, vocabulary: Callable[[], str], capacity: int = CAPACITY,

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import arrow_rows, release, stored
+from tessera.llm.common import arrow_rows, by_value, release, stored
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿœß"
 EDGE, OTHER, SIZE = 0, len(LETTERS) + 1, len(LETTERS) + 2
@@ -291,7 +291,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     an empty table gives an empty result; other columns are not read.
     """
     scorer = fit(docs, labels, id_col, text_col)
-    held = docs.sparkSession.sparkContext.broadcast(scorer)  # bounded: features of the sample
+    held = by_value(docs.sparkSession, scorer)  # bounded: features of the sample
 
     def rows(cols: dict, own: Scorer) -> dict:
         return {"doc_id": cols["doc_id"], "score": [own.score(t) for t in cols["text"]]}
@@ -299,7 +299,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     named = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text"))
     scored = arrow_rows(named, ["doc_id", "text"], "doc_id long, score double", rows,
-                        text_col="text", setup=lambda: held.value)
+                        text_col="text", setup=held)
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"),
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
@@ -307,10 +307,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 def without_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """Rows of ``docs`` with a score below ``threshold``; cases as in :func:`toxicity`."""
-    held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col))
+    held = by_value(docs.sparkSession, fit(docs, labels, id_col, text_col))
 
     def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = held.value
+        own = held()
         for part in texts:
             yield pd.Series([own.score(t) for t in part], dtype="float64")
         del own
