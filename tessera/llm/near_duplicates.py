@@ -217,9 +217,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str
               .filter("lo < hi").select("key", "size"))
     buckets = stored(bands.join(shared, "key").select("key", "rep", "size"), "buckets")
     candidates = stored(buckets.groupBy("rep").agg(F.sum("size").alias("met")), "candidates")
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), text_col) \
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text")) \
         .join(candidates.select("rep"), "rep")
-    sets = stored(full_sets(texts, k, "rep", text_col), "sets")
+    # rows that share id and text give one set
+    texts = texts.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit(1), "text")) \
+        .dropDuplicates(["rep", "t1", "t2"])
+    sets = stored(full_sets(texts, k, "rep", "text"), "sets")
     nodes = stored(classes.join(candidates, "rep")
                    .select("rep", "met", "n_shingles", "registers"), "nodes")
     met = nodes.groupBy("rep").agg(F.max("met").alias("met"))
