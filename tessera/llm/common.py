@@ -133,23 +133,50 @@ def bucket_count(n_rows: int) -> int:
     return max(1, math.isqrt(max(n_rows, 0)))
 
 
-def ranked(rows: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[str],
+def ordered_buckets(rows: DataFrame, h: str, row: str, n_rows: int) -> DataFrame:
+    """Adds ``BUCKETS``: ascending with the hash ``h``, about sqrt(n) rows each.
+
+    Rows of one hash that would fill a bucket by themselves (copies of one row,
+    which are interchangeable) are dealt over several by ``row``, a number that
+    must be stored with them. There are fewer such hashes than buckets.
+    """
+    n = bucket_count(n_rows)
+    rows = rows.withColumn("__bucket", hash_bucket(F.col(h), n))
+    heavy = (rows.groupBy("__bucket", h).agg(F.count(F.lit(1)).alias("n"))
+             .filter(F.col("n") > F.lit(2 * n))
+             .groupBy("__bucket")
+             .agg(F.collect_list(F.struct(F.col(h).alias("h"), "n")).alias("__heavy")))
+    rows = rows.join(F.broadcast(heavy), "__bucket", "left")
+    own = F.get(F.filter("__heavy", lambda x: x["h"] == F.col(h)), F.lit(0))
+    below = F.coalesce(F.size(F.filter("__heavy", lambda x: x["h"] < F.col(h))), F.lit(0))
+    rows = rows.withColumn("__own", own["n"])
+    part = F.when(F.col("__heavy").isNull(), F.lit(0)).otherwise(
+        below * F.lit(2) + F.col("__own").isNotNull().cast("int"))
+    deal = F.coalesce(F.pmod(F.xxhash64(row), F.ceil(F.col("__own") / F.lit(n))), F.lit(0))
+    return (rows.withColumn("__part", part).withColumn("__deal", deal.cast("long"))
+            .drop("__heavy", "__own"))
+
+
+BUCKETS = ("__bucket", "__part", "__deal")
+
+
+def ranked(rows: DataFrame, keys: Sequence[str], buckets: Sequence[str], order: Sequence[str],
            rank: str, total: str | None = None) -> DataFrame:
-    """0-based ``rank`` of each row within ``keys`` by (``bucket``, ``order``).
+    """0-based ``rank`` of each row within ``keys`` by (``buckets``, ``order``).
 
-    No window ever holds a whole key: rows are numbered inside (keys, bucket)
+    No window ever holds a whole key: rows are numbered inside (keys, buckets)
     and shifted by the number of rows in lower buckets, which comes from a
     pre-aggregated count. ``total``: name of a column for the key's row count.
-    ``keys`` may be empty and must not hold nulls.
+    ``keys`` may be empty; neither they nor the buckets may hold nulls.
     """
-    cols = list(keys)
-    per = rows.groupBy(*cols, bucket).agg(F.count(F.lit(1)).alias("__n"))
+    cols, inside = list(keys), [*keys, *buckets]
+    per = rows.groupBy(*inside).agg(F.count(F.lit(1)).alias("__n"))
     by = Window.partitionBy(*cols) if cols else Window.partitionBy()
     per = per.withColumn("__before", F.sum("__n").over(
-        by.orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n"))
+        by.orderBy(*buckets).rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n"))
     if total:
         per = per.withColumn(total, F.sum("__n").over(by))
-    inner = Window.partitionBy(*cols, bucket).orderBy(*order)
-    return (rows.join(per.drop("__n"), [*cols, bucket])
+    inner = Window.partitionBy(*inside).orderBy(*order)
+    return (rows.join(per.drop("__n"), inside)
             .withColumn(rank, F.col("__before") + F.row_number().over(inner) - F.lit(1))
             .drop("__before"))
