@@ -9,6 +9,7 @@ is covered in order.
 
 from __future__ import annotations
 
+import bisect
 import re
 
 import numpy as np
@@ -90,13 +91,13 @@ class SuffixAutomaton:
     def __init__(self) -> None:
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]  # sequence -> place of an end in it
+        self.ends: list[set[tuple[int, int]]] = [set()]  # (sequence, place of an end in it)
 
     def _state(self, length: int, copy_of: int | None = None) -> int:
         self.next.append({} if copy_of is None else dict(self.next[copy_of]))
         self.link.append(0 if copy_of is None else self.link[copy_of])
         self.length.append(length)
-        self.ends.append({})
+        self.ends.append(set())
         return len(self.next) - 1
 
     def _clone(self, p: int, c: int, q: int) -> int:
@@ -124,14 +125,28 @@ class SuffixAutomaton:
                     self.link[new] = q if self.length[q] == self.length[p] + 1 \
                         else self._clone(p, c, q)
                 last = new
-            self.ends[last].setdefault(name, place + 1)
+            self.ends[last].add((name, place + 1))
         return last
 
     def finish(self) -> None:
         """Hands the ends of longer stretches down to their suffixes."""
         for s in sorted(range(1, len(self.next)), key=self.length.__getitem__, reverse=True):
-            for name, place in self.ends[s].items():
-                self.ends[self.link[s]].setdefault(name, place)
+            self.ends[self.link[s]] |= self.ends[s]
+
+
+def without_worse(chains: list[tuple[int, int, float, str]]) -> list[tuple[int, int, float, str]]:
+    """Leaves out chains inside a better covered one: its words are the other template's.
+
+    ("version 3" of a licence is not four fifths of its "version 2".) A template that
+    is there as a whole stays, wherever it lies.
+    """
+    out, open_now = [], []
+    for chain in sorted(chains, key=lambda c: (c[0], -c[1], -c[2])):
+        open_now = [c for c in open_now if c[1] > chain[0]]  # at most a few a template
+        if not any(c[1] >= chain[1] and c[2] > chain[2] for c in open_now):
+            out.append(chain)
+        open_now.append(chain)
+    return out
 
 
 class LicenseScanner:
@@ -155,6 +170,18 @@ class LicenseScanner:
         self.automaton = SuffixAutomaton()
         own = [self.automaton.add([ids[w] for w in s], i) for i, s in enumerate(sequences)]
         self.automaton.finish()
+        # by state: all places in templates that end there, of its suffixes too: (sequence, place, next word, length or 0 for the whole)
+        follow = [[*(ids[w] for w in s), -1] for s in sequences]
+        self.held: list[list[tuple[int, int, int, int]]] = [[] for _ in self.automaton.next]
+        for s in range(1, len(self.held)):
+            met: set[tuple[int, int]] = set()
+            at = s
+            while at > 0 and self.automaton.length[at] >= least_match:
+                for name, place in sorted(self.automaton.ends[at] - met):
+                    self.held[s].append((name, place, follow[name][place],
+                                         0 if at == s else self.automaton.length[at]))
+                met |= self.automaton.ends[at]
+                at = self.automaton.link[at]
         # the base phrases that end wherever a state's longest stretch ends
         phrase_at: dict[int, list[int]] = {}
         for i in range(self.n_base):
@@ -170,7 +197,11 @@ class LicenseScanner:
         return np.where(self.hashes[at] == words, self.order[at] + 1, 0)
 
     def scan(self, ids: np.ndarray) -> tuple[list[tuple[int, int]], dict[int, list]]:
-        """Base places (phrase, start) and, by template, maximal matches (start, end, place)."""
+        """Base places (phrase, start) and, by template, maximal matches (start, end, place).
+
+        A match is maximal for a place of a template if neither the word before nor
+        the word after is the template's too, whatever other templates hold there.
+        """
         base, matches = [], {}
         step, link, length = self.automaton.next, self.automaton.link, self.automaton.length
         known = ids > 0
@@ -181,11 +212,13 @@ class LicenseScanner:
             state = size = 0
             run = ids[lo:hi].tolist()
             for j, c in enumerate([*run, 0]):
+                if size >= self.least_match:
+                    for name, place, following, own in self.held[state]:
+                        if following != c:  # cannot be made longer there
+                            matches.setdefault(name, []).append(
+                                (lo + j - (own or size), lo + j, place))
                 after = step[state].get(c)
                 if after is None:
-                    if size >= self.least_match:  # cannot be made longer
-                        for name, place in self.automaton.ends[state].items():
-                            matches.setdefault(name, []).append((lo + j - size, lo + j, place))
                     while state and after is None:
                         state = link[state]
                         size = length[state]
@@ -200,23 +233,32 @@ class LicenseScanner:
         return base, matches
 
     def chains(self, name: int, matches: list[tuple[int, int, int]]) -> list[tuple[int, int, float]]:
-        """(start, end, covered share) of spans that cover enough of a template in order."""
-        size, out, chain = self.sizes[name], [], []
-
-        def close() -> None:
-            covered, upto = 0, 0
-            for start, end, place in chain:
-                covered += max(0, place - max(upto, place - (end - start)))
-                upto = max(upto, place)
-            if chain and covered >= self.least_cover * size:
-                out.append((chain[0][0], chain[-1][1], min(covered / size, 1.0)))
-
-        for start, end, place in sorted(matches):
-            if chain and (start - chain[-1][1] > self.widest_gap or place <= chain[-1][2]):
-                close()
-                chain = []
-            chain.append((start, end, place))
-        close()
+        """(start, end, covered share) of spans that cover enough of a template in order.
+
+        The best chain that ends with each match, by words that are the span's and the
+        template's and are counted once in either; of chains that overlap, the one
+        with the best cover stays (then the shortest, then the first).
+        """
+        size, found = self.sizes[name], []
+        matches = sorted(set(matches), key=lambda m: (m[1], m[2]))
+        best: list[tuple[int, int]] = []  # words covered, start of the chain
+        for i, (start, end, place) in enumerate(matches):
+            top = (end - start, start)
+            for j in range(i - 1, -1, -1):
+                _, upto, before = matches[j]
+                if start - upto > self.widest_gap:
+                    break  # those before end earlier still
+                if before < place and upto < end:
+                    more = min(place - before, end - upto, end - start)
+                    top = max(top, (best[j][0] + more, best[j][1]))
+            best.append(top)
+            if top[0] >= self.least_cover * size:
+                found.append((-top[0], end - top[1], top[1], end))
+        out: list[tuple[int, int, float]] = []
+        for covered, _, start, end in sorted(found):
+            at = bisect.bisect_left(out, (end,))
+            if at == 0 or out[at - 1][1] <= start:
+                out.insert(at, (start, end, min(-covered / size, 1.0)))
         return out
 
     def row(self, ids: np.ndarray) -> tuple:
@@ -224,11 +266,12 @@ class LicenseScanner:
         starts = [s for _, s in base]
         base_labels = {self.labels[i] for i, _ in base}
         labels, best, spans = set(base_labels), 1.0 if base else 0.0, []
-        for name, found in matches.items():
-            for start, end, cover in self.chains(name, found):
-                labels.add(self.labels[name])
-                best = max(best, cover)
-                spans.append((start, end, self.labels[name]))
+        chains = [(start, end, cover, self.labels[name]) for name, found in matches.items()
+                  for start, end, cover in self.chains(name, found)]
+        for start, end, cover, label in without_worse(chains):
+            labels.add(label)
+            best = max(best, cover)
+            spans.append((start, end, label))
         join = ",".join
         return (len(base), min(starts, default=None), max(starts, default=None),
                 join(sorted(base_labels)), join(sorted(labels)), best,
@@ -244,7 +287,8 @@ def license_scan(docs: DataFrame, phrases: dict[str, str] | None = None,
     ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` describe the
     phrases (every place); ``labels`` adds templates of which ``least_cover``
     is covered by matches of ``least_match`` words or more, in order and at
-    most ``widest_gap`` words apart; ``score`` is the largest covered share and
+    most ``widest_gap`` words apart, and which lie in no better covered template's
+    span; ``score`` is the largest covered share and
     ``spans`` lists label:start:end in words.
 
     Defined cases: null and empty texts have no word and score 0; null ids and
