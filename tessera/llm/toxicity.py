@@ -1,10 +1,11 @@
 """Toxicity of documents: noisy-channel deobfuscation, then a score of the restored text.
 
 1. A character trigram model is counted over the whole corpus.
-2. Obfuscated words (leetspeak, symbols inside, letters repeated or spaced out)
-   are decoded: every written character allows some intended ones, and Viterbi
-   finds the likeliest letters under the trigram model. Words of plain letters
-   allow one reading only, so they need no search.
+2. Obfuscated words (leetspeak, symbols inside or around, letters repeated or
+   spaced out) are decoded: every written character allows some intended ones,
+   a gap between single signs joins them or parts two words, and Viterbi finds
+   the likeliest reading under the trigram model. Words of plain letters
+   without a doubled one allow one reading only, so they need no search.
 3. Word beginnings and whole words get weights from labelled documents; a
    document is scored from the weighted words of its restored text.
 """
@@ -19,7 +20,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import arrow_rows, by_value, release, stored
@@ -30,11 +31,18 @@ INDEX = {c: i + 1 for i, c in enumerate(LETTERS)}
 
 # What a written sign may stand for.
 STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t",
-              "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": ""}
-WORD = re.compile(r"[@$]?[^\W_]+(?:[@$!|+*]{1,3}[^\W_]+)*")
-SPACED = re.compile(r"(?<![^\W_])[^\W_](?:[ .\-_*][^\W_](?![^\W_])){3,}")
-REPEATED = re.compile(r"(.)\1\1")
-COST_SIGN, COST_DROP, COST_REPEAT, COST_AS_IS = 1.5, 4.0, 1.0, 3.0
+              "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "*": "aeiou"}
+WORD = re.compile(r"[@$!|+*]{0,2}[^\W_]+(?:[@$!|+*]{1,3}[^\W_]+)*[@$!|+*]{0,3}")
+SIGN = r"(?:[^\W_]|[@$!|+])"
+SPACED = re.compile(rf"(?<![\w@$!|+]){SIGN}(?:[ .\-_*/]{{1,3}}{SIGN}(?![^\W_]|[@$!|+])){{2,}}")
+SPACED_PARTS = re.compile(rf"({SIGN})([ .\-_*/]*)")
+DOUBLED = re.compile(r"(.)\1")
+#: Costs of a reading, in natural logarithms like the trigram model's.
+COST_SIGN, COST_DROP, COST_AS_IS = 1.5, 4.0, 3.0
+COST_REPEAT, COST_DOUBLE, COST_WIDE = 1.0, 2.0, 2.0
+#: Marks that also stand around words as plain punctuation: left out at no cost there.
+AROUND = {"!": (COST_DROP, 0.0), "*": (0.5, 0.5), "+": (0.0, 0.0), "|": (0.0, 0.0)}
+Options = list[tuple[str, float]]
 
 #: Bounds of the labelled sample that the weights are fitted on (rows a label).
 SAMPLE_ROWS = 4_000
@@ -53,16 +61,14 @@ class Characters:
         p2 = (two + 0.1) / (two.sum(1, keepdims=True) + 0.1 * SIZE)
         self.log = np.log(0.8 * p3 + 0.2 * p2[None]).astype(np.float32)
 
-    def word(self, letters: str) -> float:
-        a, b, total = EDGE, EDGE, 0.0
-        for c in [*map(lambda x: INDEX.get(x, OTHER), letters), EDGE]:
-            total += self.log[a, b, c]
-            a, b = b, c
-        return float(total)
-
     def restore(self, written: str) -> str:
         """The likeliest letters behind ``written`` (Viterbi over its lattice)."""
-        lattice: list[list[tuple[str, float]]] = []
+        return self.best(self.lattice(written))
+
+    @staticmethod
+    def lattice(written: str) -> list[Options]:
+        """What each run of one sign may stand for: letters and their cost."""
+        out: list[Options] = []
         i = 0
         while i < len(written):
             c, j = written[i], i + 1
@@ -70,42 +76,88 @@ class Characters:
                 j += 1
             if c in STANDS_FOR:
                 options = [(x, COST_SIGN) for x in STANDS_FOR[c]]
-                options += [("", COST_DROP)] if not c.isdigit() else [(c, COST_AS_IS)]
-                lattice += [options] * (j - i)
+                if c.isdigit():
+                    options.append((c, COST_AS_IS))
+                elif i == 0 or j == len(written):
+                    options.append(("", AROUND.get(c, (COST_DROP, COST_DROP))[i > 0]))
+                else:
+                    options.append(("", COST_DROP))
+                out += [options] * (j - i)
             elif j - i >= 3:
-                lattice.append([(c, COST_REPEAT), (c * 2, COST_REPEAT), (c * (j - i), 0.0)])
+                out.append([(c, COST_REPEAT), (c * 2, COST_REPEAT), (c * (j - i), 0.0)])
+            elif j - i == 2:
+                out.append([(c, COST_DOUBLE), (c * 2, 0.0)])
             else:
-                lattice += [[(c, 0.0)]] * (j - i)
+                out.append([(c, 0.0)])
             i = j
-        states: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
+        return out
+
+    @staticmethod
+    def spaced_lattice(run: str) -> list[Options]:
+        """The lattice of signs that stand apart: every gap joins its signs or parts two words.
+
+        A gap wider than the run's narrowest one joins at a cost only.
+        """
+        parts = SPACED_PARTS.findall(run)
+        narrow = min(len(gap) for _, gap in parts[:-1])
+        out: list[Options] = []
+        for at, (sign, gap) in enumerate(parts):
+            if sign in STANDS_FOR:
+                out.append([*((x, COST_SIGN) for x in STANDS_FOR[sign]),
+                            (sign, COST_AS_IS) if sign.isdigit() else ("", COST_DROP)])
+            else:
+                out.append([(sign, 0.0)])
+            if at + 1 < len(parts):
+                out.append([("", COST_WIDE * (len(gap) - narrow)), (" ", 0.0)])
+        return out
+
+    def cost(self, a: int, b: int, c: str) -> tuple[int, int, float]:
+        """The two letters before the next one, and the logarithm of ``c`` after ``a``, ``b``."""
+        if c == " ":  # a word ends; after it only the edge counts
+            return (EDGE, EDGE, 0.0) if b == EDGE else (EDGE, EDGE, float(self.log[a, b, EDGE]))
+        z = INDEX.get(c, OTHER)
+        return b, z, float(self.log[a, b, z])
+
+    def best(self, lattice: list[Options]) -> str:
+        """The likeliest reading; of equally likely ones the first by the order of options.
+
+        Readings are kept as links to what came before, so time and memory grow
+        with the lattice's length.
+        """
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
         for options in lattice:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in states.items():
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, before) in states.items():
                 for letters, cost in options:
                     x, y, s = a, b, score - cost
                     for c in letters:
-                        z = INDEX.get(c, OTHER)
-                        s += self.log[x, y, z]
-                        x, y = y, z
+                        x, y, more = self.cost(x, y, c)
+                        s += more
                     if (x, y) not in after or s > after[x, y][0]:
-                        after[x, y] = (s, text + letters)
+                        after[x, y] = (s, (letters, before) if letters else before)
             states = after
-        return max((s + self.log[a, b, EDGE], t) for (a, b), (s, t) in states.items())[1]
+        ends = [(s + self.cost(a, b, " ")[2], link) for (a, b), (s, link) in states.items()]
+        link, text = max(ends, key=lambda e: e[0])[1], []
+        while link is not None:
+            letters, link = link
+            text.append(letters)
+        return "".join(reversed(text))
+
+    def joined(self, run: re.Match) -> str:
+        """A run of signs that stand apart as words; as written if few of its signs are letters."""
+        signs = [s for s, _ in SPACED_PARTS.findall(run.group())]
+        if 2 * sum(s.isalpha() for s in signs) < len(signs):
+            return run.group()
+        return f" {self.best(self.spaced_lattice(run.group()))} "
 
     def words(self, text: str) -> list[str]:
-        """Words of the text as written, and joined letters that were spaced out."""
-        low = text.lower()
-        found = WORD.findall(low)
-        for m in SPACED.finditer(low):
-            letters = re.sub(r"[\W_]", "", m.group())
-            if self.word(letters) > sum(self.word(c) for c in letters):
-                found.append(letters)
-        return found
+        """Words of the text as written, but for letters that stand apart, which are joined."""
+        return WORD.findall(SPACED.sub(self.joined, text.lower()))
 
 
 def needs_decoding(word: str) -> bool:
     return (not word.isalpha() and any(c.isalpha() for c in word)) \
-        or REPEATED.search(word) is not None
+        or DOUBLED.search(word) is not None
 
 
 def character_counts(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
@@ -205,15 +257,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Labelled rows that are held out (crc32 of the id, modulo 5, is 0) are never
     used. Of the others at most ``sample_rows`` a label are, the same ones each
-    time, weighted back to the labels' true shares. The weights of a document's statistics come from describing
+    time, weighted back to the labels' true shares. An id on many rows gives one
+    text, the same one each time. The weights of a document's statistics come from describing
     either half of them with the words' weights of the other half.
     """
     letters = Characters(character_counts(docs, text_col))
     known = (labels.select(F.col(id_col).cast("long").alias("doc_id"),
                            F.col(label_col).cast("int").alias("y"))
              .filter(F.col("y").isin(0, 1) & ~held_out("doc_id"))
-             .groupBy("doc_id").agg(F.max("y").alias("y"))
-             .withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))))
+             .groupBy("doc_id").agg(F.max("y").alias("y")))
     shares = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(shares) < 2:
         return Scorer(letters, {})
@@ -224,8 +276,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         picked = some if picked is None else picked.union(some)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                         F.col(text_col).cast("string").alias("text"))
-    # at most 2 * sample_rows ids
-    sample = stored(texts.join(F.broadcast(picked), "doc_id"), "labelled")
+    # at most 2 * sample_rows ids, hence bounded windows; halves alternate within a label
+    nth = F.row_number().over(Window.partitionBy("y").orderBy(
+        F.xxhash64(F.lit("half"), "doc_id"), "doc_id"))
+    picked = picked.withColumn("half", (nth % 2).cast("long"))
+    sample = stored(texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y", "half").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")), "labelled")
 
     columns = [f"{kind}{half}" for half in (0, 1) for kind in ("clean", "toxic")]
 
@@ -287,8 +343,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     Only the text enters a score. Defined cases: null and empty texts get the
     score of a text without words; a null id is not held out; repeated rows
-    are scored alike; with labels of one kind only (or none) every score is 0;
-    an empty table gives an empty result; other columns are not read.
+    are scored alike; with fewer than two sampled documents of either label
+    every score is 0, as there is nothing to learn a half from; an empty table
+    gives an empty result; other columns are not read.
     """
     scorer = fit(docs, labels, id_col, text_col)
     held = by_value(docs.sparkSession, scorer)  # bounded: features of the sample
