@@ -10,6 +10,7 @@ distance and not merely with their sets.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,9 @@ from tessera.llm.common import small_batches
 from tessera.llm.shingles import mix
 
 FUNCTIONS, TUPLE, KMER = 64, 2, 5
+#: Columns that put documents in order; rows that agree on ``KEY`` are alike.
+ORDER = ("high", "low", "t", "row")
+KEY = ORDER[:3]
 OUT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
        "edited_fingerprint string, near_edited double, near_next double")
 
@@ -105,48 +109,108 @@ def edited(text: str, following: str) -> str:
     return text[:len(text) - half] + following[:half]
 
 
+def cuts_below(cuts: list[np.ndarray], keys: list[np.ndarray]) -> np.ndarray:
+    """How many of the sorted ``cuts`` are at most each key (columns, first one first)."""
+    low = np.searchsorted(cuts[0], keys[0], side="left")
+    high = np.searchsorted(cuts[0], keys[0], side="right")
+    if len(cuts) == 1:
+        return high
+    out = low.copy()
+    for at in np.unique(low[high > low]):
+        rows = np.flatnonzero((low == at) & (high > low))
+        out[rows] += cuts_below([c[at:high[rows[0]]] for c in cuts[1:]],
+                                [k[rows] for k in keys[1:]])
+    return out
+
+
+def ranked(rows: DataFrame) -> DataFrame:
+    """Adds ``ORDER``: the id's halves, a hash of the text and one of the row.
+
+    None has more than 53 bits, so that Spark's quantiles, which are doubles, are exact.
+    """
+    k = F.coalesce("doc_id", F.lit(-2**63).cast("long"))
+    return rows.select("*", F.shiftright(k, 32).alias("high"),
+                       k.bitwiseAND(F.lit(2**32 - 1)).alias("low"),
+                       F.shiftright(F.xxhash64("text"), 11).alias("t"),
+                       F.shiftright(F.xxhash64(F.monotonically_increasing_id()), 11).alias("row"))
+
+
+def range_cuts(rows: DataFrame, n: int) -> list[np.ndarray]:
+    """Fewer than 3 * n cuts that part ``rows`` (see :func:`ranked`) about evenly by ``ORDER``.
+
+    Quantiles of the first column cut the rows; a value that fills several
+    ranges is cut again by the quantiles of the next column among its own rows.
+    So neither copies of an id nor of a whole row make a large range.
+    """
+    spark, least = rows.sparkSession, np.iinfo(np.int64).min
+    cuts: set[tuple] = set()
+    hot: dict[tuple, int] = {(): n} if n > 1 else {}
+    for depth, column in enumerate(ORDER):
+        before = list(ORDER[:depth])
+        wider: dict[tuple, int] = {}
+        # by powers of two: one job each, for fewer than n values together
+        sizes = {k: max(parts, 1 << (parts - 1).bit_length() if k else n) for k, parts in hot.items()}
+        for size in set(sizes.values()):
+            own = rows
+            if before:
+                keys = spark.createDataFrame([k for k, x in sizes.items() if x == size],
+                                             ", ".join(f"{c} long" for c in before))
+                own = rows.join(F.broadcast(keys), before)
+            q = F.percentile_approx(column, [i / size for i in range(1, size)], max(1000, 10 * size))
+            for r in own.groupBy(*before).agg(q.alias("q")).collect():
+                for value, times in Counter(r["q"] or []).items():
+                    here = (*(r[c] for c in before), value)
+                    cuts.add((*here, *[least] * (len(ORDER) - len(here))))
+                    if times > 1:
+                        wider[here] = times + 1
+        hot = wider
+    return [np.array([c[i] for c in sorted(cuts)], np.int64) for i in range(len(ORDER))]
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every row of ``docs``, of its edited text, and their likeness.
 
     The edited text takes its second half from the next document by id (after
-    the last: the first). Rows are dealt into ranges of ids, one range a task,
-    and sorted there; the first row of the next range comes along to each, so
-    texts are shuffled once and no task sees the whole order.
+    the last: the first). Rows are dealt into ranges of (id, hash of the text,
+    row), one range a task, and sorted there; the first row of the next range
+    comes along to each, so texts are shuffled once and no task sees the whole
+    order. There are as many ranges as shuffle partitions, or as the input has
+    splits if these are more.
 
     Defined cases: a null text is empty, and an empty text has an empty
-    fingerprint; texts shorter than a k-mer are one k-mer; null ids come
-    first; rows with equal ids follow each other by a hash of their text; a
-    single row is its own next; an empty table gives an empty result; other
-    columns are not read.
+    fingerprint; texts shorter than a k-mer are one k-mer; null ids rank like
+    the smallest long; rows with equal ids follow each other by a hash of their
+    text; a single row is its own next; an empty table gives an empty result;
+    other columns are not read.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    cuts = sorted({int(x) for x in rows.select("doc_id").approxQuantile(
-        "doc_id", [i / n for i in range(1, n)], 0.2 / n)}) if n > 1 else []
-    held_cuts = spark.sparkContext.broadcast(np.array(cuts, np.int64))  # fewer than n
-
-    def range_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(held_cuts.value, ids.to_numpy(), side="right"))
-
-    part = F.pandas_udf(range_of, "int")(F.coalesce("doc_id", F.lit(0).cast("long")))
-    rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(part)) \
-        .withColumn("t", F.xxhash64("text"))
-    # the first row of each range: at most n rows
-    firsts = sorted((r["part"], r["f"]["doc_id"], r["f"]["t"]) for r in rows.groupBy("part").agg(
-        F.min(F.struct("doc_id", "t")).alias("f")).collect())
-    heads = spark.createDataFrame(
-        [(firsts[i - 1][0], f[1], f[2]) for i, f in enumerate(firsts)],
-        "goes_to int, first_id long, first_t long")
-    heads = (rows.join(F.broadcast(heads), rows["doc_id"].eqNullSafe(heads["first_id"])
-                       & (rows["t"] == heads["first_t"]))
-             .dropDuplicates(["goes_to"])
-             .select("doc_id", "text", F.col("goes_to").alias("part"), "t", F.lit(1).alias("head")))
+    rows = ranked(rows)
+    # texts' hashes are read for cuts only where an id fills several ranges
+    cuts = range_cuts(rows, n)
+    held_cuts = spark.sparkContext.broadcast(cuts)  # fewer than 3 * n
+
+    def range_of(high: pd.Series, low: pd.Series, t: pd.Series, row: pd.Series) -> pd.Series:
+        return pd.Series(cuts_below(held_cuts.value, [x.to_numpy() for x in (high, low, t, row)]))
+
+    rows = rows.withColumn("part", F.pandas_udf(range_of, "int")(*ORDER)).drop("row")
+    # the first row of each range: at most 3 * n rows
+    firsts = sorted((r["part"], *r["f"]) for r in rows.groupBy("part").agg(
+        F.min(F.struct(*KEY)).alias("f")).collect())
+    goes_to = spark.createDataFrame(
+        [(firsts[i - 1][0], *f[1:]) for i, f in enumerate(firsts)],
+        "part int, " + ", ".join(f"{c} long" for c in KEY))
+    # rows of one id and hash are alike: one text of them serves every range it opens
+    texts = (rows.join(F.broadcast(goes_to.select(*KEY).distinct()), list(KEY), "left_semi")
+             .groupBy(*KEY).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")))
+    heads = texts.join(F.broadcast(goes_to), list(KEY)).select(
+        "doc_id", "text", *KEY, "part", F.lit(1).alias("head"))
     dealt = (rows.withColumn("head", F.lit(0)).unionByName(heads)
-             .repartitionById(n, F.col("part"))
-             .sortWithinPartitions("part", "head", F.col("doc_id").asc_nulls_first(), "t"))
+             .repartitionById(len(cuts[0]) + 1, F.col("part"))
+             .sortWithinPartitions("part", "head", *KEY))
     schema = to_arrow_schema(StructType.fromDDL(OUT))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
