@@ -60,6 +60,8 @@ class Characters:
         p3 = (three + 0.1) / (three.sum(2, keepdims=True) + 0.1 * SIZE)
         p2 = (two + 0.1) / (two.sum(1, keepdims=True) + 0.1 * SIZE)
         self.log = np.log(0.8 * p3 + 0.2 * p2[None]).astype(np.float32)
+        # the same numbers for one look at a time: [before * SIZE + letter], before = two letters
+        self.after: list[float] = self.log.ravel().tolist()
 
     def restore(self, written: str) -> str:
         """The likeliest letters behind ``written`` (Viterbi over its lattice)."""
@@ -111,32 +113,35 @@ class Characters:
                 out.append([("", COST_WIDE * (len(gap) - narrow)), (" ", 0.0)])
         return out
 
-    def cost(self, a: int, b: int, c: str) -> tuple[int, int, float]:
-        """The two letters before the next one, and the logarithm of ``c`` after ``a``, ``b``."""
-        if c == " ":  # a word ends; after it only the edge counts
-            return (EDGE, EDGE, 0.0) if b == EDGE else (EDGE, EDGE, float(self.log[a, b, EDGE]))
-        z = INDEX.get(c, OTHER)
-        return b, z, float(self.log[a, b, z])
-
     def best(self, lattice: list[Options]) -> str:
         """The likeliest reading; of equally likely ones the first by the order of options.
 
-        Readings are kept as links to what came before, so time and memory grow
-        with the lattice's length.
+        A blank ends a word: it counts as the edge, and after it only the edge
+        does. A state is the two letters before, as one number. Readings are
+        kept as links to what came before, so time and memory grow with the
+        lattice's length.
         """
-        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(EDGE, EDGE): (0.0, None)}
+        log, edges = self.after, EDGE * SIZE + EDGE
+        states: dict[int, tuple[float, tuple | None]] = {edges: (0.0, None)}
         for options in lattice:
-            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-            for (a, b), (score, before) in states.items():
-                for letters, cost in options:
-                    x, y, s = a, b, score - cost
-                    for c in letters:
-                        x, y, more = self.cost(x, y, c)
-                        s += more
-                    if (x, y) not in after or s > after[x, y][0]:
-                        after[x, y] = (s, (letters, before) if letters else before)
+            coded = [(letters, cost, [EDGE if c == " " else INDEX.get(c, OTHER) for c in letters])
+                     for letters, cost in options]
+            after: dict[int, tuple[float, tuple | None]] = {}
+            for state, (score, before) in states.items():
+                for letters, cost, codes in coded:
+                    x, s = state, score - cost
+                    for z in codes:
+                        if z != EDGE:
+                            s += log[x * SIZE + z]
+                            x = x % SIZE * SIZE + z
+                        elif x != edges:
+                            s += log[x * SIZE + EDGE]
+                            x = edges
+                    if x not in after or s > after[x][0]:
+                        after[x] = (s, (letters, before) if letters else before)
             states = after
-        ends = [(s + self.cost(a, b, " ")[2], link) for (a, b), (s, link) in states.items()]
+        ends = [(s + (log[x * SIZE + EDGE] if x != edges else 0.0), link)
+                for x, (s, link) in states.items()]
         link, text = max(ends, key=lambda e: e[0])[1], []
         while link is not None:
             letters, link = link
@@ -197,15 +202,22 @@ class Scorer:
     letters: Characters
     weights: dict[str, float]
     model: np.ndarray | None = None
-    max_words: int = 100_000
+    max_words: int = 300_000
     cache: dict[str, float] = field(default_factory=dict)
+    heads: frozenset[str] = field(init=False)
+
+    def __post_init__(self) -> None:
+        # all features of a word agree in their first four signs: few words have any with a weight
+        self.heads = frozenset(f[:4] for f in self.weights)
+
+    def weight(self, word: str) -> float:
+        if (word + "$")[:4] not in self.heads:
+            return 0.0
+        return max(self.weights.get(f, 0.0) for f in features(word))
 
     def word_score(self, word: str) -> float:
-        best = max((self.weights.get(f, 0.0) for f in features(word)), default=0.0)
-        if needs_decoding(word):
-            again = self.letters.restore(word)
-            best = max([best, *(self.weights.get(f, 0.0) for f in features(again))])
-        return best
+        best = self.weight(word)
+        return max(best, self.weight(self.letters.restore(word))) if needs_decoding(word) else best
 
     def statistics(self, text: str | None) -> list[float]:
         words = Counter(self.letters.words(text) if text else [])
