@@ -10,11 +10,17 @@ SRC-4/5: typed projection of the text columns (see operators.clean).
 
 from __future__ import annotations
 
+import logging
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tessera.operators.clean import typed_projection
+from tessera.sources.csv_lines import parse_records, quoted_lines, records, stray_quotes
+
+log = logging.getLogger(__name__)
 
 CANDIDATE_SEPARATORS = (";", ",", "\t", "|")
 
@@ -68,11 +74,21 @@ def malformed_rows(spark: SparkSession, path: str, sep: str = ";", encoding: str
             .where(F.col("_corrupt_record").isNotNull()))
 
 
+def sniff_text(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """Encoding, and whether some quoted field goes on over a line end: one scan of the whole input.
+
+    'UTF-8' when every line is valid UTF-8, else 'ISO-8859-1'.
+    """
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    seen = (spark.read.text(path)
+            .agg(F.count_if(~F.is_valid_utf8("value")).alias("bad"),
+                 F.count_if(quotes % 2 == 1).alias("odd")).first())
+    return ("ISO-8859-1" if seen["bad"] else "UTF-8"), bool(seen["odd"])
+
+
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """'UTF-8' when every line is valid UTF-8, else 'ISO-8859-1' (whole input checked)."""
-    bad = (spark.read.text(path)
-           .agg(F.count_if(~F.is_valid_utf8("value")).alias("bad")).first()["bad"])
-    return "UTF-8" if not bad else "ISO-8859-1"
+    return sniff_text(spark, path)[0]
 
 
 def detect_separator(spark: SparkSession, path: str,
@@ -87,16 +103,40 @@ def detect_separator(spark: SparkSession, path: str,
 
 def detect_multi_line(spark: SparkSession, path: str) -> bool:
     """Whether some quoted field goes on over a line end (whole input checked)."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return bool(spark.read.text(path).agg(F.count_if(quotes % 2 == 1).alias("odd")).first()["odd"])
+    return sniff_text(spark, path)[1]
+
+
+def read_multi_line_csv(spark: SparkSession, path: str, schema: StructType | None = None,
+                        sep: str = ";", encoding: str = "ISO-8859-1",
+                        keep_extra: bool = False) -> DataFrame:
+    """:func:`read_csv` of files with newlines inside quotes, by many tasks a file.
+
+    Rows are those of ``multi_line=True``, with line ends inside quotes as
+    one newline. A file whose quotes do not pair up (:func:`csv_lines.stray_quotes`)
+    is logged and read as a whole by one task; the others stay split.
+    """
+    names = header_columns(spark, path, sep, encoding)
+    text_schema = StructType([StructField(n, StringType(), True) for n in names])
+    lines = quoted_lines(spark, path, sep, encoding)
+    stray = stray_quotes(lines)
+    whole = sorted(unquote(r["file"]) for r in stray.select("file").collect())  # file names only
+    if whole:
+        log.warning("quotes do not pair up in %d files, read by one task each: %s",
+                    len(whole), whole[:10])
+        lines = lines.join(stray.select("file"), "file", "left_anti")
+    raw = parse_records(records(lines), text_schema, sep)
+    if whole:
+        raw = raw.unionByName(_reader(spark, sep, encoding, True, True).schema(text_schema).csv(whole))
+    return raw if schema is None else typed_projection(raw, schema, keep_extra=keep_extra)
 
 
 def read_csv_sniffed(spark: SparkSession, path: str, schema: StructType | None = None,
                      keep_extra: bool = False) -> DataFrame:
-    """SRC-3 (+ SRC-4 / SRC-5): detect encoding and separator, read as text, then type."""
-    return read_csv(spark, path, schema, sep=detect_separator(spark, path),
-                    encoding=detect_encoding(spark, path), keep_extra=keep_extra,
-                    multi_line=detect_multi_line(spark, path))
+    """SRC-3 (+ SRC-4 / SRC-5): detect encoding, separator and line ends inside quotes, then type."""
+    encoding, multi_line = sniff_text(spark, path)
+    read = read_multi_line_csv if multi_line else read_csv
+    return read(spark, path, schema, sep=detect_separator(spark, path), encoding=encoding,
+                keep_extra=keep_extra)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> None:
