@@ -79,7 +79,8 @@ def sniff_text(spark: SparkSession, path: str) -> tuple[str, bool]:
 
     'UTF-8' when every line is valid UTF-8, else 'ISO-8859-1'.
     """
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    # bytes are counted: in Latin-1 text a letter's byte may seem to take the quote after it in
+    quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
     seen = (spark.read.text(path)
             .agg(F.count_if(~F.is_valid_utf8("value")).alias("bad"),
                  F.count_if(quotes % 2 == 1).alias("odd")).first())

@@ -32,10 +32,13 @@ def quoted_lines(spark: SparkSession, path: str, sep: str, encoding: str) -> Dat
     start. Text is shuffled once, by split, so a task holds one split's lines.
     """
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    lines = (spark.read.option("encoding", encoding).text(path)
+    # the text source hands out a line's bytes as they are, whatever its encoding
+    text = F.decode(F.col("value").cast("binary"), encoding)
+    lines = (spark.read.text(path)
              .select(F.col("_metadata.file_path").alias("file"),
                      F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("at"), "value")
+                     F.monotonically_increasing_id().alias("at"),
+                     (F.col("value") if encoding.upper() == "UTF-8" else text).alias("value"))
              .withColumn("odd", (quotes % 2).cast("long")))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(
         Window.unboundedPreceding, -1)

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from tessera.sources.csv import read_csv, read_csv_sniffed, read_multi_line_csv
+from tessera.sources.csv import read_csv, read_csv_sniffed, read_multi_line_csv, sniff_text
 from tessera.sources.csv_lines import quoted_lines, stray_quotes
 
 
@@ -71,3 +71,14 @@ def test_headers_must_agree(spark, tmp_path):
     write(tmp_path, "b.csv", ['1;"x\ny";z'], head="id;other;more")
     with pytest.raises(ValueError, match="different headers"):
         read_multi_line_csv(spark, str(tmp_path), encoding="UTF-8").collect()
+
+
+def test_latin_1_lines_are_decoded_and_their_quotes_counted(spark, tmp_path):
+    # the byte of É begins a longer sign in UTF-8, so the quote after it was not counted
+    for name, text, several in (("one", 'id;text\n1;"É"\n', False),
+                                ("two", 'id;text\n1;"É x\nß y"\n2;"ä z"\n', True)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.csv").write_bytes(text.encode("iso-8859-1"))
+        assert sniff_text(spark, str(tmp_path / name)) == ("ISO-8859-1", several)
+    got = read_csv_sniffed(spark, str(tmp_path / "two")).collect()
+    assert sorted(map(tuple, got)) == [("1", "É x\nß y"), ("2", "ä z")]
