@@ -33,13 +33,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Supplier ⋈ nation: one row per city with its state code."""
-    nation = table(spark, sf_dir, "nation").select(
+def states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nation keys with their state codes."""
+    return table(spark, sf_dir, "nation").select(
         F.col("n_nationkey"),
         F.concat(F.char(F.lit(65) + F.col("n_nationkey")),
                  F.char(F.lit(65) + F.col("n_regionkey"))).alias("sigla_uf"))
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+
+
+def suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cities: supplier keys with name and nation."""
+    return table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+
+
+def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Supplier ⋈ nation: one row per city with its state code."""
+    nation, supplier = states(spark, sf_dir), suppliers(spark, sf_dir)
     return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey, "inner")
 
 
@@ -48,8 +57,11 @@ def students(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice",
         "l_returnflag", "l_linestatus", "l_shipdate")
-    city = cities(spark, sf_dir)
-    joined = li.join(city, li.l_suppkey == city.s_suppkey, "inner")
+    # suppliers first: the size of their file is known, that of their join with nation is
+    # taken for the product of both, and lineitem would be shuffled for it
+    supplier, nation = suppliers(spark, sf_dir), states(spark, sf_dir)
+    joined = li.join(supplier, li.l_suppkey == supplier.s_suppkey, "inner") \
+        .join(nation, F.col("s_nationkey") == nation.n_nationkey, "inner")
     return joined.select(
         F.year("l_shipdate").alias("ano"),
         F.col("n_nationkey").alias("id_uf"),

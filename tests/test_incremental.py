@@ -133,3 +133,44 @@ def test_old_intermediates_go(spark, tmp_dir):
     gone = expire_scratch(spark, f"{tmp_dir}/tables", now=datetime.now(timezone.utc) + timedelta(days=2))
     assert len(gone) == 1 and os.listdir(f"{tmp_dir}/tables") == []
     assert expire_scratch(spark, f"{tmp_dir}/none") == []
+
+
+def test_a_merge_writes_its_batch_and_leaves_stored_rows_in_place(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(inc, "SMALL", 0)
+    rows = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    inc.merge_batch(spark, tmp_dir, rows(0, 500, "a"), ["k"], ["v"], buckets=2)
+    for lo, hi, v, changed, stored in ((495, 510, "b", 15, 15), (400, 500, "a", 0, 0), (505, 515, "a", 5, 10)):
+        out = inc.merge_batch(spark, tmp_dir, rows(lo, hi, v), ["k"], ["v"], buckets=2)
+        assert (out.rows_in, out.changed) == (hi - lo, changed)
+        if changed:
+            assert spark.read.parquet(run_path(f"{tmp_dir}/rows", out.run_id)).count() == stored
+    got = {r.k: r.v for r in inc.read_merged(spark, tmp_dir).collect()}
+    assert inc.read_merged(spark, tmp_dir).count() == len(got) == 515
+    assert {k for k, v in got.items() if v == "b"} == set(range(495, 510))
+    assert len(os.listdir(f"{tmp_dir}/rows")) == 3   # the repeated batch left nothing behind
+
+
+@pytest.mark.parametrize("most", [2, 99])
+def test_many_versions_of_a_key_over_many_segments(spark, tmp_dir, monkeypatch, most):
+    monkeypatch.setattr(inc, "SMALL", 0)
+    monkeypatch.setattr(inc, "MOST", most)
+    monkeypatch.setattr(inc, "BITS", 8)              # bitmaps that hit nearly everything
+    rng, best = random.Random(most), {}
+    schema = "k int, o int, v string"
+    for _ in range(6):
+        batch = [(rng.randrange(20), rng.choice([None, 1, 2, 3]), rng.choice([None, "x", "y", "z"])) for _ in range(12)]
+        rank = lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or "")
+        newest = {}
+        for r in batch:
+            newest[r[0]] = max(newest.get(r[0], r), r, key=rank)
+        want = {k: r for k, r in newest.items() if k not in best or rank(r) > rank(best[k])}
+        seen = []
+        out = inc.merge_batch(spark, tmp_dir, spark.createDataFrame(batch, schema), ["k"], ["o"], buckets=2,
+                              on_changes=lambda c, run: seen.extend(c.collect()))  # noqa: B023
+        assert (out.rows_in, out.changed) == (len(newest), len(want))
+        assert {r.new.k: (tuple(r.new), r.old and tuple(r.old)) for r in seen} == {
+            k: (r, best.get(k)) for k, r in want.items()}
+        best |= want
+        assert {r.k: tuple(r) for r in inc.read_merged(spark, tmp_dir).collect()} == best
+        assert inc.read_merged(spark, tmp_dir).count() == len(best)
+    assert max(map(len, inc.manifest(spark, tmp_dir).segments.values())) <= most
