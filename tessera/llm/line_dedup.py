@@ -20,7 +20,8 @@ by counters over all long lines; any fixed order gives right results. Lines
 that share marks enough are compared by their words: in groups of up to ``FEW``
 lines with a mark all of them, in larger ones each with the group's ``FEW``
 earliest; lines that are still without a near line then meet the others of
-larger groups by two marks at once. No line within the bound is lost by it.
+larger groups by how they differ from one of these (``met_by_differences``).
+No line within the bound is lost by it.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ FEW = 16
 #: Words of the shorter of two near lines at least, if the longer one is long.
 LEAST_LONG = LONG - LONG // PER_EDIT
 LEAST_ID = -(2**63)
+#: Bytes of text hashed at once, which takes many times as much memory.
+PART = 500_000
 LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>, n int"
 MARKS = "mark long, ref long"
 #: A task forgets which lines it has given marks of after so many.
@@ -177,7 +180,7 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
 
     def run(batches):
         for batch in batches:
-            for part in _cut(batch, "text", 1_000_000):
+            for part in _cut(batch, "text", PART):
                 x = LineWords(part.column(2))
                 lo, hi = x.lo, x.hi
                 n, row = hi - lo, x.text[lo]
@@ -213,7 +216,7 @@ def pair_counters(texts: DataFrame) -> DataFrame:
     def run(batches):
         counters, lines = np.zeros(CELLS, np.int64), NewLines()
         for batch in batches:
-            for part in _cut(batch, "text", 1_000_000):
+            for part in _cut(batch, "text", PART):
                 x = LineWords(part.column(0))
                 _, pair = x.pairs(lines.of(x)[0])
                 cell, times = np.unique(pair >> np.uint64(64 - CELL_BITS), return_counts=True)
@@ -233,7 +236,7 @@ def mark_table(texts: DataFrame, levels: bytes) -> DataFrame:
     def run(batches):
         level, lines = np.frombuffer(shared.value, np.uint8), NewLines()
         for batch in batches:
-            for part in _cut(batch, "text", 1_000_000):
+            for part in _cut(batch, "text", PART):
                 x = LineWords(part.column(0))
                 use, h1 = lines.of(x)
                 line, mark = x.marks(use, level)
@@ -287,7 +290,7 @@ def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: s
 
     def run(batches):
         for batch in batches:
-            for part in _cut(batch, "text", 1_000_000):
+            for part in _cut(batch, "text", PART):
                 x = LineWords(part.column(2))
                 at = {(r, p): i for i, (r, p) in enumerate(zip(
                     x.text[x.lo].tolist(), x.line[x.lo].tolist(), strict=True))}
@@ -396,6 +399,82 @@ def _verified(pairs: DataFrame, words: DataFrame, min_words: int) -> DataFrame:
     return pairs.mapInArrow(verify, kind).select(F.struct("doc", "t", "pos").alias("line")).distinct()
 
 
+def _numbered(words: bytes) -> np.ndarray:
+    """Hashes of a line's words, each numbered by occurrence: a set."""
+    own = np.sort(np.frombuffer(words, np.uint64))
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    first = np.flatnonzero(new)
+    times = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
+    return mix(own + times.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
+
+
+def met_by_differences(stars: DataFrame, words: DataFrame) -> DataFrame:
+    """(x, y): lines that differ from a common centre alike enough to be within the bound of each other.
+
+    ``stars`` has (centre, x, left), lines as (line, n); x are those with ``left``,
+    y all of the centre's. Let D be the numbered words in which a line differs
+    from the centre. k edits change at most e = 2k words, so lines within k edits
+    have all but e of D_x and D_y in common, (|D_x| + |D_y| - e) / 2 at least.
+    Ordered by how rarely an element is a difference from this centre, the first
+    common one stands at most (|D_x| - |D_y| + e) / 2 deep in D_x, and the other
+    way round in D_y. Words that most of a group lack or add come last and bring
+    nobody together. Lines with |D_x| + |D_y| <= e need have nothing in common:
+    these (other orders of the centre's words) meet by the centre alone.
+    """
+    kind = "centre struct<line: struct<doc: long, t: long, pos: int>, n: int>, " \
+        "x struct<line: struct<doc: long, t: long, pos: int>, n: int>, left boolean, d int, elements array<long>"
+    schema = to_arrow_schema(StructType.fromDDL(kind))
+    of = lambda x: words.select(F.struct("doc", "t", "pos").alias(f"{x}_line"),
+                                F.col("words").alias(f"words_{x}"))
+    centres = stored(of("centre").join(stars.select(F.col("centre.line").alias("centre_line")).distinct(),
+                                       "centre_line"), "centre_words")
+    rows = stars.withColumn("x_line", F.col("x.line")).withColumn("centre_line", F.col("centre.line")) \
+        .join(of("x"), "x_line")
+    rows = join_checked(rows, centres, ["centre_line"], most_rows=20_000) \
+        .select("centre", "x", "left", "words_centre", "words_x")
+
+    def run(batches):
+        for batch in batches:
+            own = [np.setxor1d(_numbered(one), _numbered(two), assume_unique=True).view(np.int64)
+                   for one, two in zip(batch.column("words_centre").to_pylist(),
+                                       batch.column("words_x").to_pylist(), strict=True)]
+            flat = pa.array(np.concatenate([*own, np.empty(0, np.int64)]))
+            at = pa.array(np.r_[0, np.cumsum([len(o) for o in own])], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).cast(schema.field(c).type) for c in ("centre", "x", "left")),
+                 pa.array([len(o) for o in own], pa.int32()),
+                 pa.ListArray.from_arrays(at, flat).cast(schema.field("elements").type)], schema=schema)
+
+    rows = stored(rows.mapInArrow(run, kind), "differences")
+    each = rows.select("centre", "x", F.explode("elements").alias("element"))
+    often = each.groupBy("centre", "element").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    order = (each.join(often, ["centre", "element"], "left").groupBy("centre", "x")
+             .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("often", F.lit(1)).alias("often"),
+                                                       "element"))).alias("order")))
+    # the longest line within its bound of n words has 10 / 9 as many, so n // 9 edits
+    most = F.lit(2) * F.greatest(F.lit(1), F.floor(F.col("x.n") / F.lit(PER_EDIT - 1))).cast("int")
+    spread = (rows.select("centre", "x", "left", "d").join(order, ["centre", "x"])
+              .select("centre", "x", "left", "d", F.posexplode(F.slice("order", F.lit(1), most + F.lit(1)))
+                      .alias("at", "e")).filter("e.often > 1")
+              .select("centre", F.col("e.element").alias("element"), "x", "left", "d", "at"))
+    alone = rows.filter(F.col("d") <= most).select(
+        "centre", F.lit(None).cast("long").alias("element"), "x", "left", "d", F.lit(0).alias("at"))
+    spread = stored(spread.union(alone), "spread")
+    as_y = spread.select("centre", "element", F.col("x").alias("y"), F.col("d").alias("d_y"),
+                         F.col("at").alias("at_y"))
+    e = F.lit(2) * F.greatest(F.lit(1), F.floor(F.greatest("x.n", "y.n") / F.lit(PER_EDIT)))
+    before = F.col("y.line") < F.col("x.line")
+    asking = spread.filter("left")
+    more = F.col("d") - F.col("d_y")
+    common = (asking.filter("element is not null").join(as_y, ["centre", "element"])
+              .filter(before & (F.col("at") * 2 <= more + e) & (F.col("at_y") * 2 <= e - more)))
+    apart = (asking.filter("element is null").drop("element")
+             .join(as_y.filter("element is null").drop("element"), "centre")
+             .filter(before & (F.col("d") + F.col("d_y") <= e)))
+    return common.select("x", "y").union(apart.select("x", "y")).distinct()
+
+
 def _long_near_lines(docs: DataFrame, kinds: DataFrame, min_words: int, id_col: str,
                      text_col: str) -> DataFrame:
     """(line): the long lines within the bound of an earlier one."""
@@ -445,16 +524,22 @@ def _long_near_lines(docs: DataFrame, kinds: DataFrame, min_words: int, id_col:
     earliest = (crowded.withColumn("rank", F.row_number().over(early)).filter(F.col("rank") <= FEW)
                 .select("mark", other))
     one = verified(met.union(crowded.join(earliest, "mark").filter(near).select("x", "y")), "first")
-    # lines without a near line so far meet the rest of their larger groups by two marks, one of
-    # them crowded
+    # the others' near lines share crowded marks only: met by how they differ from a centre, one of
+    # the earliest, which all of its group have been compared with
     left = (crowded.select("x").distinct()
             .join(one.withColumnRenamed("line", "gone"), F.col("x.line") == F.col("gone"), "left_anti"))
-    marks = (crowded.select("x").distinct().join(hits.join(many.withColumn("many", F.lit(True)), "mark", "left"), "x")
-             .select("x", "mark", F.coalesce("many", F.lit(False)).alias("many")))
-    two = (marks.join(marks.select("x", F.col("mark").alias("mark2"), F.col("many").alias("many2")), "x")
-           .filter("mark < mark2 and (many or many2)").select("mark", "mark2", "x"))
-    asking = two.join(left, "x")
-    two = verified(asking.join(two.select("mark", "mark2", other), ["mark", "mark2"]).filter(near), "second")
+    centre = (earliest.join(hidden.select(other, "hidden"), "y").groupBy("mark")
+              .agg(F.max_by("y", F.struct("hidden", "y")).alias("centre")))
+    stars = crowded.join(centre, "mark").filter("x <> centre").select("centre", "x").distinct() \
+        .join(left.withColumn("left", F.lit(True)), "x", "left") \
+        .withColumn("left", F.coalesce("left", F.lit(False)))
+    stars = stored(stars, "stars")
+    asking = stars.filter("left").select("centre").distinct()
+    stars = stored(stars.join(asking, "centre"), "asked_stars")
+    wanted = stars.select("x.line.*").union(stars.select("centre.line.*")).distinct()
+    words = stored(_neighbourhoods(docs, wanted, id_col, text_col, WORDS)
+                   .dropDuplicates(["doc", "t", "pos"]), "star_words")
+    two = verified(met_by_differences(stars, words).filter(near).select("x", "y"), "second")
     return one.union(two).distinct()
 
 

@@ -17,6 +17,8 @@ REGISTERS, BAND = 128, 4
 #: Registers are compared by likelihood first; only pairs estimated this far
 #: below the threshold (over six standard errors of 128 registers) are let go.
 ESTIMATE_MARGIN = 0.2
+#: Bytes of text hashed at once: hashing takes 50 times as much memory, sketching goes over it 128 times.
+PART = 500_000
 SKETCHES = "doc_id long, n_shingles long, c1 long, c2 long, registers binary"
 SETS = "doc_id long, shingles binary"
 
@@ -26,7 +28,7 @@ def _map_texts(docs: DataFrame, id_col: str, text_col: str, schema: str, make) -
 
     def run(batches):
         for batch in batches:
-            for part in _cut(batch, "text", 2_000_000):
+            for part in _cut(batch, "text", PART):
                 yield pa.RecordBatch.from_arrays(
                     [c.cast(f.type) for c, f in zip(make(part), out_schema, strict=True)],
                     schema=out_schema)

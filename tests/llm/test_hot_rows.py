@@ -1,10 +1,13 @@
 """Copies of one row, or one id, that make up a third of a table."""
 
+import random
+
 import pytest
 
 pytest.importorskip("tessera.llm")
 from pyspark.sql import functions as F  # noqa: E402
 
+from tessera.llm import line_dedup as ld  # noqa: E402
 from tessera.llm import near_duplicates as nd  # noqa: E402
 from tessera.llm.common import BUCKETS, ordered_buckets, stored  # noqa: E402
 from tessera.llm.packing import pack  # noqa: E402
@@ -74,3 +77,30 @@ def test_one_set_for_rows_that_share_an_id(spark, monkeypatch):
     rows = nd.near_duplicates(docs, 3, 85).collect()
     assert len(rows) == 80 and {r["component_id"] for r in rows} == {0}
     assert seen["sets"] == 2
+
+
+def test_a_crowd_of_long_lines_is_not_paired_out(spark, monkeypatch):
+    rng, lines = random.Random(3), []
+    for i in range(300):
+        line = [f"w{j}" for j in range(40)]
+        places = rng.sample(range(40), 3)
+        if i % 8 == 7:                                # near an earlier one that is not an early one
+            line, places = list(lines[rng.randrange(i // 2, i)]), places[:2]
+        if i % 60 == 9:                               # the first words in another order
+            line = line[5:] + line[:5]
+        for j in places:                              # others are six edits apart, the bound is four
+            line[j] = f"x{rng.randrange(900)}"
+        lines.append(line)
+    sizes, write = {}, ld.stored
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes[name] = out.count()
+        return out
+
+    monkeypatch.setattr(ld, "stored", counted)
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(lines)], "doc_id long, text string")
+    gone = {r.doc_id for r in ld.dedup_lines(docs).collect() if not r.text}
+    assert gone == {i for i, x in enumerate(lines) if any(
+        x == y or ld.word_distance_within(x, y, ld.edits(40)) for y in lines[:i])}
+    assert len(gone) > 25 and sizes["second_near"] and sizes["second_pairs"] < 300 * 299 // 2 // 10
