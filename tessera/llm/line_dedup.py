@@ -272,6 +272,7 @@ def shared_marks(marks: DataFrame) -> DataFrame:
                 use[0] = False
             last, sent = (mark[-1:], ref[-1:]), bool(end)
             yield pa.RecordBatch.from_arrays([pa.array(mark[use]), pa.array(ref[use])], schema=schema)
+        release()
 
     dealt = marks.repartition("mark").sortWithinPartitions("mark", "ref")
     return dealt.mapInArrow(run, MARKS)
@@ -315,6 +316,7 @@ def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: s
                             yield pa.RecordBatch.from_pydict(out, schema=schema)
                             out = {f.name: [] for f in schema}
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
+        release()
 
     return texts.mapInArrow(run, kind)
 
@@ -395,6 +397,7 @@ def _verified(pairs: DataFrame, words: DataFrame, min_words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("doc", "t", "pos")],
                 schema=schema)
+        release()
 
     return pairs.mapInArrow(verify, kind).select(F.struct("doc", "t", "pos").alias("line")).distinct()
 
@@ -445,6 +448,7 @@ def met_by_differences(stars: DataFrame, words: DataFrame) -> DataFrame:
                 [*(batch.column(c).cast(schema.field(c).type) for c in ("centre", "x", "left")),
                  pa.array([len(o) for o in own], pa.int32()),
                  pa.ListArray.from_arrays(at, flat).cast(schema.field("elements").type)], schema=schema)
+        release()
 
     rows = stored(rows.mapInArrow(run, kind), "differences")
     each = rows.select("centre", "x", F.explode("elements").alias("element"))
