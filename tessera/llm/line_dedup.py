@@ -12,15 +12,17 @@ line found for a line is verified on the words of both. A pigeonhole comes
 first: lines within one edit agree on their first or second half, so only lines
 that share a half with another line emit variants.
 
-From 20 words on, variants of whole lines would be too many. k edits leave all
-but 2k of a line's word pairs (numbered by occurrence), so in one fixed order of
-pairs two near lines have at least ``SHARED`` in common among the first 2k +
-``SHARED`` of each. These are a line's marks. The order puts rare pairs first,
-by counters over all long lines; any fixed order gives right results. Lines
-that share marks enough are compared by their words: in groups of up to ``FEW``
-lines with a mark all of them, in larger ones each with the group's ``FEW``
-earliest; lines that are still without a near line then meet the others of
-larger groups by how they differ from one of these (``met_by_differences``).
+From 20 words on, variants of whole lines would be too many. An edit changes one
+word or gap, so of word pairs no two of which overlap or touch (start at places
+next to each other) it breaks one at most, and k edits leave ``SHARED`` of any
+k + ``SHARED`` such pairs. A line's marks are its first word pairs (numbered by
+occurrence) in one fixed order, up to the one that makes them hold so many apart
+from each other: two near lines share ``SHARED`` marks at least. The order puts
+rare pairs first, by counters over all long lines; any fixed order gives right
+results. Lines that share marks enough are compared by their words: in groups of
+up to ``FEW`` lines with a mark all of them, in larger ones each with the group's
+``FEW`` earliest; lines that are still without a near line then meet the others
+of larger groups by how they differ from one of these (``met_by_differences``).
 No line within the bound is lost by it.
 """
 
@@ -52,8 +54,11 @@ LEAST_LONG = LONG - LONG // PER_EDIT
 LEAST_ID = -(2**63)
 #: Bytes of text hashed at once, which takes many times as much memory.
 PART = 500_000
-LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>, n int"
+LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>, n int, block int, times binary"
 MARKS = "mark long, ref long"
+MEETINGS = "mark long, a long, b long"
+#: Marks that are grouped at once.
+MARKS_AT_ONCE = 20_000
 #: A task forgets which lines it has given marks of after so many.
 REMEMBERED = 200_000
 WORDS = "doc long, t long, pos int, words binary, sketch array<long>"
@@ -108,33 +113,48 @@ class LineWords:
         back = self.stretch(which, i + 1, np.full(hi - lo, hi)) * self.up[i - lo]
         return mix(front + back + np.uint64(hi - lo - 1))
 
-    def pairs(self, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(line, hash) of the word pairs of the lines in ``use``, numbered by occurrence in their line."""
+    def pairs(self, use: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(line, hash, start, once) of the word pairs of the lines in ``use``.
+
+        A hash numbers its pair by occurrence in its line; ``once``: it has only one.
+        """
         n = (self.hi - self.lo)[use]
         line = np.repeat(use, n - 1)
         start = np.arange(len(line)) + np.repeat(self.lo[use] - (np.cumsum(n - 1) - (n - 1)), n - 1)
         pair = self.whole(0, start, start + 2)
         order = np.lexsort((pair, line))
-        line, pair = line[order], pair[order]
-        new = np.ones(len(pair), bool)
-        new[1:] = (pair[1:] != pair[:-1]) | (line[1:] != line[:-1])
-        first = np.flatnonzero(new)
+        line, pair, start = line[order], pair[order], start[order]
+        new = np.ones(len(pair) + 1, bool)
+        new[1:-1] = (pair[1:] != pair[:-1]) | (line[1:] != line[:-1])
+        first = np.flatnonzero(new[:-1])
         times = np.arange(len(pair)) - np.repeat(first, np.diff(np.r_[first, len(pair)]))
-        return line, mix(pair + times.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
+        return (line, mix(pair + times.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)), start,
+                new[:-1] & new[1:])
 
     def marks(self, use: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(line, mark): the first pairs of the lines in ``use`` by ``level`` of their counter, then hash."""
-        line, pair = self.pairs(use)
+        line, pair, start, once = self.pairs(use)
         cell = (pair >> np.uint64(64 - CELL_BITS)).astype(np.int64)
         mark = level[cell].astype(np.uint64) << np.uint64(56) | pair & np.uint64((1 << 56) - 1)
         order = np.lexsort((mark, line))
-        line, mark = line[order], mark[order]
+        line, mark, start, once = line[order], mark[order], start[order], once[order]
         new = np.ones(len(line), bool)
         new[1:] = line[1:] != line[:-1]
         first = np.flatnonzero(new)
-        rank = np.arange(len(line)) - np.repeat(first, np.diff(np.r_[first, len(line)]))
+        sizes = np.diff(np.r_[first, len(line)])
+        rank = np.arange(len(line)) - np.repeat(first, sizes)
+        # pairs apart from each other: in two rounds those that precede their neighbours in the order
+        last = len(line)
+        at = np.full(len(self.words) + 2, last)  # by start + 1; a line's last word starts none
+        at[start[once] + 1] = rank[once]
+        apart = once & (rank < at[start]) & (rank < at[start + 2])
+        at[start[apart]] = at[start[apart] + 2] = last
+        apart = apart | (at[start + 1] == rank) & (rank < at[start]) & (rank < at[start + 2])
+        before = np.cumsum(apart) - apart
+        before -= np.repeat(before[first], sizes)
         # the longest line within its bound of n words has 10 / 9 as many, so n // 9 edits
-        keep = rank < 2 * ((self.hi - self.lo)[line] // (PER_EDIT - 1)) + SHARED
+        k = (self.hi - self.lo)[line] // (PER_EDIT - 1)
+        keep = (before < k + SHARED) & (rank < 2 * k + SHARED)
         return line[keep], mark[keep]
 
 
@@ -168,20 +188,24 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per line with words: its digest and hashes of its ends.
+    """One row per line with words: its digest and hashes of its ends; and each task's pair counters.
 
     Two lines of n and of n or n + 1 words within one edit agree on their first
     or last g(n) words, g(n) being at most half of n. A line gives both ends
     for its own length and for one word less. Lines too short to have
-    neighbours give none; long lines have marks instead.
+    neighbours give none; long lines have marks instead, and their word pairs
+    are counted, as (block, times) in rows where all else is null.
     """
     schema = to_arrow_schema(StructType.fromDDL(LINES))
     g = lambda n: np.maximum(3, n // 4 * 2)
 
     def run(batches):
+        counters, new = np.zeros(CELLS, np.int32), NewLines()
         for batch in batches:
             for part in _cut(batch, "text", PART):
                 x = LineWords(part.column(2))
+                np.add.at(counters, (x.pairs(new.of(x)[0])[1] >> np.uint64(64 - CELL_BITS))
+                          .astype(np.int64), 1)
                 lo, hi = x.lo, x.hi
                 n, row = hi - lo, x.text[lo]
                 ends, have = [], []
@@ -200,34 +224,17 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)),
                      pa.array(x.line[lo], pa.int32()), _signed(x.whole(0, lo, hi)),
-                     _signed(x.whole(1, lo, hi)), keys, pa.array(n, pa.int32())],
+                     _signed(x.whole(1, lo, hi)), keys, pa.array(n, pa.int32()),
+                     pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())],
                     schema=schema)
+        yield from packed_counters(counters, schema)
+        del counters, new
         release()
 
     return docs.select(*_ids(docs, id_col, text_col),
                        F.col(text_col).cast("string").alias("text")).mapInArrow(run, LINES)
 
 
-def pair_counters(texts: DataFrame) -> DataFrame:
-    """A task's counters of the word pairs of its long lines, as (block, times)."""
-    kind = "block int, times binary"
-    schema = to_arrow_schema(StructType.fromDDL(kind))
-
-    def run(batches):
-        counters, lines = np.zeros(CELLS, np.int64), NewLines()
-        for batch in batches:
-            for part in _cut(batch, "text", PART):
-                x = LineWords(part.column(0))
-                _, pair = x.pairs(lines.of(x)[0])
-                cell, times = np.unique(pair >> np.uint64(64 - CELL_BITS), return_counts=True)
-                counters[cell.astype(np.int64)] += times
-        yield from packed_counters(counters, schema)
-        del counters, lines
-        release()
-
-    return texts.mapInArrow(run, kind)
-
-
 def mark_table(texts: DataFrame, levels: bytes) -> DataFrame:
     """(mark, ref): the marks of long lines; a line that a task has met before gives none again."""
     schema = to_arrow_schema(StructType.fromDDL(MARKS))
@@ -248,34 +255,68 @@ def mark_table(texts: DataFrame, levels: bytes) -> DataFrame:
     return texts.mapInArrow(run, MARKS)
 
 
-def shared_marks(marks: DataFrame) -> DataFrame:
-    """The distinct rows of ``marks`` whose mark more than one line has, in one shuffle."""
-    schema = to_arrow_schema(StructType.fromDDL(MARKS))
+def meetings(marks: DataFrame) -> DataFrame:
+    """Which lines share a mark, in one shuffle of ``marks``.
 
-    def run(batches):
-        last, sent = None, False  # the row before this batch, and whether it went out
+    Of up to ``FEW`` lines with one mark each two are a row (null, a, b); of more
+    each is a row (mark, a, null). A task holds no more than it groups at once.
+    """
+    schema = to_arrow_schema(StructType.fromDDL(MEETINGS))
+
+    def rows(mark, a, b):
+        return pa.RecordBatch.from_arrays([mark, pa.array(a), b], schema=schema)
+
+    def crowd(mark, ref):
+        return rows(pa.array(mark), ref, pa.nulls(len(ref), pa.int64()))
+
+    def portions(batches):
+        own, n = [], 0
         for batch in batches:
-            mark, ref = (batch.column(i).to_numpy() for i in (0, 1))
-            if last is not None:
-                mark, ref = np.r_[last[0], mark], np.r_[last[1], ref]
+            own.append(batch)
+            n += len(batch)
+            if n >= MARKS_AT_ONCE:
+                yield own, False
+                own, n = [], 0
+        yield own, True
+
+    def run(batches):
+        mark = ref = np.empty(0, np.int64)  # of the last mark so far, if it has few lines
+        full = None  # the last mark and its last line, if it has many
+        for own, end in portions(batches):
+            mark, ref = (np.concatenate([x, *(batch.column(i).to_numpy() for batch in own)])
+                         for i, x in enumerate((mark, ref)))
+            new = np.ones(len(mark), bool)
+            new[1:] = (mark[1:] != mark[:-1]) | (ref[1:] != ref[:-1])
+            mark, ref = mark[new], ref[new]
+            if full is not None:
+                n = int(np.searchsorted(mark, full[0], "right"))
+                lo = int(n > 0 and ref[0] == full[1])
+                if n > lo:
+                    yield crowd(mark[lo:n], ref[lo:n])
+                full = (full[0], ref[n - 1]) if n else full
+                mark, ref = mark[n:], ref[n:]
             if not len(mark):
                 continue
-            again = np.zeros(len(mark), bool)
-            again[1:] = (mark[1:] == mark[:-1]) & (ref[1:] == ref[:-1])
-            mark, ref = mark[~again], ref[~again]
-            more = np.zeros(len(mark), bool)
-            more[1:] = mark[1:] == mark[:-1]
-            use = more.copy()
-            use[:-1] |= more[1:]
-            end = use[-1] or (sent and len(mark) == 1)
-            if last is not None and sent:
-                use[0] = False
-            last, sent = (mark[-1:], ref[-1:]), bool(end)
-            yield pa.RecordBatch.from_arrays([pa.array(mark[use]), pa.array(ref[use])], schema=schema)
+            full = None
+            first = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])
+            sizes = np.diff(np.r_[first, len(mark)])
+            if not end and sizes[-1] > FEW:
+                full = (mark[-1], ref[-1])
+            many = np.repeat(sizes > FEW, sizes)
+            if many.any():
+                yield crowd(mark[many], ref[many])
+            keep = first[-1] if not end and full is None else len(mark)
+            for size in range(2, FEW + 1):
+                group = ref[first[(sizes == size) & (first < keep)][:, None] + np.arange(size)]
+                if len(group):
+                    one, two = np.triu_indices(size, 1)
+                    a, b = group[:, one].ravel(), group[:, two].ravel()
+                    yield rows(pa.nulls(len(a), pa.int64()), a, pa.array(b))
+            mark, ref = mark[keep:], ref[keep:]
         release()
 
     dealt = marks.repartition("mark").sortWithinPartitions("mark", "ref")
-    return dealt.mapInArrow(run, MARKS)
+    return dealt.mapInArrow(run, MEETINGS)
 
 
 def _neighbourhoods(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str,
@@ -349,6 +390,28 @@ def word_distance_within(one: list, two: list, most: int) -> bool:
     return False
 
 
+def _numbered(words: bytes | np.ndarray) -> np.ndarray:
+    """Hashes of a line's words (or word pairs), each numbered by occurrence: a set."""
+    own = np.sort(np.frombuffer(words, np.uint64))
+    new = np.ones(len(own), bool)
+    new[1:] = own[1:] != own[:-1]
+    first = np.flatnonzero(new)
+    times = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
+    return mix(own + times.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
+
+
+def words_within(one: np.ndarray, two: np.ndarray, most: int) -> bool:
+    """``word_distance_within``, but first by place and by word pairs, of which an edit changes two."""
+    if len(one) == len(two) and (one != two).sum() <= most:
+        return True
+    if abs(len(one) - len(two)) > most:
+        return False
+    own, other = (_numbered(mix(x[:-1]) + x[1:]) for x in (one, two))
+    if max(len(own), len(other)) - len(np.intersect1d(own, other, assume_unique=True)) > 2 * most:
+        return False
+    return word_distance_within(one.tolist(), two.tolist(), most)
+
+
 def _earlier_neighbours(near: DataFrame, min_words: int) -> DataFrame:
     """(line, witness): the earliest line before a short ``line`` within one word edit.
 
@@ -380,20 +443,26 @@ def _verified(pairs: DataFrame, words: DataFrame, min_words: int) -> DataFrame:
     """(line): the lines of ``pairs`` that are within the bound of a witness."""
     side = lambda x: words.select(F.struct("doc", "t", "pos").alias(x),
                                   F.col("words").alias(f"words_{x}"))
-    pairs = pairs.join(side("line"), "line").join(side("witness"), "witness") \
+    # a line's rows come together, and one witness that is near enough will do
+    pairs = pairs.join(side("witness"), "witness").join(side("line"), "line") \
         .select("line.*", "words_line", "words_witness")
     kind = "doc long, t long, pos int"
     schema = to_arrow_schema(StructType.fromDDL(kind))
 
     def verify(batches):
+        last, found = None, False
         for batch in batches:
             keep = []
-            for one, two in zip(batch.column("words_line").to_pylist(),
-                                batch.column("words_witness").to_pylist(), strict=True):
+            ids = zip(*(batch.column(c).to_pylist() for c in ("doc", "t", "pos")), strict=True)
+            for line, one, two in zip(ids, batch.column("words_line").to_pylist(),
+                                      batch.column("words_witness").to_pylist(), strict=True):
+                if line != last:
+                    last, found = line, False
                 n = max(len(one), len(two)) // 8
-                keep.append(n >= min_words and word_distance_within(
-                    np.frombuffer(one, np.uint64).tolist(),
-                    np.frombuffer(two, np.uint64).tolist(), edits(n)))
+                near = not found and n >= min_words and words_within(
+                    np.frombuffer(one, np.uint64), np.frombuffer(two, np.uint64), edits(n))
+                found = found or near
+                keep.append(near)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("doc", "t", "pos")],
                 schema=schema)
@@ -402,16 +471,6 @@ def _verified(pairs: DataFrame, words: DataFrame, min_words: int) -> DataFrame:
     return pairs.mapInArrow(verify, kind).select(F.struct("doc", "t", "pos").alias("line")).distinct()
 
 
-def _numbered(words: bytes) -> np.ndarray:
-    """Hashes of a line's words, each numbered by occurrence: a set."""
-    own = np.sort(np.frombuffer(words, np.uint64))
-    new = np.ones(len(own), bool)
-    new[1:] = own[1:] != own[:-1]
-    first = np.flatnonzero(new)
-    times = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
-    return mix(own + times.astype(np.uint64) * np.uint64(0x632BE59BD9B4E019))
-
-
 def met_by_differences(stars: DataFrame, words: DataFrame) -> DataFrame:
     """(x, y): lines that differ from a common centre alike enough to be within the bound of each other.
 
@@ -479,18 +538,15 @@ def met_by_differences(stars: DataFrame, words: DataFrame) -> DataFrame:
     return common.select("x", "y").union(apart.select("x", "y")).distinct()
 
 
-def _long_near_lines(docs: DataFrame, kinds: DataFrame, min_words: int, id_col: str,
-                     text_col: str) -> DataFrame:
+def _long_near_lines(docs: DataFrame, kinds: DataFrame, counters: DataFrame, min_words: int,
+                     id_col: str, text_col: str) -> DataFrame:
     """(line): the long lines within the bound of an earlier one."""
     texts = docs.select(F.col(text_col).cast("string").alias("text"))
-    levels = rarity(pair_counters(texts))
-    hits = stored(shared_marks(mark_table(texts, levels)), "marks")
+    met = stored(meetings(mark_table(texts, rarity(counters))), "marks")
     known = kinds.filter(F.col("n_words") >= LEAST_LONG) \
-        .select(F.col("h1").alias("ref"), "line", F.col("n_words").alias("n"))
-    hits = stored(hits.join(known, "ref").select("mark", F.struct("line", "n").alias("x")), "marked")
-    many = stored(hits.groupBy("mark").agg(F.count(F.lit(1)).alias("size"))
-                  .filter(F.col("size") > FEW).select("mark"), "crowded")
-    crowded = hits.join(many, "mark")
+        .select(F.col("h1").alias("ref"), F.struct("line", F.col("n_words").alias("n")).alias("x"))
+    crowds = met.filter("mark is not null").select("mark", F.col("a").alias("ref"))
+    crowded = stored(crowds.join(known, "ref").select("mark", "x"), "crowded")
     other = F.col("x").alias("y")
     bound = F.greatest(F.lit(1), F.floor(F.greatest("x.n", "y.n") / F.lit(PER_EDIT)))
     near = (F.col("y.line") < F.col("x.line")) & (F.abs(F.col("x.n") - F.col("y.n")) <= bound)
@@ -515,24 +571,25 @@ def _long_near_lines(docs: DataFrame, kinds: DataFrame, min_words: int, id_col:
         return stored(_verified(stored(pairs, f"{name}_alike"), words, min_words), f"{name}_near")
 
     # small groups: lines that share marks enough, those in crowded groups counted for both
-    few = hits.join(many, "mark", "left_anti")
-    met = (few.join(few.select("mark", other), "mark").filter(near).groupBy("x", "y")
-           .agg(F.count(F.lit(1)).alias("met")))
-    hidden = crowded.groupBy("x").agg(F.count(F.lit(1)).alias("hidden"))
-    met = met.join(hidden.select("x", F.col("hidden").alias("h_x")), "x", "left") \
-        .join(hidden.select(other, F.col("hidden").alias("h_y")), "y", "left")
-    more = F.least(F.coalesce("h_x", F.lit(0)), F.coalesce("h_y", F.lit(0)))
-    met = met.filter(F.col("met") + more >= F.lit(SHARED)).select("x", "y")
+    hidden = stored(crowds.groupBy("ref").agg(F.count(F.lit(1)).alias("hidden")), "hidden")
+    few = met.filter("mark is null").groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"))
+    for at in ("a", "b"):
+        few = join_checked(few, hidden.toDF(at, f"h_{at}"), [at], "left")
+    more = F.least(F.coalesce("h_a", F.lit(0)), F.coalesce("h_b", F.lit(0)))
+    few = few.filter(F.col("met") + more >= F.lit(SHARED)).select("a", "b")
+    few = few.join(known.toDF("a", "x_a"), "a").join(known.toDF("b", "x_b"), "b") \
+        .select(F.greatest("x_a", "x_b").alias("x"), F.least("x_a", "x_b").alias("y")).filter(near)
     # larger ones: each line with the earliest of the group
     early = Window.partitionBy("mark").orderBy("x")
     earliest = (crowded.withColumn("rank", F.row_number().over(early)).filter(F.col("rank") <= FEW)
                 .select("mark", other))
-    one = verified(met.union(crowded.join(earliest, "mark").filter(near).select("x", "y")), "first")
+    one = verified(few.union(crowded.join(earliest, "mark").filter(near).select("x", "y")), "first")
     # the others' near lines share crowded marks only: met by how they differ from a centre, one of
     # the earliest, which all of its group have been compared with
     left = (crowded.select("x").distinct()
             .join(one.withColumnRenamed("line", "gone"), F.col("x.line") == F.col("gone"), "left_anti"))
-    centre = (earliest.join(hidden.select(other, "hidden"), "y").groupBy("mark")
+    often = crowded.groupBy(other).agg(F.count(F.lit(1)).alias("hidden"))
+    centre = (earliest.join(often, "y").groupBy("mark")
               .agg(F.max_by("y", F.struct("hidden", "y")).alias("centre")))
     stars = crowded.join(centre, "mark").filter("x <> centre").select("centre", "x").distinct() \
         .join(left.withColumn("left", F.lit(True)), "x", "left") \
@@ -550,7 +607,9 @@ def _long_near_lines(docs: DataFrame, kinds: DataFrame, min_words: int, id_col:
 def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(doc, t, positions): the lines to drop, by document and text digest."""
-    lines = stored(line_table(docs, min_words, id_col, text_col), "lines")
+    table = stored(line_table(docs, min_words, id_col, text_col), "lines")
+    counters = table.filter("block is not null").select("block", "times")
+    lines = table.filter("block is null").drop("block", "times")
     kinds = stored(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc", "t", "pos")).alias("line"),
                                                  F.count(F.lit(1)).alias("n"),
                                                  F.first("n").alias("n_words")), "kinds")
@@ -562,7 +621,7 @@ def duplicate_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "
     near = stored(_neighbourhoods(docs, wanted, id_col, text_col).dropDuplicates(["doc", "t", "pos"]),
                   "near")
     near_dropped = _verified(_earlier_neighbours(near, min_words), near, min_words) \
-        .union(_long_near_lines(docs, kinds, min_words, id_col, text_col)).distinct() \
+        .union(_long_near_lines(docs, kinds, counters, min_words, id_col, text_col)).distinct() \
         .withColumn("near", F.lit(True))
     verdict = (kinds.select("h1", "h2", "line", "n").join(near_dropped, "line", "left")
                .filter("n > 1 or near")
