@@ -46,6 +46,8 @@ Options = list[tuple[str, float]]
 
 #: Bounds of the labelled sample that the weights are fitted on (rows a label).
 SAMPLE_ROWS = 4_000
+#: Signs whose trigrams are counted at once.
+PIECE = 100_000
 
 
 class Characters:
@@ -165,23 +167,31 @@ def needs_decoding(word: str) -> bool:
         or DOUBLED.search(word) is not None
 
 
+def trigrams(texts: list[str | None], table: np.ndarray) -> np.ndarray:
+    """How often each trigram of signs, numbered by ``table``, stands in ``texts``: memory grows with these alone."""
+    joined = "\n\n" + "\n\n".join(t for t in texts if t) + "\n\n"
+    n = np.zeros(SIZE**3, np.int64)
+    for lo in range(0, len(joined) - 2, PIECE):
+        cp = np.frombuffer(joined[lo:lo + PIECE + 2].encode("utf-32-le"), np.uint32)
+        x = table[np.minimum(cp, len(table) - 1)]
+        codes = (x[:-2] * SIZE + x[1:-1]) * SIZE + x[2:]
+        # a word's first letter follows two edges, whatever stands before the blank
+        codes = np.where(x[1:-1] == EDGE, x[2:], codes)
+        n += np.bincount(codes, minlength=len(n))
+    return n
+
+
 def character_counts(docs: DataFrame, text_col: str = "text") -> dict[int, int]:
     """Trigram counts of all texts: at most ``SIZE``**3 rows whatever the corpus."""
     upper = 0x180
-    table = np.full(upper + 1, EDGE, np.int64)
+    table = np.full(upper + 1, EDGE, np.int32)
     for cp in range(upper):
         if chr(cp).isalpha():
             table[cp] = INDEX.get(chr(cp).lower()[:1], OTHER)
     table[upper] = OTHER
 
     def rows(cols: dict) -> dict:
-        joined = "\n\n" + "\n\n".join(t for t in cols["text"] if t) + "\n\n"
-        cp = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        x = table[np.minimum(cp, upper)]
-        codes = (x[:-2] * SIZE + x[1:-1]) * SIZE + x[2:]
-        # a word's first letter follows two edges, whatever stands before the blank
-        codes = np.where(x[1:-1] == EDGE, x[2:], codes)
-        n = np.bincount(codes, minlength=1)
+        n = trigrams(cols["text"], table)
         seen = np.flatnonzero(n)
         return {"code": seen, "n": n[seen]}
 
