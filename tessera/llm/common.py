@@ -17,6 +17,9 @@ from tessera.session import checkpoint_dir, scratch_path
 # needs no installed copy and no zip of it.
 cloudpickle.register_pickle_by_value(tessera.llm)
 
+#: Whether a query's shuffle files go when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -26,12 +29,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back.
 
     Cuts the lineage (a lost executor costs no recomputation of what came
-    before) and lets several consumers read one result.
+    before) and lets several consumers read one result. What the job shuffled is
+    removed at its end: else it stays until the driver happens to collect its garbage,
+    and a long job's shuffles, many times its input, pile up on the executors' disks.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

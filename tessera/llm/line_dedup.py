@@ -19,11 +19,13 @@ k + ``SHARED`` such pairs. A line's marks are its first word pairs (numbered by
 occurrence) in one fixed order, up to the one that makes them hold so many apart
 from each other: two near lines share ``SHARED`` marks at least. The order puts
 rare pairs first, by counters over all long lines; any fixed order gives right
-results. Lines that share marks enough are compared by their words: in groups of
-up to ``FEW`` lines with a mark all of them, in larger ones each with the group's
-``FEW`` earliest; lines that are still without a near line then meet the others
-of larger groups by how they differ from one of these (``met_by_differences``).
-No line within the bound is lost by it.
+results. A mark travels with its line's form (``LineWords.forms``), which rules out
+most lines that meet by chance: what is left of a group of up to ``CLOSE`` lines with
+a mark falls into clusters of alike forms, a larger group is one cluster. Lines that
+share marks enough are compared by their words: in clusters of up to ``FEW`` lines all
+of them, in larger ones each with the cluster's ``FEW`` earliest; lines that are still
+without a near line then meet the others of larger clusters by how they differ from one
+of these (``met_by_differences``). No line within the bound is lost by it.
 """
 
 from __future__ import annotations
@@ -47,8 +49,15 @@ PER_EDIT = 10
 LONG = 2 * PER_EDIT
 #: Marks that two near long lines share at least.
 SHARED = 2
-#: Groups of so many lines with a common mark are compared line by line at once.
+#: Clusters of so many lines with a common mark are compared line by line at once.
 FEW = 16
+#: In groups of so many lines with a common mark all forms are compared.
+CLOSE = 1000
+#: Forms that are compared at once, about.
+FORMS_AT_ONCE = 200_000
+#: A form has the number of words, up to ``FORM_WORDS``, and below 16 for each of so many cells.
+FORM_WORDS = (1 << 12) - 1
+FORM_CELLS = 13
 #: Words of the shorter of two near lines at least, if the longer one is long.
 LEAST_LONG = LONG - LONG // PER_EDIT
 LEAST_ID = -(2**63)
@@ -56,6 +65,7 @@ LEAST_ID = -(2**63)
 PART = 500_000
 LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>, n int, block int, times binary"
 MARKS = "mark long, ref long"
+FORMED = f"{MARKS}, form long"
 MEETINGS = "mark long, a long, b long"
 #: Marks that are grouped at once.
 MARKS_AT_ONCE = 20_000
@@ -157,6 +167,63 @@ class LineWords:
         keep = (before < k + SHARED) & (rank < 2 * k + SHARED)
         return line[keep], mark[keep]
 
+    def forms(self, use: np.ndarray) -> np.ndarray:
+        """Of the lines in ``use``: how many words they have, and, modulo 16, how many in each cell."""
+        n = (self.hi - self.lo)[use]
+        line = np.repeat(np.arange(len(use)), n)
+        at = np.arange(len(line)) + np.repeat(self.lo[use] - (np.cumsum(n) - n), n)
+        cell = (mix(self.words[at]) % np.uint64(FORM_CELLS)).astype(np.int64)
+        times = np.bincount(line * FORM_CELLS + cell, minlength=len(use) * FORM_CELLS)
+        form = np.minimum(n, FORM_WORDS).astype(np.uint64)
+        for i, own in enumerate(times.reshape(len(use), FORM_CELLS).T):
+            form |= (own & 15).astype(np.uint64) << np.uint64(12 + 4 * i)
+        return form
+
+
+def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Which lines may be within the bound by their forms: all that are, and few others.
+
+    An edit changes one cell by one if it changes the number of words, else two cells.
+    """
+    n, m = ((x & np.uint64(FORM_WORDS)).astype(np.int64) for x in (one, two))
+    longer, apart = np.maximum(n, m), np.abs(n - m)
+    left = 2 * np.maximum(1, longer // PER_EDIT) - apart
+    for i in range(FORM_CELLS):
+        at = np.uint64(12 + 4 * i)
+        d = (((one >> at) - (two >> at)) & np.uint64(15)).astype(np.int64)
+        left -= np.minimum(d, 16 - d)
+    return (left >= 0) & (apart <= np.maximum(1, longer // PER_EDIT)) | (longer == FORM_WORDS)
+
+
+def alike_pairs(first: np.ndarray, sizes: np.ndarray, form: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) of all alike lines in the groups that begin at ``first``."""
+    found = [(np.empty(0, np.int64),) * 2]
+    for size in np.unique(sizes[sizes > 1]):
+        one, two = np.triu_indices(size, 1)
+        of_size = first[sizes == size]
+        step = max(1, FORMS_AT_ONCE // len(one))
+        for lo in range(0, len(of_size), step):
+            at = of_size[lo:lo + step, None]
+            i, j = (at + one).ravel(), (at + two).ravel()
+            near = alike(form[i], form[j])
+            found.append((i[near], j[near]))
+    i, j = (np.concatenate(x) for x in zip(*found, strict=True))
+    return i, j
+
+
+def clusters(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The least place that each of ``n`` places is linked with by the links (i, j)."""
+    label = np.arange(n)
+    while True:
+        least = np.minimum(label[i], label[j])
+        after = label.copy()
+        np.minimum.at(after, i, least)
+        np.minimum.at(after, j, least)
+        after = after[after]
+        if (after == label).all():
+            return label
+        label = after
+
 
 class NewLines:
     """Which long lines of a batch a task has not met before (it forgets after ``REMEMBERED``)."""
@@ -236,8 +303,8 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
 
 
 def mark_table(texts: DataFrame, levels: bytes) -> DataFrame:
-    """(mark, ref): the marks of long lines; a line that a task has met before gives none again."""
-    schema = to_arrow_schema(StructType.fromDDL(MARKS))
+    """(mark, ref, form): the marks of long lines; a line that a task has met before gives none again."""
+    schema = to_arrow_schema(StructType.fromDDL(FORMED))
     shared = texts.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
@@ -247,19 +314,23 @@ def mark_table(texts: DataFrame, levels: bytes) -> DataFrame:
                 x = LineWords(part.column(0))
                 use, h1 = lines.of(x)
                 line, mark = x.marks(use, level)
-                ref = h1[np.searchsorted(use, line)]
-                yield pa.RecordBatch.from_arrays([_signed(mark), _signed(ref)], schema=schema)
+                at = np.searchsorted(use, line)
+                yield pa.RecordBatch.from_arrays(
+                    [_signed(mark), _signed(h1[at]), _signed(x.forms(use)[at])], schema=schema)
         del lines
         release()
 
-    return texts.mapInArrow(run, MARKS)
+    return texts.mapInArrow(run, FORMED)
 
 
 def meetings(marks: DataFrame) -> DataFrame:
-    """Which lines share a mark, in one shuffle of ``marks``.
+    """Which lines share a mark and have alike forms, in one shuffle of ``marks``.
 
-    Of up to ``FEW`` lines with one mark each two are a row (null, a, b); of more
-    each is a row (mark, a, null). A task holds no more than it groups at once.
+    Alike lines of a cluster of up to ``FEW`` are a row (null, a, b) each; in a larger
+    cluster each line is a row (mark, a, null), with a number of its own for the mark if
+    it is not the cluster of the group's first line. A group of more than ``CLOSE`` lines
+    is one cluster, and without a form every two lines are alike. A task holds no more
+    than it groups at once.
     """
     schema = to_arrow_schema(StructType.fromDDL(MEETINGS))
 
@@ -280,41 +351,50 @@ def meetings(marks: DataFrame) -> DataFrame:
         yield own, True
 
     def run(batches):
-        mark = ref = np.empty(0, np.int64)  # of the last mark so far, if it has few lines
-        full = None  # the last mark and its last line, if it has many
+        # of the last mark so far, if it has not too many lines
+        mark, ref, form = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        full = None  # the last mark and its last line, if it has
         for own, end in portions(batches):
-            mark, ref = (np.concatenate([x, *(batch.column(i).to_numpy() for batch in own)])
-                         for i, x in enumerate((mark, ref)))
+            mark, ref, form = (
+                np.concatenate([x, *(batch.column(i).to_numpy().view(x.dtype) for batch in own)])
+                for i, x in enumerate((mark, ref, form)))
             new = np.ones(len(mark), bool)
             new[1:] = (mark[1:] != mark[:-1]) | (ref[1:] != ref[:-1])
-            mark, ref = mark[new], ref[new]
+            mark, ref, form = mark[new], ref[new], form[new]
             if full is not None:
                 n = int(np.searchsorted(mark, full[0], "right"))
                 lo = int(n > 0 and ref[0] == full[1])
                 if n > lo:
                     yield crowd(mark[lo:n], ref[lo:n])
                 full = (full[0], ref[n - 1]) if n else full
-                mark, ref = mark[n:], ref[n:]
+                mark, ref, form = mark[n:], ref[n:], form[n:]
             if not len(mark):
                 continue
             full = None
             first = np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])
             sizes = np.diff(np.r_[first, len(mark)])
-            if not end and sizes[-1] > FEW:
+            if not end and sizes[-1] > CLOSE:
                 full = (mark[-1], ref[-1])
-            many = np.repeat(sizes > FEW, sizes)
+            many = np.repeat(sizes > CLOSE, sizes)
             if many.any():
                 yield crowd(mark[many], ref[many])
             keep = first[-1] if not end and full is None else len(mark)
-            for size in range(2, FEW + 1):
-                group = ref[first[(sizes == size) & (first < keep)][:, None] + np.arange(size)]
-                if len(group):
-                    one, two = np.triu_indices(size, 1)
-                    a, b = group[:, one].ravel(), group[:, two].ravel()
-                    yield rows(pa.nulls(len(a), pa.int64()), a, pa.array(b))
-            mark, ref = mark[keep:], ref[keep:]
+            whole = (sizes <= CLOSE) & (first < keep)
+            i, j = alike_pairs(first[whole], sizes[whole], form)
+            label = clusters(len(mark), i, j)
+            many = np.bincount(label, minlength=len(mark))[label] > FEW
+            if many.any():
+                number = mix(mark.view(np.uint64) ^ mix(ref[label].view(np.uint64))).view(np.int64)
+                number = np.where(label == np.repeat(first, sizes), mark, number)
+                yield crowd(number[many], ref[many])
+            i, j = i[~many[i]], j[~many[i]]
+            if len(i):
+                yield rows(pa.nulls(len(i), pa.int64()), ref[i], pa.array(ref[j]))
+            mark, ref, form = mark[keep:], ref[keep:], form[keep:]
         release()
 
+    if "form" not in marks.columns:
+        marks = marks.withColumn("form", F.lit(FORM_WORDS).cast("long"))
     dealt = marks.repartition("mark").sortWithinPartitions("mark", "ref")
     return dealt.mapInArrow(run, MEETINGS)
 

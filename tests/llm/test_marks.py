@@ -1,6 +1,7 @@
 """Marks of long lines and the groups they make."""
 
 import random
+import time
 
 import pytest
 
@@ -74,3 +75,61 @@ def test_words_within_is_the_plain_distance():
         args = np.array(one, np.uint64), np.array(two, np.uint64)
         for most in (1, 3, 6):
             assert ld.words_within(*args, most) == ld.word_distance_within(one, two, most)
+
+
+def test_forms_deny_no_near_lines_and_most_others():
+    rng = random.Random(8)
+    denied = others = 0
+    for words in (4, 30, 5000):
+        for n in (18, 20, 29, 60, 118, 300, 5000):
+            base = [f"w{rng.randrange(words)}" for _ in range(n)]
+            near = [edited(rng, base, max(1, n // ld.PER_EDIT)) for _ in range(40)]
+            near = [x for x in near if len(x) >= ld.LEAST_LONG and abs(len(x) - n) <= ld.edits(max(n, len(x)))]
+            far = [[f"w{rng.randrange(words)}" for _ in range(n)] for _ in range(40)] if words > 4 and n < 300 else []
+            x = ld.LineWords(pa.array([" ".join(line) for line in (base, *near, *far)]))
+            form = x.forms(np.arange(1 + len(near) + len(far)))
+            ok = ld.alike(form[0], form)
+            assert ok[:1 + len(near)].all()
+            denied += (~ok[1 + len(near):]).sum()
+            others += len(far)
+    assert denied > 0.98 * others
+
+
+def test_lines_that_share_a_mark_by_chance_make_no_pairs_and_no_crowd(spark):
+    rng = random.Random(9)
+    texts = [[f"w{rng.randrange(5000)}" for _ in range(30)] for _ in range(60)]
+    alike = [[*texts[0][:-1], f"x{i}"] for i in range(20)] + [[*texts[1][:-1], "x"]]
+    x = ld.LineWords(pa.array([" ".join(line) for line in texts + alike]))
+    form = x.forms(np.arange(len(texts + alike))).view(np.int64).tolist()
+    rows = [(mark, ref, form[ref]) for mark in (5, 6) for ref in range(len(form))]
+    got = [tuple(r) for r in ld.meetings(spark.createDataFrame(rows, ld.FORMED)).collect()]
+    crowds = {}
+    for mark, ref, other in got:
+        if other is None:
+            crowds.setdefault(mark, set()).add(ref)
+    assert set(crowds) == {5, 6}                       # the clusters of each group's first line
+    assert all(own == {0, *range(60, 80)} for own in crowds.values())
+    pairs = [r for r in got if r[0] is None]
+    assert pairs.count((None, 1, 80)) == 2 and len(pairs) < 0.01 * 60 * 59
+
+
+def test_shuffles_of_a_stored_result_are_removed(spark):
+    from tessera.llm import common
+
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {x for x in blocks.getAllFiles().mkString(",").split(",") if "/shuffle_" in x}
+
+    table = spark.range(500)
+    df = table.repartition(3, "id").groupBy((table.id % 7).alias("k")).count()
+    before, seen = shuffles(), spark.conf.get(common.SHUFFLE_CLEANUP)
+    assert df.filter("count > 71").count() == 3
+    assert shuffles() - before                          # as other jobs leave them
+    before = shuffles()
+    counted = common.stored(df, "counted")
+    until = time.time() + 20
+    while shuffles() - before and time.time() < until:  # they go in the background
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == seen
+    assert counted.count() == df.count() == 7           # the plan itself can run again
