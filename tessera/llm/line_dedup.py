@@ -58,6 +58,9 @@ FORMS_AT_ONCE = 200_000
 #: A form has the number of words, up to ``FORM_WORDS``, and below 16 for each of so many cells.
 FORM_WORDS = (1 << 12) - 1
 FORM_CELLS = 13
+#: Lines of so many words have a wide form too: a cell for about so many of their words.
+WIDE = 200
+WORDS_A_CELL = 12
 #: Words of the shorter of two near lines at least, if the longer one is long.
 LEAST_LONG = LONG - LONG // PER_EDIT
 LEAST_ID = -(2**63)
@@ -65,7 +68,7 @@ LEAST_ID = -(2**63)
 PART = 500_000
 LINES = "doc long, t long, pos int, h1 long, h2 long, keys array<long>, n int, block int, times binary"
 MARKS = "mark long, ref long"
-FORMED = f"{MARKS}, form long"
+FORMED = f"{MARKS}, form long, wide binary"
 MEETINGS = "mark long, a long, b long"
 #: Marks that are grouped at once.
 MARKS_AT_ONCE = 20_000
@@ -179,6 +182,33 @@ class LineWords:
             form |= (own & 15).astype(np.uint64) << np.uint64(12 + 4 * i)
         return form
 
+    def wide_forms(self, use: np.ndarray) -> list[bytes | None]:
+        """Of the lines in ``use`` that have ``WIDE`` words: how many, and, modulo 16, how many in each cell.
+
+        The number of cells is a power of two; a byte has the cells i and i + half of them.
+        """
+        out: list[bytes | None] = [None] * len(use)
+        for i in np.flatnonzero((self.hi - self.lo)[use] >= WIDE):
+            lo, hi = self.lo[use[i]], self.hi[use[i]]
+            half = 1 << (int(hi - lo) // WORDS_A_CELL).bit_length() - 1
+            cell = (mix(self.words[lo:hi]) % np.uint64(2 * half)).astype(np.int64)
+            times = np.bincount(cell, minlength=2 * half) & 15
+            out[i] = np.int32(hi - lo).tobytes() + (times[:half] | times[half:] << 4).astype(np.uint8).tobytes()
+        return out
+
+
+def wide_alike(one: bytes, two: bytes) -> bool:
+    """``alike`` of two wide forms; that with more cells is folded."""
+    n, m = (int(np.frombuffer(x, np.int32, 1)[0]) for x in (one, two))
+    a, b = (np.frombuffer(x, np.uint8, offset=4) for x in (one, two))
+    a, b = (np.concatenate([x & 15, x >> 4]) for x in (a, b))
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a.reshape(2, -1).sum(0, dtype=np.uint8) & 15
+    d = (a - b) & 15
+    return int(np.minimum(d, 16 - d).sum()) <= 2 * max(1, max(n, m) // PER_EDIT) - abs(n - m)
+
 
 def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Which lines may be within the bound by their forms: all that are, and few others.
@@ -195,9 +225,11 @@ def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return (left >= 0) & (apart <= np.maximum(1, longer // PER_EDIT)) | (longer == FORM_WORDS)
 
 
-def alike_pairs(first: np.ndarray, sizes: np.ndarray, form: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def alike_pairs(first: np.ndarray, sizes: np.ndarray, form: np.ndarray,
+                wide: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of all alike lines in the groups that begin at ``first``."""
     found = [(np.empty(0, np.int64),) * 2]
+    has = np.array([x is not None for x in wide], bool)
     for size in np.unique(sizes[sizes > 1]):
         one, two = np.triu_indices(size, 1)
         of_size = first[sizes == size]
@@ -206,6 +238,8 @@ def alike_pairs(first: np.ndarray, sizes: np.ndarray, form: np.ndarray) -> tuple
             at = of_size[lo:lo + step, None]
             i, j = (at + one).ravel(), (at + two).ravel()
             near = alike(form[i], form[j])
+            for k in np.flatnonzero(near & has[i] & has[j]):
+                near[k] = wide_alike(wide[i[k]], wide[j[k]])
             found.append((i[near], j[near]))
     i, j = (np.concatenate(x) for x in zip(*found, strict=True))
     return i, j
@@ -303,7 +337,7 @@ def line_table(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> D
 
 
 def mark_table(texts: DataFrame, levels: bytes) -> DataFrame:
-    """(mark, ref, form): the marks of long lines; a line that a task has met before gives none again."""
+    """(mark, ref, form, wide): the marks of long lines; a line that a task has met before gives none again."""
     schema = to_arrow_schema(StructType.fromDDL(FORMED))
     shared = texts.sparkSession.sparkContext.broadcast(levels)
 
@@ -316,7 +350,8 @@ def mark_table(texts: DataFrame, levels: bytes) -> DataFrame:
                 line, mark = x.marks(use, level)
                 at = np.searchsorted(use, line)
                 yield pa.RecordBatch.from_arrays(
-                    [_signed(mark), _signed(h1[at]), _signed(x.forms(use)[at])], schema=schema)
+                    [_signed(mark), _signed(h1[at]), _signed(x.forms(use)[at]),
+                     pa.array(x.wide_forms(use), pa.binary()).take(pa.array(at))], schema=schema)
         del lines
         release()
 
@@ -352,22 +387,22 @@ def meetings(marks: DataFrame) -> DataFrame:
 
     def run(batches):
         # of the last mark so far, if it has not too many lines
-        mark, ref, form = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
+        held = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, object))
         full = None  # the last mark and its last line, if it has
         for own, end in portions(batches):
-            mark, ref, form = (
-                np.concatenate([x, *(batch.column(i).to_numpy().view(x.dtype) for batch in own)])
-                for i, x in enumerate((mark, ref, form)))
+            held = [np.concatenate([x, *(batch.column(i).to_numpy(zero_copy_only=False).view(x.dtype)
+                                         for batch in own)]) for i, x in enumerate(held)]
+            mark, ref = held[:2]
             new = np.ones(len(mark), bool)
             new[1:] = (mark[1:] != mark[:-1]) | (ref[1:] != ref[:-1])
-            mark, ref, form = mark[new], ref[new], form[new]
+            held = mark, ref, form, wide = [x[new] for x in held]
             if full is not None:
                 n = int(np.searchsorted(mark, full[0], "right"))
                 lo = int(n > 0 and ref[0] == full[1])
                 if n > lo:
                     yield crowd(mark[lo:n], ref[lo:n])
                 full = (full[0], ref[n - 1]) if n else full
-                mark, ref, form = mark[n:], ref[n:], form[n:]
+                held = mark, ref, form, wide = [x[n:] for x in held]
             if not len(mark):
                 continue
             full = None
@@ -380,7 +415,7 @@ def meetings(marks: DataFrame) -> DataFrame:
                 yield crowd(mark[many], ref[many])
             keep = first[-1] if not end and full is None else len(mark)
             whole = (sizes <= CLOSE) & (first < keep)
-            i, j = alike_pairs(first[whole], sizes[whole], form)
+            i, j = alike_pairs(first[whole], sizes[whole], form, wide)
             label = clusters(len(mark), i, j)
             many = np.bincount(label, minlength=len(mark))[label] > FEW
             if many.any():
@@ -390,11 +425,12 @@ def meetings(marks: DataFrame) -> DataFrame:
             i, j = i[~many[i]], j[~many[i]]
             if len(i):
                 yield rows(pa.nulls(len(i), pa.int64()), ref[i], pa.array(ref[j]))
-            mark, ref, form = mark[keep:], ref[keep:], form[keep:]
+            held = [x[keep:] for x in held]
         release()
 
     if "form" not in marks.columns:
-        marks = marks.withColumn("form", F.lit(FORM_WORDS).cast("long"))
+        marks = marks.withColumns({"form": F.lit(FORM_WORDS).cast("long"),
+                                   "wide": F.lit(None).cast("binary")})
     dealt = marks.repartition("mark").sortWithinPartitions("mark", "ref")
     return dealt.mapInArrow(run, MEETINGS)
 

@@ -92,16 +92,29 @@ def test_forms_deny_no_near_lines_and_most_others():
             assert ok[:1 + len(near)].all()
             denied += (~ok[1 + len(near):]).sum()
             others += len(far)
+            if n >= 300:                               # nor do wide ones, which also deny long lines
+                wide = x.wide_forms(np.arange(1 + len(near)))
+                assert all(ld.wide_alike(wide[0], other) for other in wide[1:])
     assert denied > 0.98 * others
 
 
+def test_wide_forms_deny_long_lines():
+    rng = random.Random(10)
+    for n in (300, 900, 5000):
+        lines = [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(n, n + n // 12)))
+                 for _ in range(30)]
+        wide = ld.LineWords(pa.array(lines)).wide_forms(np.arange(30))
+        assert not any(ld.wide_alike(wide[i], wide[j]) for j in range(30) for i in range(j))
+    assert ld.LineWords(pa.array(["a " * 199, "a " * 200])).wide_forms(np.arange(2))[0] is None
+
+
 def test_lines_that_share_a_mark_by_chance_make_no_pairs_and_no_crowd(spark):
     rng = random.Random(9)
     texts = [[f"w{rng.randrange(5000)}" for _ in range(30)] for _ in range(60)]
     alike = [[*texts[0][:-1], f"x{i}"] for i in range(20)] + [[*texts[1][:-1], "x"]]
     x = ld.LineWords(pa.array([" ".join(line) for line in texts + alike]))
     form = x.forms(np.arange(len(texts + alike))).view(np.int64).tolist()
-    rows = [(mark, ref, form[ref]) for mark in (5, 6) for ref in range(len(form))]
+    rows = [(mark, ref, form[ref], None) for mark in (5, 6) for ref in range(len(form))]
     got = [tuple(r) for r in ld.meetings(spark.createDataFrame(rows, ld.FORMED)).collect()]
     crowds = {}
     for mark, ref, other in got:
