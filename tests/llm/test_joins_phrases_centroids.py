@@ -226,3 +226,18 @@ def test_orchard_finds_the_smallest_number_among_ties():
 def test_limbs_hold_any_integer():
     for x in (0, 1, -1, 2**32, -2**32, 2**31, 10**40, -10**40, -5, 2**64 - 1):
         assert sum(d << (32 * p) for p, d in limbs(x)) == x
+
+
+def test_rows_of_many_ids_are_found_without_a_shuffle(spark):
+    from tessera.llm.common import rows_of, stored
+
+    rows = spark.createDataFrame([(i if i % 10 else None, f"text {i}") for i in range(300)]
+                                 + [(7, "again"), (-5, "below"), (900, None)], "doc_id long, text string")
+    ids = stored(spark.createDataFrame([(i,) for i in (900, 7, 12, 20, 77, 5000)], "doc_id long"), "ids")
+    expected = [(7, "again"), (7, "text 7"), (12, "text 12"), (77, "text 77"), (900, None)]
+    for limits in ((0, 100), (100, 1000), (0, 0)):      # a list, a broadcast join, a join
+        found = rows_of(rows, ids, *limits)
+        assert sorted((tuple(r) for r in found.collect()), key=str) == sorted(expected, key=str)
+    listed = rows_of(rows, ids, 0, 100)
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "MapInArrow" in plan
